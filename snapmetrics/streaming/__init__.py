@@ -1,0 +1,8 @@
+"""Streaming.
+
+The surveyed jobs are scheduled batch runs over a fixed snapshot grid: no
+watermark, event-time window, streaming state or late-data handling exists
+in them (survey §2.10), so there is nothing to build here.  A scheduled
+re-run of ``snapmetrics.plans.publish.run_all`` is the equivalent of the
+source's periodic execution.
+"""
