@@ -11,8 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH_DATE = F.lit("1970-01-01").cast("date")
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+def _epoch_date() -> Column:
+    return F.lit("1970-01-01").cast("date")
+
+
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
 
 # Fixed value: raw token amounts are integers in units of 10^-18.
 TOKEN_DECIMALS = 18
@@ -43,7 +49,7 @@ def epoch_micros(ts: str | Column) -> Column:
     """
     t = _col(ts)
     return (
-        F.date_diff(F.to_date(t), _EPOCH_DATE).cast("bigint") * F.lit(86_400_000_000)
+        F.date_diff(F.to_date(t), _epoch_date()).cast("bigint") * F.lit(86_400_000_000)
         + F.hour(t).cast("bigint") * F.lit(3_600_000_000)
         + F.minute(t).cast("bigint") * F.lit(60_000_000)
         + (F.extract(F.lit("SECOND"), t) * F.lit(1_000_000)).cast("bigint")
@@ -57,7 +63,7 @@ def epoch_seconds(ts: str | Column) -> Column:
 
 def epoch_to_ts(seconds: str | Column) -> Column:
     """Epoch seconds -> ``timestamp_ntz`` (UTC wall clock)."""
-    return F.timestamp_add("SECOND", _col(seconds).cast("bigint"), _EPOCH_NTZ)
+    return F.timestamp_add("SECOND", _col(seconds).cast("bigint"), _epoch_ntz())
 
 
 def to_date(ts: str | Column) -> Column:

@@ -147,8 +147,11 @@ def cap_per_snapshot(df: DataFrame, n: int, by: str = "block", order: str = "id"
     """At most ``n`` entities per snapshot, lowest ``order`` first.
 
     The source's ``first: n`` has no stated order; we make it deterministic.
-    Spark plans ``row_number() <= n`` as a per-partition group limit before
-    the shuffle, so each task keeps at most ``n`` rows per snapshot.
+    ``dense_rank`` keeps every row of one entity together (rows already
+    exploded per child count once).  Spark plans ``rank <= n`` as a
+    per-partition group limit before the shuffle (``WindowGroupLimit``), so
+    no task holds more than ``n`` entities per snapshot and partition before
+    the exchange.
     """
     w = Window.partitionBy(by).orderBy(order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    return df.withColumn("_rk", F.dense_rank().over(w)).where(F.col("_rk") <= n).drop("_rk")

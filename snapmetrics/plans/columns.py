@@ -292,3 +292,27 @@ FORMATS_GLOBAL = [
     ("AI:AL", "0.00%"),
     ("A:A", "yyyy-mm-dd"),
 ]
+
+# Where each raw-dump column comes from in the flattened rows
+# (None: derived from the snapshot time or the creation time).
+RAW_DUMP_FROM = {
+    "displayName": "subgraph_displayName",
+    "subgraph_id": "subgraph_id",
+    "version_id": "id",
+    "deployment_id": "subgraphDeployment_id",
+    "owner_id": "subgraph_owner_id",
+    "network_id": "subgraphDeployment_network_id",
+    "block": "block",
+    "blockDate": None,
+    "blockTime": None,
+    "active": "subgraph_active",
+    "curatorFeeRewards": "subgraphDeployment_curatorFeeRewards",
+    "indexerRewardAmount": "subgraphDeployment_indexingIndexerRewardAmount",
+    "delegatorRewardAmount": "subgraphDeployment_indexingDelegatorRewardAmount",
+    "queryFeesAmount": "subgraphDeployment_queryFeesAmount",
+    "signalAmount": "subgraphDeployment_signalAmount",
+    "signalledTokens": "subgraphDeployment_signalledTokens",
+    "pricePerShare": "subgraphDeployment_pricePerShare",
+    "stakedTokens": "subgraphDeployment_stakedTokens",
+    "createdDate": None,
+}

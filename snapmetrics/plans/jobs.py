@@ -229,3 +229,19 @@ def dated_name(frame: DataFrame, spec: JobSpec) -> Column:
 
 def with_spec(spec: JobSpec, **kw) -> JobSpec:
     return replace(spec, **kw)
+
+
+def raw_dump(flat: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """The declared raw-dump projection over flattened version rows with
+    their snapshot time (``blockDate`` and ``blockTime`` as two columns)."""
+    from snapmetrics.functions.clean import epoch_seconds
+
+    timed = attach_time(flat, snapshots)
+    derived = {
+        "blockDate": F.col("date"),
+        "blockTime": epoch_seconds("stamp"),
+        "createdDate": F.to_date(epoch_to_ts("subgraph_createdAt")),
+    }
+    return timed.select(
+        *[(derived[c] if src is None else F.col(src)).alias(c) for c, src in C.RAW_DUMP_FROM.items()]
+    )

@@ -23,36 +23,47 @@ def _k_mod(r: int):
     return F.col("k") % 3 == r
 
 
-# State of one version (user x event type): running totals, running max,
-# latest value.
-VERSION_STATE = {
-    "n_events": (COUNT, F.col("event_id")),
-    "qf_cents": (SUM, F.col("cents")),
-    "curator_cents": (SUM, F.when(_k_mod(0), F.col("cents"))),
-    "indexer_cents": (SUM, F.when(_k_mod(1), F.col("cents"))),
-    "delegator_cents": (SUM, F.when(_k_mod(2), F.col("cents"))),
-    "signal_k": (SUM, F.col("signed_k")),
-    "max_cents": (MAX, F.col("cents")),
-    "last_k": (LATEST, F.col("k")),
-}
-
-# State of one subgraph (user): creation time and latest value.
-SUBGRAPH_STATE = {
-    "first_ts": (MIN, F.col("ts")),
-    "user_last_k": (LATEST, F.col("k")),
-}
-
-# Network totals over every event.
-NETWORK_STATE = {
-    "n_events": (COUNT, F.col("event_id")),
-    "alloc_k": (SUM, F.col("k")),
-    "deleg_k": (SUM, F.lit(100) - F.col("k")),
-    "qf_cents": (SUM, F.col("cents")),
-    "curator_cents": (SUM, F.when(_k_mod(0), F.col("cents"))),
-    "indexer_cents": (SUM, F.when(_k_mod(1), F.col("cents"))),
-    "delegator_cents": (SUM, F.when(_k_mod(2), F.col("cents"))),
-    "signal_k": (SUM, F.col("signed_k")),
-}
+def version_state() -> dict:
+    """State of one version (user x event type): running totals, running
+    max, latest value."""
+    return {
+        "n_events": (COUNT, F.col("event_id")),
+        "qf_cents": (SUM, F.col("cents")),
+        "curator_cents": (SUM, F.when(_k_mod(0), F.col("cents"))),
+        "indexer_cents": (SUM, F.when(_k_mod(1), F.col("cents"))),
+        "delegator_cents": (SUM, F.when(_k_mod(2), F.col("cents"))),
+        "signal_k": (SUM, F.col("signed_k")),
+        "max_cents": (MAX, F.col("cents")),
+        "last_k": (LATEST, F.col("k")),
+    }
+
+
+def subgraph_state() -> dict:
+    """State of one subgraph (user): creation time and latest value."""
+    return {
+        "first_ts": (MIN, F.col("ts")),
+        "user_last_k": (LATEST, F.col("k")),
+    }
+
+
+def network_state() -> dict:
+    """Network totals over every event."""
+    return {
+        "n_events": (COUNT, F.col("event_id")),
+        "alloc_k": (SUM, F.col("k")),
+        "deleg_k": (SUM, F.lit(100) - F.col("k")),
+        "qf_cents": (SUM, F.col("cents")),
+        "curator_cents": (SUM, F.when(_k_mod(0), F.col("cents"))),
+        "indexer_cents": (SUM, F.when(_k_mod(1), F.col("cents"))),
+        "delegator_cents": (SUM, F.when(_k_mod(2), F.col("cents"))),
+        "signal_k": (SUM, F.col("signed_k")),
+    }
+
+
+VERSION_STATE_COLS = [
+    "n_events", "qf_cents", "curator_cents", "indexer_cents", "delegator_cents", "signal_k", "max_cents", "last_k",
+]
+SUBGRAPH_STATE_COLS = ["first_ts", "user_last_k"]
 
 
 def _z(c: str):
@@ -95,8 +106,8 @@ def scan_versions(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame:
     """A5 (``main``): versions with their subgraph, owner, deployment and
     network, one row per version and distinct snapshot block."""
     log = fx.event_log(t)
-    versions = as_of(log, ["user_id", "event_type"], grid, snapshots, VERSION_STATE, order="event_id")
-    subgraphs = as_of(log, ["user_id"], grid, snapshots, SUBGRAPH_STATE, order="event_id")
+    versions = as_of(log, ["user_id", "event_type"], grid, snapshots, version_state(), order="event_id")
+    subgraphs = as_of(log, ["user_id"], grid, snapshots, subgraph_state(), order="event_id")
     owners = t.customer.select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey")
     joined = versions.join(subgraphs, ["user_id", "block"], "inner").join(owners, "user_id", "left")
     return _version_record(joined)
@@ -105,8 +116,8 @@ def scan_versions(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame:
 def scan_versions_latest(t: fx.Tables) -> DataFrame:
     """A10: the versions at the latest block of the log (no block argument)."""
     log = fx.event_log(t)
-    versions = latest_state(log, ["user_id", "event_type"], VERSION_STATE, "event_id", order="event_id")
-    subgraphs = latest_state(log, ["user_id"], SUBGRAPH_STATE, "event_id", order="event_id").drop("block")
+    versions = latest_state(log, ["user_id", "event_type"], version_state(), "event_id", order="event_id")
+    subgraphs = latest_state(log, ["user_id"], subgraph_state(), "event_id", order="event_id").drop("block")
     owners = t.customer.select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey")
     joined = versions.join(subgraphs, ["user_id"], "inner").join(owners, "user_id", "left")
     return _version_record(joined)
@@ -135,7 +146,7 @@ def _network_record(state: DataFrame, network_id: str, factor: int) -> DataFrame
 def network_records(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame:
     """Network records per distinct block: id ``1`` and a decoy ``2`` (values
     doubled) that the point lookup must skip."""
-    state = as_of(fx.event_log(t), [], grid, snapshots, NETWORK_STATE, order="event_id")
+    state = as_of(fx.event_log(t), [], grid, snapshots, network_state(), order="event_id")
     return _network_record(state, "1", 1).unionByName(_network_record(state, "2", 2))
 
 
