@@ -74,11 +74,22 @@ def attach_names(
     return df.join(names, key, "inner")
 
 
+def own_range(df: DataFrame, bound: str) -> Column:
+    """``struct(lo, hi)`` = min and max of ``bound`` over the frame."""
+    return df.agg(F.struct(F.min(bound).alias("lo"), F.max(bound).alias("hi"))).scalar()
+
+
+def within_range(df: DataFrame, value: str, limits: Column) -> DataFrame:
+    """Keep rows with ``limits.lo <= value <= limits.hi`` (nulls fall out)."""
+    return df.where(F.col(value).between(limits.getField("lo"), limits.getField("hi")))
+
+
 def within_own_range(df: DataFrame, value: str, bound: str) -> DataFrame:
     """Keep rows with ``min(bound) <= value <= max(bound)`` over the
-    frame itself (nulls fall out)."""
-    lim = df.agg(F.struct(F.min(bound).alias("lo"), F.max(bound).alias("hi"))).scalar()
-    return df.where(F.col(value).between(lim.getField("lo"), lim.getField("hi")))
+    frame itself.  The bounds are a scalar subquery over the same frame;
+    where the bounds can be had from a smaller input, pass them to
+    ``within_range`` instead (the allocations job does)."""
+    return within_range(df, value, own_range(df, bound))
 
 
 def latest_active(df: DataFrame, date: str = "date", active: str = "active") -> DataFrame:

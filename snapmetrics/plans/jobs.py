@@ -29,6 +29,7 @@ from snapmetrics.operators.relations import (
     fee_split,
     rollup,
     within_own_range,
+    within_range,
 )
 from snapmetrics.operators.shape import flatten, rename_map, root_select
 from snapmetrics.operators.windows import series
@@ -107,9 +108,9 @@ def clean_allocations(df: DataFrame) -> DataFrame:
 # --- L1 allocations ----------------------------------------------------------
 
 
-def allocations_clean(t: fx.Tables, spec: JobSpec = ALLOCATIONS) -> DataFrame:
+def allocations_clean(t: fx.Tables, spec: JobSpec = ALLOCATIONS, snaps: DataFrame | None = None) -> DataFrame:
     """Allocation rows after explode, flatten, rename, clean and I6."""
-    snaps = snapshots_for(t, spec)
+    snaps = snapshots_for(t, spec) if snaps is None else snaps
     rows = scans.allocation_rows(t, spec.grid, snaps)
     if spec.cap is not None:
         from snapmetrics.operators.snapshots import cap_per_snapshot
@@ -120,8 +121,17 @@ def allocations_clean(t: fx.Tables, spec: JobSpec = ALLOCATIONS) -> DataFrame:
 
 
 def allocations_frame(t: fx.Tables, spec: JobSpec = ALLOCATIONS) -> DataFrame:
-    """L1: allocations whose close block lies in the frame's own block range."""
-    return within_own_range(allocations_clean(t, spec), "closed_at_block", "block")
+    """L1: allocations whose close block lies in the frame's own block range.
+
+    With the cap off the range comes from the snapshot table
+    (``allocation_block_bounds``), and the filter reaches below the version
+    join; with a cap the frame's own range is taken.
+    """
+    snaps = snapshots_for(t, spec)
+    rows = allocations_clean(t, spec, snaps)
+    if spec.cap is not None:
+        return within_own_range(rows, "closed_at_block", "block")
+    return within_range(rows, "closed_at_block", scans.allocation_block_bounds(t, spec.grid, snaps))
 
 
 def allocations_output(frame: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ Amounts become integer text in units of 10^-18, like the source's payloads.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,13 +45,17 @@ TABLES = ("events", "customer", "orders", "lineitem")
 
 @dataclass
 class Tables:
-    """Lazily read inputs; nothing is scanned until an action runs."""
+    """Lazily read inputs; nothing is scanned until an action runs.  Each
+    table's relation is created once (one listing and footer read)."""
 
     spark: SparkSession
     sf_dir: str
+    _cache: dict = field(default_factory=dict, repr=False)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._cache:
+            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._cache[name]
 
     @property
     def events(self) -> DataFrame:

@@ -235,21 +235,43 @@ def allocation_rows(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame
     """A7 + B4 + B1 without lists: the flat rows that exploding and
     flattening ``scan_allocations`` gives.
 
-    ``explode_outer(collect_list(v))`` equals a left join on the child table,
-    done here on allocation rows before the snapshot spread, so no task ever
-    holds a whole child list and a deployment with very many versions is
-    split like any other join key.
+    ``explode_outer(collect_list(v))`` equals a left join on the child table.
+    The join comes after the snapshot spread, so a filter on the allocation's
+    own columns (the close-block range of the job) is pushed below it by the
+    optimizer; no task ever holds a whole child list, and a deployment with
+    very many versions is split like any other join key.
     """
-    rows = _spread_orders(_allocations_base(t).join(_version_ids(t), "l_orderkey", "left"), grid, snapshots)
+    rows = _spread_orders(_allocations_base(t), grid, snapshots)
     f = _allocation_fields()
-    return rows.select(
+    flat = rows.select(
         "block",
+        "l_orderkey",
         f["id"],
         f["queryFeesCollected"],
         f["delegationFees"],
         f["deployment"].alias("subgraphDeployment_id"),
-        F.col("version_id").alias("subgraphDeployment_versions_id"),
         f["allocatedTokens"],
         f["status"],
         f["closedAtBlockNumber"],
     )
+    versions = _version_ids(t).withColumnRenamed("version_id", "subgraphDeployment_versions_id")
+    return flat.join(versions, "l_orderkey", "left").drop("l_orderkey")
+
+
+def allocation_block_bounds(t: fx.Tables, grid: Grid, snapshots: DataFrame):
+    """E4 for the allocation rows: ``struct(lo, hi)`` of their ``block``
+    column, as one scalar subquery over small inputs.
+
+    An allocation has a row at every distinct snapshot block from the one
+    that first includes it to the last, so the frame's blocks are exactly the
+    payload blocks at or after the earliest creation index: the range needs
+    one column of the orders and the bounded snapshot table, not the
+    exploded frame.
+    """
+    first = (
+        t.orders.where(grid.covers("o_orderdate"))
+        .agg(F.min(grid.index_of("o_orderdate")).alias("i"))
+        .scalar()
+    )
+    present = snapshots.where(F.col("first_of_block") & (F.col("idx") >= first))
+    return present.agg(F.struct(F.min("block").alias("lo"), F.max("block").alias("hi"))).scalar()
