@@ -43,14 +43,15 @@ def global_changes(w) -> list[Column]:
     return cols
 
 
-def global_rolling(w) -> list[Column]:
-    """F3/F4 for the network frame (the 30-row means feed the yields)."""
+def global_rolling(w, nonnull: frozenset = frozenset()) -> list[Column]:
+    """F3/F4 for the network frame (the 30-row means feed the yields).
+    ``nonnull``: columns the schema declares not nullable."""
     cols = []
     for base in ("QF", "curator_rewards", "indexer_rewards", "delegator_rewards"):
-        cols.append(roll_sum(base, 7, w).alias(f"{base}_7d"))
-        cols.append(roll_sum(base, 30, w).alias(f"{base}_30d"))
+        cols.append(roll_sum(base, 7, w, base not in nonnull).alias(f"{base}_7d"))
+        cols.append(roll_sum(base, 30, w, base not in nonnull).alias(f"{base}_30d"))
     for base in ("signal", "stake", "delegation"):
-        cols.append(roll_avg(base, 30, w).alias(f"{base}_30d_mean"))
+        cols.append(roll_avg(base, 30, w, base not in nonnull).alias(f"{base}_30d_mean"))
     return cols
 
 
@@ -88,19 +89,25 @@ def entity_changes(w) -> list[Column]:
     ]
 
 
-def entity_rolling(w) -> list[Column]:
-    """per-key rolling sums and means over 7/14/30 rows."""
+def entity_rolling(w, nonnull: frozenset = frozenset()) -> list[Column]:
+    """per-key rolling sums and means over 7/14/30 rows.
+    ``nonnull``: columns the schema declares not nullable."""
+
+    def nullable(c: str) -> bool:
+        return c not in nonnull
+
     cols = []
     for n in ENTITY_WINDOWS:
-        cols.append(roll_sum("QF", n, w).alias(f"QF_{n}d"))
+        cols.append(roll_sum("QF", n, w, nullable("QF")).alias(f"QF_{n}d"))
     for base, level in (("signal", "signal"), ("stake", "stake"), ("shares", "shares"), ("price", "price_per_share")):
+        change = f"{base}_change"
         for n in ENTITY_WINDOWS:
-            cols.append(roll_sum(f"{base}_change", n, w).alias(f"{base}_change_{n}d"))
+            cols.append(roll_sum(change, n, w, nullable(change)).alias(f"{change}_{n}d"))
         for n in ENTITY_WINDOWS:
-            cols.append(roll_avg(level, n, w).alias(f"{base}_{n}d_MA"))
+            cols.append(roll_avg(level, n, w, nullable(level)).alias(f"{base}_{n}d_MA"))
     for base in ("curator_rewards", "indexer_rewards", "delegator_rewards"):
         for n in ENTITY_WINDOWS:
-            cols.append(roll_sum(base, n, w).alias(f"{base}_{n}d"))
+            cols.append(roll_sum(base, n, w, nullable(base)).alias(f"{base}_{n}d"))
     return cols
 
 

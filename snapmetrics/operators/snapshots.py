@@ -64,46 +64,63 @@ def spread(df: DataFrame, grid: Grid, snapshots: DataFrame, idx: str = "idx", un
     return exploded.join(payload_blocks(snapshots), idx, "inner").drop(idx)
 
 
-def as_of(
+def _partial(kind: str, name: str, expr: Column, order) -> list[Column]:
+    if kind == SUM:
+        return [F.sum(expr).alias(name)]
+    if kind == COUNT:
+        return [F.count(expr).alias(name)]
+    if kind == MAX:
+        return [F.max(expr).alias(name)]
+    if kind == MIN:
+        return [F.min(expr).alias(name)]
+    if kind == LATEST:
+        if order is None:
+            raise ValueError("'latest' state needs an order column")
+        return [F.max_by(expr, order).alias(name), F.max(order).alias(f"_ord_{name}")]
+    raise ValueError(f"unknown state kind {kind!r}")
+
+
+def interval_partials(
     log: DataFrame,
     keys: Sequence[str],
     grid: Grid,
-    snapshots: DataFrame,
     aggs: Mapping[str, tuple[str, Column]],
     time: str = "ts",
     order: str | Column | None = None,
 ) -> DataFrame:
-    """A4: state per ``keys`` at every distinct snapshot block.
-
-    ``aggs`` maps an output name to ``(kind, expression)``; kinds are
-    ``sum``/``count`` (running total), ``max``/``min`` (running extreme) and
-    ``latest`` (value of the row with the greatest ``order`` so far).  An
-    entity has no row before its first log row.  Returns
-    ``(keys..., block, <aggs>)``.
-    """
-    keys = list(keys)
-    partial = []
-    for name, (kind, expr) in aggs.items():
-        if kind == SUM:
-            partial.append(F.sum(expr).alias(name))
-        elif kind == COUNT:
-            partial.append(F.count(expr).alias(name))
+    """Steps 1-2: one row per ``(keys, idx)`` with the interval's partials
+    (``latest`` also keeps its order value as ``_ord_<name>``)."""
+    cols = [c for name, (kind, expr) in aggs.items() for c in _partial(kind, name, expr, order)]
+    return assign_snapshot(log, grid, time).groupBy(*keys, "idx").agg(*cols)
+
+
+def coarsen(intervals: DataFrame, keys: Sequence[str], kinds: Mapping[str, str]) -> DataFrame:
+    """Merge interval partials to fewer keys (e.g. versions -> their parent):
+    totals add, extremes combine, ``latest`` keeps the value of the greatest
+    order.  Reads the already reduced partials, not the log."""
+    cols = []
+    for name, kind in kinds.items():
+        if kind in (SUM, COUNT):
+            cols.append(F.sum(name).alias(name))
         elif kind == MAX:
-            partial.append(F.max(expr).alias(name))
+            cols.append(F.max(name).alias(name))
         elif kind == MIN:
-            partial.append(F.min(expr).alias(name))
+            cols.append(F.min(name).alias(name))
         elif kind == LATEST:
-            if order is None:
-                raise ValueError("'latest' state needs an order column")
-            partial.append(F.max_by(expr, order).alias(name))
-        else:
-            raise ValueError(f"unknown state kind {kind!r}")
-    intervals = assign_snapshot(log, grid, time).groupBy(*keys, "idx").agg(*partial)
+            cols += [F.max_by(name, f"_ord_{name}").alias(name), F.max(f"_ord_{name}").alias(f"_ord_{name}")]
+    return intervals.groupBy(*keys, "idx").agg(*cols)
 
+
+def carry_forward(
+    intervals: DataFrame, keys: Sequence[str], grid: Grid, snapshots: DataFrame, kinds: Mapping[str, str]
+) -> DataFrame:
+    """Steps 3-4: running state per key over its interval rows, carried to
+    every distinct snapshot block up to the next change."""
+    keys = list(keys)
     w = Window.partitionBy(*keys).orderBy("idx")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     state_cols = []
-    for name, (kind, _) in aggs.items():
+    for name, kind in kinds.items():
         if kind == LATEST:
             # The interval's own latest value is the state until the next change.
             state_cols.append(F.col(name))
@@ -113,6 +130,27 @@ def as_of(
     return spread(state, grid, snapshots, "idx", "_until")
 
 
+def as_of(
+    log: DataFrame,
+    keys: Sequence[str],
+    grid: Grid,
+    snapshots: DataFrame,
+    aggs: Mapping[str, tuple[str, Column]],
+    time: str = "ts",
+    order: str | Column | None = None,
+) -> DataFrame:
+    """A4: state per ``keys`` at every distinct snapshot block.
+
+    ``aggs`` maps an output name to ``(kind, expression)``; kinds are
+    ``sum``/``count`` (running total), ``max``/``min`` (running extreme) and
+    ``latest`` (value of the row with the greatest ``order`` so far).  An
+    entity has no row before its first log row.  Returns
+    ``(keys..., block, <aggs>)``.
+    """
+    partials = interval_partials(log, keys, grid, aggs, time, order)
+    return carry_forward(partials, keys, grid, snapshots, {n: k for n, (k, _) in aggs.items()})
+
+
 def latest_state(
     log: DataFrame,
     keys: Sequence[str],

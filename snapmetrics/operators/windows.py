@@ -43,15 +43,22 @@ def _frame(w: WindowSpec, n: int) -> WindowSpec:
     return w.rowsBetween(-(n - 1), Window.currentRow)
 
 
-def roll_sum(c: str | Column, n: int, w: WindowSpec) -> Column:
+def _full(x: Column, n: int, w: WindowSpec, nullable: bool) -> Column:
+    # For a column that cannot be null, "n values in the frame" is just "at
+    # least n rows so far": one row_number shared by every such column
+    # instead of one count per column and frame.
+    if nullable:
+        return F.count(x).over(_frame(w, n)) == n
+    return F.row_number().over(w) >= n
+
+
+def roll_sum(c: str | Column, n: int, w: WindowSpec, nullable: bool = True) -> Column:
     """Sum of the last ``n`` rows; null unless all ``n`` are present."""
     x = _col(c)
-    f = _frame(w, n)
-    return F.when(F.count(x).over(f) == n, F.sum(x).over(f))
+    return F.when(_full(x, n, w, nullable), F.sum(x).over(_frame(w, n)))
 
 
-def roll_avg(c: str | Column, n: int, w: WindowSpec) -> Column:
+def roll_avg(c: str | Column, n: int, w: WindowSpec, nullable: bool = True) -> Column:
     """Mean of the last ``n`` rows; null unless all ``n`` are present."""
     x = _col(c)
-    f = _frame(w, n)
-    return F.when(F.count(x).over(f) == n, F.avg(x).over(f))
+    return F.when(_full(x, n, w, nullable), F.avg(x).over(_frame(w, n)))

@@ -155,6 +155,11 @@ def global_clean(t: fx.Tables, spec: JobSpec = GLOBAL) -> DataFrame:
     return attach_time(cleaned, snaps)
 
 
+def non_nullable(df: DataFrame) -> frozenset:
+    """Columns the analyzed schema guarantees are never null."""
+    return frozenset(f.name for f in df.schema.fields if not f.nullable)
+
+
 def global_windows(df: DataFrame) -> DataFrame:
     """F1-F4 over the network frame, ordered by block then stamp.
 
@@ -163,7 +168,7 @@ def global_windows(df: DataFrame) -> DataFrame:
     """
     w = series(["block", "stamp"])
     changed = df.select("*", *global_changes(w))
-    return changed.select("*", *global_rolling(w))
+    return changed.select("*", *global_rolling(w, non_nullable(changed)))
 
 
 def global_frame(t: fx.Tables, fs: Column, spec: JobSpec = GLOBAL) -> DataFrame:
@@ -200,7 +205,7 @@ def subgraphs_windows(df: DataFrame) -> DataFrame:
     """F5-F7 per subgraph over (block, stamp): one Exchange, one Sort."""
     w = series(["block", "stamp"], "subgraph_id")
     changed = df.select("*", *entity_changes(w))
-    return changed.select("*", *entity_rolling(w))
+    return changed.select("*", *entity_rolling(w, non_nullable(changed)))
 
 
 def subgraphs_frame(t: fx.Tables, fs: Column, spec: JobSpec = SUBGRAPHS) -> DataFrame:

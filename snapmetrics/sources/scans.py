@@ -14,7 +14,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapmetrics.functions.clean import epoch_seconds
-from snapmetrics.operators.snapshots import COUNT, LATEST, MAX, MIN, SUM, as_of, latest_state, spread
+from snapmetrics.operators.snapshots import (
+    COUNT,
+    LATEST,
+    MAX,
+    MIN,
+    SUM,
+    as_of,
+    carry_forward,
+    coarsen,
+    interval_partials,
+    latest_state,
+    spread,
+)
 from snapmetrics.sources import fixtures as fx
 from snapmetrics.sources.grid import Grid
 
@@ -106,8 +118,14 @@ def scan_versions(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame:
     """A5 (``main``): versions with their subgraph, owner, deployment and
     network, one row per version and distinct snapshot block."""
     log = fx.event_log(t)
-    versions = as_of(log, ["user_id", "event_type"], grid, snapshots, version_state(), order="event_id")
-    subgraphs = as_of(log, ["user_id"], grid, snapshots, subgraph_state(), order="event_id")
+    # One pass over the log: per-version interval partials, which also carry
+    # what the parent needs; the parent's partials are merged from them.
+    vstate, sstate = version_state(), subgraph_state()
+    partials = interval_partials(log, ["user_id", "event_type"], grid, {**vstate, **sstate}, order="event_id")
+    kinds = {n: k for n, (k, _) in vstate.items()}
+    parent_kinds = {n: k for n, (k, _) in sstate.items()}
+    versions = carry_forward(partials, ["user_id", "event_type"], grid, snapshots, kinds)
+    subgraphs = carry_forward(coarsen(partials, ["user_id"], parent_kinds), ["user_id"], grid, snapshots, parent_kinds)
     owners = t.customer.select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey")
     joined = versions.join(subgraphs, ["user_id", "block"], "inner").join(owners, "user_id", "left")
     return _version_record(joined)
@@ -159,13 +177,21 @@ def scan_network(t: fx.Tables, grid: Grid, snapshots: DataFrame, network_id: str
     return network_records(t, grid, snapshots).where(F.col("graphNetwork.id") == network_id)
 
 
-def _allocations_base(t: fx.Tables) -> DataFrame:
-    """One row per order with its line sums (pre-aggregated per order before
-    the join, so a hot order is reduced map-side)."""
-    lines = t.lineitem.groupBy("l_orderkey").agg(
+def _line_partials(t: fx.Tables) -> DataFrame:
+    """One pass over the lines: partial sums per (order, version)."""
+    return t.lineitem.groupBy("l_orderkey", "l_suppkey", "l_linenumber").agg(
         F.sum(fx.money_cents("l_extendedprice")).alias("qf_cents"),
         F.sum(fx.money_cents(F.col("l_extendedprice") * F.col("l_discount"))).alias("fee_cents"),
     )
+
+
+def _allocations_base(t: fx.Tables) -> DataFrame:
+    """One row per order with its line sums, merged from the per-version
+    partials (map-side combined, so a hot order is reduced before the
+    shuffle)."""
+    lines = _line_partials(t).groupBy("l_orderkey").agg(
+        F.sum("qf_cents").alias("qf_cents"), F.sum("fee_cents").alias("fee_cents")
+    )
     orders = t.orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
         "o_orderdate",
@@ -177,8 +203,10 @@ def _allocations_base(t: fx.Tables) -> DataFrame:
 
 
 def _version_ids(t: fx.Tables) -> DataFrame:
+    """Distinct versions per order, from the same line partials (no second
+    scan of the lines)."""
     vid = F.concat(F.col("l_suppkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
-    return t.lineitem.select("l_orderkey", vid.alias("version_id")).distinct()
+    return _line_partials(t).select("l_orderkey", vid.alias("version_id"))
 
 
 def _allocation_fields() -> dict:
