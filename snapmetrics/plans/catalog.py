@@ -92,7 +92,10 @@ def select_from(cte_name: str, cols: list[str], extra: str = "") -> str:
 
 
 def _snaps(t: fx.Tables, grid: Grid, orders: bool = False) -> DataFrame:
-    return resolve_blocks(fx.order_blocks(t) if orders else fx.event_blocks(t), grid)
+    return t.memo(
+        ("snapshots", orders, grid),
+        lambda: resolve_blocks(fx.order_blocks(t) if orders else fx.event_blocks(t), grid),
+    )
 
 
 GLOBAL_6H = J.with_spec(J.GLOBAL, days=30, step=6)

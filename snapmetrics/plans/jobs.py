@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapmetrics.functions.clean import epoch_to_ts, null_to_zero_int, scale_tokens, strip_suffix, to_double
@@ -78,8 +78,11 @@ JOBS = (ALLOCATIONS, GLOBAL, SUBGRAPHS)
 
 def snapshots_for(t: fx.Tables, spec: JobSpec) -> DataFrame:
     """A1-A3 for a job: the resolved ``(idx, stamp, block, first_of_block)``."""
-    blocks = fx.order_blocks(t) if spec.query == "allocations" else fx.event_blocks(t)
-    return resolve_blocks(blocks, spec.grid)
+    orders = spec.query == "allocations"
+    return t.memo(
+        ("snapshots", orders, spec.grid),
+        lambda: resolve_blocks(fx.order_blocks(t) if orders else fx.event_blocks(t), spec.grid),
+    )
 
 
 # --- cleaning per source query (I1-I5) -------------------------------------
@@ -218,13 +221,28 @@ def subgraphs_frame(t: fx.Tables, fs: Column, spec: JobSpec = SUBGRAPHS) -> Data
 
 
 def last_n(df: DataFrame, n: int, by: str = "date", tie: tuple[str, ...] = ()) -> DataFrame:
-    """The last ``n`` rows by ``by`` (ties broken by ``tie``), ascending.
+    """The last ``n`` rows by ``by``, ties inside the cut date broken by
+    ``tie`` (descending), as the source's sort-then-tail keeps them.
 
-    ``orderBy(...).limit(n)`` plans as a per-partition top-n followed by one
-    merge of at most ``n`` rows per partition; the limit is the feature.
+    No single-task top-n: rows per ``by`` value are counted (one row per
+    snapshot date, bounded by the grid, so broadcast), every date that fits
+    whole passes by a plain filter, and only the one date that is cut is
+    ranked.
     """
-    desc = [F.col(by).desc()] + [F.col(c).desc() for c in tie]
-    return df.orderBy(*desc).limit(n)
+    counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("_rows"))
+    newest_first = Window.orderBy(F.col(by).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    plan = (
+        counts.select(by, "_rows", (F.sum("_rows").over(newest_first) - F.col("_rows")).alias("_later"))
+        .where(F.col("_later") < n)
+        .select(by, (F.col("_rows") <= F.lit(n) - F.col("_later")).alias("_whole"), (F.lit(n) - F.col("_later")).alias("_room"))
+    )
+    marked = df.join(F.broadcast(plan), by, "inner")
+    whole = marked.where("_whole")
+    cut = marked.where(~F.col("_whole"))
+    ranked = cut.withColumn(
+        "_rk", F.row_number().over(Window.partitionBy(by).orderBy(*[F.col(c).desc() for c in tie]))
+    ).where(F.col("_rk") <= F.col("_room"))
+    return whole.drop("_whole", "_room").unionByName(ranked.drop("_whole", "_room", "_rk"))
 
 
 def job_output(frame: DataFrame, spec: JobSpec) -> DataFrame:

@@ -53,9 +53,15 @@ class Tables:
     _cache: dict = field(default_factory=dict, repr=False)
 
     def read(self, name: str) -> DataFrame:
-        if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return self._cache[name]
+        return self.memo(("table", name), lambda: self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
+
+    def memo(self, key, build):
+        """One DataFrame per derived input (e.g. a snapshot table), so a plan
+        that uses it twice holds the same subtree twice and Spark reuses its
+        exchanges instead of planning it again."""
+        if key not in self._cache:
+            self._cache[key] = build()
+        return self._cache[key]
 
     @property
     def events(self) -> DataFrame:
@@ -95,6 +101,10 @@ def int_text(n: Column) -> Column:
 
 def event_log(t: Tables) -> DataFrame:
     """Events with the JSON field ``k`` (A9), money in cents and signed k."""
+    return t.memo("event_log", lambda: _event_log(t))
+
+
+def _event_log(t: Tables) -> DataFrame:
     k = parse_json_field("props", "k", "bigint")
     return t.events.select(
         "event_id",

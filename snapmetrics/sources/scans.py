@@ -177,21 +177,13 @@ def scan_network(t: fx.Tables, grid: Grid, snapshots: DataFrame, network_id: str
     return network_records(t, grid, snapshots).where(F.col("graphNetwork.id") == network_id)
 
 
-def _line_partials(t: fx.Tables) -> DataFrame:
-    """One pass over the lines: partial sums per (order, version)."""
-    return t.lineitem.groupBy("l_orderkey", "l_suppkey", "l_linenumber").agg(
+def _allocations_base(t: fx.Tables) -> DataFrame:
+    """One row per order with its line sums (map-side combined, so a hot
+    order is reduced to one row per partition before the shuffle)."""
+    lines = t.lineitem.groupBy("l_orderkey").agg(
         F.sum(fx.money_cents("l_extendedprice")).alias("qf_cents"),
         F.sum(fx.money_cents(F.col("l_extendedprice") * F.col("l_discount"))).alias("fee_cents"),
     )
-
-
-def _allocations_base(t: fx.Tables) -> DataFrame:
-    """One row per order with its line sums, merged from the per-version
-    partials (map-side combined, so a hot order is reduced before the
-    shuffle)."""
-    lines = _line_partials(t).groupBy("l_orderkey").agg(
-        F.sum("qf_cents").alias("qf_cents"), F.sum("fee_cents").alias("fee_cents")
-    )
     orders = t.orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
         "o_orderdate",
@@ -203,10 +195,11 @@ def _allocations_base(t: fx.Tables) -> DataFrame:
 
 
 def _version_ids(t: fx.Tables) -> DataFrame:
-    """Distinct versions per order, from the same line partials (no second
-    scan of the lines)."""
+    """Distinct versions per order: deduplicated on the integer keys, the
+    text id is built afterwards (only for surviving rows)."""
+    keys = t.lineitem.select("l_orderkey", "l_suppkey", "l_linenumber").distinct()
     vid = F.concat(F.col("l_suppkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
-    return _line_partials(t).select("l_orderkey", vid.alias("version_id"))
+    return keys.select("l_orderkey", vid.alias("version_id"))
 
 
 def _allocation_fields() -> dict:
@@ -259,6 +252,24 @@ def scan_allocations(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFram
     )
 
 
+def explode_join(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
+    """B4 as a join: every parent with each of its children, and a parent
+    without children once with null child columns (``explode_outer``).
+
+    Written as an inner join plus the childless parents (left anti join on
+    the distinct child keys) rather than one left outer join: AQE can split
+    a hot key on either side of an inner join, but never the child side of a
+    left outer join.
+    """
+    matched = parents.join(children, key, "inner")
+    has_children = children.select(key).distinct()
+    lonely = parents.join(has_children, key, "left_anti")
+    for f in children.schema.fields:
+        if f.name != key:
+            lonely = lonely.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return matched.unionByName(lonely)
+
+
 def allocation_rows(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame:
     """A7 + B4 + B1 without lists: the flat rows that exploding and
     flattening ``scan_allocations`` gives.
@@ -283,7 +294,7 @@ def allocation_rows(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame
         f["closedAtBlockNumber"],
     )
     versions = _version_ids(t).withColumnRenamed("version_id", "subgraphDeployment_versions_id")
-    return flat.join(versions, "l_orderkey", "left").drop("l_orderkey")
+    return explode_join(flat, versions, "l_orderkey").drop("l_orderkey")
 
 
 def allocation_block_bounds(t: fx.Tables, grid: Grid, snapshots: DataFrame):
