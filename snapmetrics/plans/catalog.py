@@ -135,6 +135,19 @@ for _name, _grid, _s, _orders in (
     )
 
 
+def grid_with_blocks(t: fx.Tables, grid: Grid) -> DataFrame:
+    """A1 + A2 before A3: every stamp of the grid with its as-of block, null
+    where no block lies at or before it."""
+    resolved = _snaps(t, grid).select("idx", "block")
+    return grid.to_df(t.spark).join(F.broadcast(resolved), "idx", "left")
+
+
+for _name, _grid, _s in (("snapshot_grid", fx.G4_EARLY_START, "s4"), ("snapshot_grid_6h", fx.G2_SIX_HOURLY, "s2")):
+    register(_name, ["idx", "stamp", "block"], select_from(f"{_s}_all", ["idx", "stamp", "CAST(block AS BIGINT) AS block"]), [f"{_s}_all"])(
+        (lambda g: lambda t: grid_with_blocks(t, g))(_grid)
+    )
+
+
 # --- A4, A9, A10: state as of blocks --------------------------------------------------
 
 VSTATE_COLS = ["user_id", "event_type", "block", *scans.VERSION_STATE_COLS]
@@ -208,6 +221,53 @@ def _flatten_versions(t):
     return _versions_flat(t)
 
 
+def _as_json(df: DataFrame, keep: list[str]) -> DataFrame:
+    """Nested columns as compact JSON text (comparable across engines)."""
+    return df.select(*keep, *[F.to_json(c).alias(c) for c in df.columns if c not in keep])
+
+
+SCAN_VERSIONS_SQL = """SELECT block, id,
+  CAST(to_json({'id': subgraph_id, 'createdAt': subgraph_createdAt, 'displayName': subgraph_displayName,
+                'owner': {'id': subgraph_owner_id}, 'active': subgraph_active}) AS VARCHAR) AS subgraph,
+  CAST(to_json({'id': subgraphDeployment_id, 'stakedTokens': subgraphDeployment_stakedTokens,
+                'indexingIndexerRewardAmount': subgraphDeployment_indexingIndexerRewardAmount,
+                'indexingDelegatorRewardAmount': subgraphDeployment_indexingDelegatorRewardAmount,
+                'queryFeesAmount': subgraphDeployment_queryFeesAmount,
+                'curatorFeeRewards': subgraphDeployment_curatorFeeRewards,
+                'signalledTokens': subgraphDeployment_signalledTokens,
+                'signalAmount': subgraphDeployment_signalAmount,
+                'pricePerShare': subgraphDeployment_pricePerShare,
+                'network': {'id': subgraphDeployment_network_id}}) AS VARCHAR) AS subgraphDeployment
+FROM vraw_s1"""
+
+
+@register("scan_versions", ["block", "id", "subgraph", "subgraphDeployment"], SCAN_VERSIONS_SQL, ["vraw_s1"], doubles=set())
+def _scan_versions(t):
+    return _as_json(scans.scan_versions(t, fx.G1_DAILY, _snaps(t, fx.G1_DAILY)), ["block", "id"])
+
+
+O.cte(
+    "anested",
+    """SELECT block, id, queryFeesCollected, delegationFees,
+  CAST(to_json({'id': subgraphDeployment_id,
+                'versions': coalesce(list({'id': subgraphDeployment_versions_id} ORDER BY subgraphDeployment_versions_id)
+                                     FILTER (WHERE subgraphDeployment_versions_id IS NOT NULL), [])}) AS VARCHAR)
+    AS subgraphDeployment,
+  allocatedTokens, status, closedAtBlockNumber
+FROM araw
+GROUP BY block, id, queryFeesCollected, delegationFees, subgraphDeployment_id, allocatedTokens, status, closedAtBlockNumber""",
+    "araw",
+)
+ANESTED_COLS = ["block", "id", "queryFeesCollected", "delegationFees", "subgraphDeployment", "allocatedTokens",
+                "status", "closedAtBlockNumber"]
+
+
+@register("scan_allocations_nested", ANESTED_COLS, select_from("anested", ANESTED_COLS), ["anested"], doubles=set())
+def _scan_allocations_nested(t):
+    nested = scans.scan_allocations(t, fx.G5_ORDERS, _snaps(t, fx.G5_ORDERS, True))
+    return nested.withColumn("subgraphDeployment", F.to_json("subgraphDeployment"))
+
+
 GRAW_COLS = [
     "block",
     "id",
