@@ -47,10 +47,6 @@ def txt(expr: str, zeros: int) -> str:
     return f"(CAST({expr} AS VARCHAR) || '{'0' * zeros}')"
 
 
-def amt(expr: str, zeros: int) -> str:
-    return f"(CAST({txt(expr, zeros)} AS DOUBLE) / 1e18)"
-
-
 def scaled(text_col: str) -> str:
     return f"(CAST({text_col} AS DOUBLE) / 1e18)"
 
