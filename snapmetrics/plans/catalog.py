@@ -103,12 +103,20 @@ JOB_GLOBAL = J.with_spec(J.GLOBAL, rows=20)  # rows cut visible at fixture scale
 TAIL_ROWS = 1000
 
 
+# Plans shared by several queries are built once per input set (plan objects
+# only; no data is cached).
+
+
+def _fee_split(t: fx.Tables):
+    return t.memo("fee_split", lambda: J.fee_split_of(t))
+
+
 def _global_frame(t: fx.Tables, spec: J.JobSpec = J.GLOBAL) -> DataFrame:
-    return J.global_frame(t, J.fee_split_of(t), spec)
+    return t.memo(("global_frame", spec), lambda: J.global_frame(t, _fee_split(t), spec))
 
 
 def _subgraph_frame(t: fx.Tables) -> DataFrame:
-    return J.subgraphs_frame(t, J.fee_split_of(t))
+    return t.memo("subgraph_frame", lambda: J.subgraphs_frame(t, _fee_split(t)))
 
 
 def _versions_flat(t: fx.Tables, grid: Grid = fx.G1_DAILY) -> DataFrame:
@@ -535,7 +543,7 @@ def _feesplit(t):
     ["gtime_s6", "fs"],
 )
 def _join_scalar_feesplit(t):
-    return R.attach_scalar(J.global_clean(t), "fee_split", J.fee_split_of(t))
+    return R.attach_scalar(J.global_clean(t), "fee_split", _fee_split(t))
 
 
 # --- F1-F7 windows --------------------------------------------------------------------------
