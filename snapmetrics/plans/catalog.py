@@ -700,14 +700,18 @@ SHEET_SUB_SQL = select_from(
 )
 
 
+# The latest date is a scalar over the frame that the rows come from too, so
+# the frame is checkpointed once per query (not shared between queries).
+
+
 @register("filter_latest_active", C.SHEET_SUBGRAPHS, SHEET_SUB_SQL, ["sframe_s1"])
 def _filter_latest_active(t):
-    return R.latest_active(_subgraph_frame(t))
+    return R.latest_active(J.materialize(_subgraph_frame(t).select(*C.SHEET_SUBGRAPHS, "active")))
 
 
 @register("sheet_subgraphs", C.SHEET_SUBGRAPHS, SHEET_SUB_SQL, ["sframe_s1"])
 def _sheet_subgraphs(t):
-    return P.sheet_subgraphs(_subgraph_frame(t))
+    return P.sheet_subgraphs(J.materialize(_subgraph_frame(t).select(*C.SHEET_SUBGRAPHS, "active")))
 
 
 @register("sheet_global", C.SHEET_GLOBAL, select_from("gframe_s6", C.SHEET_GLOBAL), ["gframe_s6"])
@@ -717,7 +721,7 @@ def _sheet_global(t):
 
 @register("sheet_subgraphs_text", C.SHEET_SUBGRAPHS)
 def _sheet_subgraphs_text(t):
-    return P.text_view(P.sheet_subgraphs(_subgraph_frame(t)), C.FORMATS_SUBGRAPHS)
+    return P.text_view(_sheet_subgraphs(t), C.FORMATS_SUBGRAPHS)
 
 
 @register("sheet_global_text", C.SHEET_GLOBAL)

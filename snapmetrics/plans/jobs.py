@@ -245,13 +245,30 @@ def last_n(df: DataFrame, n: int, by: str = "date", tie: tuple[str, ...] = ()) -
     return whole.drop("_whole", "_room").unionByName(ranked.drop("_whole", "_room", "_rk"))
 
 
-def job_output(frame: DataFrame, spec: JobSpec) -> DataFrame:
-    """The CSV output of a job: allocations whole, the others last N by date."""
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder named by ``spark.checkpoint.dir``
+    (a reliable checkpoint, never a local one) and continue from the saved
+    copy: a frame used twice is computed once, and its lineage is cut."""
+    from snapmetrics.plans.publish import shared_dir
+
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def job_output(frame: DataFrame, spec: JobSpec, saved: bool = False) -> DataFrame:
+    """The CSV output of a job: allocations whole, the others last N by date.
+
+    The last-N cut reads the frame twice (per-date counts, then the rows), so
+    an unsaved frame is checkpointed first; pass ``saved=True`` for a frame
+    read back from a written table.
+    """
     cols = C.OUT_BY_JOB[spec.type]
     if spec.type == "allocations":
         return frame.select(*cols)
     tie = ("subgraph_id", "block") if spec.type == "subgraphs" else ("block", "stamp")
-    return last_n(frame, spec.rows, "date", tie).select(*cols)
+    base = frame.select(*dict.fromkeys([*cols, "date", *tie]))
+    base = base if saved else materialize(base)
+    return last_n(base, spec.rows, "date", tie).select(*cols)
 
 
 def dated_name(frame: DataFrame, spec: JobSpec) -> Column:

@@ -162,7 +162,7 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, specs=
             path = f"{base}/{spec.filename}"
             frame.write.mode("overwrite").parquet(f"{path}_frame")
             saved = spark.read.parquet(f"{path}_frame")
-            J.job_output(saved, spec).write.mode("overwrite").parquet(path)
+            J.job_output(saved, spec, saved=True).write.mode("overwrite").parquet(path)
             if spec.upload == "sheet":
                 sheet_global(saved).write.mode("overwrite").parquet(f"{path}_sheet")
         else:
@@ -170,7 +170,7 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, specs=
             path = f"{base}/{spec.filename}"
             frame.write.mode("overwrite").parquet(f"{path}_frame")
             saved = spark.read.parquet(f"{path}_frame")
-            J.job_output(saved, spec).write.mode("overwrite").parquet(path)
+            J.job_output(saved, spec, saved=True).write.mode("overwrite").parquet(path)
             if spec.upload == "sheet":
                 sheet_subgraphs(saved).write.mode("overwrite").parquet(f"{path}_sheet")
         paths[spec.type] = path
