@@ -140,12 +140,22 @@ def text_view(view: DataFrame, ranges: list[tuple[str, str]]) -> DataFrame:
 # --- run all (L6) and re-publish (L7) -------------------------------------------
 
 
-def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, specs=J.JOBS) -> dict[str, str]:
-    """Allocations first, then global and subgraphs with the fee split
-    read back from the written allocations output (one scalar).
+def dated_filename(frame: DataFrame, spec: J.JobSpec) -> str:
+    """``<filename>_<MM_dd_yyyy of max(date)>``.  One scalar comes back
+    to the driver because it names a path."""
+    day = frame.agg(F.date_format(F.max("date"), "MM_dd_yyyy").alias("d")).first().d
+    return f"{spec.filename}_{day}"
+
 
-    Outputs go to ``out_dir`` (default: the shared checkpoint folder) as
-    Parquet; returns ``{job: path}``.
+def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, specs=J.JOBS) -> dict[str, str]:
+    """The jobs in order; each output is a CSV with header.
+
+    Allocations go to ``<filename>`` and are read back for the fee split
+    (one scalar), as the source hands its CSV to the later jobs.  The global
+    and subgraph frames are written once as Parquet; the dated last-N output
+    ``<filename>_<MM_dd_yyyy>`` and the sheet view (A15) are read from it.
+    Everything goes under ``out_dir`` (default: the shared checkpoint
+    folder).  Returns ``{job: output path}``.
     """
     t = fx.Tables(spark, sf_dir)
     base = out_dir or scratch_path(spark, "outputs")
@@ -153,30 +163,38 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, specs=
     fs = None
     for spec in specs:
         if spec.type == "allocations":
-            out = J.allocations_output(J.allocations_frame(t, spec))
-            path = f"{base}/{spec.filename}"
-            out.write.mode("overwrite").parquet(path)
-            fs = fee_split(spark.read.parquet(path))
-        elif spec.type == "global":
-            frame = J.global_frame(t, fs if fs is not None else J.fee_split_of(t), spec)
-            path = f"{base}/{spec.filename}"
-            frame.write.mode("overwrite").parquet(f"{path}_frame")
-            saved = spark.read.parquet(f"{path}_frame")
-            J.job_output(saved, spec, saved=True).write.mode("overwrite").parquet(path)
-            if spec.upload == "sheet":
-                sheet_global(saved).write.mode("overwrite").parquet(f"{path}_sheet")
-        else:
-            frame = J.subgraphs_frame(t, fs if fs is not None else J.fee_split_of(t), spec)
             path = f"{base}/{spec.filename}"
-            frame.write.mode("overwrite").parquet(f"{path}_frame")
-            saved = spark.read.parquet(f"{path}_frame")
-            J.job_output(saved, spec, saved=True).write.mode("overwrite").parquet(path)
-            if spec.upload == "sheet":
-                sheet_subgraphs(saved).write.mode("overwrite").parquet(f"{path}_sheet")
+            write_csv(J.allocations_output(J.allocations_frame(t, spec)), path)
+            fs = fee_split(read_csv(spark, path, allocations_csv_schema()))
+            paths[spec.type] = path
+            continue
+        split = fs if fs is not None else J.fee_split_of(t)
+        frame = J.global_frame(t, split, spec) if spec.type == "global" else J.subgraphs_frame(t, split, spec)
+        frame.write.mode("overwrite").parquet(f"{base}/{spec.filename}_frame")
+        saved = spark.read.parquet(f"{base}/{spec.filename}_frame")
+        out = J.job_output(saved, spec, saved=True)
+        path = f"{base}/{dated_filename(saved, spec)}"
+        write_csv(out.orderBy("date"), path)
+        if spec.upload == "sheet":
+            view = sheet_global(saved) if spec.type == "global" else sheet_subgraphs(saved)
+            view.write.mode("overwrite").parquet(f"{base}/{spec.filename}_sheet")
         paths[spec.type] = path
     return paths
 
 
+def allocations_csv_schema() -> StructType:
+    from pyspark.sql.types import LongType, StringType
+
+    types = {"block": LongType(), "closed_at_block": LongType()}
+    doubles = {"allocated_tokens", "delegation_fees", "QF_collected"}
+    return StructType(
+        [
+            StructField(c, types.get(c, DoubleType() if c in doubles else StringType()), True)
+            for c in C.OUT_ALLOCATIONS
+        ]
+    )
+
+
 def republish_global(spark: SparkSession, path: str) -> DataFrame:
     """Read a saved global CSV (dates parsed) and rebuild its sheet view."""
     return sheet_global(read_csv(spark, path, global_csv_schema()))
