@@ -246,13 +246,17 @@ def last_n(df: DataFrame, n: int, by: str = "date", tie: tuple[str, ...] = ()) -
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder named by ``spark.checkpoint.dir``
-    (a reliable checkpoint, never a local one) and continue from the saved
-    copy: a frame used twice is computed once, and its lineage is cut."""
-    from snapmetrics.plans.publish import shared_dir
-
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as Parquet to the shared folder named by
+    ``spark.checkpoint.dir`` and continue from the written table: a frame
+    used twice is computed once, and its lineage is cut.  (An RDD-level
+    ``checkpoint()`` of an unpersisted frame would compute it twice, and a
+    local checkpoint would not survive a lost executor.)"""
+    from snapmetrics.plans.publish import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, "frame")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def job_output(frame: DataFrame, spec: JobSpec, saved: bool = False) -> DataFrame:
