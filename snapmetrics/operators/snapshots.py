@@ -112,10 +112,17 @@ def coarsen(intervals: DataFrame, keys: Sequence[str], kinds: Mapping[str, str])
 
 
 def carry_forward(
-    intervals: DataFrame, keys: Sequence[str], grid: Grid, snapshots: DataFrame, kinds: Mapping[str, str]
+    intervals: DataFrame,
+    keys: Sequence[str],
+    grid: Grid,
+    snapshots: DataFrame,
+    kinds: Mapping[str, str],
+    keep_order: bool = False,
 ) -> DataFrame:
     """Steps 3-4: running state per key over its interval rows, carried to
-    every distinct snapshot block up to the next change."""
+    every distinct snapshot block up to the next change.  ``keep_order``
+    also carries each ``latest`` state's order value (``_ord_<name>``), so a
+    parent can pick the latest among its children."""
     keys = list(keys)
     w = Window.partitionBy(*keys).orderBy("idx")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -124,6 +131,8 @@ def carry_forward(
         if kind == LATEST:
             # The interval's own latest value is the state until the next change.
             state_cols.append(F.col(name))
+            if keep_order:
+                state_cols.append(F.col(f"_ord_{name}"))
         else:
             state_cols.append(_RUNNING[kind](name).over(upto).alias(name))
     state = intervals.select(*keys, "idx", (F.lead("idx").over(w) - F.lit(1)).alias("_until"), *state_cols)

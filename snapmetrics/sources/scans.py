@@ -10,7 +10,7 @@ attached with many-to-one joins (D3) at the smallest grain that carries them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapmetrics.functions.clean import epoch_seconds
@@ -22,7 +22,6 @@ from snapmetrics.operators.snapshots import (
     SUM,
     as_of,
     carry_forward,
-    coarsen,
     interval_partials,
     latest_state,
     spread,
@@ -118,17 +117,24 @@ def scan_versions(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame:
     """A5 (``main``): versions with their subgraph, owner, deployment and
     network, one row per version and distinct snapshot block."""
     log = fx.event_log(t)
-    # One pass over the log: per-version interval partials, which also carry
-    # what the parent needs; the parent's partials are merged from them.
+    # One pass over the log.  Each version also carries its own creation time
+    # and latest value (with the order of that value); the subgraph's state
+    # at a block is then the min / latest over its versions present there,
+    # taken by a window over (subgraph, block) - a handful of rows each - so
+    # no second scan and no join of two snapshot-sized tables.
     vstate, sstate = version_state(), subgraph_state()
     partials = interval_partials(log, ["user_id", "event_type"], grid, {**vstate, **sstate}, order="event_id")
-    kinds = {n: k for n, (k, _) in vstate.items()}
-    parent_kinds = {n: k for n, (k, _) in sstate.items()}
-    versions = carry_forward(partials, ["user_id", "event_type"], grid, snapshots, kinds)
-    subgraphs = carry_forward(coarsen(partials, ["user_id"], parent_kinds), ["user_id"], grid, snapshots, parent_kinds)
+    kinds = {n: k for n, (k, _) in {**vstate, **sstate}.items()}
+    versions = carry_forward(partials, ["user_id", "event_type"], grid, snapshots, kinds, keep_order=True)
+    per_subgraph = Window.partitionBy("user_id", "block")
+    own = {"first_ts", "user_last_k", "_ord_user_last_k", "_ord_last_k"}
+    with_parent = versions.select(
+        *[c for c in versions.columns if c not in own],
+        F.min("first_ts").over(per_subgraph).alias("first_ts"),
+        F.max_by("user_last_k", "_ord_user_last_k").over(per_subgraph).alias("user_last_k"),
+    )
     owners = t.customer.select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey")
-    joined = versions.join(subgraphs, ["user_id", "block"], "inner").join(owners, "user_id", "left")
-    return _version_record(joined)
+    return _version_record(with_parent.join(owners, "user_id", "left"))
 
 
 def scan_versions_latest(t: fx.Tables) -> DataFrame:

@@ -8,7 +8,19 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from snapmetrics.operators.snapshots import COUNT, LATEST, MAX, MIN, SUM, as_of, cap_per_snapshot, latest_state
+from snapmetrics.operators.snapshots import (
+    COUNT,
+    LATEST,
+    MAX,
+    MIN,
+    SUM,
+    as_of,
+    cap_per_snapshot,
+    carry_forward,
+    coarsen,
+    interval_partials,
+    latest_state,
+)
 from snapmetrics.sources.grid import Grid, resolve_blocks
 
 
@@ -79,3 +91,17 @@ def test_cap_per_snapshot_keeps_lowest_ids_and_whole_entities(spark):
     got = cap_per_snapshot(df, 3, "block", "id")
     assert got.count() == 2 * 3 * 2
     assert sorted({r.id for r in got.collect()}) == ["000", "001", "002"]
+
+
+def test_coarsen_then_carry_equals_parent_as_of(spark):
+    pdf = _log(5)
+    pdf["child"] = pdf.index % 3
+    log = spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    grid = Grid(dt.datetime(2024, 1, 1, 12, 0), 6 * 3600, 20)
+    snaps = resolve_blocks(log.select("block", F.col("ts").alias("block_time")), grid)
+    kinds = {n: k for n, (k, _) in aggs().items()}
+    child = interval_partials(log, ["key", "child"], grid, aggs(), order="block")
+    merged = carry_forward(coarsen(child, ["key"], kinds), ["key"], grid, snaps, kinds)
+    direct = as_of(log, ["key"], grid, snaps, aggs(), order="block")
+    cols = ["key", "block", "n", "total", "top", "low", "last_v"]
+    assert sorted(map(tuple, merged.select(cols).collect())) == sorted(map(tuple, direct.select(cols).collect()))
