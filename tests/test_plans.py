@@ -56,3 +56,26 @@ def test_decoy_network_branch_is_pruned(tables):
     snaps = J.snapshots_for(tables, J.GLOBAL)
     df = scans.scan_network(tables, J.GLOBAL.grid, snaps)
     assert "Union" not in _plan(df)
+
+
+def test_cap_per_snapshot_limits_before_the_shuffle(spark):
+    from snapmetrics.operators.snapshots import cap_per_snapshot
+
+    df = spark.range(1000).selectExpr("id % 7 AS block", "CAST(id AS STRING) AS id")
+    assert "WindowGroupLimit" in _plan(cap_per_snapshot(df, 10, "block", "id"))
+
+
+def test_last_n_has_no_single_task_top_n(tables):
+    rolled = J.subgraphs_rollup(J.versions_clean(tables))
+    p = _plan(J.last_n(rolled, 100, "date", ("subgraph_id", "block")))
+    assert "TakeOrderedAndProject" not in p and "GlobalLimit" not in p
+
+
+def test_child_join_is_inner_plus_anti(tables):
+    from snapmetrics.sources import scans
+
+    df = scans.allocation_rows(tables, fx.G5_ORDERS, J.snapshots_for(tables, J.ALLOCATIONS))
+    p = _plan(df)
+    # children attach by an inner join (AQE can split a hot key on either
+    # side); childless parents come from a left anti join; both are unioned
+    assert "LeftAnti" in p and "Union" in p
