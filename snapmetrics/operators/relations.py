@@ -27,18 +27,21 @@ def attach_time(df: DataFrame, blocktimes: DataFrame) -> DataFrame:
     return df.join(bt, "block", "inner").withColumn("date", to_date("stamp"))
 
 
-def rollup(df: DataFrame, keys: Sequence[str], sums: Sequence[str], maxes: Sequence[str]) -> DataFrame:
+def rollup(
+    df: DataFrame, keys: Sequence[str], sums: Sequence[str], maxes: Sequence[str], carry: Sequence[str] = ()
+) -> DataFrame:
     """E1 + C4: group by ``keys``; ``max`` of ``maxes``, ``sum`` of ``sums``.
 
     Rows with a null key are dropped first (the source's grouping drops them,
     Spark would keep a null group).  A sum over only nulls is 0, a max over
-    only nulls is null.  Partial aggregation runs before the shuffle.
+    only nulls is null.  ``carry``: columns constant within a group, kept
+    as extra grouping columns (not subject to the null rule).
     """
     keys = list(keys)
     aggs = [F.max(c).alias(c) for c in maxes] + [
         F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in sums
     ]
-    return df.dropna(subset=keys).groupBy(*keys).agg(*aggs)
+    return df.dropna(subset=keys).groupBy(*keys, *carry).agg(*aggs)
 
 
 def distinct_names(df: DataFrame, name: str = "display_name", key: str = "subgraph_id") -> DataFrame:

@@ -201,15 +201,17 @@ ROLLUP_KEYS = ("subgraph_id", "block", "stamp", "date", "created_at")  # stamp a
 def subgraphs_rollup(versions: DataFrame, names: str = "latest") -> DataFrame:
     """C4 + E1 + E2/D2: versions -> subgraph x snapshot, with names.
 
-    ``latest``: the rollup keeps the name of each (subgraph, snapshot) group
-    and a window over the subgraph picks the one at its latest block - the
-    same partitioning as the keyed windows that follow, and no second pass
-    over the version rows.  ``all``: the source's join on distinct names.
+    ``latest``: a window over each subgraph's version rows picks the name at
+    its latest block, and the rollup carries it as a grouping column.  The
+    window's ``hashpartitioning(subgraph_id)`` also serves the rollup's final
+    aggregate and the keyed windows that follow: one exchange for all three,
+    and no second pass over the version rows.  ``all``: the source's join on
+    distinct names (a renamed subgraph fans out).
     """
     if names == "latest":
-        rolled = rollup(versions, ROLLUP_KEYS, C.ROLLUP_SUM, (*C.ROLLUP_MAX, "display_name"))
         latest = F.max_by("display_name", "block").over(Window.partitionBy("subgraph_id"))
-        return rolled.withColumn("display_name", latest)
+        named = versions.withColumn("display_name", latest)
+        return rollup(named, ROLLUP_KEYS, C.ROLLUP_SUM, C.ROLLUP_MAX, carry=("display_name",))
     rolled = rollup(versions, ROLLUP_KEYS, C.ROLLUP_SUM, C.ROLLUP_MAX)
     return attach_names(rolled, versions, names)
 
