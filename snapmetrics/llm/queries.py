@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from snapmetrics.llm.bpe import op8_bpe
+from snapmetrics.llm.packing import op1_packing
 from snapmetrics.llm.rules import op9_host_rules
 from snapmetrics.llm.warc import op10_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_packing,
+        op8_bpe,
         op9_host_rules,
         op10_warc,
     )
