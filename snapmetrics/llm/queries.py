@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from snapmetrics.llm.bpe import op8_bpe
+from snapmetrics.llm.lines import op2_line_dedup
 from snapmetrics.llm.packing import op1_packing
+from snapmetrics.llm.quality_fm import op6_quality
 from snapmetrics.llm.rules import op9_host_rules
 from snapmetrics.llm.warc import op10_warc
 
@@ -15,6 +17,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_packing,
+        op2_line_dedup,
+        op6_quality,
         op8_bpe,
         op9_host_rules,
         op10_warc,
