@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from snapmetrics.llm.bpe import op8_bpe
 from snapmetrics.llm.lines import op2_line_dedup
 from snapmetrics.llm.packing import op1_packing
+from snapmetrics.llm.pii import op4_pii
 from snapmetrics.llm.quality_fm import op6_quality
 from snapmetrics.llm.rules import op9_host_rules
 from snapmetrics.llm.warc import op10_warc
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_packing,
         op2_line_dedup,
+        op4_pii,
         op6_quality,
         op8_bpe,
         op9_host_rules,
