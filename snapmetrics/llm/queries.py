@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from snapmetrics.llm.ann import op7_ann
 from snapmetrics.llm.bpe import op8_bpe
 from snapmetrics.llm.lines import op2_line_dedup
 from snapmetrics.llm.packing import op1_packing
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_line_dedup,
         op4_pii,
         op6_quality,
+        op7_ann,
         op8_bpe,
         op9_host_rules,
         op10_warc,
