@@ -29,11 +29,11 @@ class Graph:
     shard_rows: int = 8192
     #: Queries that are searched at a time, about.
     block_rows: int = 1024
-    degree: int = 24
-    build_beam: int = 40
-    search_beam: int = 64
+    degree: int = 48
+    build_beam: int = 96
+    search_beam: int = 200
     #: Relaxation of the pruning: a larger one keeps more edges.
-    alpha: float = 1.2
+    alpha: float = 1.1
     batch: int = 512
     expand: int = 4
 

@@ -26,7 +26,7 @@ from snapmetrics.llm.common import keyed_text, stored, table
 SEQUENCE = 1024
 END_ID = 2
 #: Pieces of one length that are ranked together.
-RANK_GROUP = 4096
+RANK_GROUP = 512
 
 
 def cut(n: int, size: int) -> list[int]:
