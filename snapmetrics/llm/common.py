@@ -93,14 +93,16 @@ def byte_view(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return raw, off - off[0]
 
 
-def text_chunks(batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of the batches with about ``limit`` bytes of ``text`` each, as
-    (slice, bytes, offsets)."""
+def text_chunks(
+    batches: Iterator[pa.RecordBatch], limit: int = CHUNK_BYTES, rows: int = 1 << 12
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of the batches with about ``limit`` bytes of ``text`` and at most
+    ``rows`` rows each, as (slice, bytes, offsets)."""
     for batch in batches:
         raw, off = byte_view(batch.column("text"))
         a = 0
         while a < batch.num_rows:
-            b = max(a + 1, int(np.searchsorted(off, off[a] + limit, "right")) - 1)
+            b = min(max(a + 1, int(np.searchsorted(off, off[a] + limit, "right")) - 1), a + rows)
             yield batch.slice(a, b - a), raw[off[a] : off[b]], off[a : b + 1] - off[a]
             a = b
 

@@ -134,9 +134,10 @@ def _suspects(min_chars: int, bits: int, filter_: Broadcast):
 def losses(docs: DataFrame, min_chars: int = MIN_CHARS, bits: int = FILTER_BITS, part: int = PART_BITS) -> DataFrame:
     """(doc_id, lost): the keys that a document loses to a smaller doc_id.
 
-    One row per key and task reaches the exact count; the join back streams
-    the suspects, whose hot keys Spark may split.  A document's list is no
-    longer than its lines.
+    One row per key and task reaches the exact count.  Its result is written
+    first, so that both sides of the join back are plain exchanges and Spark
+    may split the hot keys of the suspects.  A document's list is no longer
+    than its lines.
     """
     filter_ = twice_filter(docs, min_chars, bits, part)
     named = docs.where(F.col("doc_id").isNotNull())
@@ -144,7 +145,7 @@ def losses(docs: DataFrame, min_chars: int = MIN_CHARS, bits: int = FILTER_BITS,
     firsts = (
         suspects.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id")
     )
-    lost = suspects.join(firsts, "key").where(F.col("doc_id") > F.col("first_id"))
+    lost = suspects.join(stored(firsts, "repeated-lines"), "key").where(F.col("doc_id") > F.col("first_id"))
     return lost.groupBy("doc_id").agg(F.collect_set("key").alias("lost"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from snapmetrics.llm.ann import op7_ann
 from snapmetrics.llm.bpe import op8_bpe
+from snapmetrics.llm.jaccard import op5_jaccard
 from snapmetrics.llm.lines import op2_line_dedup
 from snapmetrics.llm.packing import op1_packing
 from snapmetrics.llm.pii import op4_pii
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_packing,
         op2_line_dedup,
         op4_pii,
+        op5_jaccard,
         op6_quality,
         op7_ann,
         op8_bpe,

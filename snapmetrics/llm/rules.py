@@ -119,7 +119,7 @@ def judge(docs: DataFrame, rules: Rules = Rules(), **columns: str) -> DataFrame:
     broadcasts them only if they are measured to be small.
     """
     got = stored(measure(docs, rules, **columns), "rule-counts")
-    bad = host_verdicts(got, rules).where("bad").select("host", "bad")
+    bad = stored(host_verdicts(got, rules).where("bad").select("host", "bad"), "bad-hosts")
     return got.join(bad, "host", "left").withColumn(
         "kept", ~F.col("base_failed") & ~(F.coalesce(F.col("bad"), F.lit(False)) & F.col("soft_failed"))
     )

@@ -48,8 +48,9 @@ def revisits(recs: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """(rid, digest, refers_to) of the records to write as revisits.
 
     The aggregate is combined before its shuffle, so a digest that a third of
-    all records share arrives as one row per task; the join back streams the
-    headers, whose hot partitions Spark may split.  Records without an id,
+    all records share arrives as one row per task.  The groups are written
+    before the join back, so that both its sides are plain exchanges and Spark
+    may split the hot digests among the headers.  Records without an id,
     and repeated rows of the response's id, stay responses.
     """
     heads = _headers(recs).where(F.col("bytes") >= min_bytes)
@@ -60,7 +61,7 @@ def revisits(recs: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
         .drop("least")
     )
     return (
-        heads.join(groups, ["digest", "bytes"])
+        heads.join(stored(groups, "digest-groups"), ["digest", "bytes"])
         .where(F.col("rid") < F.col("refers_to"))
         .select("rid", "digest", "refers_to")
         .distinct()
