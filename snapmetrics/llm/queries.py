@@ -14,6 +14,7 @@ from snapmetrics.llm.packing import op1_packing
 from snapmetrics.llm.pii import op4_pii
 from snapmetrics.llm.quality_fm import op6_quality
 from snapmetrics.llm.rules import op9_host_rules
+from snapmetrics.llm.substrings import op3_substring_dedup
 from snapmetrics.llm.warc import op10_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_packing,
         op2_line_dedup,
+        op3_substring_dedup,
         op4_pii,
         op5_jaccard,
         op6_quality,
