@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapmetrics.llm.arrays import SPACE, counts_by_row, mix, repeated, windows, words
 from snapmetrics.llm.common import stored, table, text_chunks
@@ -65,6 +66,17 @@ def text_counts(raw: np.ndarray, off: np.ndarray, window: int = 5) -> dict[str,
     return out
 
 
+def failures(c: dict, rules: Rules):
+    """(a base rule fails, a soft rule fails), for columns or for arrays."""
+    base = (c["n_words"] < rules.min_words) | (100 * c["n_repeat_words"] > rules.max_repeat_percent * c["n_words"])
+    soft = (
+        (100 * c["n_repeat_words"] > rules.soft_repeat_percent * c["n_words"])
+        | (100 * c["n_symbols"] > rules.soft_symbol_percent * c["n_words"])
+        | (c["n_dup_lines"] >= rules.soft_dup_line_count)
+    )
+    return base, soft
+
+
 def _measure(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, raw, off in text_chunks(batches):
@@ -81,12 +93,7 @@ def measure(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", tex
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(host_col).cast("string").alias("host"),
                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     got = src.mapInArrow(_measure(rules.window), "doc_id long, host string, " + ", ".join(f"{c} long" for c in COUNTS))
-    base = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
-    soft = (
-        (100 * F.col("n_repeat_words") > rules.soft_repeat_percent * F.col("n_words"))
-        | (100 * F.col("n_symbols") > rules.soft_symbol_percent * F.col("n_words"))
-        | (F.col("n_dup_lines") >= rules.soft_dup_line_count)
-    )
+    base, soft = failures({c: F.col(c) for c in COUNTS}, rules)
     return got.withColumn("base_failed", base).withColumn("soft_failed", base | soft)
 
 
@@ -125,6 +132,33 @@ def judge(docs: DataFrame, rules: Rules = Rules(), **columns: str) -> DataFrame:
     )
 
 
+def _flag(rules: Rules):
+    """Each row as it is, with its two failures."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, raw, off in text_chunks(batches):
+            base, soft = failures(text_counts(raw, off, rules.window), rules)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(base), pa.array(soft)], names=[*part.schema.names, "__base", "__soft"])
+
+    return run
+
+
+def keep_good(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns.
+
+    Counts are taken twice, for the host sums and for the verdicts, so that
+    no text is shuffled.
+    """
+    hosts = host_verdicts(measure(docs.withColumn("__id", F.lit(0)), rules, "__id", text_col, host_col), rules)
+    bad = stored(hosts.where("bad").select(F.col("host").alias("__host"), F.col("bad").alias("__bad")), "bad-hosts")
+    named = docs if text_col == "text" else docs.withColumnRenamed(text_col, "text")
+    schema = T.StructType([*named.schema.fields, T.StructField("__base", T.BooleanType()), T.StructField("__soft", T.BooleanType())])
+    flagged = named.mapInArrow(_flag(rules), schema)
+    joined = flagged.join(bad, F.col(host_col).cast("string") == F.col("__host"), "left")
+    good = joined.where(~F.col("__base") & ~(F.coalesce("__bad", F.lit(False)) & F.col("__soft")))
+    return good.select(*[F.col(f"`{n}`").alias(o) for n, o in zip(named.columns, docs.columns, strict=True)])
+
+
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and verdicts of every document; hosts are its sources."""
     return judge(table(spark, sf_dir, "documents")).select("doc_id", *COUNTS, "base_failed", "kept")
