@@ -276,7 +276,8 @@ def verified(pairs: DataFrame, sets: DataFrame, s: Similarity) -> DataFrame:
 
 def _across(s: Similarity):
     """Pairs of different components in each block pair of an open bucket
-    that size and bitmap cannot rule out."""
+    that size and bitmap cannot rule out.  Buckets with one leader come
+    together, and a pair that several of them share is given once."""
     pop = np.array([bin(x).count("1") for x in range(256)], np.uint8)
 
     def pairs(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -295,6 +296,7 @@ def _across(s: Similarity):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        given: set[tuple[int, int]] = set()
         last = None
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -302,19 +304,23 @@ def _across(s: Similarity):
                 t = pa.Table.from_batches(held)
                 rows = {c: t.column(c).to_numpy() for c in ("side", "n", "component", "doc")}
                 rows["bitmap"] = np.array([np.frombuffer(x, np.uint8) for x in t.column("bitmap").to_pylist()])
-                if found := list(pairs(rows)):
-                    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                new = {p for a, b in pairs(rows) for p in zip(a.tolist(), b.tolist())} - given
+                if new:
+                    given.update(new)
+                    a, b = zip(*sorted(new), strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
                 held.clear()
 
         for batch in batches:
-            key = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")])
+            key = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("leader", "i", "j", "key")])
             cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
             for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
                 if x < y:
                     this = tuple(key[:, x].tolist())
                     if this != last:
                         yield from flush()
+                        if last is not None and this[0] != last[0]:
+                            given.clear()
                         last = this
                     held.append(batch.slice(x, y - x))
         yield from flush()
@@ -323,10 +329,14 @@ def _across(s: Similarity):
 
 
 def _open_pairs(pairs: DataFrame, documents: DataFrame, comp: DataFrame, s: Similarity) -> DataFrame | None:
-    """Unverified pairs across components in buckets that are not within one."""
+    """Unverified pairs across components in buckets that are not within one.
+    A bucket of two has no pair but the one already verified."""
+    busy = stored(pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "busy-buckets")
+    pairs = pairs.join(busy, "key", "left_semi")
     named = lambda x: comp.select(F.col("node").alias(x), F.col("component").alias(f"in_{x}"))
     placed = pairs.join(named("a"), "a", "left").join(named("b"), "b", "left")
     placed = placed.withColumn("in_a", F.coalesce("in_a", "a")).withColumn("in_b", F.coalesce("in_b", "b"))
+    placed = stored(placed, "placed-pairs")
     open_ = stored(placed.where("in_a <> in_b").select("key").distinct(), "open-buckets")
     if open_.isEmpty():
         return None
@@ -337,15 +347,17 @@ def _open_pairs(pairs: DataFrame, documents: DataFrame, comp: DataFrame, s: Simi
         .distinct(),
         "members",
     )
-    blocks = stored(members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks")
+    shape = (F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.min("doc").alias("leader"))
+    blocks = stored(members.groupBy("key").agg(*shape), "blocks")
     facts = documents.select(F.col("a").alias("doc"), F.col("b").alias("n"), "bitmap").dropDuplicates(["doc"])
     dealt = members.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
     dealt = dealt.join(facts, "doc").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"),
+        "leader", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"),
         "doc", "component", "n", "bitmap",
     )
-    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_across(s), "a long, b long").distinct()
+    dealt = dealt.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j", "key")
+    return dealt.mapInArrow(_across(s), "a long, b long").distinct()
 
 
 def similar_sets(docs: DataFrame, s: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -373,6 +385,8 @@ def similar_sets(docs: DataFrame, s: Similarity = Similarity(), id_col: str = "d
     proposed = proposed.select("key", "a", "b")
     tried = stored(proposed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     used = tried.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    # A plain shuffle at every size: the ids grow with the corpus.
+    used = used.hint("merge")
     sets = stored(named.join(used, "doc_id", "left_semi").mapInArrow(_elements(s), "doc_id long, elements array<long>"), "sets")
     links = stored(sure.select("a", "b").unionByName(verified(tried, sets, s)), "links")
     comp = stored(components(links), "components")
