@@ -1,7 +1,7 @@
 """Nearest neighbours by a robust-pruned directed graph in each shard.
 
 Vectors are dealt to shards of about ``Graph.shard_rows``.  In a shard,
-points enter the graph in batches: greedy searches from the medoid propose
+points enter the graph in batches: greedy searches from a few spread entry points propose
 neighbours, and relaxed distance pruning keeps a few diverse edges per point,
 reverse edges included.  Queries are searched by beam in every shard, in
 blocks, and scored exactly in double precision.  Largest inner products
@@ -34,11 +34,13 @@ class Graph:
     search_beam: int = 200
     #: Relaxation of the pruning: a larger one keeps more edges.
     alpha: float = 1.1
+    #: Points, spread over the shard, from which every search starts.
+    entries: int = 32
     batch: int = 512
     expand: int = 4
 
 
-def beam_search(x: np.ndarray, graph: np.ndarray, entry: int, q: np.ndarray, beam: int, expand: int) -> tuple[np.ndarray, np.ndarray]:
+def beam_search(x: np.ndarray, graph: np.ndarray, entry: np.ndarray, q: np.ndarray, beam: int, expand: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, squared distances) of each query's beam, nearest first; -1 and
     infinity where fewer points were reached."""
     m, rows = len(q), np.arange(len(q))[:, None]
@@ -47,9 +49,12 @@ def beam_search(x: np.ndarray, graph: np.ndarray, entry: int, q: np.ndarray, bea
     ids = np.full((m, beam), -1)
     dist = np.full((m, beam), np.inf, np.float32)
     open_ = np.zeros((m, beam), bool)
-    ids[:, 0], dist[:, 0], open_[:, 0] = entry, ((x[entry] - q) ** 2).sum(axis=1), True
     length = (x * x).sum(axis=1)
     own = (q * q).sum(axis=1)[:, None]
+    first = length[entry] - 2 * (q @ x[entry].T) + own
+    near = np.argsort(first, axis=1, kind="stable")[:, :beam]
+    n = near.shape[1]
+    ids[:, :n], dist[:, :n], open_[:, :n] = entry[near], np.take_along_axis(first, near, 1), True
     while open_.any():
         # The beam is sorted, so the first open places are the nearest.
         place = np.argsort(~open_, axis=1, kind="stable")[:, :expand]
@@ -103,14 +108,26 @@ def prune(x: np.ndarray, points: np.ndarray, cand: np.ndarray, degree: int, alph
     return out
 
 
-def build(x: np.ndarray, g: Graph) -> tuple[np.ndarray, int]:
-    """(neighbours of each point, entry point) for distinct points."""
+def entries(x: np.ndarray, count: int) -> np.ndarray:
+    """The point nearest to the mean, then each time the one farthest from
+    those chosen."""
+    chosen = [int(((x - x.mean(axis=0)) ** 2).sum(axis=1).argmin())]
+    far = np.full(len(x), np.inf)
+    while len(chosen) < min(count, len(x)):
+        far = np.minimum(far, ((x - x[chosen[-1]]) ** 2).sum(axis=1))
+        chosen.append(int(far.argmax()))
+    return np.unique(chosen)
+
+
+def build(x: np.ndarray, g: Graph) -> tuple[np.ndarray, np.ndarray]:
+    """(neighbours of each point, entry points) for distinct points."""
     n = len(x)
     graph = np.full((n, g.degree), -1)
-    entry = int(((x - x.mean(axis=0)) ** 2).sum(axis=1).argmin())
+    entry = entries(x, g.entries)
+    graph[entry] = prune(x, entry, np.tile(entry, (len(entry), 1)), g.degree, g.alpha)
     order = np.random.default_rng(n).permutation(n)
-    order = np.concatenate([[entry], order[order != entry]])
-    done = 1
+    order = np.concatenate([entry, order[~np.isin(order, entry)]])
+    done = len(entry)
     while done < n:
         new = order[done : done + min(g.batch, max(1, done))]
         found, _ = beam_search(x, graph, entry, x[new], g.build_beam, g.expand)
@@ -157,7 +174,7 @@ def _shard(g: Graph, dim: int, keep: int):
         counts = np.minimum(np.diff(ends), keep)
         graph, entry = build(_lifted(points), g)
         return pd.DataFrame({
-            "shard": [rows["shard"].iloc[0]], "entry": [entry], "points": [points.tobytes()], "graph": [graph.astype(np.int32).tobytes()],
+            "shard": [rows["shard"].iloc[0]], "entry": [entry.astype(np.int64).tobytes()], "points": [points.tobytes()], "graph": [graph.astype(np.int32).tobytes()],
             "ids": [held.astype(np.int64).tobytes()], "counts": [counts.astype(np.int32).tobytes()],
         })
 
@@ -179,7 +196,7 @@ def _search(g: Graph, dim: int, kind: str, k: int):
                 graph = get("graph", np.int32).reshape(len(points), -1)
                 ids, counts, qid = get("ids", np.int64), get("counts", np.int32), get("query_ids", np.int64)
                 ends = np.concatenate([[0], np.cumsum(counts)])
-                x, entry, out = _lifted(points), batch.column("entry")[r].as_py(), []
+                x, entry, out = _lifted(points), get("entry", np.int64), []
                 qd = q.astype(np.float64)
                 unit = np.hstack([qd / np.sqrt((qd * qd).sum(axis=1, keepdims=True)), np.zeros((len(q), 1))]).astype(np.float32)
                 for a in range(0, len(q), g.batch):
@@ -233,7 +250,7 @@ def nearest(rows: DataFrame, is_query, k: int = 20, g: Graph = Graph(), **column
     index = stored(
         good.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
         .groupBy("shard")
-        .applyInPandas(_shard(g, top.dim, k + 1), "shard int, entry int, points binary, graph binary, ids binary, counts binary"),
+        .applyInPandas(_shard(g, top.dim, k + 1), "shard int, entry binary, points binary, graph binary, ids binary, counts binary"),
         "graph",
     )
     asked = (
