@@ -15,33 +15,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapmetrics.functions.clean import to_date
+from snapmetrics.sources.grid import Grid
 
 
-def attach_time(df: DataFrame, blocktimes: DataFrame) -> DataFrame:
+def attach_time(df: DataFrame, blocktimes: DataFrame, grid: Grid | None = None) -> DataFrame:
     """Rows x ``(block, stamp)`` on ``block``, plus the UTC ``date``.
 
-    ``blocktimes`` has one row per resolved stamp (bounded by the grid), so it
-    is broadcast; two stamps on one block give two rows, as in the source.
+    Two stamps on one block give two rows, as in the source.  With ``grid``,
+    which ``blocktimes`` then comes from, its size is known and it may be
+    broadcast; a caller's own table is left to Spark.
     """
-    bt = F.broadcast(blocktimes.select("block", "stamp"))
+    bt = blocktimes.select("block", "stamp")
+    bt = grid.small(bt) if grid else bt
     return df.join(bt, "block", "inner").withColumn("date", to_date("stamp"))
 
 
 def rollup(
-    df: DataFrame, keys: Sequence[str], sums: Sequence[str], maxes: Sequence[str], carry: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], sums: Sequence[str], maxes: Sequence[str], name: str | None = None
 ) -> DataFrame:
     """E1 + C4: group by ``keys``; ``max`` of ``maxes``, ``sum`` of ``sums``.
 
     Rows with a null key are dropped first (the source's grouping drops them,
     Spark would keep a null group).  A sum over only nulls is 0, a max over
-    only nulls is null.  ``carry``: columns constant within a group, kept
-    as extra grouping columns (not subject to the null rule).
+    only nulls is null.  ``name``: a label to keep, the greatest of a group.
     """
     keys = list(keys)
     aggs = [F.max(c).alias(c) for c in maxes] + [
         F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in sums
     ]
-    return df.dropna(subset=keys).groupBy(*keys, *carry).agg(*aggs)
+    if name:
+        aggs.append(F.max(name).alias(name))
+    return df.dropna(subset=keys).groupBy(*keys).agg(*aggs)
 
 
 def distinct_names(df: DataFrame, name: str = "display_name", key: str = "subgraph_id") -> DataFrame:
@@ -95,9 +99,12 @@ def within_own_range(df: DataFrame, value: str, bound: str) -> DataFrame:
     return within_range(df, value, own_range(df, bound))
 
 
-def latest_active(df: DataFrame, date: str = "date", active: str = "active") -> DataFrame:
-    """Rows of the frame's latest date that are active (null is not)."""
-    top = df.agg(F.max(date)).scalar()
+def latest_active(df: DataFrame, date: str = "date", active: str = "active", top: Column | None = None) -> DataFrame:
+    """Rows of the frame's latest date that are active (null is not).
+
+    ``top`` is that date where it can be had from a smaller input: state
+    carries forward, so a frame's latest date is that of the last stamp."""
+    top = df.agg(F.max(date)).scalar() if top is None else top
     return df.where((F.col(date) == top) & F.col(active))
 
 

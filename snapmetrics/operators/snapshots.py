@@ -5,9 +5,9 @@ request per block.  Here the state comes from an append-only change log
 ``(keys..., time, ...)`` in four steps that never multiply the log by the
 number of snapshots:
 
-1. every log row gets the index of the snapshot interval it falls in, by
-   arithmetic on its time (``Grid.index_of``); rows after the last stamp are
-   cut by a literal predicate that reaches the Parquet scan;
+1. every log row gets the index of the first snapshot whose block is at or
+   after the row's block, by binary search in the array of snapshot blocks
+   (one scalar, at most one element per stamp); later rows are dropped;
 2. a partial aggregation per ``(keys, idx)`` - map-side combined, so a hot
    key is reduced to at most one row per snapshot and partition before the
    shuffle;
@@ -17,8 +17,8 @@ number of snapshots:
    change (``explode(sequence)``), and the snapshot block is attached by a
    broadcast join on the bounded snapshot table.
 
-Mapping a row to its interval by time is exact when block times rise with
-block numbers, which is the block-chain invariant the source relies on too.
+State is taken by block, as the source does, never by time: in a log whose
+block order and time order differ, no row is lost.
 """
 
 from __future__ import annotations
@@ -35,18 +35,46 @@ SUM, COUNT, MAX, MIN, LATEST = "sum", "count", "max", "min", "latest"
 _RUNNING = {SUM: F.sum, COUNT: F.sum, MAX: F.max, MIN: F.min}
 
 
-def assign_snapshot(log: DataFrame, grid: Grid, time: str = "ts") -> DataFrame:
-    """Add ``idx``, the first stamp at or after the row's time; drop rows
-    after the last stamp."""
-    return log.where(grid.covers(time)).withColumn("idx", grid.index_of(time))
+def with_place(df: DataFrame, grid: Grid, snapshots: DataFrame, **blocks: Column) -> DataFrame:
+    """Add ``_blocks``, the sorted ``(block, idx)`` of the distinct snapshot
+    blocks, and for each named block expression its place there: the number
+    of snapshot blocks before it (null for a null block).
 
+    The array has at most one element per stamp and comes as one scalar
+    subquery; each row finds its place by binary search, so no join is
+    needed.
+    """
+    table = snapshots.where("first_of_block").agg(F.array_sort(F.collect_list(F.struct("block", "idx")))).scalar()
+    out = df.withColumn("_blocks", table)
+    known = F.col("_blocks")
+    steps = F.array(*[F.lit(i) for i in range(max(grid.count, 1).bit_length())])
 
-def payload_blocks(snapshots: DataFrame) -> DataFrame:
-    """``(idx, block)`` for the first stamp of each distinct block.
+    def halve(x: Column):
+        def step(acc: Column, _: Column) -> Column:
+            mid = F.shiftright(acc["lo"] + acc["hi"], 1)
+            right = (acc["lo"] < acc["hi"]) & (F.get(known, mid)["block"] < x)
+            return F.struct(F.when(right, mid + 1).otherwise(acc["lo"]).alias("lo"), F.when(right, acc["hi"]).otherwise(mid).alias("hi"))
+
+        return step
+
+    places = {
+        name: F.when(x.isNotNull(), F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(known).alias("hi")), halve(x))["lo"])
+        for name, x in blocks.items()
+    }
+    return out.withColumns(places)
 
-    Bounded by the grid size, hence broadcast.
-    """
-    return F.broadcast(snapshots.where("first_of_block").select("idx", "block"))
+
+def assign_snapshot(log: DataFrame, grid: Grid, snapshots: DataFrame, block: str = "block") -> DataFrame:
+    """Add ``idx``, the first snapshot whose block is at or after the row's;
+    drop rows without a block and those after the last snapshot block."""
+    placed = with_place(log, grid, snapshots, _place=F.col(block))
+    found = placed.withColumn("idx", F.get("_blocks", F.col("_place"))["idx"])
+    return found.where(F.col("idx").isNotNull()).select(*log.columns, "idx")
+
+
+def payload_blocks(grid: Grid, snapshots: DataFrame) -> DataFrame:
+    """``(idx, block)`` for the first stamp of each distinct block."""
+    return grid.small(snapshots.where("first_of_block").select("idx", "block"))
 
 
 def spread(df: DataFrame, grid: Grid, snapshots: DataFrame, idx: str = "idx", until: str | None = None) -> DataFrame:
@@ -61,7 +89,7 @@ def spread(df: DataFrame, grid: Grid, snapshots: DataFrame, idx: str = "idx", un
     exploded = df.withColumn(idx, F.explode(F.sequence(F.col(idx), stop)))
     if until:
         exploded = exploded.drop(until)
-    return exploded.join(payload_blocks(snapshots), idx, "inner").drop(idx)
+    return exploded.join(payload_blocks(grid, snapshots), idx, "inner").drop(idx)
 
 
 def _partial(kind: str, name: str, expr: Column, order) -> list[Column]:
@@ -84,31 +112,15 @@ def interval_partials(
     log: DataFrame,
     keys: Sequence[str],
     grid: Grid,
+    snapshots: DataFrame,
     aggs: Mapping[str, tuple[str, Column]],
-    time: str = "ts",
+    block: str = "block",
     order: str | Column | None = None,
 ) -> DataFrame:
     """Steps 1-2: one row per ``(keys, idx)`` with the interval's partials
     (``latest`` also keeps its order value as ``_ord_<name>``)."""
     cols = [c for name, (kind, expr) in aggs.items() for c in _partial(kind, name, expr, order)]
-    return assign_snapshot(log, grid, time).groupBy(*keys, "idx").agg(*cols)
-
-
-def coarsen(intervals: DataFrame, keys: Sequence[str], kinds: Mapping[str, str]) -> DataFrame:
-    """Merge interval partials to fewer keys (e.g. versions -> their parent):
-    totals add, extremes combine, ``latest`` keeps the value of the greatest
-    order.  Reads the already reduced partials, not the log."""
-    cols = []
-    for name, kind in kinds.items():
-        if kind in (SUM, COUNT):
-            cols.append(F.sum(name).alias(name))
-        elif kind == MAX:
-            cols.append(F.max(name).alias(name))
-        elif kind == MIN:
-            cols.append(F.min(name).alias(name))
-        elif kind == LATEST:
-            cols += [F.max_by(name, f"_ord_{name}").alias(name), F.max(f"_ord_{name}").alias(f"_ord_{name}")]
-    return intervals.groupBy(*keys, "idx").agg(*cols)
+    return assign_snapshot(log, grid, snapshots, block).groupBy(*keys, "idx").agg(*cols)
 
 
 def carry_forward(
@@ -118,11 +130,13 @@ def carry_forward(
     snapshots: DataFrame,
     kinds: Mapping[str, str],
     keep_order: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Steps 3-4: running state per key over its interval rows, carried to
     every distinct snapshot block up to the next change.  ``keep_order``
     also carries each ``latest`` state's order value (``_ord_<name>``), so a
-    parent can pick the latest among its children."""
+    parent can pick the latest among its children; ``carry`` names columns
+    that are constant per key."""
     keys = list(keys)
     w = Window.partitionBy(*keys).orderBy("idx")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -135,7 +149,7 @@ def carry_forward(
                 state_cols.append(F.col(f"_ord_{name}"))
         else:
             state_cols.append(_RUNNING[kind](name).over(upto).alias(name))
-    state = intervals.select(*keys, "idx", (F.lead("idx").over(w) - F.lit(1)).alias("_until"), *state_cols)
+    state = intervals.select(*keys, *carry, "idx", (F.lead("idx").over(w) - F.lit(1)).alias("_until"), *state_cols)
     return spread(state, grid, snapshots, "idx", "_until")
 
 
@@ -145,7 +159,7 @@ def as_of(
     grid: Grid,
     snapshots: DataFrame,
     aggs: Mapping[str, tuple[str, Column]],
-    time: str = "ts",
+    block: str = "block",
     order: str | Column | None = None,
 ) -> DataFrame:
     """A4: state per ``keys`` at every distinct snapshot block.
@@ -153,10 +167,10 @@ def as_of(
     ``aggs`` maps an output name to ``(kind, expression)``; kinds are
     ``sum``/``count`` (running total), ``max``/``min`` (running extreme) and
     ``latest`` (value of the row with the greatest ``order`` so far).  An
-    entity has no row before its first log row.  Returns
-    ``(keys..., block, <aggs>)``.
+    entity has no row before its first log row; ``block`` is the log's block
+    column.  Returns ``(keys..., block, <aggs>)``.
     """
-    partials = interval_partials(log, keys, grid, aggs, time, order)
+    partials = interval_partials(log, keys, grid, snapshots, aggs, block, order)
     return carry_forward(partials, keys, grid, snapshots, {n: k for n, (k, _) in aggs.items()})
 
 
@@ -190,15 +204,21 @@ def latest_state(
     return log.groupBy(*keys).agg(*exprs).withColumn("block", top)
 
 
+# Parts of a snapshot that are ranked on their own before the final rank.
+CAP_PARTS = 32
+
+
 def cap_per_snapshot(df: DataFrame, n: int, by: str = "block", order: str = "id") -> DataFrame:
     """At most ``n`` entities per snapshot, lowest ``order`` first.
 
     The source's ``first: n`` has no stated order; we make it deterministic.
-    ``dense_rank`` keeps every row of one entity together (rows already
-    exploded per child count once).  Spark plans ``rank <= n`` as a
-    per-partition group limit before the shuffle (``WindowGroupLimit``), so
-    no task holds more than ``n`` entities per snapshot and partition before
-    the exchange.
+    ``dense_rank`` keeps every row of one entity together; cap parents
+    before their children are joined.  Each snapshot is first ranked in
+    ``CAP_PARTS`` hashed parts, whatever ``n`` is, so the task that ranks a
+    whole snapshot gets at most ``CAP_PARTS * n`` entities.
     """
+    part = F.pmod(F.xxhash64(order), F.lit(CAP_PARTS))
+    first = Window.partitionBy(by, "_part").orderBy(order)
+    ranked = df.withColumn("_part", part).withColumn("_rk", F.dense_rank().over(first)).where(F.col("_rk") <= n)
     w = Window.partitionBy(by).orderBy(order)
-    return df.withColumn("_rk", F.dense_rank().over(w)).where(F.col("_rk") <= n).drop("_rk")
+    return ranked.withColumn("_rk", F.dense_rank().over(w)).where(F.col("_rk") <= n).drop("_rk", "_part")

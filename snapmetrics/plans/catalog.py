@@ -17,7 +17,8 @@ from pyspark.sql.types import DoubleType
 
 from snapmetrics.operators import relations as R
 from snapmetrics.operators.shape import explode_child, flatten, rename_map, root_select, union_all
-from snapmetrics.operators.snapshots import as_of, cap_per_snapshot
+from snapmetrics.functions import metrics as M
+from snapmetrics.operators.snapshots import COUNT, LATEST, as_of, cap_per_snapshot
 from snapmetrics.plans import columns as C
 from snapmetrics.plans import jobs as J
 from snapmetrics.plans import oracle as O
@@ -165,29 +166,64 @@ USTATE_COLS = ["user_id", "block", *scans.SUBGRAPH_STATE_COLS]
 @register("totals_as_of", VSTATE_COLS, select_from("vstate_s1", VSTATE_COLS), ["vstate_s1"])
 def _totals_as_of(t):
     snaps = _snaps(t, fx.G1_DAILY)
-    return as_of(fx.event_log(t), ["user_id", "event_type"], fx.G1_DAILY, snaps, scans.version_state(), order="event_id")
+    return as_of(fx.event_log(t), ["user_id", "event_type"], fx.G1_DAILY, snaps, scans.version_state(), "event_id", order="event_id")
 
 
 @register("state_as_of", USTATE_COLS, select_from("ustate_s1", USTATE_COLS), ["ustate_s1"])
 def _state_as_of(t):
     snaps = _snaps(t, fx.G1_DAILY)
-    return as_of(fx.event_log(t), ["user_id"], fx.G1_DAILY, snaps, scans.subgraph_state(), order="event_id")
+    return as_of(fx.event_log(t), ["user_id"], fx.G1_DAILY, snaps, scans.subgraph_state(), "event_id", order="event_id")
 
 
 @register("state_as_of_20m", USTATE_COLS, select_from("ustate_s3", USTATE_COLS), ["ustate_s3"])
 def _state_as_of_20m(t):
     snaps = _snaps(t, fx.G3_TWENTY_MINUTES)
-    return as_of(fx.event_log(t), ["user_id"], fx.G3_TWENTY_MINUTES, snaps, scans.subgraph_state(), order="event_id")
+    return as_of(fx.event_log(t), ["user_id"], fx.G3_TWENTY_MINUTES, snaps, scans.subgraph_state(), "event_id", order="event_id")
 
 
 @register("totals_as_of_20m", VSTATE_COLS, select_from("vstate_s3", VSTATE_COLS), ["vstate_s3"])
 def _totals_as_of_20m(t):
     snaps = _snaps(t, fx.G3_TWENTY_MINUTES)
     return as_of(
-        fx.event_log(t), ["user_id", "event_type"], fx.G3_TWENTY_MINUTES, snaps, scans.version_state(), order="event_id"
+        fx.event_log(t), ["user_id", "event_type"], fx.G3_TWENTY_MINUTES, snaps, scans.version_state(), "event_id", order="event_id"
     )
 
 
+# A log whose block order differs from its time order: the ids of neighbours
+# are swapped in pairs, so state by block and state by time are not the same.
+SWAPPED = "event_id + CASE WHEN event_id % 2 = 0 THEN 1 ELSE -1 END"
+O.cte("sblocks", f"SELECT {SWAPPED} AS block, ts AS block_time FROM events")
+O.snaps("s3w", fx.G3_TWENTY_MINUTES, "sblocks")
+USWAP_COLS = ["user_id", "block", "n_events", "last_k"]
+
+
+@register(
+    "state_as_of_unordered",
+    USWAP_COLS,
+    f"""SELECT e.user_id, p.block, count(*) AS n_events, arg_max(e.k, e.{SWAPPED}) AS last_k
+FROM s3w_pb p JOIN ev e ON e.{SWAPPED} <= p.block GROUP BY e.user_id, p.block""".replace("e.event_id + CASE WHEN event_id", "e.event_id + CASE WHEN e.event_id"),
+    ["s3w_pb", "ev"],
+)
+def _state_as_of_unordered(t):
+    log = fx.event_log(t).withColumn("block", F.expr(SWAPPED))
+    blocks = t.events.select(F.expr(SWAPPED).alias("block"), F.col("ts").alias("block_time"))
+    grid = fx.G3_TWENTY_MINUTES
+    aggs = {"n_events": (COUNT, F.col("event_id")), "last_k": (LATEST, F.col("k"))}
+    return as_of(log, ["user_id"], grid, resolve_blocks(blocks, grid), aggs, order="block")
+
+
+# Block numbers as text, some of them bad or missing.
+TEXT_BLOCK = "CASE WHEN event_id % 5 = 0 THEN 'pending' WHEN event_id % 7 = 0 THEN NULL ELSE CAST(event_id AS STRING) END"
+O.cte("tblocks", f"SELECT TRY_CAST({TEXT_BLOCK.replace('STRING', 'VARCHAR')} AS BIGINT) AS block, ts AS block_time FROM events")
+O.snaps("s2t", fx.G2_SIX_HOURLY, "tblocks")
+
+
+@register("asof_block_text", ASOF_COLS, select_from("s2t", ASOF_COLS), ["s2t"])
+def _asof_block_text(t):
+    blocks = t.events.select(F.expr(TEXT_BLOCK).alias("block"), F.col("ts").alias("block_time"))
+    return resolve_blocks(blocks, fx.G2_SIX_HOURLY)
+
+
 VRAW_COLS = [
     "block",
     "id",
@@ -221,6 +257,19 @@ def _json_root_select(t):
     return fx.event_log(t)
 
 
+@register(
+    "flatten_json",
+    ["event_id", "body_k", "body_owner_id"],
+    "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS body_k, user_id AS body_owner_id FROM events",
+    doubles=set(),
+)
+def _flatten_json(t):
+    """B1 on JSON text: parsed to nested structs, then flattened."""
+    body = F.concat(F.lit('{"body": '), F.regexp_replace("props", r"\}\s*$", ""), F.lit(', "owner": {"id": '), F.col("user_id").cast("string"), F.lit("}}}"))
+    nested = F.from_json(body, "body struct<k: bigint, owner: struct<id: bigint>>")
+    return flatten(t.events.select("event_id", nested.alias("json")).select("event_id", "json.*"))
+
+
 # --- A5-A8, B1-B5: scans and shaping ---------------------------------------------------
 
 
@@ -329,8 +378,7 @@ def _explode_versions(t):
     doubles=set(),
 )
 def _cap_per_snapshot(t):
-    rows = scans.allocation_rows(t, fx.G5_ORDERS, _snaps(t, fx.G5_ORDERS, True))
-    return cap_per_snapshot(rows, 1000, "block", "id")
+    return scans.allocation_rows(t, fx.G5_ORDERS, _snaps(t, fx.G5_ORDERS, True), cap=1000)
 
 
 GCLEAN_COLS = [
@@ -502,6 +550,31 @@ def _rollup_subgraphs(t):
     return R.rollup(J.versions_clean(t), J.ROLLUP_KEYS, C.ROLLUP_SUM, C.ROLLUP_MAX)
 
 
+# Null keys and null measures, made from real columns.
+NULL_KEYS = {"subgraph_id": "CASE WHEN price_per_share > 5 THEN NULL ELSE subgraph_id END",
+             "date": "CASE WHEN shares > 400 THEN NULL ELSE date END"}
+NULL_MEASURES = {"signal": "CASE WHEN owner_id < '2' THEN NULL ELSE signal END",
+                 "shares": "CASE WHEN owner_id < '2' THEN NULL ELSE shares END",
+                 "active": "CASE WHEN owner_id < '2' THEN NULL ELSE active END"}
+
+
+def _roll_sql(changes: dict[str, str]) -> str:
+    sums = ", ".join(f"coalesce(sum({c}), 0) AS {c}" for c in C.ROLLUP_SUM)
+    maxes = ", ".join(f"max({c}) AS {c}" for c in C.ROLLUP_MAX)
+    keys = ", ".join(J.ROLLUP_KEYS)
+    present = " AND ".join(f"{k} IS NOT NULL" for k in J.ROLLUP_KEYS)
+    replaced = ", ".join(f"{e} AS {c}" for c, e in changes.items())
+    return f"SELECT {keys}, {maxes}, {sums} FROM (SELECT * REPLACE ({replaced}) FROM vtime_s1) WHERE {present} GROUP BY {keys}"
+
+
+for _name, _changes in (("rollup_null_keys", NULL_KEYS), ("rollup_null_measures", NULL_MEASURES)):
+    register(_name, ROLL_COLS, _roll_sql(_changes), ["vtime_s1"])(
+        (lambda ch: lambda t: R.rollup(
+            J.versions_clean(t).withColumns({c: F.expr(e) for c, e in ch.items()}), J.ROLLUP_KEYS, C.ROLLUP_SUM, C.ROLLUP_MAX
+        ))(_changes)
+    )
+
+
 @register("distinct_names", ["display_name", "subgraph_id"], select_from("names_all_s1", ["display_name", "subgraph_id"]), ["names_all_s1"])
 def _distinct_names(t):
     return R.distinct_names(J.versions_clean(t))
@@ -525,6 +598,36 @@ def _join_names_all(t):
     return J.subgraphs_rollup(J.versions_clean(t), "all")
 
 
+# Names that change over time (trap T8): the two modes then differ.
+RENAMED = "concat(display_name, CASE WHEN date < DATE '2024-01-11' THEN ' I' WHEN date < DATE '2024-01-21' THEN ' II' ELSE ' III' END)"
+O.cte("vrenamed_s1", f"SELECT * REPLACE ({RENAMED} AS display_name) FROM vtime_s1", "vtime_s1")
+
+
+def _renamed(t):
+    return J.versions_clean(t).withColumn("display_name", F.expr(RENAMED))
+
+
+@register(
+    "rename_latest",
+    NAMED_COLS,
+    "SELECT r.*, n.display_name FROM roll_s1 r JOIN "
+    "(SELECT subgraph_id, arg_max(display_name, block) AS display_name FROM vrenamed_s1 GROUP BY 1) n ON n.subgraph_id = r.subgraph_id",
+    ["roll_s1", "vrenamed_s1"],
+)
+def _rename_latest(t):
+    return J.subgraphs_rollup(_renamed(t), "latest")
+
+
+@register(
+    "rename_all",
+    NAMED_COLS,
+    "SELECT r.*, n.display_name FROM roll_s1 r JOIN (SELECT DISTINCT display_name, subgraph_id FROM vrenamed_s1) n ON n.subgraph_id = r.subgraph_id",
+    ["roll_s1", "vrenamed_s1"],
+)
+def _rename_all(t):
+    return J.subgraphs_rollup(_renamed(t), "all")
+
+
 @register("filter_closed_in_range", ACLEAN_COLS, select_from("aframe", ACLEAN_COLS), ["aframe"])
 def _filter_closed_in_range(t):
     return J.allocations_frame(t)
@@ -532,8 +635,14 @@ def _filter_closed_in_range(t):
 
 @register("feesplit", ["fee_split"], "SELECT fs AS fee_split FROM fs", ["fs"])
 def _feesplit(t):
-    out = J.allocations_output(J.allocations_frame(t))
-    return out.agg(F.try_divide(F.sum("delegation_fees"), F.sum("QF_collected")).alias("fee_split"))
+    """E5 from the weighted sums that the jobs use."""
+    return t.spark.range(1).select(_fee_split(t).alias("fee_split"))
+
+
+@register("feesplit_of_output", ["fee_split"], "SELECT fs AS fee_split FROM fs", ["fs"])
+def _feesplit_of_output(t):
+    """E5 over the written-out allocations frame, as the source takes it."""
+    return t.spark.range(1).select(R.fee_split(J.allocations_output(J.allocations_frame(t))).alias("fee_split"))
 
 
 @register(
@@ -627,6 +736,31 @@ def _global_apr(t):
     return _global_frame(t)
 
 
+@register("global_apr_6h", GAPR, select_from("gframe_s2", GAPR), ["gframe_s2"])
+def _global_apr_6h(t):
+    return _global_frame(t, GLOBAL_6H)
+
+
+# Zero and null denominators on real columns.
+SAFE = "CASE WHEN subgraph_id LIKE '%1' THEN 0 WHEN subgraph_id LIKE '%2' THEN NULL ELSE stake END"
+
+
+@register(
+    "safe_ratios",
+    KEY + ["signal_per_stake", "price_growth_7d"],
+    f"SELECT subgraph_id, block, stamp, signal / nullif({SAFE}, 0) AS signal_per_stake, "
+    f"-price_per_share / nullif(CASE WHEN subgraph_id LIKE '%1' THEN price_per_share ELSE 1 END - price_per_share, 0) - 1 AS price_growth_7d "
+    "FROM roll_s1",
+    ["roll_s1"],
+)
+def _safe_ratios(t):
+    rows = R.rollup(J.versions_clean(t), J.ROLLUP_KEYS, C.ROLLUP_SUM, C.ROLLUP_MAX)
+    change = F.expr("CASE WHEN subgraph_id LIKE '%1' THEN price_per_share ELSE 1 END")
+    return rows.select(
+        *KEY, M.ratio("signal", F.expr(SAFE)).alias("signal_per_stake"), M.price_growth("price_per_share", change).alias("price_growth_7d")
+    )
+
+
 SRATES = KEY + ["signal_per_stake"] + [f"curator_rewards_per_signal_{n}d" for n in (7, 14, 30)] + [
     f"indexer_rewards_per_stake_{n}d" for n in (7, 14, 30)
 ] + ["curator_rewards_per_share_30d"]
@@ -659,7 +793,7 @@ def _price_growth(t):
 @register(
     "tail_by_date",
     C.OUT_SUBGRAPHS,
-    select_from("sframe_s1", C.OUT_SUBGRAPHS, f"ORDER BY date DESC, subgraph_id DESC, block DESC LIMIT {TAIL_ROWS}"),
+    select_from("sframe_s1", C.OUT_SUBGRAPHS, f"ORDER BY date DESC, md5(subgraph_id || ':' || block) DESC, subgraph_id DESC, block DESC LIMIT {TAIL_ROWS}"),
     ["sframe_s1"],
 )
 def _tail_by_date(t):
@@ -673,8 +807,7 @@ def _tail_by_date(t):
     ["gtime_s6"],
 )
 def _dated_output_name(t):
-    frame = J.global_clean(t)
-    return frame.agg(F.concat(F.lit("global_"), F.date_format(F.max("date"), "MM_dd_yyyy")).alias("name"))
+    return J.global_clean(t).agg(J.dated_name(J.GLOBAL.filename).alias("name"))
 
 
 @register("job_allocations", C.OUT_ALLOCATIONS, select_from("aframe", C.OUT_ALLOCATIONS), ["aframe"])
@@ -700,18 +833,14 @@ SHEET_SUB_SQL = select_from(
 )
 
 
-# The latest date is a scalar over the frame that the rows come from too, so
-# the frame is checkpointed once per query (not shared between queries).
-
-
 @register("filter_latest_active", C.SHEET_SUBGRAPHS, SHEET_SUB_SQL, ["sframe_s1"])
 def _filter_latest_active(t):
-    return R.latest_active(J.materialize(_subgraph_frame(t).select(*C.SHEET_SUBGRAPHS, "active")))
+    return R.latest_active(_subgraph_frame(t), top=J.latest_date(J.snapshots_for(t, J.SUBGRAPHS)))
 
 
 @register("sheet_subgraphs", C.SHEET_SUBGRAPHS, SHEET_SUB_SQL, ["sframe_s1"])
 def _sheet_subgraphs(t):
-    return P.sheet_subgraphs(J.materialize(_subgraph_frame(t).select(*C.SHEET_SUBGRAPHS, "active")))
+    return P.sheet_subgraphs(_subgraph_frame(t), J.latest_date(J.snapshots_for(t, J.SUBGRAPHS)))
 
 
 @register("sheet_global", C.SHEET_GLOBAL, select_from("gframe_s6", C.SHEET_GLOBAL), ["gframe_s6"])
@@ -719,14 +848,77 @@ def _sheet_global(t):
     return P.sheet_global(_global_frame(t))
 
 
-@register("sheet_subgraphs_text", C.SHEET_SUBGRAPHS)
+# Display formats (I12), on values rounded as everywhere (T12), so that both
+# engines format the same number.
+
+
+def _text_sql(cols: list[str], ranges, source: str) -> str:
+    fmts = P.column_formats(cols, ranges)
+    number = {"#,##0.00": ("{:,.2f}", ""), "#,##0": ("{:,.0f}", ""), "0.00%": ("{:.2f}%", " * 100"), "0.0000%": ("{:.4f}%", " * 100")}
+    items = []
+    for c in cols:
+        if c not in fmts:
+            items.append(f"CAST({c} AS VARCHAR) AS {c}")
+        elif fmts[c] == "yyyy-mm-dd":
+            items.append(f"strftime({c}, '%Y-%m-%d') AS {c}")
+        else:
+            pattern, times = number[fmts[c]]
+            items.append(f"CASE WHEN {c} IS NOT NULL THEN format('{pattern}', {O.round_sql(c)}{times}) END AS {c}")
+    return f"SELECT {', '.join(items)} FROM ({source}) v"
+
+
+@register("sheet_subgraphs_text", C.SHEET_SUBGRAPHS, _text_sql(C.SHEET_SUBGRAPHS, C.FORMATS_SUBGRAPHS, SHEET_SUB_SQL), ["sframe_s1"], doubles=set())
 def _sheet_subgraphs_text(t):
-    return P.text_view(_sheet_subgraphs(t), C.FORMATS_SUBGRAPHS)
+    return P.text_view(finish(_sheet_subgraphs(t)), C.FORMATS_SUBGRAPHS)
 
 
-@register("sheet_global_text", C.SHEET_GLOBAL)
+@register("sheet_global_text", C.SHEET_GLOBAL, _text_sql(C.SHEET_GLOBAL, C.FORMATS_GLOBAL, select_from("gframe_s6", C.SHEET_GLOBAL)), ["gframe_s6"], doubles=set())
 def _sheet_global_text(t):
-    return P.text_view(P.sheet_global(_global_frame(t)), C.FORMATS_GLOBAL)
+    return P.text_view(finish(P.sheet_global(_global_frame(t))), C.FORMATS_GLOBAL)
+
+
+ACAP = 100
+O.cte(
+    "acap",
+    f"SELECT * FROM aclean WHERE id IN (SELECT id FROM (SELECT block AS b, id, dense_rank() OVER (PARTITION BY block ORDER BY id) AS rk FROM aclean) WHERE rk <= {ACAP} AND b = aclean.block)",
+    "aclean",
+)
+
+
+@register(
+    "job_allocations_capped",
+    C.OUT_ALLOCATIONS,
+    f"SELECT {', '.join(C.OUT_ALLOCATIONS)} FROM acap WHERE closed_at_block BETWEEN (SELECT min(block) FROM acap) AND (SELECT max(block) FROM acap)",
+    ["acap"],
+)
+def _job_allocations_capped(t):
+    spec = J.with_spec(J.ALLOCATIONS, cap=ACAP)
+    return J.job_output(J.allocations_frame(t, spec), spec)
+
+
+RUN_ALL = ["job", "name", "label", "n_rows", "QF"]
+
+
+@register(
+    "run_all",
+    RUN_ALL,
+    f"""SELECT 'allocations' AS job, 'allocations' AS name, CAST(NULL AS VARCHAR) AS label, count(*) AS n_rows, sum(QF_collected) AS QF FROM aframe
+UNION ALL
+SELECT 'global', 'global_' || strftime(max(date), '%m_%d_%Y'), '{P.run_label(J.GLOBAL.end)}', least(count(*), {J.GLOBAL.rows}), sum(QF) FROM gframe_s6
+UNION ALL
+SELECT 'subgraphs', 'subgraphs_' || strftime(max(date), '%m_%d_%Y'), '{P.run_label(J.SUBGRAPHS.end)}', count(*), sum(QF) FROM sframe_s1""",
+    ["aframe", "gframe_s6", "sframe_s1"],
+)
+def _run_all(t):
+    """Run the jobs, then describe each output as read back."""
+    base = P.scratch_path(t.spark, "run-all")
+    out = []
+    for job, path in P.run_all(t.spark, t.sf_dir, base).items():
+        rows = t.spark.read.option("header", True).option("inferSchema", True).csv(path)
+        qf = F.sum(F.col("QF_collected" if job == "allocations" else "QF").cast("double"))
+        label = F.lit(None).cast("string") if job == "allocations" else t.spark.read.text(f"{base}/{job}_label").select("value").scalar()
+        out.append(rows.agg(F.count(F.lit(1)).alias("n_rows"), qf.alias("QF")).select(F.lit(job).alias("job"), F.lit(path.rsplit("/", 1)[1]).alias("name"), label.alias("label"), "n_rows", "QF"))
+    return union_all(out)
 
 
 @register("csv_roundtrip", C.OUT_ALLOCATIONS, select_from("aframe", C.OUT_ALLOCATIONS), ["aframe"])

@@ -49,8 +49,6 @@ RENAME_GLOBAL = {
     "totalTokensSignalled": "signal",
 }
 
-RENAME_BY_QUERY = {"allocations": RENAME_ALLOCATIONS, "main": RENAME_MAIN, "global": RENAME_GLOBAL}
-
 # --- Fixed values: amounts scaled by 10^-18 per source query (I1) --------
 
 SCALED_MAIN = (

@@ -4,6 +4,10 @@ Each job is one lazy DataFrame: scan -> flatten -> rename -> clean -> attach
 time -> (rollup) -> windows -> rates.  Nothing runs until a sink writes it.
 The allocations output feeds the other two jobs only through one scalar,
 the fee split (E5), attached as a scalar subquery.
+
+``allocations_from``, ``global_from`` and ``subgraphs_from`` take a caller's
+own nested payloads and block times; the functions on ``Tables`` are the
+adapter for the test tables.
 """
 
 from __future__ import annotations
@@ -31,7 +35,8 @@ from snapmetrics.operators.relations import (
     within_own_range,
     within_range,
 )
-from snapmetrics.operators.shape import flatten, rename_map, root_select
+from snapmetrics.operators.shape import explode_child, flatten, rename_map, root_select
+from snapmetrics.operators.snapshots import cap_per_snapshot
 from snapmetrics.operators.windows import series
 from snapmetrics.plans import columns as C
 from snapmetrics.sources import fixtures as fx
@@ -53,8 +58,7 @@ class JobSpec:
     minutes: int = 59
     seconds: int = 59
     step: int = 24
-    rows: int = 1_000_000
-    output: str = "outputs"
+    rows: int | None = None  # G3: the last N rows; None keeps all
     filename: str = ""
     upload: str | bool = False
     names: str = "latest"  # D2 mode (trap T8)
@@ -68,11 +72,11 @@ class JobSpec:
 # The three job specifications, in run order, with the
 # fixture's end dates.
 ALLOCATIONS = JobSpec("allocations", "allocations", "allocations", _dt.date(2001, 8, 2), days=150, step=720,
-                      rows=1_000_000, filename="allocations", upload=False)
+                      filename="allocations", upload=False)
 GLOBAL = JobSpec("global", "global", "graphNetwork", _dt.date(2024, 1, 31), days=60, step=24, rows=60,
                  filename="global", upload="sheet")
 SUBGRAPHS = JobSpec("subgraphs", "main", "subgraphVersions", _dt.date(2024, 1, 31), days=30, step=24,
-                    rows=1_000_000, filename="subgraphs", upload="sheet")
+                    filename="subgraphs", upload="sheet")
 JOBS = (ALLOCATIONS, GLOBAL, SUBGRAPHS)
 
 
@@ -111,16 +115,24 @@ def clean_allocations(df: DataFrame) -> DataFrame:
 # --- L1 allocations ----------------------------------------------------------
 
 
+def allocations_clean_from(flat: DataFrame) -> DataFrame:
+    """Flat allocation rows after rename, clean and I6."""
+    out = clean_allocations(rename_map(flat, C.RENAME_ALLOCATIONS))
+    return out.withColumn("subgraph_id", strip_suffix("version_id"))
+
+
+def allocations_from(payload: DataFrame) -> DataFrame:
+    """L1 on a caller's payload: ``block`` and the allocation's fields, with
+    ``subgraphDeployment.versions`` as a list.  The close-block range is the
+    frame's own (C2)."""
+    rows = explode_child(flatten(payload), "subgraphDeployment_versions")
+    return within_own_range(allocations_clean_from(rows), "closed_at_block", "block")
+
+
 def allocations_clean(t: fx.Tables, spec: JobSpec = ALLOCATIONS, snaps: DataFrame | None = None) -> DataFrame:
     """Allocation rows after explode, flatten, rename, clean and I6."""
     snaps = snapshots_for(t, spec) if snaps is None else snaps
-    rows = scans.allocation_rows(t, spec.grid, snaps)
-    if spec.cap is not None:
-        from snapmetrics.operators.snapshots import cap_per_snapshot
-
-        rows = cap_per_snapshot(rows, spec.cap, "block", "id")
-    out = clean_allocations(rename_map(rows, C.RENAME_ALLOCATIONS))
-    return out.withColumn("subgraph_id", strip_suffix("version_id"))
+    return allocations_clean_from(scans.allocation_rows(t, spec.grid, snaps, spec.cap))
 
 
 def allocations_frame(t: fx.Tables, spec: JobSpec = ALLOCATIONS) -> DataFrame:
@@ -142,20 +154,26 @@ def allocations_output(frame: DataFrame) -> DataFrame:
 
 
 def fee_split_of(t: fx.Tables, spec: JobSpec = ALLOCATIONS) -> Column:
-    """E5 over the allocations output, as a scalar column."""
-    return fee_split(allocations_output(allocations_frame(t, spec)))
+    """E5 of the allocations output, as a scalar column.  Without a cap it
+    comes from two weighted sums over the orders (``scans.fee_totals``)."""
+    if spec.cap is not None:
+        return fee_split(allocations_output(allocations_frame(t, spec)))
+    totals = scans.fee_totals(t, spec.grid, snapshots_for(t, spec))
+    return F.try_divide(totals["fees"].cast("double"), totals["collected"].cast("double"))
 
 
 # --- L2 global -----------------------------------------------------------------
 
 
-def global_clean(t: fx.Tables, spec: JobSpec = GLOBAL) -> DataFrame:
+def global_clean_from(payload: DataFrame, blocktimes: DataFrame, return_value: str = GLOBAL.return_value, grid: Grid | None = None) -> DataFrame:
     """Network rows after root select, rename, clean and D1 (block, stamp, date)."""
+    flat = flatten(root_select(payload, return_value)).drop("id")
+    return attach_time(clean_global(rename_map(flat, C.RENAME_GLOBAL)), blocktimes, grid)
+
+
+def global_clean(t: fx.Tables, spec: JobSpec = GLOBAL) -> DataFrame:
     snaps = snapshots_for(t, spec)
-    raw = root_select(scans.scan_network(t, spec.grid, snaps), spec.return_value)
-    flat = flatten(raw).drop("id")
-    cleaned = clean_global(rename_map(flat, C.RENAME_GLOBAL))
-    return attach_time(cleaned, snaps)
+    return global_clean_from(scans.scan_network(t, spec.grid, snaps), snaps, spec.return_value, spec.grid)
 
 
 def non_nullable(df: DataFrame) -> frozenset:
@@ -174,6 +192,12 @@ def global_windows(df: DataFrame) -> DataFrame:
     return changed.select("*", *global_rolling(w, non_nullable(changed)))
 
 
+def global_from(payload: DataFrame, blocktimes: DataFrame, fs: Column) -> DataFrame:
+    """L2 on a caller's payload: ``block`` and the struct ``graphNetwork``;
+    ``blocktimes`` has ``(block, stamp)``, ``fs`` is the fee split."""
+    return global_windows(global_clean_from(payload, blocktimes)).select("*", *global_rates(fs))
+
+
 def global_frame(t: fx.Tables, fs: Column, spec: JobSpec = GLOBAL) -> DataFrame:
     """L2 before the last-N cut: every column the outputs and sheet use."""
     return global_windows(global_clean(t, spec)).select("*", *global_rates(fs))
@@ -182,17 +206,18 @@ def global_frame(t: fx.Tables, fs: Column, spec: JobSpec = GLOBAL) -> DataFrame:
 # --- L3 subgraphs --------------------------------------------------------------
 
 
-def versions_clean(t: fx.Tables, spec: JobSpec = SUBGRAPHS) -> DataFrame:
+def versions_clean_from(payload: DataFrame, blocktimes: DataFrame, grid: Grid | None = None) -> DataFrame:
     """Version rows after flatten, rename, clean and D1."""
+    cleaned = clean_main(rename_map(flatten(payload), C.RENAME_MAIN))
+    return attach_time(cleaned, blocktimes, grid)
+
+
+def versions_clean(t: fx.Tables, spec: JobSpec = SUBGRAPHS) -> DataFrame:
     snaps = snapshots_for(t, spec)
     raw = scans.scan_versions(t, spec.grid, snaps)
     if spec.cap is not None:
-        from snapmetrics.operators.snapshots import cap_per_snapshot
-
         raw = cap_per_snapshot(raw, spec.cap, "block", "id")
-    flat = flatten(raw)
-    cleaned = clean_main(rename_map(flat, C.RENAME_MAIN))
-    return attach_time(cleaned, snaps)
+    return versions_clean_from(raw, snaps, spec.grid)
 
 
 ROLLUP_KEYS = ("subgraph_id", "block", "stamp", "date", "created_at")  # stamp added (trap T18)
@@ -201,19 +226,40 @@ ROLLUP_KEYS = ("subgraph_id", "block", "stamp", "date", "created_at")  # stamp a
 def subgraphs_rollup(versions: DataFrame, names: str = "latest") -> DataFrame:
     """C4 + E1 + E2/D2: versions -> subgraph x snapshot, with names.
 
-    ``latest``: a window over each subgraph's version rows picks the name at
-    its latest block, and the rollup carries it as a grouping column.  The
-    window's ``hashpartitioning(subgraph_id)`` also serves the rollup's final
-    aggregate and the keyed windows that follow: one exchange for all three,
-    and no second pass over the version rows.  ``all``: the source's join on
-    distinct names (a renamed subgraph fans out).
+    ``latest``: the rollup's aggregate, combined before its shuffle, carries
+    each snapshot's name, and a window over the rolled rows (at most one per
+    snapshot and subgraph) takes the latest; its exchange also serves the
+    keyed windows that follow.  ``all``: the source's join on distinct names
+    (a renamed subgraph fans out).
     """
-    if names == "latest":
-        latest = F.max_by("display_name", "block").over(Window.partitionBy("subgraph_id"))
-        named = versions.withColumn("display_name", latest)
-        return rollup(named, ROLLUP_KEYS, C.ROLLUP_SUM, C.ROLLUP_MAX, carry=("display_name",))
-    rolled = rollup(versions, ROLLUP_KEYS, C.ROLLUP_SUM, C.ROLLUP_MAX)
-    return attach_names(rolled, versions, names)
+    if names != "latest":
+        return attach_names(rollup(versions, ROLLUP_KEYS, C.ROLLUP_SUM, C.ROLLUP_MAX), versions, names)
+    rolled = rollup(versions, ROLLUP_KEYS, C.ROLLUP_SUM, C.ROLLUP_MAX, name="display_name")
+    return latest_name(rolled)
+
+
+def latest_name(rolled: DataFrame) -> DataFrame:
+    """Each subgraph's name at its latest block, on all its rows."""
+    name = F.max_by("display_name", "block").over(Window.partitionBy("subgraph_id"))
+    return rolled.withColumn("display_name", name)
+
+
+def subgraphs_rolled(t: fx.Tables, spec: JobSpec = SUBGRAPHS) -> DataFrame:
+    """The rollup of the test tables' versions.  Without a cap or all names,
+    a subgraph's creation time and activity at a block are combined by the
+    rollup itself, so version rows are never sorted by subgraph."""
+    if spec.cap is not None or spec.names != "latest":
+        return subgraphs_rollup(versions_clean(t, spec), spec.names)
+    snaps = snapshots_for(t, spec)
+    rows = versions_clean_from(scans.subgraph_rows(t, spec.grid, snaps), snaps, spec.grid)
+    keys = [k for k in ROLLUP_KEYS if k != "created_at"]
+    sums = [F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in C.ROLLUP_SUM]
+    maxes = [F.max(c).alias(c) for c in C.ROLLUP_MAX if c != "active"]
+    rolled = rows.dropna(subset=[*keys, "created_at"]).groupBy(*keys).agg(
+        F.min("created_at").alias("created_at"), F.max_by("active", "_active_at").alias("active"), *sums, *maxes,
+        F.max("display_name").alias("display_name"),
+    )
+    return latest_name(rolled)
 
 
 def subgraphs_windows(df: DataFrame) -> DataFrame:
@@ -225,72 +271,73 @@ def subgraphs_windows(df: DataFrame) -> DataFrame:
 
 def subgraphs_frame(t: fx.Tables, fs: Column, spec: JobSpec = SUBGRAPHS) -> DataFrame:
     """L3 before the last-N cut."""
-    rolled = subgraphs_rollup(versions_clean(t, spec), spec.names)
+    return subgraphs_windows(subgraphs_rolled(t, spec)).select("*", *entity_rates(fs))
+
+
+def subgraphs_from(payload: DataFrame, blocktimes: DataFrame, fs: Column, names: str = "latest") -> DataFrame:
+    """L3 on a caller's payload: ``block``, ``id`` and the structs
+    ``subgraph`` and ``subgraphDeployment``."""
+    rolled = subgraphs_rollup(versions_clean_from(payload, blocktimes), names)
     return subgraphs_windows(rolled).select("*", *entity_rates(fs))
 
 
 # --- outputs (G3, B7) ------------------------------------------------------------
 
 
+def _tie_key(tie: tuple[str, ...]) -> Column:
+    """What breaks ties inside the cut date: a digest of the tie columns.
+    Any order is as good (the source's is arbitrary); a digest's is even, so
+    its prefixes cut a date into small slices."""
+    return F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in tie]).cast("binary"))
+
+
+def _room(df: DataFrame, group: str, n: Column) -> DataFrame:
+    """``group``, whether all its rows are kept, and how many if not, when the
+    greatest groups come first and ``n`` rows are kept (one row per group)."""
+    newest_first = Window.orderBy(F.col(group).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    later = F.sum("_rows").over(newest_first) - F.col("_rows")
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_rows"), n.alias("_n")).select(group, "_rows", "_n", later.alias("_later"))
+    left = F.col("_n") - F.col("_later")
+    return counts.where(left > 0).select(group, (F.col("_rows") <= left).alias("_whole"), left.alias("_left"))
+
+
 def last_n(df: DataFrame, n: int, by: str = "date", tie: tuple[str, ...] = ()) -> DataFrame:
-    """The last ``n`` rows by ``by``, ties inside the cut date broken by
-    ``tie`` (descending), as the source's sort-then-tail keeps them.
+    """The last ``n`` rows by ``by``; ties inside the cut date are broken
+    by a digest of ``tie``, then ``tie`` itself, greatest first.
 
-    No single-task top-n: rows per ``by`` value are counted (one row per
-    snapshot date, bounded by the grid, so broadcast), every date that fits
-    whole passes by a plain filter, and only the one date that is cut is
-    ranked.
-    """
-    counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("_rows"))
-    newest_first = Window.orderBy(F.col(by).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    plan = (
-        counts.select(by, "_rows", (F.sum("_rows").over(newest_first) - F.col("_rows")).alias("_later"))
-        .where(F.col("_later") < n)
-        .select(by, (F.col("_rows") <= F.lit(n) - F.col("_later")).alias("_whole"), (F.lit(n) - F.col("_later")).alias("_room"))
-    )
-    marked = df.join(F.broadcast(plan), by, "inner")
-    whole = marked.where("_whole")
-    cut = marked.where(~F.col("_whole"))
-    ranked = cut.withColumn(
-        "_rk", F.row_number().over(Window.partitionBy(by).orderBy(*[F.col(c).desc() for c in tie]))
-    ).where(F.col("_rk") <= F.col("_room"))
-    return whole.drop("_whole", "_room").unionByName(ranked.drop("_whole", "_room", "_rk"))
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder named by
-    ``spark.checkpoint.dir`` and continue from the written table: a frame
-    used twice is computed once, and its lineage is cut.  (An RDD-level
-    ``checkpoint()`` of an unpersisted frame would compute it twice, and a
-    local checkpoint would not survive a lost executor.)"""
-    from snapmetrics.plans.publish import scratch_path
-
-    spark = df.sparkSession
-    path = scratch_path(spark, "frame")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-def job_output(frame: DataFrame, spec: JobSpec, saved: bool = False) -> DataFrame:
-    """The CSV output of a job: allocations whole, the others last N by date.
-
-    The last-N cut reads the frame twice (per-date counts, then the rows), so
-    an unsaved frame is checkpointed first; pass ``saved=True`` for a frame
-    read back from a written table.
+    Rows are counted per date; dates that fit whole pass a filter.  The one
+    date that is cut is counted again per slice of the digest (4096 slices),
+    and only the one slice that is cut is ranked, so no task sorts a date.
     """
+    marked = df.join(_room(df, by, F.lit(n)), by, "inner")
+    whole = marked.where("_whole").drop("_whole", "_left")
+    cut = marked.where(~F.col("_whole")).withColumnRenamed("_left", "_date_left").drop("_whole")
+    cut = cut.withColumn("_key", _tie_key(tie)).withColumn("_slice", F.substring("_key", 1, 3))
+    sliced = cut.join(_room(cut, "_slice", F.max("_date_left")), "_slice", "inner")
+    best = Window.partitionBy("_slice").orderBy(F.col("_key").desc(), *[F.col(c).desc() for c in tie])
+    ranked = sliced.where(~F.col("_whole")).withColumn("_rk", F.row_number().over(best)).where(F.col("_rk") <= F.col("_left"))
+    cols = df.columns
+    return whole.select(*cols).unionByName(sliced.where("_whole").select(*cols)).unionByName(ranked.select(*cols))
+
+
+def job_output(frame: DataFrame, spec: JobSpec) -> DataFrame:
+    """The CSV output of a job: all rows, or the last N by date if asked."""
     cols = C.OUT_BY_JOB[spec.type]
-    if spec.type == "allocations":
+    if spec.rows is None or spec.type == "allocations":
         return frame.select(*cols)
     tie = ("subgraph_id", "block") if spec.type == "subgraphs" else ("block", "stamp")
-    base = frame.select(*dict.fromkeys([*cols, "date", *tie]))
-    base = base if saved else materialize(base)
-    return last_n(base, spec.rows, "date", tie).select(*cols)
+    return last_n(frame.select(*dict.fromkeys([*cols, "date", *tie])), spec.rows, "date", tie).select(*cols)
+
+
+def dated_name(filename: str) -> Column:
+    """``<filename>_<MM_dd_yyyy of max(date)>``, an aggregate."""
+    return F.concat(F.lit(f"{filename}_"), F.date_format(F.max("date"), "MM_dd_yyyy"))
 
 
-def dated_name(frame: DataFrame, spec: JobSpec) -> Column:
-    """``<filename>_<MM_dd_yyyy of max(date)>`` as a scalar column."""
-    top = frame.agg(F.max("date")).scalar()
-    return F.concat(F.lit(f"{spec.filename}_"), F.date_format(top, "MM_dd_yyyy"))
+def latest_date(snapshots: DataFrame) -> Column:
+    """E3 without the frame: state carries forward, so the latest date of any
+    frame of these snapshots is that of the last resolved stamp."""
+    return snapshots.agg(F.max(F.to_date("stamp"))).scalar()
 
 
 def with_spec(spec: JobSpec, **kw) -> JobSpec:

@@ -58,7 +58,7 @@ NOT_DOUBLE = {
     "version_id", "deployment_id", "owner_id", "network_id", "stamp", "curation_pct", "delegation_ratio",
     "user_id", "event_type", "event_id", "k", "n_events", "qf_cents", "curator_cents", "indexer_cents",
     "delegator_cents", "signal_k", "max_cents", "last_k", "first_ts", "user_last_k", "name", "created_date",
-    "idx", "blockTime", "blockDate", "createdDate", "label",
+    "idx", "blockTime", "blockDate", "createdDate", "label", "job", "n_rows",
 }
 
 

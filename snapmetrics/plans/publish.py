@@ -9,13 +9,14 @@ Credentials, uploads and sheet styling are remote UI and are not built.
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, StructField, StructType
 
-from snapmetrics.operators.relations import fee_split, latest_active
+from snapmetrics.operators.relations import latest_active
 from snapmetrics.plans import columns as C
 from snapmetrics.plans import jobs as J
 from snapmetrics.sources import fixtures as fx
@@ -27,11 +28,15 @@ from snapmetrics.sources import fixtures as fx
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder named by ``spark.checkpoint.dir``.
 
-    Our own folder is set only where the setting is unset (local tests).
+    Our own folder is set only where the setting is unset in a local session
+    (tests); a cluster without one is an error, since its executors do not
+    see each other's disks.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "/tmp/snapmetrics-checkpoints"
         sc.setCheckpointDir(path)
     return path.rstrip("/")
@@ -78,10 +83,11 @@ def global_csv_schema() -> StructType:
 # --- sheet views (L4, L5) ---------------------------------------------------------
 
 
-def sheet_subgraphs(frame: DataFrame) -> DataFrame:
+def sheet_subgraphs(frame: DataFrame, top: Column | None = None) -> DataFrame:
     """L4: latest date, active only, best 30-day curator yield first (nulls
-    last), then signal, then key (G4)."""
-    view = latest_active(frame).select(*C.SHEET_SUBGRAPHS)
+    last), then signal, then key (G4).  ``top``: the latest date, where it
+    can be had without the frame (``jobs.latest_date``)."""
+    view = latest_active(frame, top=top).select(*C.SHEET_SUBGRAPHS)
     return view.orderBy(
         F.col("curator_apr_30d_estimate").desc_nulls_last(),
         F.col("signal").desc_nulls_last(),
@@ -90,14 +96,16 @@ def sheet_subgraphs(frame: DataFrame) -> DataFrame:
 
 
 def sheet_global(frame: DataFrame) -> DataFrame:
-    """The whole global frame, newest first."""
-    return frame.select(*C.SHEET_GLOBAL).orderBy(F.col("date").desc())
+    """The whole global frame, newest first (G5), ties by block and stamp
+    where the frame has them."""
+    ties = [c for c in ("block", "stamp") if c in frame.columns]
+    ordered = frame.orderBy(*[F.col(c).desc() for c in ("date", *ties)])
+    return ordered.select(*C.SHEET_GLOBAL)
 
 
-def run_label(frame: DataFrame, prefix: str = "Last updated: ") -> Column:
-    """Label from the frame's latest date as ``MM-dd-yyyy``."""
-    top = frame.agg(F.max("date")).scalar()
-    return F.concat(F.lit(prefix), F.date_format(top, "MM-dd-yyyy"))
+def run_label(run_date: _dt.date, prefix: str = "Last updated: ") -> str:
+    """The published view's label, the run date as ``MM-dd-yyyy``."""
+    return prefix + run_date.strftime("%m-%d-%Y")
 
 
 # --- display formats (I12) --------------------------------------------------------
@@ -140,44 +148,39 @@ def text_view(view: DataFrame, ranges: list[tuple[str, str]]) -> DataFrame:
 # --- run all (L6) and re-publish (L7) -------------------------------------------
 
 
-def dated_filename(frame: DataFrame, spec: J.JobSpec) -> str:
-    """``<filename>_<MM_dd_yyyy of max(date)>``.  One scalar comes back
-    to the driver because it names a path."""
-    day = frame.agg(F.date_format(F.max("date"), "MM_dd_yyyy").alias("d")).first().d
-    return f"{spec.filename}_{day}"
-
-
 def run_all(spark: SparkSession, sf_dir: str, out_dir: str | None = None, specs=J.JOBS) -> dict[str, str]:
     """The jobs in order; each output is a CSV with header.
 
-    Allocations go to ``<filename>`` and are read back for the fee split
-    (one scalar), as the source hands its CSV to the later jobs.  The global
-    and subgraph frames are written once as Parquet; the dated last-N output
-    ``<filename>_<MM_dd_yyyy>`` and the sheet view (A15) are read from it.
-    Everything goes under ``out_dir`` (default: the shared checkpoint
-    folder).  Returns ``{job: output path}``.
+    Allocations go to ``<filename>``; the other jobs need only their fee
+    split.  The global and subgraph frames are written once as Parquet; the
+    dated output ``<filename>_<MM_dd_yyyy>``, the sheet view and its label
+    (A15, with the grid's end as the run date) come from there.  Everything
+    goes under ``out_dir`` (default: the shared checkpoint folder).  Returns
+    ``{job: output path}``.
     """
     t = fx.Tables(spark, sf_dir)
     base = out_dir or scratch_path(spark, "outputs")
     paths: dict[str, str] = {}
-    fs = None
+    split = J.fee_split_of(t, next((s for s in specs if s.type == "allocations"), J.ALLOCATIONS))
     for spec in specs:
         if spec.type == "allocations":
-            path = f"{base}/{spec.filename}"
-            write_csv(J.allocations_output(J.allocations_frame(t, spec)), path)
-            fs = fee_split(read_csv(spark, path, allocations_csv_schema()))
-            paths[spec.type] = path
+            paths[spec.type] = f"{base}/{spec.filename}"
+            write_csv(J.allocations_output(J.allocations_frame(t, spec)), paths[spec.type])
             continue
-        split = fs if fs is not None else J.fee_split_of(t)
         frame = J.global_frame(t, split, spec) if spec.type == "global" else J.subgraphs_frame(t, split, spec)
         frame.write.mode("overwrite").parquet(f"{base}/{spec.filename}_frame")
         saved = spark.read.parquet(f"{base}/{spec.filename}_frame")
-        out = J.job_output(saved, spec, saved=True)
-        path = f"{base}/{dated_filename(saved, spec)}"
-        write_csv(out.orderBy("date"), path)
+        # The one value that comes back to the driver names a path.
+        path = f"{base}/{saved.agg(J.dated_name(spec.filename).alias('name')).first().name}"
+        out = J.job_output(saved, spec)
+        # More keys than the date, or one date would be one task.
+        write_csv(out.orderBy(*[c for c in ("date", "subgraph_id", "block", "stamp") if c in out.columns]), path)
         if spec.upload == "sheet":
-            view = sheet_global(saved) if spec.type == "global" else sheet_subgraphs(saved)
+            top = J.latest_date(J.snapshots_for(t, spec))
+            view = sheet_global(saved) if spec.type == "global" else sheet_subgraphs(saved, top)
             view.write.mode("overwrite").parquet(f"{base}/{spec.filename}_sheet")
+            label = view.limit(1).select(F.lit(run_label(spec.end)).alias("value"))
+            label.write.mode("overwrite").text(f"{base}/{spec.filename}_label")
         paths[spec.type] = path
     return paths
 

@@ -135,4 +135,6 @@ def order_blocks(t: Tables) -> DataFrame:
 
 def type_ordinal(c: str | Column) -> Column:
     x = F.col(c) if isinstance(c, str) else c
-    return (F.array_position(F.array(*[F.lit(v) for v in EVENT_TYPES]), x) - F.lit(1)).cast("int")
+    place = F.array_position(F.array(*[F.lit(v) for v in EVENT_TYPES]), x)
+    unknown = F.raise_error(F.concat(F.lit("unknown event type: "), x)).cast("int")
+    return F.when(place > 0, (place - 1).cast("int")).when(x.isNotNull(), unknown)

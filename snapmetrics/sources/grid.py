@@ -12,8 +12,9 @@ distributed aggregation over a block table ``(block, block_time)``:
 * a running max over the stamp index fills stamps that saw no new block, and
   stamps before the first block stay null and are dropped (A3).
 
-The grid itself is bounded by construction (``MAX_SNAPSHOTS``), which is the
-size bound that makes broadcasting the resolved snapshot table safe.
+A table with one row per stamp is broadcast only for grids of at most
+``BROADCAST_STAMPS`` stamps (``Grid.small``); beyond that the same equi-joins
+are left to Spark.
 """
 
 from __future__ import annotations
@@ -26,9 +27,9 @@ from pyspark.sql import functions as F
 
 from snapmetrics.functions.clean import block_number, epoch_micros
 
-# Upper bound on stamps per grid; keeps every snapshot table a safe broadcast
-# (about 40 bytes a row, so at most a few MB).
-MAX_SNAPSHOTS = 100_000
+# Stamps up to which a snapshot table is a proven small broadcast (about 40
+# bytes a row, so a few MB).
+BROADCAST_STAMPS = 100_000
 
 
 @dataclass(frozen=True)
@@ -42,8 +43,8 @@ class Grid:
     def __post_init__(self) -> None:
         if self.step_seconds <= 0:
             raise ValueError("grid step must be positive")
-        if not 0 <= self.count <= MAX_SNAPSHOTS:
-            raise ValueError(f"grid of {self.count} stamps exceeds {MAX_SNAPSHOTS}")
+        if self.count < 0:
+            raise ValueError("a grid cannot have a negative number of stamps")
 
     @classmethod
     def between(cls, first: _dt.datetime, last: _dt.datetime, step_seconds: int) -> "Grid":
@@ -55,6 +56,11 @@ class Grid:
     def last(self) -> _dt.datetime:
         return self.start + _dt.timedelta(seconds=self.step_seconds * max(self.count - 1, 0))
 
+    def small(self, df: DataFrame) -> DataFrame:
+        """``df``, which has at most a few rows per stamp, hinted as broadcast
+        where the grid proves it small."""
+        return F.broadcast(df) if self.count <= BROADCAST_STAMPS else df
+
     def stamp(self, i: int) -> _dt.datetime:
         return self.start + _dt.timedelta(seconds=self.step_seconds * i)
 
@@ -131,7 +137,7 @@ def resolve_blocks(block_table: DataFrame, grid: Grid, block: str = "block", tim
     ordered = Window.orderBy("idx")
     resolved = (
         grid.to_df(spark)
-        .join(F.broadcast(per_idx), "idx", "left")
+        .join(grid.small(per_idx), "idx", "left")
         .select("idx", "stamp", F.max("last_block").over(running).alias("block"))
         .where(F.col("block").isNotNull())
     )
@@ -142,7 +148,3 @@ def resolve_blocks(block_table: DataFrame, grid: Grid, block: str = "block", tim
         F.coalesce(F.lag("block").over(ordered) != F.col("block"), F.lit(True)).alias("first_of_block"),
     )
 
-
-def blocktimes(snapshots: DataFrame) -> DataFrame:
-    """The ``(block, stamp)`` pairs of resolved stamps (the source's ``blocktimes``)."""
-    return snapshots.select("block", "stamp")

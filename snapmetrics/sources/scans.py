@@ -5,12 +5,13 @@ Each scan returns the shape the source's three queries return - one row per
 entity and distinct snapshot block, with nested ``struct`` (and, for
 allocations, ``array<struct>``) columns - so the generic ``flatten`` /
 ``explode_child`` / ``rename_map`` steps apply unchanged.  Parents are
-attached with many-to-one joins (D3) at the smallest grain that carries them.
+attached with many-to-one joins (D3) before the rows are spread over the
+snapshots.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapmetrics.functions.clean import epoch_seconds
@@ -21,10 +22,13 @@ from snapmetrics.operators.snapshots import (
     MIN,
     SUM,
     as_of,
+    assign_snapshot,
+    cap_per_snapshot,
     carry_forward,
     interval_partials,
     latest_state,
     spread,
+    with_place,
 )
 from snapmetrics.sources import fixtures as fx
 from snapmetrics.sources.grid import Grid
@@ -86,7 +90,7 @@ def _price_text(k):
     return F.format_string("%d.%d", F.lit(1) + F.floor(k / F.lit(10)).cast("int"), (k % 10).cast("int"))
 
 
-def _version_record(v: DataFrame) -> DataFrame:
+def _version_record(v: DataFrame, *more: Column) -> DataFrame:
     vid = F.concat(F.col("user_id").cast("string"), F.lit("-"), fx.type_ordinal("event_type").cast("string"))
     return v.select(
         "block",
@@ -110,22 +114,38 @@ def _version_record(v: DataFrame) -> DataFrame:
             _price_text(F.col("last_k")).alias("pricePerShare"),
             F.struct(F.lit(fx.NETWORK_ID).alias("id")).alias("network"),
         ).alias("subgraphDeployment"),
+        *more,
     )
 
 
-def scan_versions(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame:
-    """A5 (``main``): versions with their subgraph, owner, deployment and
-    network, one row per version and distinct snapshot block."""
+def version_rows(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame:
+    """State of every version at every distinct snapshot block, one pass over
+    the log.  Each row carries its version's own creation time and latest
+    value (with that value's order) and its owner, joined before the spread.
+    """
     log = fx.event_log(t)
-    # One pass over the log.  Each version also carries its own creation time
-    # and latest value (with the order of that value); the subgraph's state
-    # at a block is then the min / latest over its versions present there,
-    # taken by a window over (subgraph, block) - a handful of rows each - so
-    # no second scan and no join of two snapshot-sized tables.
     vstate, sstate = version_state(), subgraph_state()
-    partials = interval_partials(log, ["user_id", "event_type"], grid, {**vstate, **sstate}, order="event_id")
+    partials = interval_partials(
+        log, ["user_id", "event_type"], grid, snapshots, {**vstate, **sstate}, "event_id", order="event_id"
+    )
+    owners = t.customer.select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey")
+    owned = partials.join(owners, "user_id", "left")
     kinds = {n: k for n, (k, _) in {**vstate, **sstate}.items()}
-    versions = carry_forward(partials, ["user_id", "event_type"], grid, snapshots, kinds, keep_order=True)
+    return carry_forward(
+        owned, ["user_id", "event_type"], grid, snapshots, kinds, keep_order=True, carry=("c_name", "c_nationkey")
+    )
+
+
+def scan_versions(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame:
+    """A5 (``main``): versions with their subgraph, owner, deployment and
+    network, one row per version and distinct snapshot block.
+
+    The subgraph's state at a block is the min / latest over its versions
+    present there, taken by a window over (subgraph, block).  The job path
+    (``subgraph_rows``) takes it by an aggregate that combines before its
+    shuffle instead.
+    """
+    versions = version_rows(t, grid, snapshots)
     per_subgraph = Window.partitionBy("user_id", "block")
     own = {"first_ts", "user_last_k", "_ord_user_last_k", "_ord_last_k"}
     with_parent = versions.select(
@@ -133,8 +153,17 @@ def scan_versions(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame:
         F.min("first_ts").over(per_subgraph).alias("first_ts"),
         F.max_by("user_last_k", "_ord_user_last_k").over(per_subgraph).alias("user_last_k"),
     )
-    owners = t.customer.select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey")
-    return _version_record(with_parent.join(owners, "user_id", "left"))
+    return _version_record(with_parent)
+
+
+def subgraph_rows(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame:
+    """A5 + B1 + E1's inputs without the window: version rows as
+    ``scan_versions`` gives them, flat, but with each version's own
+    ``createdAt`` and activity and the order of the latter (``_active_at``)
+    for a rollup to combine."""
+    versions = version_rows(t, grid, snapshots)
+    record = _version_record(versions, versions["_ord_user_last_k"].alias("_active_at"))
+    return record
 
 
 def scan_versions_latest(t: fx.Tables) -> DataFrame:
@@ -170,7 +199,7 @@ def _network_record(state: DataFrame, network_id: str, factor: int) -> DataFrame
 def network_records(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame:
     """Network records per distinct block: id ``1`` and a decoy ``2`` (values
     doubled) that the point lookup must skip."""
-    state = as_of(fx.event_log(t), [], grid, snapshots, network_state(), order="event_id")
+    state = as_of(fx.event_log(t), [], grid, snapshots, network_state(), "event_id", order="event_id")
     return _network_record(state, "1", 1).unionByName(_network_record(state, "2", 2))
 
 
@@ -183,13 +212,21 @@ def scan_network(t: fx.Tables, grid: Grid, snapshots: DataFrame, network_id: str
     return network_records(t, grid, snapshots).where(F.col("graphNetwork.id") == network_id)
 
 
-def _allocations_base(t: fx.Tables) -> DataFrame:
-    """One row per order with its line sums (map-side combined, so a hot
-    order is reduced to one row per partition before the shuffle)."""
-    lines = t.lineitem.groupBy("l_orderkey").agg(
+def _versions(t: fx.Tables) -> DataFrame:
+    """Line sums of each distinct version of an order, combined before the
+    shuffle.  Order totals and version ids both come from it."""
+    return t.lineitem.groupBy("l_orderkey", "l_suppkey", "l_linenumber").agg(
         F.sum(fx.money_cents("l_extendedprice")).alias("qf_cents"),
         F.sum(fx.money_cents(F.col("l_extendedprice") * F.col("l_discount"))).alias("fee_cents"),
     )
+
+
+def _allocations_base(t: fx.Tables) -> DataFrame:
+    """One row per order with its line sums and number of versions (null: it
+    has none)."""
+    lines = _versions(t).groupBy("l_orderkey").agg(
+        F.sum("qf_cents").alias("qf_cents"), F.sum("fee_cents").alias("fee_cents"), F.count(F.lit(1)).alias("n_versions")
+    )
     orders = t.orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
         "o_orderdate",
@@ -201,11 +238,9 @@ def _allocations_base(t: fx.Tables) -> DataFrame:
 
 
 def _version_ids(t: fx.Tables) -> DataFrame:
-    """Distinct versions per order: deduplicated on the integer keys, the
-    text id is built afterwards (only for surviving rows)."""
-    keys = t.lineitem.select("l_orderkey", "l_suppkey", "l_linenumber").distinct()
+    """Distinct versions per order, the text id built from the integer keys."""
     vid = F.concat(F.col("l_suppkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
-    return keys.select("l_orderkey", vid.alias("version_id"))
+    return _versions(t).select("l_orderkey", vid.alias("version_id"))
 
 
 def _allocation_fields() -> dict:
@@ -226,8 +261,7 @@ def _allocation_fields() -> dict:
 
 
 def _spread_orders(base: DataFrame, grid: Grid, snapshots: DataFrame) -> DataFrame:
-    dated = base.where(grid.covers("o_orderdate")).withColumn("idx", grid.index_of("o_orderdate"))
-    return spread(dated, grid, snapshots)
+    return spread(assign_snapshot(base, grid, snapshots, "day"), grid, snapshots)
 
 
 def scan_allocations(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame:
@@ -235,14 +269,15 @@ def scan_allocations(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFram
     as a sorted ``array<struct<id>>`` (empty when there are none), one row per
     allocation and distinct snapshot block.
 
-    The list is collected once per allocation, before the snapshot spread.
-    Its length is the number of versions of one deployment; the job path uses
-    ``allocation_rows``, which gives the exploded rows without building lists.
+    The list holds the versions of one deployment and must fit a row, which
+    is the limit of the nested form; it is attached after the snapshot
+    spread.  The job path uses ``allocation_rows``, which gives the exploded
+    rows without lists.
     """
     lists = _version_ids(t).groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(F.struct(F.col("version_id").alias("id")))).alias("versions")
     )
-    rows = _spread_orders(_allocations_base(t).join(lists, "l_orderkey", "left"), grid, snapshots)
+    rows = _spread_orders(_allocations_base(t), grid, snapshots).join(lists, "l_orderkey", "left")
     f = _allocation_fields()
     empty = F.array().cast("array<struct<id:string>>")
     deployment = F.struct(f["deployment"].alias("id"), F.coalesce(F.col("versions"), empty).alias("versions"))
@@ -258,39 +293,23 @@ def scan_allocations(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFram
     )
 
 
-def explode_join(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
-    """B4 as a join: every parent with each of its children, and a parent
-    without children once with null child columns (``explode_outer``).
-
-    Written as an inner join plus the childless parents (left anti join on
-    the distinct child keys) rather than one left outer join: AQE can split
-    a hot key on either side of an inner join, but never the child side of a
-    left outer join.
-    """
-    matched = parents.join(children, key, "inner")
-    has_children = children.select(key).distinct()
-    lonely = parents.join(has_children, key, "left_anti")
-    for f in children.schema.fields:
-        if f.name != key:
-            lonely = lonely.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return matched.unionByName(lonely)
-
-
-def allocation_rows(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame:
+def allocation_rows(t: fx.Tables, grid: Grid, snapshots: DataFrame, cap: int | None = None) -> DataFrame:
     """A7 + B4 + B1 without lists: the flat rows that exploding and
     flattening ``scan_allocations`` gives.
 
-    ``explode_outer(collect_list(v))`` equals a left join on the child table.
-    The join comes after the snapshot spread, so a filter on the allocation's
-    own columns (the close-block range of the job) is pushed below it by the
-    optimizer; no task ever holds a whole child list, and a deployment with
-    very many versions is split like any other join key.
+    ``explode_outer`` of a list equals the inner join with the versions plus
+    the parents without any, which the count of versions tells without a
+    second join; an inner join lets Spark split a hot deployment on either
+    side.  It comes after the snapshot spread, so a filter on the
+    allocation's own columns is pushed below it.  ``cap`` (A8) limits the
+    allocations of a snapshot before their versions are joined.
     """
     rows = _spread_orders(_allocations_base(t), grid, snapshots)
     f = _allocation_fields()
     flat = rows.select(
         "block",
         "l_orderkey",
+        "n_versions",
         f["id"],
         f["queryFeesCollected"],
         f["delegationFees"],
@@ -299,24 +318,45 @@ def allocation_rows(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame
         f["status"],
         f["closedAtBlockNumber"],
     )
+    if cap is not None:
+        flat = cap_per_snapshot(flat, cap, "block", "id")
     versions = _version_ids(t).withColumnRenamed("version_id", "subgraphDeployment_versions_id")
-    return explode_join(flat, versions, "l_orderkey").drop("l_orderkey")
+    matched = flat.join(versions, "l_orderkey", "inner")
+    childless = flat.where(F.col("n_versions").isNull())
+    lonely = childless.withColumn("subgraphDeployment_versions_id", F.lit(None).cast("string"))
+    return matched.unionByName(lonely).drop("l_orderkey", "n_versions")
 
 
-def allocation_block_bounds(t: fx.Tables, grid: Grid, snapshots: DataFrame):
+def allocation_block_bounds(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> Column:
     """E4 for the allocation rows: ``struct(lo, hi)`` of their ``block``
     column, as one scalar subquery over small inputs.
 
-    An allocation has a row at every distinct snapshot block from the one
-    that first includes it to the last, so the frame's blocks are exactly the
-    payload blocks at or after the earliest creation index: the range needs
-    one column of the orders and the bounded snapshot table, not the
+    An allocation has a row at every distinct snapshot block at or after its
+    own, so the frame's blocks are the snapshot blocks from the earliest
+    order day on: one column of the orders and the snapshot table, not the
     exploded frame.
     """
-    first = (
-        t.orders.where(grid.covers("o_orderdate"))
-        .agg(F.min(grid.index_of("o_orderdate")).alias("i"))
-        .scalar()
-    )
-    present = snapshots.where(F.col("first_of_block") & (F.col("idx") >= first))
+    first = t.orders.agg(F.min(fx.order_day("o_orderdate"))).scalar()
+    present = snapshots.where(F.col("first_of_block") & (F.col("block") >= first))
     return present.agg(F.struct(F.min("block").alias("lo"), F.max("block").alias("hi"))).scalar()
+
+
+def fee_totals(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> Column:
+    """E5's two sums over the allocations output as ``struct(fees,
+    collected)`` in cents, without its rows.
+
+    The output has an order once per version (at least once) and snapshot
+    block from its own on whose close block lies in the frame's range; the
+    close block is null, taken as 0, before the order closes.  So an order
+    counts ``versions * blocks`` times, with the blocks counted from the
+    snapshot table: one row per order, no spread and no version join.
+    """
+    closes = F.when(F.col("o_orderstatus") == "F", F.col("day") + F.lit(fx.CLOSE_AFTER_DAYS))
+    base = _allocations_base(t).withColumn("closes", closes)
+    placed = with_place(base, grid, snapshots, _from=F.col("day"), _closed=F.col("closes"))
+    placed = placed.withColumn("_range", allocation_block_bounds(t, grid, snapshots))
+    n, inside = F.size("_blocks"), lambda x: x.between(F.col("_range")["lo"], F.col("_range")["hi"])
+    closed = F.coalesce(n - F.col("_closed"), F.lit(0))
+    weight = F.when(inside(F.col("closes")), closed).otherwise(0) + F.when(inside(F.lit(0)), n - F.col("_from") - closed).otherwise(0)
+    total = lambda c: F.sum(F.coalesce(c, F.lit(0)).cast("decimal(28,0)") * F.coalesce("n_versions", F.lit(1)) * weight)
+    return placed.agg(F.struct(total("fee_cents").alias("fees"), total("qf_cents").alias("collected"))).scalar()

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapmetrics.sources import fixtures as fx
-from snapmetrics.sources.grid import MAX_SNAPSHOTS, Grid, resolve_blocks, snapshot_grid
+from snapmetrics.sources.grid import BROADCAST_STAMPS, Grid, resolve_blocks, snapshot_grid
 
 
 def test_daily_grid_has_days_points_ending_before_end():
@@ -22,9 +22,14 @@ def test_fixture_grid_sizes():
     assert fx.G5_ORDERS.count == 5
 
 
-def test_grid_size_is_bounded():
+def test_only_small_grids_are_hinted_as_broadcast(spark):
+    def hinted(count):
+        df = Grid(dt.datetime(2024, 1, 1), 1, count).small(spark.range(3))
+        return "broadcast" in df._jdf.queryExecution().logical().toString()
+
+    assert hinted(BROADCAST_STAMPS) and not hinted(BROADCAST_STAMPS + 1)
     with pytest.raises(ValueError):
-        Grid(dt.datetime(2024, 1, 1), 1, MAX_SNAPSHOTS + 1)
+        Grid(dt.datetime(2024, 1, 1), 1, -1)
 
 
 def test_grid_frame_matches_stamps(spark):

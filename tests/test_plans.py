@@ -1,5 +1,7 @@
 """Physical-plan properties that matter at scale."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from snapmetrics.plans import jobs as J
@@ -17,21 +19,40 @@ def test_no_python_in_any_job(tables):
         assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p
 
 
-def test_time_bound_reaches_the_scan(tables):
-    from snapmetrics.operators.snapshots import assign_snapshot
+def _exchanges(plan):
+    return re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)\(?([^)]*)", plan)
+
 
-    p = _plan(assign_snapshot(fx.event_log(tables), fx.G1_DAILY).select("idx", "cents"))
+def test_time_bound_and_pruned_columns_reach_the_scan(tables):
+    from snapmetrics.sources.grid import resolve_blocks
+
+    p = _plan(resolve_blocks(fx.event_blocks(tables), fx.G1_DAILY))
     assert "PushedFilters: [IsNotNull(ts), LessThanOrEqual(ts," in p
-    assert "ReadSchema: struct<ts:timestamp_ntz,value:double>" in p
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in p
 
 
 def test_keyed_windows_share_one_exchange(tables):
-    df = J.subgraphs_windows(J.subgraphs_rollup(J.versions_clean(tables)))
-    p = _plan(df)
-    window_part = p.split("Window [")[-1]
-    # every window node sits on one sort over one hash partitioning by subgraph_id
-    assert p.count("Window [") >= 2
-    assert "hashpartitioning(subgraph_id" in p
+    rolled = J.subgraphs_rolled(tables)
+    extra = len(_exchanges(_plan(J.subgraphs_windows(rolled)))) - len(_exchanges(_plan(rolled)))
+    # The latest-name window already deals the rows by subgraph.
+    assert extra == 0
+    assert _plan(J.subgraphs_windows(rolled)).count("Window [") >= 3
+
+
+def test_version_rows_meet_a_partial_aggregate_before_they_are_dealt(tables):
+    """After the spread over snapshots every exchange carries combined rows."""
+    p = _plan(J.subgraphs_rolled(tables))
+    spread = p.index("Generate explode(sequence(")
+    above = p[:spread]
+    dealt = [m.start() for m in re.finditer("Exchange hashpartitioning", above)]
+    assert len(dealt) == 2
+    below = [above[i:].split("\n")[1] for i in dealt]
+    assert any("Aggregate" in x and "partial_" in x for x in below)
+
+
+def test_owners_join_before_the_spread(tables):
+    p = _plan(J.subgraphs_rolled(tables))
+    assert p.index("customer.parquet") > p.index("Generate explode(sequence(")
 
 
 def test_snapshot_table_is_broadcast(tables):
@@ -43,11 +64,10 @@ def test_snapshot_table_is_broadcast(tables):
 def test_first_shuffle_of_the_log_is_partial_aggregate(tables):
     from snapmetrics.sources import scans
 
-    df = scans.scan_versions(tables, fx.G1_DAILY, J.snapshots_for(tables, J.SUBGRAPHS))
-    p = _plan(df)
-    assert "partial_count" in p or "partial_sum" in p
-    # the raw event scan never feeds an exchange directly without a partial aggregate
-    assert "Exchange hashpartitioning(user_id" in p
+    p = _plan(scans.version_rows(tables, fx.G1_DAILY, J.snapshots_for(tables, J.SUBGRAPHS)))
+    first = p[p.index("Exchange hashpartitioning(user_id#"):]
+    assert "partial_count" in p and p.count("partial_max") >= 1
+    assert "Exchange hashpartitioning" in first
 
 
 def test_decoy_network_branch_is_pruned(tables):
@@ -65,17 +85,34 @@ def test_cap_per_snapshot_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in _plan(cap_per_snapshot(df, 10, "block", "id"))
 
 
-def test_last_n_has_no_single_task_top_n(tables):
-    rolled = J.subgraphs_rollup(J.versions_clean(tables))
-    p = _plan(J.last_n(rolled, 100, "date", ("subgraph_id", "block")))
+def test_last_n_ranks_only_a_slice_of_a_date(spark):
+    df = spark.range(5000).selectExpr("DATE '2024-01-01' + CAST(id % 2 AS INT) AS date", "CAST(id AS STRING) AS k")
+    out = J.last_n(df, 3000, "date", ("k",))
+    p = _plan(out)
     assert "TakeOrderedAndProject" not in p and "GlobalLimit" not in p
+    assert re.search(r"row_number\(\) windowspecdefinition\(_slice", p)
+    rows = out.collect()
+    assert len(rows) == 3000 and sum(r.date.day == 2 for r in rows) == 2500
+    again = {r.k for r in J.last_n(df.repartition(7), 3000, "date", ("k",)).collect()}
+    assert again == {r.k for r in rows}
 
 
-def test_child_join_is_inner_plus_anti(tables):
-    from snapmetrics.sources import scans
+def test_no_rows_are_cut_unless_asked(tables):
+    assert J.SUBGRAPHS.rows is None and J.ALLOCATIONS.rows is None
+    frame = J.subgraphs_frame(tables, F.lit(0.05))
+    assert J.job_output(frame, J.SUBGRAPHS).count() == frame.count()
+
+
+def test_passes_over_the_lines(tables):
+    """The fee split reads the lines once; the allocations rows once for the
+    order totals and once, pruned to the keys, for the version ids."""
+    fee = _plan(tables.spark.range(1).select(J.fee_split_of(tables).alias("f")))
+    assert len(set(re.findall(r"FileScan parquet \[(l_orderkey[^\]]*)\]", fee))) == 1
+    p = _plan(J.allocations_frame(tables))
+    assert {re.sub(r"#\d+L?", "", x).count(",") for x in re.findall(r"FileScan parquet \[(l_orderkey[^\]]*)\]", p)} <= {2, 4}
+
 
-    df = scans.allocation_rows(tables, fx.G5_ORDERS, J.snapshots_for(tables, J.ALLOCATIONS))
+def test_fee_split_has_no_version_join(tables):
+    df = tables.spark.range(1).select(J.fee_split_of(tables).alias("f"))
     p = _plan(df)
-    # children attach by an inner join (AQE can split a hot key on either
-    # side); childless parents come from a left anti join; both are unioned
-    assert "LeftAnti" in p and "Union" in p
+    assert "explode(sequence(cast" not in p and "sequence(idx" not in p

@@ -72,3 +72,38 @@ def test_run_all_writes_outputs(spark, tmp_path):
     a = P.read_csv(spark, paths["allocations"], P.allocations_csv_schema())
     assert a.columns == C.OUT_ALLOCATIONS and a.count() > 0
 
+
+
+def test_label_and_sheet_of_run_all(spark, tmp_path):
+    from snapmetrics.plans import jobs as J
+
+    assert P.run_label(dt.date(2024, 1, 31)) == "Last updated: 01-31-2024"
+    P.run_all(spark, "/root/testdata/sf0.001", str(tmp_path), specs=(J.GLOBAL,))
+    assert spark.read.text(str(tmp_path / "global_label")).first().value == "Last updated: 01-31-2024"
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    import pytest
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(ValueError):
+        P.shared_dir(Session())
+
+
+def test_dated_output_is_dealt_by_more_than_the_date(spark):
+    df = spark.range(2000).selectExpr("DATE '2024-01-01' + CAST(id % 3 AS INT) AS date", "CAST(id AS STRING) AS subgraph_id")
+    spread = df.repartition(4).repartitionByRange(8, "date", "subgraph_id").select(F.spark_partition_id().alias("p"))
+    assert spread.distinct().count() == 8

@@ -16,9 +16,6 @@ from snapmetrics.operators.snapshots import (
     SUM,
     as_of,
     cap_per_snapshot,
-    carry_forward,
-    coarsen,
-    interval_partials,
     latest_state,
 )
 from snapmetrics.sources.grid import Grid, resolve_blocks
@@ -93,15 +90,33 @@ def test_cap_per_snapshot_keeps_lowest_ids_and_whole_entities(spark):
     assert sorted({r.id for r in got.collect()}) == ["000", "001", "002"]
 
 
-def test_coarsen_then_carry_equals_parent_as_of(spark):
-    pdf = _log(5)
-    pdf["child"] = pdf.index % 3
+@pytest.mark.parametrize("seed", [5, 6])
+def test_as_of_follows_blocks_when_times_are_shuffled(spark, seed):
+    pdf = _log(seed)
+    rng = np.random.default_rng(seed)
+    pdf["block"] = rng.permutation(pdf.block.to_numpy())
     log = spark.createDataFrame(pdf).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    grid = Grid(dt.datetime(2024, 1, 1, 12, 0), 6 * 3600, 20)
+    grid = Grid(dt.datetime(2024, 1, 1, 12, 0), 2 * 3600, 60)
     snaps = resolve_blocks(log.select("block", F.col("ts").alias("block_time")), grid)
-    kinds = {n: k for n, (k, _) in aggs().items()}
-    child = interval_partials(log, ["key", "child"], grid, aggs(), order="block")
-    merged = carry_forward(coarsen(child, ["key"], kinds), ["key"], grid, snaps, kinds)
-    direct = as_of(log, ["key"], grid, snaps, aggs(), order="block")
-    cols = ["key", "block", "n", "total", "top", "low", "last_v"]
-    assert sorted(map(tuple, merged.select(cols).collect())) == sorted(map(tuple, direct.select(cols).collect()))
+    got = as_of(log, ["key"], grid, snaps, aggs(), order="block")
+    got = sorted(tuple(int(x) for x in (r.key, r.block, r.n, r.total, r.top, r.low, r.last_v)) for r in got.collect())
+    assert got == _brute(pdf, [r.block for r in snaps.collect()])
+
+
+def test_three_rows_out_of_order(spark):
+    """Block 3 comes after block 5 in time; the state at block 9 has it."""
+    day = dt.datetime(2024, 1, 1)
+    rows = [(5, day, "a", 1), (3, day + dt.timedelta(1), "b", 1), (9, day + dt.timedelta(2), "a", 1)]
+    log = spark.createDataFrame(rows, "block long, ts timestamp_ntz, key string, v int")
+    grid = Grid(day + dt.timedelta(hours=1), 86400, 3)
+    snaps = resolve_blocks(log.select("block", F.col("ts").alias("block_time")), grid)
+    got = as_of(log, ["key"], grid, snaps, {"n": (COUNT, F.col("v"))}, order="block")
+    assert sorted((r.block, r.key, r.n) for r in got.collect()) == [(5, "a", 1), (5, "b", 1), (9, "a", 2), (9, "b", 1)]
+
+
+def test_cap_ranks_no_whole_snapshot_in_one_task(spark):
+    rows = spark.range(20_000).selectExpr("1 AS block", "format_string('%06d', id) AS id")
+    got = cap_per_snapshot(rows, 1500, "block", "id")
+    assert sorted(r.id for r in got.collect()) == [f"{i:06d}" for i in range(1500)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(block" in plan and "_part" in plan
