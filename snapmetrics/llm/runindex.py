@@ -18,13 +18,16 @@ def suffix_order(data: np.ndarray, rem: np.ndarray) -> np.ndarray:
     """Order of all suffixes by prefix doubling; ``rem`` is each position's
     distance to its string's end.  Only tied suffixes are sorted again."""
     n = len(data)
+    if not n:
+        return np.zeros(0, np.int64)
     at = np.arange(n)
     key = np.zeros(n, np.uint64)
     wide = np.zeros(n + 8, np.uint64)
     wide[:n] = data.astype(np.uint64) + np.uint64(1)
     for j in range(7):
         key = key << np.uint64(9) | np.where(rem > j, wide[j : j + n], np.uint64(0))
-    order = np.argsort(key, kind="stable")
+    del wide
+    order = np.argsort(key)
     first = np.ones(n, bool)
     first[1:] = key[order[1:]] != key[order[:-1]]
     rank = np.empty(n, np.int64)
@@ -34,10 +37,10 @@ def suffix_order(data: np.ndarray, rem: np.ndarray) -> np.ndarray:
     tied = ~(first & np.append(first[1:], True))
     while depth < longest and tied.any():
         rows = np.flatnonzero(tied)
-        pos = np.sort(order[rows])
+        pos = order[rows]
         second = np.where(rem[pos] > depth, rank[np.minimum(pos + depth, n - 1)], 0)
         key = rank[pos].astype(np.uint64) << np.uint64(32) | second.astype(np.uint64)
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         key, pos = key[by], pos[by]
         old = (key >> np.uint64(32)).astype(np.int64)
         head = np.ones(len(old), bool)
@@ -51,6 +54,10 @@ def suffix_order(data: np.ndarray, rem: np.ndarray) -> np.ndarray:
         tied = np.zeros(n, bool)
         tied[row] = ~(new & np.append(new[1:], True))
         depth *= 2
+    # Equal suffixes, in the order of their strings.
+    rows = np.flatnonzero(tied)
+    pos = order[rows]
+    order[rows] = pos[np.argsort(rank[pos].astype(np.uint64) << np.uint64(32) | pos.astype(np.uint64))]
     return order
 
 

@@ -5,9 +5,10 @@ starts earlier.  Whole texts are read as overlapping phrases: the windows of
 ``length`` bytes that share their smallest hashed gram (the anchor) form one
 phrase, so equal windows always lie in phrases of equal anchors.  Each
 distinct phrase counts once (a dictionary as in prefix-free parsing of
-repetitive corpora); phrases whose anchor occurs in no other phrase cannot
-match.  What is left is dealt by anchor into buckets, and each bucket gets a
-run-length index that marks the long matches.
+repetitive corpora).  Two phrases can match only if they share the anchor and,
+as a window has at least ``side`` bytes on one side of it, those bytes too;
+others are set aside.  What is left is dealt by anchor into buckets, and each
+bucket gets a run-length index that marks the long matches.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmetrics.llm.arrays import BASE, BYTE_VALUES, mix
+from snapmetrics.llm.arrays import BASE, BYTE_VALUES, mix, repeated
 from snapmetrics.llm.common import keyed_text, scratch_path, stored, table, text_chunks
 from snapmetrics.llm.runindex import RunIndex
 
@@ -28,13 +29,17 @@ LENGTH = 100
 #: Bytes of an anchor.
 GRAM = 16
 #: Bytes of phrases in an index, about.
-BUCKET_BYTES = 1 << 20
+BUCKET_BYTES = 1 << 18
 #: Phrases of one anchor beyond which its windows are dealt to several indexes.
-WIDE = 2000
+WIDE = 4000
+#: Phrases of one anchor that a task compares at a time; of an anchor with
+#: more, all go to the index.
+HELD = 1 << 20
 
 PHRASE, REMOVED, NEEDED = range(3)
-ROWS = "kind int, anchor long, content long, doc long, s long, e long"
-_SCHEMA = pa.schema([("kind", pa.int32()), *((c, pa.int64()) for c in ("anchor", "content", "doc", "s", "e"))])
+COLUMNS = ("anchor", "content", "doc", "s", "e", "sides")
+ROWS = "kind int, " + ", ".join(f"{c} long" for c in COLUMNS)
+_SCHEMA = pa.schema([("kind", pa.int32()), *((c, pa.int64()) for c in COLUMNS)])
 
 
 def _rows(kind: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -50,20 +55,24 @@ def _longer(h: np.ndarray, span: int) -> np.ndarray:
 
 
 def phrases(raw: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(row, start, end, anchor, content) of the phrases of each row; rows
-    shorter than ``length`` have none.  ``gram`` is a power of two, and
-    ``length`` at least 80."""
+    """(row, start, end, anchor, content, sides) of the phrases of each row;
+    rows shorter than ``length`` have none.  ``sides`` packs a 32-bit hash of
+    the bytes before and one of those after the anchor, 0 where a phrase has
+    too few.  ``gram`` is 16 or 32 and ``length`` from 80 to 104, as three
+    spans of 64 bytes must cover a phrase."""
     n = len(raw)
     windows = n - length + 1
     if windows <= 0:
-        return tuple(np.zeros(0, np.int64) for _ in range(3)) + tuple(np.zeros(0, np.uint64) for _ in range(2))
+        return tuple(np.zeros(0, np.int64) for _ in range(3)) + tuple(np.zeros(0, np.uint64) for _ in range(3))
     with np.errstate(over="ignore"):
         h, span = BYTE_VALUES[raw], 1
         while span < gram:
             h, span = _longer(h, span), 2 * span
         grams = mix(h)
-        while span < 64:
+        while span < 32:
             h, span = _longer(h, span), 2 * span
+        half = h
+        h = _longer(h, span)
         low = np.uint64((1 << 24) - 1)
         least = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
         # Sliding minimum over the grams of a window, leftmost first.
@@ -82,8 +91,14 @@ def phrases(raw: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int =
         # Three spans of 64 bytes cover a phrase.
         content = mix(mix(h[s] + size * BASE) + h[(s + e - 64) // 2])
         content = mix(content + h[e - 64])
-        anchor = grams[(least[s] & low).astype(np.int64)]
-    return row[s], s - off[row[s]], e - off[row[s]], anchor, content
+        at = (least[s] & low).astype(np.int64)
+        side = -(-(length - gram) // 2)
+        left, right = at - s >= side, e - at - gram >= side
+        sides = np.zeros(len(s), np.uint64)
+        for has, a, shift in ((left, at - side, 32), (right, at + gram, 0)):
+            ends = mix(mix(half[a[has]]) + half[a[has] + side - 32]) >> np.uint64(33) | np.uint64(1)
+            sides[has] |= ends << np.uint64(shift)
+    return row[s], s - off[row[s]], e - off[row[s]], grams[at], content, sides
 
 
 def _merged(doc: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,18 +116,18 @@ def _parse(length: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = []
-        for part, raw, off in text_chunks(batches):
+        for part, raw, off in text_chunks(batches, 1 << 18):
             ids = part.column("doc_id").to_numpy(zero_copy_only=False)
             for a, ends in _parts(off, length):
-                row, s, e, anchor, content = phrases(raw[a : a + ends[-1]], ends, length, gram)
-                got.append((anchor, content, ids[row], s + a, e + a))
+                row, s, e, anchor, content, sides = phrases(raw[a : a + ends[-1]], ends, length, gram)
+                got.append((anchor, content, ids[row], s + a, e + a, sides))
         if not got:
             return
-        anchor, content, doc, s, e = (np.concatenate(x) for x in zip(*got, strict=True))
+        anchor, content, doc, s, e, sides = (np.concatenate(x) for x in zip(*got, strict=True))
         del got
         if len(doc) and (np.diff(doc) < 0).any():
             by = np.argsort(doc, kind="stable")
-            anchor, content, doc, s, e = (x[by] for x in (anchor, content, doc, s, e))
+            anchor, content, doc, s, e, sides = (x[by] for x in (anchor, content, doc, s, e, sides))
         by = np.argsort(content, kind="stable")
         k, a = content[by], anchor[by]
         first = np.ones(len(by), bool)
@@ -120,9 +135,9 @@ def _parse(length: int, gram: int):
         lead = by[np.maximum.accumulate(np.where(first, np.arange(len(by)), 0))]
         later = by[~first & ((doc[by] != doc[lead]) | (s[by] != s[lead]))]
         doc_, s_, e_ = _merged(doc[later], s[later], e[later])
-        yield from _rows(REMOVED, doc_, s_, doc_, s_, e_)
+        yield from _rows(REMOVED, doc_, s_, doc_, s_, e_, s_)
         keep = by[first]
-        yield from _rows(PHRASE, anchor[keep], content[keep], doc[keep], s[keep], e[keep])
+        yield from _rows(PHRASE, *(x[keep] for x in (anchor, content, doc, s, e, sides)))
 
     return run
 
@@ -139,11 +154,24 @@ def _parts(off: np.ndarray, length: int, most: int = 1 << 23) -> Iterator[tuple[
             yield a, np.array([0, min(int(off[-1]) - a, most + length - 1)])
 
 
+def _sharing(x: np.ndarray) -> np.ndarray:
+    """True for each phrase (columns in rows) that shares its anchor and the
+    bytes on one side of it with another one."""
+    need = np.zeros(x.shape[1], bool)
+    anchor, sides = x[0].view(np.uint64), x[5].view(np.uint64)
+    for side in (sides >> np.uint64(32), sides & np.uint64(0xFFFFFFFF)):
+        has = np.flatnonzero(side)
+        need[has[repeated(mix(anchor[has] ^ mix(side[has])))]] = True
+    return need
+
+
 def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Phrases sorted by (anchor, content, doc, s): later copies of a phrase
-    are removed; first ones are needed if their anchor has another phrase."""
-    prev = lead = pending = None
-    known = False
+    are removed; of the first ones, those that share a side are needed.  An
+    anchor's phrases are held until its last, up to ``HELD``."""
+    prev = lead = None
+    held = np.zeros((len(COLUMNS), 0), np.int64)
+    full = False  # the held anchor had more phrases than may be held
     for batch in batches:
         kind = batch.column("kind").to_numpy()
         if (other := np.flatnonzero(kind != PHRASE)).size:
@@ -151,7 +179,7 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = np.flatnonzero(kind == PHRASE)
         if not at.size:
             continue
-        x = np.stack([batch.column(c).to_numpy()[at] for c in ("anchor", "content", "doc", "s", "e")])
+        x = np.stack([batch.column(c).to_numpy()[at] for c in COLUMNS])
         first = np.ones(x.shape[1], bool)
         first[1:] = (x[:2, 1:] != x[:2, :-1]).any(axis=0)
         if prev is not None and (x[:2, 0] == prev).all():
@@ -161,20 +189,21 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         later = ~first & ((x[2] != own[2]) | (x[3] != own[3]))
         yield from _rows(REMOVED, *x[:, later])
         prev, lead = x[:2, -1].copy(), own[:, -1].copy()
-        fresh = x[:, first]
-        if pending is not None:
-            fresh = np.hstack([pending[:, None], fresh])
-        if not fresh.shape[1]:
+        held = np.hstack([held, x[:, first]])
+        if not held.shape[1]:
             continue
-        same = fresh[0, 1:] == fresh[0, :-1]
-        need = np.zeros(fresh.shape[1], bool)
-        need[0] = known and pending is not None
-        need[1:] |= same
-        need[:-1] |= same
-        pending, known = fresh[:, -1].copy(), bool(need[-1])
-        yield from _rows(NEEDED, *fresh[:, :-1][:, need[:-1]])
-    if pending is not None and known:
-        yield from _rows(NEEDED, *pending[:, None])
+        # The last anchor may go on in the next batch.
+        done = int(np.searchsorted(held[0], held[0, -1]))
+        if done:
+            need = _sharing(held[:, :done])
+            need[: np.searchsorted(held[0, :done], held[0, 0], "right")] |= full
+            yield from _rows(NEEDED, *held[:, :done][:, need])
+            held, full = held[:, done:], False
+        if held.shape[1] > HELD:
+            yield from _rows(NEEDED, *held)
+            held, full = held[:, :1], True
+    if held.shape[1]:
+        yield from _rows(NEEDED, *held[:, _sharing(held) | full])
 
 
 def _extract(length: int):
@@ -208,6 +237,10 @@ def _index(length: int):
     def run(rows: pa.Table) -> pa.Table:
         doc, s = (rows.column(c).to_numpy() for c in ("doc", "s"))
         by = np.lexsort((s, doc))
+        # Of repeated rows of a document, one counts.
+        once = np.ones(len(by), bool)
+        once[1:] = (doc[by[1:]] != doc[by[:-1]]) | (s[by[1:]] != s[by[:-1]])
+        by = by[once]
         doc, s = doc[by], s[by]
         bodies = rows.column("body").to_pylist()
         bodies = [bodies[i] for i in by]
@@ -243,10 +276,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     removed = rows.where(F.col("kind") == REMOVED).select("doc", "s", "e")
     needed = rows.where(F.col("kind") == NEEDED).select("anchor", "doc", "s", "e")
     wide = stored(
-        needed.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / WIDE).cast("int").alias("parts")).where("parts > 1"), "wide-anchors"
+        # A phrase's windows, dealt one by one, hold that many times its bytes.
+        needed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > WIDE)
+        .select("anchor", (F.ceil(F.col("n") / WIDE) * (length // 3)).cast("int").alias("parts")), "wide-anchors"
     )
     needed = needed.join(wide, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    total = needed.agg(F.sum((F.col("e") - F.col("s")) * F.when(F.col("parts") > 1, F.lit(length // 2)).otherwise(1))).first()[0] or 0
+    total = needed.agg(F.sum((F.col("e") - F.col("s")) * F.when(F.col("parts") > 1, F.lit(length // 3)).otherwise(1))).first()[0] or 0
     buckets = max(1, -(-int(total) // BUCKET_BYTES))
     want = needed.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("anchor", "s", "e", "parts")).alias("want"))
     bodies = docs.join(want, "doc_id").mapInArrow(_extract(length), "anchor long, part int, doc long, s long, body binary")
