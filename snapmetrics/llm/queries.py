@@ -10,6 +10,7 @@ from snapmetrics.llm.ann import op7_ann
 from snapmetrics.llm.bpe import op8_bpe
 from snapmetrics.llm.jaccard import op5_jaccard
 from snapmetrics.llm.lines import op2_line_dedup
+from snapmetrics.llm.oracle import ORACLE_SQL
 from snapmetrics.llm.packing import op1_packing
 from snapmetrics.llm.pii import op4_pii
 from snapmetrics.llm.quality_fm import op6_quality
@@ -33,4 +34,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
