@@ -36,8 +36,9 @@ TOKEN_BITS = 52
 BITMAP = 1024
 #: Members of an open bucket that a task compares at a time.
 BLOCK = 1024
-#: Cost of an accidental pair, in signatures.
-PAIR_COST = 4.0
+#: Costs, in signatures, of pairing a member with its bucket's leader, and of
+#: comparing two members of an open bucket.
+LEADER_COST, COMPARE_COST = 15.0, 0.02
 
 
 @dataclass(frozen=True)
@@ -79,14 +80,16 @@ def most_different(total: int, percent: int) -> int:
 def allocate(top: int, percent: int, sets: float) -> tuple[int, int]:
     """(segments with threshold 0, with threshold 1) of least estimated cost
     for a band with ``sets`` members of size ``top``: signatures made, and
-    pairs that agree by accident in a segment that is empty or nearly so."""
+    members that agree by accident in a segment that is empty or nearly so."""
     need = most_different(2 * top, percent) + 1
 
     def cost(one: int) -> float:
         zero = need - 2 * one
         mean = top / (zero + one)
-        void = math.exp(-2 * mean)
-        return sets * (zero + one * (1 + mean)) + PAIR_COST * sets * sets / 2 * void * (zero + one * (1 + 2 * mean))
+        void = math.exp(-mean)
+        led = LEADER_COST * void * (zero + one * (1 + mean))
+        compared = COMPARE_COST * sets / 2 * void * void * (zero + one * (1 + 2 * mean))
+        return zero + one * (1 + mean) + led + compared
 
     one = min(range(need // 2 + 1), key=cost)
     return need - 2 * one, one
@@ -164,13 +167,14 @@ ROWS = "kind int, key long, a long, b long, bitmap binary"
 _SCHEMA = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("bitmap", pa.binary())])
 
 
-def _rows(kind: int, key: np.ndarray, a: np.ndarray, b: np.ndarray | None, bitmap: list | None = None) -> Iterator[pa.RecordBatch]:
+def _rows(kind: int, key: np.ndarray, a: np.ndarray, b: np.ndarray | None, bitmap: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     for i in range(0, len(key), 1 << 18):
         part = slice(i, i + (1 << 18))
         n = len(key[part])
+        bits = pa.nulls(n, pa.binary()) if bitmap is None else pa.array([x.tobytes() for x in bitmap[part]], pa.binary())
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(n, kind, np.int32)), pa.array(key[part].view(np.int64)), pa.array(a[part]),
-             pa.nulls(n, pa.int64()) if b is None else pa.array(b[part]), pa.nulls(n, pa.binary()) if bitmap is None else pa.array(bitmap[part], pa.binary())],
+             pa.nulls(n, pa.int64()) if b is None else pa.array(b[part]), bits],
             schema=_SCHEMA,
         )
 
@@ -188,7 +192,7 @@ def _propose(s: Similarity, bands: Bands):
             row, token = shingle_sets(raw, off, s.words)
             size = np.bincount(row, minlength=n)
             doc = part.column("doc_id").to_numpy(zero_copy_only=False)
-            yield from _rows(DOCUMENT, doc, doc, size, [x.tobytes() for x in bitmaps(row, token, n)])
+            yield from _rows(DOCUMENT, doc, doc, size, bitmaps(row, token, n))
             sums = np.zeros((2, n), np.uint64)
             np.add.at(sums[0], row, mix(token))
             np.add.at(sums[1], row, mix(token ^ BASE))
@@ -264,6 +268,17 @@ def _elements(s: Similarity):
     return run
 
 
+def plausible(pairs: DataFrame, documents: DataFrame, s: Similarity) -> DataFrame:
+    """The pairs (a, b) that sizes and bitmaps cannot rule out: linked sets
+    differ in at most ``most_different`` elements, bitmaps in no more bits."""
+    facts = lambda x: documents.select(F.col("a").alias(x), F.col("b").alias(f"n_{x}"), F.col("bitmap").alias(f"bits_{x}"))
+    both = pairs.join(facts("a"), "a").join(facts("b"), "b")
+    odd = F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(odd, F.lit(0), lambda acc, n: acc + n)
+    near = 100 * F.least("n_a", "n_b") >= s.percent * F.greatest("n_a", "n_b")
+    return both.where(near & ((100 + s.percent) * apart <= (100 - s.percent) * (F.col("n_a") + F.col("n_b")))).select("a", "b").distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, s: Similarity) -> DataFrame:
     """The pairs (a, b) whose sets link, by exact intersection."""
     named = lambda x: sets.select(F.col("doc_id").alias(x), F.col("elements").alias(f"set_{x}"))
@@ -278,8 +293,6 @@ def _across(s: Similarity):
     """Pairs of different components in each block pair of an open bucket
     that size and bitmap cannot rule out.  Buckets with one leader come
     together, and a pair that several of them share is given once."""
-    pop = np.array([bin(x).count("1") for x in range(256)], np.uint8)
-
     def pairs(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         left, right = (np.flatnonzero(rows["side"] == x) for x in (0, 1))
         alone = not right.size
@@ -289,7 +302,7 @@ def _across(s: Similarity):
             to = right[right > i] if alone else right
             ok = (comp[to] != comp[i]) & (100 * np.minimum(n[to], n[i]) >= s.percent * np.maximum(n[to], n[i]))
             to = to[ok]
-            apart = pop[bits[to] ^ bits[i]].sum(axis=1, dtype=np.int64)
+            apart = np.bitwise_count(bits[to] ^ bits[i]).sum(axis=1, dtype=np.int64)
             to = to[apart * (100 + s.percent) <= (100 - s.percent) * (n[to] + n[i])]
             if to.size:
                 yield np.minimum(doc[to], doc[i]), np.maximum(doc[to], doc[i])
@@ -303,7 +316,7 @@ def _across(s: Similarity):
             if held:
                 t = pa.Table.from_batches(held)
                 rows = {c: t.column(c).to_numpy() for c in ("side", "n", "component", "doc")}
-                rows["bitmap"] = np.array([np.frombuffer(x, np.uint8) for x in t.column("bitmap").to_pylist()])
+                rows["bitmap"] = t.column("bitmap").combine_chunks().flatten().to_numpy().reshape(-1, BITMAP // 32)
                 new = {p for a, b in pairs(rows) for p in zip(a.tolist(), b.tolist())} - given
                 if new:
                     given.update(new)
@@ -328,15 +341,23 @@ def _across(s: Similarity):
     return run
 
 
+def _placed(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """``pairs`` with the component of each side, itself where it has none."""
+    named = lambda x: comp.select(F.col("node").alias(x), F.col("component").alias(f"in_{x}"))
+    placed = pairs.join(named("a"), "a", "left").join(named("b"), "b", "left")
+    return placed.withColumn("in_a", F.coalesce("in_a", "a")).withColumn("in_b", F.coalesce("in_b", "b"))
+
+
+def _across_components(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    return _placed(pairs, comp).where("in_a <> in_b")
+
+
 def _open_pairs(pairs: DataFrame, documents: DataFrame, comp: DataFrame, s: Similarity) -> DataFrame | None:
     """Unverified pairs across components in buckets that are not within one.
-    A bucket of two has no pair but the one already verified."""
+    A bucket of two has no pair but the one with its leader."""
     busy = stored(pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "busy-buckets")
     pairs = pairs.join(busy, "key", "left_semi")
-    named = lambda x: comp.select(F.col("node").alias(x), F.col("component").alias(f"in_{x}"))
-    placed = pairs.join(named("a"), "a", "left").join(named("b"), "b", "left")
-    placed = placed.withColumn("in_a", F.coalesce("in_a", "a")).withColumn("in_b", F.coalesce("in_b", "b"))
-    placed = stored(placed, "placed-pairs")
+    placed = stored(_placed(pairs, comp), "placed-pairs")
     open_ = stored(placed.where("in_a <> in_b").select("key").distinct(), "open-buckets")
     if open_.isEmpty():
         return None
@@ -383,16 +404,24 @@ def similar_sets(docs: DataFrame, s: Similarity = Similarity(), id_col: str = "d
     rows = spark.read.schema(ROWS).parquet(path)
     documents, sure, proposed = (rows.where(F.col("kind") == k) for k in (DOCUMENT, LINK, PAIR))
     proposed = proposed.select("key", "a", "b")
-    tried = stored(proposed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    used = tried.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    word = lambda i: F.conv(F.hex(F.substring("bitmap", 4 * i + 1, F.lit(4))), 16, 10).cast("long")
+    words_ = F.transform(F.sequence(F.lit(0), F.lit(BITMAP // 32 - 1)), word)
+    documents = stored(documents.select("a", "b", words_.alias("bitmap")), "documents")
+    led = proposed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    near = stored(plausible(led, documents, s), "pairs")
+    # One pair for each member first; most others then lie within a component.
+    tried = stored(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
+    used = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     # A plain shuffle at every size: the ids grow with the corpus.
     used = used.hint("merge")
     sets = stored(named.join(used, "doc_id", "left_semi").mapInArrow(_elements(s), "doc_id long, elements array<long>"), "sets")
     links = stored(sure.select("a", "b").unionByName(verified(tried, sets, s)), "links")
     comp = stored(components(links), "components")
-    if (more := _open_pairs(proposed, documents, comp, s)) is not None:
-        late = stored(verified(more.join(tried, ["a", "b"], "left_anti"), sets, s), "late-links")
-        comp = stored(components(links.unionByName(late)), "components")
+    more = _across_components(near, comp).select("a", "b")
+    if (rest := _open_pairs(proposed, documents, comp, s)) is not None:
+        more = more.unionByName(rest).distinct()
+    late = stored(verified(more.join(tried, ["a", "b"], "left_anti"), sets, s), "late-links")
+    comp = stored(components(links.unionByName(late)), "components")
     sized = documents.select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"))
     out = sized.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
