@@ -268,6 +268,16 @@ def _elements(s: Similarity):
     return run
 
 
+def _sets(texts: DataFrame, s: Similarity) -> DataFrame:
+    return texts.mapInArrow(_elements(s), "doc_id long, elements array<long>")
+
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    """The documents of the pairs (a, b), to be joined by a plain shuffle at
+    every size: the ids grow with the corpus."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().hint("merge")
+
+
 def plausible(pairs: DataFrame, documents: DataFrame, s: Similarity) -> DataFrame:
     """The pairs (a, b) that sizes and bitmaps cannot rule out: linked sets
     differ in at most ``most_different`` elements, bitmaps in no more bits."""
@@ -411,16 +421,18 @@ def similar_sets(docs: DataFrame, s: Similarity = Similarity(), id_col: str = "d
     near = stored(plausible(led, documents, s), "pairs")
     # One pair for each member first; most others then lie within a component.
     tried = stored(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
-    used = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    # A plain shuffle at every size: the ids grow with the corpus.
-    used = used.hint("merge")
-    sets = stored(named.join(used, "doc_id", "left_semi").mapInArrow(_elements(s), "doc_id long, elements array<long>"), "sets")
+    used = _ids(near)
+    sets = stored(_sets(named.join(used, "doc_id", "left_semi"), s), "sets")
     links = stored(sure.select("a", "b").unionByName(verified(tried, sets, s)), "links")
     comp = stored(components(links), "components")
     more = _across_components(near, comp).select("a", "b")
     if (rest := _open_pairs(proposed, documents, comp, s)) is not None:
         more = more.unionByName(rest).distinct()
-    late = stored(verified(more.join(tried, ["a", "b"], "left_anti"), sets, s), "late-links")
+    more = stored(more.join(tried, ["a", "b"], "left_anti"), "late-pairs")
+    # Members of open buckets may be near each other and not near any leader.
+    others = _ids(more).join(used, "doc_id", "left_anti")
+    sets = sets.unionByName(stored(_sets(named.join(others, "doc_id", "left_semi"), s), "more-sets"))
+    late = stored(verified(more, sets, s), "late-links")
     comp = stored(components(links.unionByName(late)), "components")
     sized = documents.select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"))
     out = sized.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
@@ -429,7 +441,7 @@ def similar_sets(docs: DataFrame, s: Similarity = Similarity(), id_col: str = "d
 
 
 def _nameless(texts: DataFrame, s: Similarity) -> DataFrame:
-    sets = texts.where(F.col("doc_id").isNull()).mapInArrow(_elements(s), "doc_id long, elements array<long>")
+    sets = _sets(texts.where(F.col("doc_id").isNull()), s)
     return sets.select("doc_id", F.size("elements").cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
 
 

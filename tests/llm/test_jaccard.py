@@ -57,6 +57,19 @@ def test_chains_and_groups_of_near_copies(spark, monkeypatch):
     assert sorted(map(tuple, J.similar_sets(docs, J.Similarity(3, 90)).collect())) == brute(rows, 3, 90)
 
 
+def test_an_unlike_leader_hides_no_link(spark):
+    rng = random.Random(8)
+    rows = []
+    for _ in range(300):
+        # Near copies of 11 and 10 shingles; a smaller id shares 8 of them, too
+        # few to pass the bitmaps, and in some cases leads their only bucket.
+        w = [f"w{rng.randrange(10**6)}" for _ in range(13)]
+        for x in (w[:10] + [f"u{rng.randrange(10**6)}" for _ in range(3)], w, w[:-1]):
+            rows.append((len(rows), " ".join(x)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sorted(map(tuple, J.similar_sets(docs, J.Similarity(3, 90)).collect())) == brute(rows, 3, 90)
+
+
 def test_empty_table_and_rows_without_id(no_docs, nameless_docs):
     assert J.similar_sets(no_docs).count() == 0
     got = sorted(((r.doc_id, r.component_id) for r in J.similar_sets(nameless_docs).collect()), key=str)
