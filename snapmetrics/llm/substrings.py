@@ -8,7 +8,8 @@ distinct phrase counts once (a dictionary as in prefix-free parsing of
 repetitive corpora).  Two phrases can match only if they share the anchor and,
 as a window has at least ``side`` bytes on one side of it, those bytes too;
 others are set aside.  What is left is dealt by anchor into buckets, and each
-bucket gets a run-length index that marks the long matches.
+bucket gets a run-length index that marks the long matches.  The windows of an
+anchor with very many phrases are compared by digests instead.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ LENGTH = 100
 GRAM = 16
 #: Bytes of phrases in an index, about.
 BUCKET_BYTES = 1 << 18
-#: Phrases of one anchor beyond which its windows are dealt to several indexes.
+#: Phrases of one anchor beyond which its windows are compared by digests.
 WIDE = 4000
 #: Phrases of one anchor that a task compares at a time; of an anchor with
 #: more, all go to the index.
@@ -206,33 +207,71 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _rows(NEEDED, *held[:, _sharing(held) | full])
 
 
-def _extract(length: int):
-    """Bytes of the needed phrases of each document.  An anchor with several
-    parts has its windows dealt by their hash, neighbours kept together."""
+def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes of the needed phrases of each document."""
+    for batch in batches:
+        out: tuple[list, ...] = ([], [], [], [])
+        for i in range(batch.num_rows):
+            doc, text = batch.column("doc_id")[i].as_py(), batch.column("text")[i].as_py().encode()
+            want = batch.column("want")[i].values
+            for anchor, s, e in zip(*(want.field(c).to_pylist() for c in ("anchor", "s", "e")), strict=True):
+                for column, value in zip(out, (anchor, doc, s, text[s:e]), strict=True):
+                    column.append(value)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
+            names=["anchor", "doc", "s", "body"],
+        )
+
+
+def _windows(length: int):
+    """128-bit digest and place of each window of the needed phrases."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 doc, text = batch.column("doc_id")[i].as_py(), batch.column("text")[i].as_py().encode()
                 want = batch.column("want")[i].values
-                out: tuple[list, ...] = ([], [], [], [], [])
-                for anchor, s, e, parts in zip(*(want.field(c).to_pylist() for c in ("anchor", "s", "e", "parts")), strict=True):
-                    cuts, part = [s, e - length + 1], [0]
-                    if parts > 1:
-                        dealt = [int.from_bytes(hashlib.blake2b(text[p : p + length], digest_size=8).digest()) % parts for p in range(s, e - length + 1)]
-                        turn = [k for k in range(1, len(dealt)) if dealt[k] != dealt[k - 1]]
-                        cuts, part = [s, *(s + k for k in turn), e - length + 1], [dealt[k] for k in (0, *turn)]
-                    for a, b, k in zip(cuts, cuts[1:], part):
-                        for column, value in zip(out, (anchor, k, doc, a, text[a : b + length - 1]), strict=True):
-                            column.append(value)
+                at = [p for s, e in zip(*(want.field(c).to_pylist() for c in ("s", "e")), strict=True) for p in range(s, min(e, len(text)) - length + 1)]
+                digests = b"".join(hashlib.blake2b(text[p : p + length], digest_size=16).digest() for p in at)
+                h = np.frombuffer(digests, np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
-                    names=["anchor", "part", "doc", "s", "body"],
+                    [pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array([doc] * len(at), pa.int64()), pa.array(at, pa.int64())], names=["h1", "h2", "doc", "s"]
                 )
 
     return run
 
 
+def _joined(length: int):
+    """Spans of windows sorted by document and place, overlapping ones of a
+    batch made one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, s = (batch.column(c).to_numpy() for c in ("doc", "s"))
+            d, a, b = _merged(doc, s, s + length)
+            yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(a), pa.array(b)], names=["doc", "s", "e"])
+
+    return run
+
+
+def _later_windows(docs: DataFrame, needed: DataFrame, length: int) -> DataFrame:
+    """(doc, s, e) of the windows of the needed phrases that start earlier too.
+
+    The aggregate is combined before its shuffle, so a window in a third of
+    the documents arrives as one row per task.  The groups are written before
+    the join back, so that Spark may split a hot window's rows there.
+    """
+    windows = stored(docs.join(_wanted(needed), "doc_id").mapInArrow(_windows(length), "h1 long, h2 long, doc long, s long"), "windows")
+    place = F.struct("doc", "s")
+    groups = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last")
+    later = windows.join(stored(groups, "window-groups"), ["h1", "h2"]).where(place != F.col("first"))
+    return later.select("doc", "s").repartition("doc").sortWithinPartitions("doc", "s").mapInArrow(_joined(length), "doc long, s long, e long")
+
+
+def _wanted(needed: DataFrame) -> DataFrame:
+    return needed.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("anchor", "s", "e")).alias("want"))
+
+
 def _index(length: int):
     def run(rows: pa.Table) -> pa.Table:
         doc, s = (rows.column(c).to_numpy() for c in ("doc", "s"))
@@ -259,8 +298,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     """(doc, s, e): byte spans whose union is what each document loses.
 
     The sort of phrases streams, so a hot anchor takes no memory; copies of
-    a phrase are one row per task.  An anchor with more than ``WIDE``
-    different phrases is dealt to several indexes by window.
+    a phrase are one row per task.  The windows of an anchor with more than
+    ``WIDE`` different phrases take no index.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "phrases")
@@ -275,17 +314,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     rows = spark.read.schema(ROWS).parquet(path)
     removed = rows.where(F.col("kind") == REMOVED).select("doc", "s", "e")
     needed = rows.where(F.col("kind") == NEEDED).select("anchor", "doc", "s", "e")
-    wide = stored(
-        # A phrase's windows, dealt one by one, hold that many times its bytes.
-        needed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > WIDE)
-        .select("anchor", (F.ceil(F.col("n") / WIDE) * (length // 3)).cast("int").alias("parts")), "wide-anchors"
-    )
-    needed = needed.join(wide, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    total = needed.agg(F.sum((F.col("e") - F.col("s")) * F.when(F.col("parts") > 1, F.lit(length // 3)).otherwise(1))).first()[0] or 0
+    wide = stored(needed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > WIDE).select("anchor"), "wide-anchors")
+    if not wide.isEmpty():
+        removed = removed.unionByName(_later_windows(docs, needed.join(wide, "anchor", "left_semi"), length))
+        needed = needed.join(wide, "anchor", "left_anti")
+    total = needed.agg(F.sum(F.col("e") - F.col("s"))).first()[0] or 0
     buckets = max(1, -(-int(total) // BUCKET_BYTES))
-    want = needed.groupBy(F.col("doc").alias("doc_id")).agg(F.collect_list(F.struct("anchor", "s", "e", "parts")).alias("want"))
-    bodies = docs.join(want, "doc_id").mapInArrow(_extract(length), "anchor long, part int, doc long, s long, body binary")
-    dealt = bodies.withColumn("bucket", F.pmod(F.xxhash64("anchor", "part"), F.lit(buckets)))
+    bodies = docs.join(_wanted(needed), "doc_id").mapInArrow(_extract, "anchor long, doc long, s long, body binary")
+    dealt = bodies.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
     found = dealt.groupBy("bucket").applyInArrow(_index(length), "doc long, s long, e long")
     return removed.unionByName(found)
 

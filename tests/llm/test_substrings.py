@@ -55,6 +55,30 @@ def test_a_wide_anchor_is_dealt_to_several_indexes(spark, monkeypatch):
     assert _rows(dedup_substrings(docs)) == brute(rows)
 
 
+def test_a_hot_window_fills_no_index(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "WIDE", 20)
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 1 << 10)
+    index = substrings._index
+
+    def checked(length):
+        inner = index(length)
+
+        def run(rows):
+            size = sum(map(len, rows.column("body").to_pylist()))
+            assert size < 10_000, f"an index of {size} bytes"
+            return inner(rows)
+
+        return run
+
+    monkeypatch.setattr(substrings, "_index", checked)
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    line, common = word(120), word(130)
+    rows = [(i, word(90) + (line if i % 3 else common[: 100 + i % 30]) + word(90)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert _rows(dedup_substrings(docs)) == brute(rows)
+
+
 def test_empty_table_and_rows_without_id(no_docs, nameless_docs):
     assert dedup_substrings(no_docs).count() == 0
     assert [r.n_removed for r in dedup_substrings(nameless_docs).collect()] == [0, 0, 0]
