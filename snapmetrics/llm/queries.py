@@ -16,6 +16,7 @@ from snapmetrics.llm.pii import op4_pii
 from snapmetrics.llm.quality_fm import op6_quality
 from snapmetrics.llm.rules import op9_host_rules
 from snapmetrics.llm.substrings import op3_substring_dedup
+from snapmetrics.llm.superkmers import op11_super_kmers
 from snapmetrics.llm.warc import op10_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe,
         op9_host_rules,
         op10_warc,
+        op11_super_kmers,
     )
 }
 
