@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from snapmetrics.llm.alignment import op12_alignment
 from snapmetrics.llm.ann import op7_ann
 from snapmetrics.llm.bpe import op8_bpe
 from snapmetrics.llm.jaccard import op5_jaccard
@@ -17,6 +18,7 @@ from snapmetrics.llm.quality_fm import op6_quality
 from snapmetrics.llm.rules import op9_host_rules
 from snapmetrics.llm.substrings import op3_substring_dedup
 from snapmetrics.llm.superkmers import op11_super_kmers
+from snapmetrics.llm.tries import op13_prefix_trie
 from snapmetrics.llm.warc import op10_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -33,6 +35,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_host_rules,
         op10_warc,
         op11_super_kmers,
+        op12_alignment,
+        op13_prefix_trie,
     )
 }
 
