@@ -56,4 +56,53 @@ m AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITIO
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN page_id < top THEN top END AS refers_to FROM m"""
 
-ORACLE_SQL = {"op2_line_dedup": OP2, "op5_jaccard": OP5, "op9_host_rules": OP9, "op10_warc": OP10}
+OP11 = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 19), ' ') AS key
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w WHERE len(ws) >= 20)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY key ORDER BY doc_id, i) AS nth FROM g),
+c AS (SELECT DISTINCT doc_id, i + o AS i FROM r, range(20) t(o) WHERE nth > 1),
+k AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w),
+m AS (SELECT k.doc_id, string_agg(word, ' ' ORDER BY k.i) FILTER (WHERE c.i IS NULL) AS kept, count(c.i) AS n_removed
+      FROM k LEFT JOIN c ON c.doc_id = k.doc_id AND c.i = k.i GROUP BY k.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN m ON m.doc_id = w.doc_id"""
+
+#: CRC-32 of the decimal id, bit by bit: each byte is taken in, then shifted
+#: out in eight steps (-1).
+CRC = """xor(list_reduce(flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END) END, CAST(4294967295 AS BIGINT)), 4294967295)"""
+
+OP13 = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT *, sha256(strlen(role) || ':' || role || text) AS token FROM t),
+o AS (SELECT conv_id, token, strlen(text) AS bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, token) AS pos FROM s),
+i AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {CRC} % 9 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+n AS (SELECT conv_id, count(*) AS own FROM o GROUP BY conv_id),
+b AS (SELECT i.conv_id, o.pos, o.token, o.bytes FROM i JOIN o ON o.conv_id = i.base AND o.pos <= i.h
+      UNION ALL
+      SELECT o.conv_id, least(i.h, coalesce(n.own, 0)) + o.pos - i.h, o.token, o.bytes
+      FROM o JOIN i ON i.conv_id = o.conv_id LEFT JOIN n ON n.conv_id = i.base WHERE o.pos > i.h),
+p AS (SELECT conv_id, pos, bytes, string_agg(token, ',') OVER (PARTITION BY conv_id ORDER BY pos) AS path, count(*) OVER (PARTITION BY conv_id) AS size FROM b
+      UNION ALL
+      SELECT i.conv_id, 0, 0, '', coalesce(m.size, 0) FROM i LEFT JOIN (SELECT conv_id, count(*) AS size FROM b GROUP BY conv_id) m ON m.conv_id = i.conv_id),
+v AS (SELECT path, pos AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE size = pos), '')) AS ends_sha256
+      FROM p GROUP BY path, pos),
+u AS (SELECT v.*, a.path AS parent, w.conv_id AS parent_conv_id
+      FROM v LEFT JOIN p a ON a.conv_id = v.conv_id AND a.pos = v.depth - 1 LEFT JOIN v w ON w.path = a.path),
+c AS (SELECT parent AS path, count(*) AS n_children FROM u GROUP BY parent),
+x AS (SELECT a.path, count(*) FILTER (WHERE c.path IS NULL) AS n_leaves, sum((v.n_convs - 1) * v.bytes) AS saved_tokens
+      FROM v JOIN p a ON a.conv_id = v.conv_id AND a.pos <= v.depth LEFT JOIN c ON c.path = v.path GROUP BY a.path)
+SELECT u.conv_id, CAST(u.depth AS BIGINT) AS depth, u.parent_conv_id, u.n_convs, CAST(coalesce(c.n_children, 0) AS BIGINT) AS n_children,
+       CAST(x.n_leaves AS BIGINT) AS n_leaves, CAST(x.saved_tokens AS BIGINT) AS saved_tokens, u.ends_sha256
+FROM u LEFT JOIN c ON c.path = u.path JOIN x ON x.path = u.path"""
+
+ORACLE_SQL = {
+    "op2_line_dedup": OP2,
+    "op5_jaccard": OP5,
+    "op9_host_rules": OP9,
+    "op10_warc": OP10,
+    "op11_super_kmers": OP11,
+    "op13_prefix_trie": OP13,
+}
