@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from snapmetrics.operators.windows import diff_n, roll_avg, roll_sum
+from snapmetrics.operators.windows import MEAN, SUM, diff_n
 
 
 def ratio(a: str | Column, b: str | Column) -> Column:
@@ -43,16 +43,16 @@ def global_changes(w) -> list[Column]:
     return cols
 
 
-def global_rolling(w, nonnull: frozenset = frozenset()) -> list[Column]:
-    """F3/F4 for the network frame (the 30-row means feed the yields).
-    ``nonnull``: columns the schema declares not nullable."""
-    cols = []
+def global_rolling() -> dict[str, tuple[str, str, int]]:
+    """F3/F4 for the network frame (the 30-row means feed the yields), as
+    ``windows.rolling`` takes them."""
+    out = {}
     for base in ("QF", "curator_rewards", "indexer_rewards", "delegator_rewards"):
-        cols.append(roll_sum(base, 7, w, base not in nonnull).alias(f"{base}_7d"))
-        cols.append(roll_sum(base, 30, w, base not in nonnull).alias(f"{base}_30d"))
+        for n in (7, 30):
+            out[f"{base}_{n}d"] = (SUM, base, n)
     for base in ("signal", "stake", "delegation"):
-        cols.append(roll_avg(base, 30, w, base not in nonnull).alias(f"{base}_30d_mean"))
-    return cols
+        out[f"{base}_30d_mean"] = (MEAN, base, 30)
+    return out
 
 
 def global_rates(fs: Column) -> list[Column]:
@@ -89,26 +89,16 @@ def entity_changes(w) -> list[Column]:
     ]
 
 
-def entity_rolling(w, nonnull: frozenset = frozenset()) -> list[Column]:
-    """per-key rolling sums and means over 7/14/30 rows.
-    ``nonnull``: columns the schema declares not nullable."""
-
-    def nullable(c: str) -> bool:
-        return c not in nonnull
-
-    cols = []
-    for n in ENTITY_WINDOWS:
-        cols.append(roll_sum("QF", n, w, nullable("QF")).alias(f"QF_{n}d"))
+def entity_rolling() -> dict[str, tuple[str, str, int]]:
+    """per-key rolling sums and means over 7/14/30 rows, as
+    ``windows.rolling`` takes them."""
+    out = {f"QF_{n}d": (SUM, "QF", n) for n in ENTITY_WINDOWS}
     for base, level in (("signal", "signal"), ("stake", "stake"), ("shares", "shares"), ("price", "price_per_share")):
-        change = f"{base}_change"
-        for n in ENTITY_WINDOWS:
-            cols.append(roll_sum(change, n, w, nullable(change)).alias(f"{change}_{n}d"))
-        for n in ENTITY_WINDOWS:
-            cols.append(roll_avg(level, n, w, nullable(level)).alias(f"{base}_{n}d_MA"))
+        out |= {f"{base}_change_{n}d": (SUM, f"{base}_change", n) for n in ENTITY_WINDOWS}
+        out |= {f"{base}_{n}d_MA": (MEAN, level, n) for n in ENTITY_WINDOWS}
     for base in ("curator_rewards", "indexer_rewards", "delegator_rewards"):
-        for n in ENTITY_WINDOWS:
-            cols.append(roll_sum(base, n, w, nullable(base)).alias(f"{base}_{n}d"))
-    return cols
+        out |= {f"{base}_{n}d": (SUM, base, n) for n in ENTITY_WINDOWS}
+    return out
 
 
 def entity_rates(fs: Column) -> list[Column]:

@@ -6,8 +6,8 @@ request per block.  Here the state comes from an append-only change log
 number of snapshots:
 
 1. every log row gets the index of the first snapshot whose block is at or
-   after the row's block, by binary search in the array of snapshot blocks
-   (one scalar, at most one element per stamp); later rows are dropped;
+   after the row's block, by an interval-bin join with the snapshot table
+   (``place``); later rows are dropped;
 2. a partial aggregation per ``(keys, idx)`` - map-side combined, so a hot
    key is reduced to at most one row per snapshot and partition before the
    shuffle;
@@ -27,49 +27,54 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType
 
-from snapmetrics.sources.grid import Grid
+from snapmetrics.sources.grid import Grid, block_range
 
 # Aggregation kinds for ``as_of``: how a per-interval partial becomes state.
 SUM, COUNT, MAX, MIN, LATEST = "sum", "count", "max", "min", "latest"
 _RUNNING = {SUM: F.sum, COUNT: F.sum, MAX: F.max, MIN: F.min}
 
 
-def with_place(df: DataFrame, grid: Grid, snapshots: DataFrame, **blocks: Column) -> DataFrame:
-    """Add ``_blocks``, the sorted ``(block, idx)`` of the distinct snapshot
-    blocks, and for each named block expression its place there: the number
-    of snapshot blocks before it (null for a null block).
+# Bins of the block axis per stamp of the grid.
+BINS_PER_STAMP = 4
 
-    The array has at most one element per stamp and comes as one scalar
-    subquery; each row finds its place by binary search, so no join is
-    needed.
-    """
-    table = snapshots.where("first_of_block").agg(F.array_sort(F.collect_list(F.struct("block", "idx")))).scalar()
-    out = df.withColumn("_blocks", table)
-    known = F.col("_blocks")
-    steps = F.array(*[F.lit(i) for i in range(max(grid.count, 1).bit_length())])
 
-    def halve(x: Column):
-        def step(acc: Column, _: Column) -> Column:
-            mid = F.shiftright(acc["lo"] + acc["hi"], 1)
-            right = (acc["lo"] < acc["hi"]) & (F.get(known, mid)["block"] < x)
-            return F.struct(F.when(right, mid + 1).otherwise(acc["lo"]).alias("lo"), F.when(right, acc["hi"]).otherwise(mid).alias("hi"))
+def _bin(block: Column, lo: Column, hi: Column, grid: Grid) -> Column:
+    """The bin of a block: its distance from the first snapshot block, shifted
+    so far that the snapshots span at most ``BINS_PER_STAMP`` bins a stamp."""
+    bins = float(BINS_PER_STAMP * max(grid.count, 1))
+    shift = F.greatest(F.lit(0), F.ceil(F.log2((hi - lo + 1).cast("double") / F.lit(bins))).cast("int"))
+    beyond = F.call_function("shiftright", block - lo, shift)
+    return F.when(block <= lo, F.lit(0).cast("bigint")).when(block <= hi, beyond)
+
 
-        return step
+def place(df: DataFrame, grid: Grid, snapshots: DataFrame, block: Column, how: str = "inner") -> DataFrame:
+    """Add ``idx``, the first snapshot whose block is at or after ``block``,
+    and ``place``, the number of distinct snapshot blocks before it.
 
-    places = {
-        name: F.when(x.isNotNull(), F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(known).alias("hi")), halve(x))["lo"])
-        for name, x in blocks.items()
-    }
-    return out.withColumns(places)
+    An interval-bin join: the block axis is cut into bins, each snapshot's
+    interval ``(prior, block]`` lies in the bins that it meets, and a row
+    looks only at the intervals of its own bin.  An equi-join on the bin with
+    a range condition, so it is compiled, each row is placed once, and the
+    interval table has at most a few rows per stamp.  ``how="left"`` keeps
+    rows without a block or after the last one (both columns null).
+    """
+    lo, hi = block_range(snapshots)
+    first, last = _bin(F.col("_prior") + F.lit(1), lo, hi, grid), _bin(F.col("_upto"), lo, hi, grid)
+    intervals = snapshots.where("first_of_block").select("idx", "place", F.col("prior").alias("_prior"), F.col("block").alias("_upto"))
+    intervals = intervals.withColumn("_bin", F.explode(F.sequence(F.coalesce(first, F.lit(0).cast("bigint")), last)))
+    rows = df.withColumns({"_block": block, "_bin": _bin(block, lo, hi, grid)}).alias("r")
+    near = grid.small(intervals).alias("i")
+    inside = (F.col("r._block") <= F.col("i._upto")) & (F.col("i._prior").isNull() | (F.col("r._block") > F.col("i._prior")))
+    found = rows.join(near, (F.col("r._bin") == F.col("i._bin")) & inside, how)
+    return found.select(*[F.col(f"r.`{c}`") for c in df.columns], "i.idx", "i.place")
 
 
 def assign_snapshot(log: DataFrame, grid: Grid, snapshots: DataFrame, block: str = "block") -> DataFrame:
     """Add ``idx``, the first snapshot whose block is at or after the row's;
     drop rows without a block and those after the last snapshot block."""
-    placed = with_place(log, grid, snapshots, _place=F.col(block))
-    found = placed.withColumn("idx", F.get("_blocks", F.col("_place"))["idx"])
-    return found.where(F.col("idx").isNotNull()).select(*log.columns, "idx")
+    return place(log, grid, snapshots, F.col(block)).drop("place")
 
 
 def payload_blocks(grid: Grid, snapshots: DataFrame) -> DataFrame:
@@ -204,21 +209,77 @@ def latest_state(
     return log.groupBy(*keys).agg(*exprs).withColumn("block", top)
 
 
-# Parts of a snapshot that are ranked on their own before the final rank.
-CAP_PARTS = 32
+# Ranges into which the keys of a snapshot are counted, and how often the
+# range that holds the cut is counted again.
+CAP_RANGES, CAP_LEVELS = 4096, 2
+
+
+def _magnitude(df: DataFrame, order: str) -> Column:
+    """A number that never falls as ``order`` rises: of text, its bytes after
+    the prefix that the least and greatest key share, as far as a double
+    goes; of a number, itself."""
+    kind = df.schema[order].dataType
+    if isinstance(kind, NumericType):
+        return F.col(order).cast("double")
+    if not isinstance(kind, StringType):
+        raise TypeError(f"cannot cap by a column of type {kind.simpleString()}")
+    raw = lambda c: F.hex(F.col(c).cast("binary"))
+    ends = df.agg(F.min(order).alias("_a"), F.max(order).alias("_b")).select(raw("_a").alias("_a"), raw("_b").alias("_b"))
+    digit = lambda c, i: F.substring(c, i, F.lit(1))
+    same = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(F.length("_a"), F.lit(1))),
+        F.lit(0),
+        lambda n, i: F.when((n == i - 1) & (digit("_a", i) == digit("_b", i)), i).otherwise(n),
+    )
+    digits = F.rpad(F.substring(raw(order), ends.select(same + 1).scalar(), F.lit(12)), 12, "0")
+    return F.conv(digits, 16, 10).cast("double")
+
+
+def _cut_range(keys: DataFrame, by: str) -> DataFrame:
+    """For each snapshot of ``keys`` (by, key, _v, _left) the range of values
+    that holds its ``_left``-th smallest key: the keys in it and how many of
+    them are kept.  Snapshots with fewer keys are left out."""
+    span = keys.groupBy(by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    width = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300))
+    part = F.least(F.floor((F.col("_v") - F.col("_lo")) / width * CAP_RANGES), F.lit(CAP_RANGES - 1))
+    parted = keys.join(span, by).withColumn("_part", part).drop("_lo", "_hi")
+    counts = parted.groupBy(by, "_part").agg(F.count(F.lit(1)).alias("_n"), F.max("_left").alias("_left"))
+    # At most CAP_RANGES rows a snapshot.
+    upto = Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = counts.withColumn("_upto", F.sum("_n").over(upto))
+    before = F.col("_upto") - F.col("_n")
+    cut = running.where((F.col("_upto") >= F.col("_left")) & (before < F.col("_left"))).select(by, "_part", (F.col("_left") - before).alias("_rest"))
+    return parted.join(cut, [by, "_part"]).withColumn("_left", F.col("_rest")).drop("_part", "_rest")
+
+
+def cap_threshold(df: DataFrame, n: int, by: str = "block", order: str = "id") -> DataFrame:
+    """``(by, _most)``: each snapshot's ``n``-th smallest key, for snapshots
+    that have so many.
+
+    Threshold selection: keys are counted in ``CAP_RANGES`` ranges of their
+    values, the one range that holds the n-th key is counted again in finer
+    ones, and only the keys of the last cut range are ranked.
+    """
+    keys = df.select(by, order).where(F.col(by).isNotNull() & F.col(order).isNotNull()).distinct()
+    keys = keys.withColumns({"_v": _magnitude(df, order), "_left": F.lit(n).cast("bigint")})
+    for _ in range(CAP_LEVELS):
+        keys = _cut_range(keys, by)
+    last = Window.partitionBy(by).orderBy(order)
+    ranked = keys.withColumn("_rk", F.row_number().over(last)).where(F.col("_rk") == F.col("_left"))
+    return ranked.select(by, F.col(order).alias("_most"))
 
 
 def cap_per_snapshot(df: DataFrame, n: int, by: str = "block", order: str = "id") -> DataFrame:
     """At most ``n`` entities per snapshot, lowest ``order`` first.
 
     The source's ``first: n`` has no stated order; we make it deterministic.
-    ``dense_rank`` keeps every row of one entity together; cap parents
-    before their children are joined.  Each snapshot is first ranked in
-    ``CAP_PARTS`` hashed parts, whatever ``n`` is, so the task that ranks a
-    whole snapshot gets at most ``CAP_PARTS * n`` entities.
+    All rows of one entity stay together.  Rows are kept by comparing their
+    key with the snapshot's n-th one (``cap_threshold``), so no snapshot is
+    ranked whole; rows without a key or snapshot fall out.  ``order`` is text
+    or a number.
     """
-    part = F.pmod(F.xxhash64(order), F.lit(CAP_PARTS))
-    first = Window.partitionBy(by, "_part").orderBy(order)
-    ranked = df.withColumn("_part", part).withColumn("_rk", F.dense_rank().over(first)).where(F.col("_rk") <= n)
-    w = Window.partitionBy(by).orderBy(order)
-    return ranked.withColumn("_rk", F.dense_rank().over(w)).where(F.col("_rk") <= n).drop("_rk", "_part")
+    if n <= 0:
+        return df.where(F.lit(False))
+    most = cap_threshold(df, n, by, order)
+    kept = df.where(F.col(by).isNotNull() & F.col(order).isNotNull()).join(most, by, "left")
+    return kept.where(F.col("_most").isNull() | (F.col(order) <= F.col("_most"))).select(*df.columns)

@@ -11,13 +11,18 @@ Null rules (checked against the source's frame library):
 All expressions built from one ``WindowSpec`` share one Exchange and one Sort;
 Spark evaluates the ``lag`` columns and every frame length in adjacent Window
 nodes over the same sorted partition.
+
+``rolling`` makes many rolling columns at once from prefix sums: one running
+sum per column in integer units, which is exact, and each window is the
+difference of two of its rows.  A row then costs the same whatever the window
+lengths are; ``roll_sum`` and ``roll_avg`` sum each frame anew.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -62,3 +67,46 @@ def roll_avg(c: str | Column, n: int, w: WindowSpec, nullable: bool = True) -> C
     """Mean of the last ``n`` rows; null unless all ``n`` are present."""
     x = _col(c)
     return F.when(_full(x, n, w, nullable), F.avg(x).over(_frame(w, n)))
+
+
+# A double is summed as whole units and as 10^-12 parts of one, both integers.
+FRACTION = 1e12
+SUM, MEAN = "sum", "mean"
+
+
+def rolling(df: DataFrame, w: WindowSpec, wanted: Mapping[str, tuple[str, str, int]], nonnull: frozenset = frozenset()) -> DataFrame:
+    """``df`` with rolling columns: ``wanted`` maps a name to (``SUM`` or
+    ``MEAN``, column, rows).  Null rules as for ``roll_sum``; ``nonnull``:
+    columns the schema declares not nullable.
+
+    Two adjacent steps over the same sorted rows: running sums of the whole
+    and fractional units (exact to 10^-12 a row, for columns below 9e18) and,
+    for nullable columns, running counts; then each window as the difference
+    of a running sum and the one ``n`` rows before.
+    """
+    sources = sorted({c for _, c, _ in wanted.values()})
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole, part, seen = (lambda c, p=p: f"_{p}_{c}" for p in ("whole", "part", "seen"))
+    running = {"_row": F.row_number().over(w)}
+    for c in sources:
+        x = F.col(c) if c in nonnull else F.coalesce(F.col(c), F.lit(0.0))
+        unit = F.floor(x).cast("bigint")
+        running[whole(c)] = F.sum(unit).over(upto)
+        running[part(c)] = F.sum(F.round((x - unit) * F.lit(FRACTION)).cast("bigint")).over(upto)
+        if c not in nonnull:
+            running[seen(c)] = F.count(c).over(upto)
+    sums = df.select("*", *[x.alias(name) for name, x in running.items()])
+    # All running sums of an earlier row come as one value per window length.
+    sums = sums.select(*df.columns, "_row", F.struct(*[name for name in running if name != "_row"]).alias("_sums"))
+    lengths = sorted({n for _, _, n in wanted.values()})
+    summed = sums.select("*", *[F.lag("_sums", n).over(w).alias(f"_sums_{n}") for n in lengths])
+
+    def over(name: str, n: int) -> Column:
+        return F.col(f"_sums.{name}") - F.coalesce(F.col(f"_sums_{n}.{name}"), F.lit(0))
+
+    out = []
+    for name, (kind, c, n) in wanted.items():
+        full = F.col("_row") >= n if c in nonnull else over(seen(c), n) == n
+        total = over(whole(c), n).cast("double") + over(part(c), n).cast("double") / F.lit(FRACTION)
+        out.append(F.when(full, total if kind == SUM else total / F.lit(float(n))).alias(name))
+    return summed.select(*df.columns, *out)

@@ -25,7 +25,7 @@ from snapmetrics.plans import oracle as O
 from snapmetrics.plans import publish as P
 from snapmetrics.sources import fixtures as fx
 from snapmetrics.sources import scans
-from snapmetrics.sources.grid import Grid, resolve_blocks
+from snapmetrics.sources.grid import Grid, pinned, resolve_blocks
 
 ROUND_DIGITS = O.ROUND_DIGITS
 
@@ -95,7 +95,7 @@ def select_from(cte_name: str, cols: list[str], extra: str = "") -> str:
 def _snaps(t: fx.Tables, grid: Grid, orders: bool = False) -> DataFrame:
     return t.memo(
         ("snapshots", orders, grid),
-        lambda: resolve_blocks(fx.order_blocks(t) if orders else fx.event_blocks(t), grid),
+        lambda: pinned(resolve_blocks(fx.order_blocks(t) if orders else fx.event_blocks(t), grid), grid),
     )
 
 
@@ -140,7 +140,7 @@ for _name, _grid, _s, _orders in (
     ("asof_block_orders", fx.G5_ORDERS, "s5", True),
 ):
     register(_name, ASOF_COLS, select_from(_s, ASOF_COLS), [_s])(
-        (lambda g, o: lambda t: _snaps(t, g, o))(_grid, _orders)
+        (lambda g, o: lambda t: resolve_blocks(fx.order_blocks(t) if o else fx.event_blocks(t), g))(_grid, _orders)
     )
 
 

@@ -37,11 +37,11 @@ from snapmetrics.operators.relations import (
 )
 from snapmetrics.operators.shape import explode_child, flatten, rename_map, root_select
 from snapmetrics.operators.snapshots import cap_per_snapshot
-from snapmetrics.operators.windows import series
+from snapmetrics.operators.windows import rolling, series
 from snapmetrics.plans import columns as C
 from snapmetrics.sources import fixtures as fx
 from snapmetrics.sources import scans
-from snapmetrics.sources.grid import Grid, resolve_blocks, snapshot_grid
+from snapmetrics.sources.grid import Grid, pinned, resolve_blocks, snapshot_grid
 
 
 @dataclass(frozen=True)
@@ -85,7 +85,7 @@ def snapshots_for(t: fx.Tables, spec: JobSpec) -> DataFrame:
     orders = spec.query == "allocations"
     return t.memo(
         ("snapshots", orders, spec.grid),
-        lambda: resolve_blocks(fx.order_blocks(t) if orders else fx.event_blocks(t), spec.grid),
+        lambda: pinned(resolve_blocks(fx.order_blocks(t) if orders else fx.event_blocks(t), spec.grid), spec.grid),
     )
 
 
@@ -189,7 +189,7 @@ def global_windows(df: DataFrame) -> DataFrame:
     """
     w = series(["block", "stamp"])
     changed = df.select("*", *global_changes(w))
-    return changed.select("*", *global_rolling(w, non_nullable(changed)))
+    return rolling(changed, w, global_rolling(), non_nullable(changed))
 
 
 def global_from(payload: DataFrame, blocktimes: DataFrame, fs: Column) -> DataFrame:
@@ -266,7 +266,7 @@ def subgraphs_windows(df: DataFrame) -> DataFrame:
     """F5-F7 per subgraph over (block, stamp): one Exchange, one Sort."""
     w = series(["block", "stamp"], "subgraph_id")
     changed = df.select("*", *entity_changes(w))
-    return changed.select("*", *entity_rolling(w, non_nullable(changed)))
+    return rolling(changed, w, entity_rolling(), non_nullable(changed))
 
 
 def subgraphs_frame(t: fx.Tables, fs: Column, spec: JobSpec = SUBGRAPHS) -> DataFrame:
@@ -320,12 +320,20 @@ def last_n(df: DataFrame, n: int, by: str = "date", tie: tuple[str, ...] = ()) -
     return whole.select(*cols).unionByName(sliced.where("_whole").select(*cols)).unionByName(ranked.select(*cols))
 
 
+def last_snapshots(frame: DataFrame, n: int) -> DataFrame:
+    """G3 for a frame with one row per snapshot, which the grid bounds: the
+    last ``n`` by (date, block, stamp), one pass over the frame."""
+    return frame.orderBy(*[F.col(c).desc() for c in ("date", "block", "stamp")]).limit(n)
+
+
 def job_output(frame: DataFrame, spec: JobSpec) -> DataFrame:
     """The CSV output of a job: all rows, or the last N by date if asked."""
     cols = C.OUT_BY_JOB[spec.type]
     if spec.rows is None or spec.type == "allocations":
         return frame.select(*cols)
-    tie = ("subgraph_id", "block") if spec.type == "subgraphs" else ("block", "stamp")
+    if spec.type == "global":
+        return last_snapshots(frame, spec.rows).select(*cols)
+    tie = ("subgraph_id", "block")
     return last_n(frame.select(*dict.fromkeys([*cols, "date", *tie])), spec.rows, "date", tie).select(*cols)
 
 

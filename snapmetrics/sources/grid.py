@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -114,15 +115,56 @@ def snapshot_grid(
     return Grid(start, step_s, count)
 
 
+# Stamps of a long grid that are ordered in one task.
+CHUNK_BITS = 12
+
+
+def _resolved(stamps: DataFrame, chunked: bool) -> DataFrame:
+    """``(idx, stamp, last_block)`` per stamp to the snapshot table.
+
+    A short grid is one window over its stamps.  A long one is windowed in
+    chunks of stamps apart from each other; what a chunk takes over from
+    those before it, its greatest block so far and the number of distinct
+    blocks, comes from a table with one row per chunk.
+    """
+    if not chunked:
+        order = Window.orderBy("idx")
+        upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = stamps.withColumn("block", F.max("last_block").over(upto)).where(F.col("block").isNotNull())
+        out = out.withColumn("prior", F.lag("block").over(order))
+        first = F.coalesce(F.col("prior") != F.col("block"), F.lit(True))
+        out = out.withColumn("first_of_block", first)
+        return out.withColumn("place", F.sum(F.col("first_of_block").cast("int")).over(upto) - F.lit(1))
+    order = Window.partitionBy("_chunk").orderBy("idx")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # The chunk table has one row per 2^CHUNK_BITS stamps.
+    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+
+    def carried(df: DataFrame, total: Column, take) -> DataFrame:
+        ends = df.groupBy("_chunk").agg(total.alias("_total"))
+        return df.join(ends.select("_chunk", take(F.col("_total")).over(before).alias("_carry")), "_chunk")
+
+    part = stamps.withColumn("_chunk", F.shiftright("idx", CHUNK_BITS))
+    part = carried(part, F.max("last_block"), F.max)
+    part = part.withColumn("block", F.greatest("_carry", F.max("last_block").over(upto)))
+    part = part.withColumn("prior", F.coalesce(F.lag("block").over(order), "_carry")).drop("_carry").where(F.col("block").isNotNull())
+    part = part.withColumn("first_of_block", F.coalesce(F.col("prior") != F.col("block"), F.lit(True)))
+    first = F.col("first_of_block").cast("int")
+    part = carried(part, F.sum(first), F.sum)
+    return part.withColumn("place", F.coalesce("_carry", F.lit(0)) + F.sum(first).over(upto) - F.lit(1))
+
+
 def resolve_blocks(block_table: DataFrame, grid: Grid, block: str = "block", time: str = "block_time") -> DataFrame:
     """A2/A3: backward as-of lookup of every stamp in ``grid``.
 
     Returns ``(idx int, stamp timestamp_ntz, block bigint, first_of_block
-    boolean)``, one row per resolved stamp.  ``first_of_block`` marks the
-    first stamp of each distinct block: the source keys payloads by block,
-    so a block shared by two stamps is fetched once (D1 fans it out again).
-    Block text that does not parse is ignored (I10), as is a stamp with no
-    block at or before it (A3).
+    boolean, prior bigint, place bigint)``, one row per resolved stamp.
+    ``first_of_block`` marks the first stamp of each distinct block: the
+    source keys payloads by block, so a block shared by two stamps is fetched
+    once (D1 fans it out again).  ``prior`` is the block of the stamp before
+    (null for the first), ``place`` counts the distinct blocks before.  Block
+    text that does not parse is ignored (I10), as is a stamp with no block at
+    or before it (A3).
     """
     spark = block_table.sparkSession
     per_idx = (
@@ -133,18 +175,36 @@ def resolve_blocks(block_table: DataFrame, grid: Grid, block: str = "block", tim
         .agg(F.max("block").alias("last_block"))
     )
     # Both sides hold at most grid.count rows.
-    running = Window.orderBy("idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ordered = Window.orderBy("idx")
-    resolved = (
-        grid.to_df(spark)
-        .join(grid.small(per_idx), "idx", "left")
-        .select("idx", "stamp", F.max("last_block").over(running).alias("block"))
-        .where(F.col("block").isNotNull())
-    )
-    return resolved.select(
-        "idx",
-        "stamp",
-        "block",
-        F.coalesce(F.lag("block").over(ordered) != F.col("block"), F.lit(True)).alias("first_of_block"),
-    )
+    stamps = grid.to_df(spark).join(grid.small(per_idx), "idx", "left")
+    out = _resolved(stamps, chunked=grid.count > BROADCAST_STAMPS)
+    return out.select("idx", "stamp", "block", "first_of_block", "prior", F.col("place").cast("bigint").alias("place"))
 
+
+def pinned(snapshots: DataFrame, grid: Grid) -> DataFrame:
+    """The snapshot table, resolved once: the source, too, looks its stamps up
+    before it asks for any state.
+
+    A table of at most ``BROADCAST_STAMPS`` rows, which every plan would
+    broadcast anyway, becomes a local relation, so that plans using it do not
+    scan the block table again.  A larger one stays as it is.
+    """
+    if grid.count > BROADCAST_STAMPS:
+        return snapshots
+    rows = snapshots.toArrow()
+    out = snapshots.sparkSession.createDataFrame(rows, schema=snapshots.schema)
+    blocks = rows.column("block").to_pylist()
+    _RANGES[out] = (min(blocks), max(blocks)) if blocks else (0, 0)
+    return out
+
+
+#: First and last block of each pinned table.
+_RANGES: WeakKeyDictionary = WeakKeyDictionary()
+
+
+def block_range(snapshots: DataFrame) -> tuple[Column, Column]:
+    """First and last snapshot block: literals of a pinned table, scalar
+    subqueries of another."""
+    if snapshots in _RANGES:
+        lo, hi = _RANGES[snapshots]
+        return F.lit(lo).cast("bigint"), F.lit(hi).cast("bigint")
+    return snapshots.agg(F.min("block")).scalar(), snapshots.agg(F.max("block")).scalar()

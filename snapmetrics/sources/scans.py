@@ -27,8 +27,8 @@ from snapmetrics.operators.snapshots import (
     carry_forward,
     interval_partials,
     latest_state,
+    place,
     spread,
-    with_place,
 )
 from snapmetrics.sources import fixtures as fx
 from snapmetrics.sources.grid import Grid
@@ -213,34 +213,52 @@ def scan_network(t: fx.Tables, grid: Grid, snapshots: DataFrame, network_id: str
 
 
 def _versions(t: fx.Tables) -> DataFrame:
-    """Line sums of each distinct version of an order, combined before the
-    shuffle.  Order totals and version ids both come from it."""
-    return t.lineitem.groupBy("l_orderkey", "l_suppkey", "l_linenumber").agg(
-        F.sum(fx.money_cents("l_extendedprice")).alias("qf_cents"),
-        F.sum(fx.money_cents(F.col("l_extendedprice") * F.col("l_discount"))).alias("fee_cents"),
+    """Line sums of each distinct version of an order.  The lines are dealt
+    by their order once; order totals and version ids both come from it
+    without another exchange."""
+    lines = t.lineitem.select(
+        "l_orderkey", "l_suppkey", "l_linenumber",
+        fx.money_cents("l_extendedprice").alias("qf"), fx.money_cents(F.col("l_extendedprice") * F.col("l_discount")).alias("fee"),
+    )
+    return lines.repartition("l_orderkey").groupBy("l_orderkey", "l_suppkey", "l_linenumber").agg(
+        F.sum("qf").alias("qf_cents"), F.sum("fee").alias("fee_cents")
     )
 
 
-def _allocations_base(t: fx.Tables) -> DataFrame:
-    """One row per order with its line sums and number of versions (null: it
-    has none)."""
-    lines = _versions(t).groupBy("l_orderkey").agg(
-        F.sum("qf_cents").alias("qf_cents"), F.sum("fee_cents").alias("fee_cents"), F.count(F.lit(1)).alias("n_versions")
-    )
-    orders = t.orders.select(
+def _orders(t: fx.Tables) -> DataFrame:
+    return t.orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
         "o_orderdate",
         "o_orderstatus",
         fx.money_cents("o_totalprice").alias("total_cents"),
         fx.order_day("o_orderdate").alias("day"),
     )
-    return orders.join(lines, "l_orderkey", "left")
 
 
-def _version_ids(t: fx.Tables) -> DataFrame:
-    """Distinct versions per order, the text id built from the integer keys."""
-    vid = F.concat(F.col("l_suppkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
-    return _versions(t).select("l_orderkey", vid.alias("version_id"))
+def _allocations_base(t: fx.Tables) -> DataFrame:
+    """One row per order with its line sums and number of versions (null: it
+    has none)."""
+    lines = _versions(t).groupBy("l_orderkey").agg(
+        F.sum("qf_cents").alias("qf_cents"), F.sum("fee_cents").alias("fee_cents"), F.count(F.lit(1)).alias("n_versions")
+    )
+    return _orders(t).join(lines, "l_orderkey", "left")
+
+
+def _version_id() -> Column:
+    return F.concat(F.col("l_suppkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+
+
+def _allocation_versions(t: fx.Tables) -> DataFrame:
+    """One row per order and version (one without a version if it has none)
+    with the order's line sums: the lines are read and dealt once, and window
+    sums over the order give its totals on each of its versions.  An order's
+    versions are streamed through one task, sorted with spill."""
+    whole = Window.partitionBy("l_orderkey")
+    versions = _versions(t).select(
+        "l_orderkey", _version_id().alias("version_id"),
+        F.sum("qf_cents").over(whole).alias("qf_cents"), F.sum("fee_cents").over(whole).alias("fee_cents"),
+    )
+    return _orders(t).join(versions, "l_orderkey", "left")
 
 
 def _allocation_fields() -> dict:
@@ -264,26 +282,38 @@ def _spread_orders(base: DataFrame, grid: Grid, snapshots: DataFrame) -> DataFra
     return spread(assign_snapshot(base, grid, snapshots, "day"), grid, snapshots)
 
 
-def scan_allocations(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> DataFrame:
-    """A7 (``allocations``): allocations with ``subgraphDeployment.versions``
-    as a sorted ``array<struct<id>>`` (empty when there are none), one row per
-    allocation and distinct snapshot block.
+# Versions in a page of a deployment's list, about.
+PAGE = 1000
 
-    The list holds the versions of one deployment and must fit a row, which
-    is the limit of the nested form; it is attached after the snapshot
-    spread.  The job path uses ``allocation_rows``, which gives the exploded
-    rows without lists.
+
+def scan_allocations(t: fx.Tables, grid: Grid, snapshots: DataFrame, page: int = PAGE) -> DataFrame:
+    """A7 (``allocations``): allocations with ``subgraphDeployment.versions``
+    as sorted ``array<struct<id>>`` (empty when there are none), one row per
+    allocation, page of its list and distinct snapshot block.
+
+    D4 in pages: a deployment of more than ``page`` versions has several
+    rows, numbered by ``page`` and dealt by the digest of the version id, so
+    no list grows with a deployment; ``merge_pages`` puts them together where
+    they are known to fit.  The job path uses ``allocation_rows``, which
+    gives the exploded rows without lists.
     """
-    lists = _version_ids(t).groupBy("l_orderkey").agg(
+    whole = Window.partitionBy("l_orderkey")
+    versions = _versions(t).select(
+        "l_orderkey", _version_id().alias("version_id"), F.count(F.lit(1)).over(whole).alias("n"),
+        F.sum("qf_cents").over(whole).alias("qf_cents"), F.sum("fee_cents").over(whole).alias("fee_cents"),
+    )
+    number = F.pmod(F.xxhash64("version_id"), F.ceil(F.col("n") / F.lit(page))).cast("int")
+    lists = versions.withColumn("page", number).groupBy("l_orderkey", "page", "qf_cents", "fee_cents").agg(
         F.array_sort(F.collect_list(F.struct(F.col("version_id").alias("id")))).alias("versions")
     )
-    rows = _spread_orders(_allocations_base(t), grid, snapshots).join(lists, "l_orderkey", "left")
+    rows = _spread_orders(_orders(t).join(lists, "l_orderkey", "left"), grid, snapshots)
     f = _allocation_fields()
     empty = F.array().cast("array<struct<id:string>>")
     deployment = F.struct(f["deployment"].alias("id"), F.coalesce(F.col("versions"), empty).alias("versions"))
     return rows.select(
         "block",
         f["id"],
+        F.coalesce("page", F.lit(0)).alias("page"),
         f["queryFeesCollected"],
         f["delegationFees"],
         deployment.alias("subgraphDeployment"),
@@ -297,34 +327,24 @@ def allocation_rows(t: fx.Tables, grid: Grid, snapshots: DataFrame, cap: int | N
     """A7 + B4 + B1 without lists: the flat rows that exploding and
     flattening ``scan_allocations`` gives.
 
-    ``explode_outer`` of a list equals the inner join with the versions plus
-    the parents without any, which the count of versions tells without a
-    second join; an inner join lets Spark split a hot deployment on either
-    side.  It comes after the snapshot spread, so a filter on the
-    allocation's own columns is pushed below it.  ``cap`` (A8) limits the
-    allocations of a snapshot before their versions are joined.
+    ``explode_outer`` of a list equals the left join with the versions; it
+    comes before the spread over snapshots, so rows are multiplied once, at
+    the end.  ``cap`` (A8) limits the allocations of a snapshot.
     """
-    rows = _spread_orders(_allocations_base(t), grid, snapshots)
+    rows = _spread_orders(_allocation_versions(t), grid, snapshots)
     f = _allocation_fields()
     flat = rows.select(
         "block",
-        "l_orderkey",
-        "n_versions",
         f["id"],
         f["queryFeesCollected"],
         f["delegationFees"],
         f["deployment"].alias("subgraphDeployment_id"),
+        F.col("version_id").alias("subgraphDeployment_versions_id"),
         f["allocatedTokens"],
         f["status"],
         f["closedAtBlockNumber"],
     )
-    if cap is not None:
-        flat = cap_per_snapshot(flat, cap, "block", "id")
-    versions = _version_ids(t).withColumnRenamed("version_id", "subgraphDeployment_versions_id")
-    matched = flat.join(versions, "l_orderkey", "inner")
-    childless = flat.where(F.col("n_versions").isNull())
-    lonely = childless.withColumn("subgraphDeployment_versions_id", F.lit(None).cast("string"))
-    return matched.unionByName(lonely).drop("l_orderkey", "n_versions")
+    return flat if cap is None else cap_per_snapshot(flat, cap, "block", "id")
 
 
 def allocation_block_bounds(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> Column:
@@ -348,15 +368,22 @@ def fee_totals(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> Column:
     The output has an order once per version (at least once) and snapshot
     block from its own on whose close block lies in the frame's range; the
     close block is null, taken as 0, before the order closes.  So an order
-    counts ``versions * blocks`` times, with the blocks counted from the
-    snapshot table: one row per order, no spread and no version join.
+    counts ``versions * blocks`` times, and the blocks depend only on its day
+    and whether it closes: the orders are summed by these first, and only the
+    distinct days are placed among the snapshot blocks.
     """
-    closes = F.when(F.col("o_orderstatus") == "F", F.col("day") + F.lit(fx.CLOSE_AFTER_DAYS))
-    base = _allocations_base(t).withColumn("closes", closes)
-    placed = with_place(base, grid, snapshots, _from=F.col("day"), _closed=F.col("closes"))
-    placed = placed.withColumn("_range", allocation_block_bounds(t, grid, snapshots))
-    n, inside = F.size("_blocks"), lambda x: x.between(F.col("_range")["lo"], F.col("_range")["hi"])
-    closed = F.coalesce(n - F.col("_closed"), F.lit(0))
-    weight = F.when(inside(F.col("closes")), closed).otherwise(0) + F.when(inside(F.lit(0)), n - F.col("_from") - closed).otherwise(0)
-    total = lambda c: F.sum(F.coalesce(c, F.lit(0)).cast("decimal(28,0)") * F.coalesce("n_versions", F.lit(1)) * weight)
-    return placed.agg(F.struct(total("fee_cents").alias("fees"), total("qf_cents").alias("collected"))).scalar()
+    exact = lambda c: F.sum(F.coalesce(c, F.lit(0)).cast("decimal(28,0)") * F.coalesce("n_versions", F.lit(1)))
+    closes = (F.col("o_orderstatus") == "F").alias("closing")
+    days = _allocations_base(t).groupBy("day", closes).agg(exact("fee_cents").alias("fees"), exact("qf_cents").alias("collected"))
+    days = days.withColumn("closes", F.when(F.col("closing"), F.col("day") + F.lit(fx.CLOSE_AFTER_DAYS)))
+    opened = place(days, grid, snapshots, F.col("day"), "left").drop("idx").withColumnRenamed("place", "_from")
+    placed = place(opened, grid, snapshots, F.col("closes"), "left").withColumnRenamed("place", "_closed")
+    n = snapshots.agg(F.count_if("first_of_block")).scalar()
+    limits = allocation_block_bounds(t, grid, snapshots)
+    placed = placed.withColumns({"_n": n, "_range": limits})
+    inside = lambda x: x.between(F.col("_range")["lo"], F.col("_range")["hi"])
+    # Blocks at or after the day, and those of them at or after the closing.
+    present, closed = (F.coalesce(F.col("_n") - F.col(c), F.lit(0)) for c in ("_from", "_closed"))
+    weight = F.when(inside(F.col("closes")), closed).otherwise(0) + F.when(inside(F.lit(0)), present - closed).otherwise(0)
+    total = lambda c: F.sum(F.col(c) * weight).alias(c)
+    return placed.agg(F.struct(total("fees"), total("collected"))).scalar()

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pandas as pd
 import pytest
@@ -90,3 +91,38 @@ def test_resolve_is_zone_independent(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     utc = sorted((r.stamp, r.block) for r in got.collect())
     assert ny == utc and len(utc) == 30
+
+
+def test_long_grid_is_resolved_in_chunks(spark, monkeypatch):
+    """The same table as in one window, from chunks of 2^3 stamps, with shared
+    blocks, unresolved first chunks and chunks without any block."""
+    from snapmetrics.sources import grid as G
+
+    g = Grid(dt.datetime(2024, 1, 1), 60, 203)
+    minutes = [30, 30, 31, 33, 40, 41, 42, 90, 91, 150, 151, 190]
+    rows = [(str(5 * i + 3), g.start + dt.timedelta(minutes=m)) for i, m in enumerate(minutes)]
+    # A block that is smaller than those before it in time.
+    rows.append(("4", g.start + dt.timedelta(minutes=100)))
+    want = sorted(map(tuple, resolve_blocks(_blocks(spark, rows), g).collect()))
+    assert len(want) == 203 - 30
+    monkeypatch.setattr(G, "BROADCAST_STAMPS", 50)
+    monkeypatch.setattr(G, "CHUNK_BITS", 3)
+    got = resolve_blocks(_blocks(spark, rows), g)
+    assert sorted(map(tuple, got.collect())) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # Only the tables of chunk ends meet in one task.
+    at = [m.start() for m in re.finditer("Exchange SinglePartition", plan)]
+    assert at and all("HashAggregate(keys=[_chunk#" in plan[i : i + 400] for i in at)
+
+
+def test_only_small_tables_are_pinned(spark, monkeypatch):
+    from snapmetrics.sources import grid as G
+
+    g = Grid.between(dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2), 3600)
+    snaps = resolve_blocks(_blocks(spark, [("7", g.start), ("9", g.stamp(5))]), g)
+    local = G.pinned(snaps, g)
+    assert "LocalTableScan" in local._jdf.queryExecution().executedPlan().toString()
+    assert sorted(local.collect()) == sorted(snaps.collect()) and local.schema == snaps.schema
+    assert G.pinned(snaps.where("false"), g).count() == 0
+    monkeypatch.setattr(G, "BROADCAST_STAMPS", 3)
+    assert G.pinned(snaps, g) is snaps

@@ -1,7 +1,9 @@
 """as_of against a brute-force pandas state at every block, on seeded random
 logs and grids with shared blocks and stamps before the first block."""
 
+import bisect
 import datetime as dt
+import re
 
 import numpy as np
 import pandas as pd
@@ -9,16 +11,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapmetrics.operators.snapshots import (
+    CAP_LEVELS,
     COUNT,
     LATEST,
     MAX,
     MIN,
     SUM,
+    _cut_range,
+    _magnitude,
     as_of,
     cap_per_snapshot,
     latest_state,
+    place,
 )
-from snapmetrics.sources.grid import Grid, resolve_blocks
+from snapmetrics.sources.grid import Grid, pinned, resolve_blocks
 
 
 def _log(seed, n=400):
@@ -115,8 +121,72 @@ def test_three_rows_out_of_order(spark):
 
 
 def test_cap_ranks_no_whole_snapshot_in_one_task(spark):
-    rows = spark.range(20_000).selectExpr("1 AS block", "format_string('%06d', id) AS id")
+    """Only the keys of the last cut range are ranked: a handful of 20,000."""
+    rows = spark.range(40_000).selectExpr("id % 2 AS block", "format_string('%06d', id) AS id")
     got = cap_per_snapshot(rows, 1500, "block", "id")
-    assert sorted(r.id for r in got.collect()) == [f"{i:06d}" for i in range(1500)]
+    assert sorted(r.id for r in got.collect()) == [f"{i:06d}" for i in range(3000)]
+    keys = rows.withColumns({"_v": _magnitude(rows, "id"), "_left": F.lit(1500).cast("bigint")})
+    for _ in range(CAP_LEVELS):
+        keys = _cut_range(keys, "block")
+    assert keys.groupBy("block").count().agg(F.max("count")).first()[0] <= 10
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(block" in plan and "_part" in plan
+    # Rank windows stand above the joins with the cut ranges.
+    ranks = [m.start() for m in re.finditer(r"row_number\(\) windowspecdefinition", plan)]
+    assert ranks and all("_part" in plan[i:] for i in ranks)
+
+
+@pytest.mark.parametrize("n", [1, 3, 49, 50, 51, 400])
+def test_cap_matches_a_dense_rank(spark, n):
+    """Skewed keys, snapshots of different sizes, entities of several rows,
+    ids that are prefixes of each other, and ids beyond ASCII."""
+    rng = np.random.default_rng(3)
+    ids = [f"user-{'0' * int(rng.integers(0, 3))}{int(rng.zipf(1.3)) % 10**9}" for _ in range(50)] + ["user-", "user-é", "user-漢", "user-é1", "user-\x01"]
+    rows = [(b, i, v) for b in range(3) for i in sorted(set(ids))[: 20 * (b + 1)] for v in range(1 + len(i) % 2)]
+    df = spark.createDataFrame([*rows, (None, "user-1", 0), (1, None, 0)], "block int, id string, v int")
+    want = []
+    for b in range(3):
+        keep = sorted({i for x, i, _ in rows if x == b}, key=str.encode)[:n]
+        want += [r for r in rows if r[0] == b and r[1] in keep]
+    assert sorted(map(tuple, cap_per_snapshot(df, n, "block", "id").collect())) == sorted(want)
+
+
+def test_cap_by_numbers_and_by_nothing_else(spark):
+    df = spark.range(500).selectExpr("id % 3 AS block", "id * id * id - 1000 AS id", "DATE '2024-01-01' AS d")
+    got = cap_per_snapshot(df, 7, "block", "id")
+    assert got.count() == 21 and got.agg(F.max("id")).first()[0] == 20**3 - 1000
+    assert cap_per_snapshot(df, 0, "block", "id").count() == 0
+    with pytest.raises(TypeError):
+        cap_per_snapshot(df, 7, "block", "d")
+
+
+def test_placement_is_one_compiled_join(spark):
+    """Each row meets only its bin's intervals, once; nothing is interpreted."""
+    grid = Grid(dt.datetime(2024, 1, 1, 0, 0), 300, 600)
+    log = spark.createDataFrame(_log(8)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    snaps = pinned(resolve_blocks(log.select("block", F.col("ts").alias("block_time")), grid), grid)
+    placed = place(log, grid, snaps, F.col("block"))
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 1 and "NestedLoop" not in plan and "lambda" not in plan
+    assert "Subquery" not in plan
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_place_against_bisect(spark, how):
+    """Clustered blocks (most intervals in one bin), shared blocks, rows before
+    the first, after the last and without a block; pinned or not."""
+    grid = Grid(dt.datetime(2024, 1, 1), 60, 40)
+    blocks = [1, 2, 3, 4, 5, 9, 10, 11, 500_000, 10**12]
+    times = [dt.datetime(2024, 1, 1) + dt.timedelta(minutes=4 * i) for i in range(len(blocks))]
+    snaps = resolve_blocks(spark.createDataFrame(list(zip(blocks, times)), "block long, block_time timestamp_ntz"), grid)
+    first = {r.block: r.idx for r in snaps.where("first_of_block").collect()}
+    values = [None, -(10**15), 0, 1, 2, 6, 10, 11, 12, 499_999, 500_000, 500_001, 10**12, 10**12 + 1]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    want = []
+    for v in values:
+        p = None if v is None else bisect.bisect_left(blocks, v)
+        hit = p is not None and p < len(blocks)
+        if hit or how == "left":
+            want.append((v, first[blocks[p]] if hit else None, p if hit else None))
+    for table in (snaps, pinned(snaps, grid)):
+        got = place(df, grid, table, F.col("v"), how).collect()
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str)

@@ -2,7 +2,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from snapmetrics.operators.windows import diff_n, roll_avg, roll_sum, series
+from snapmetrics.operators.windows import MEAN, SUM, diff_n, roll_avg, roll_sum, rolling, series
 
 
 def test_x5_gaps(spark):
@@ -37,3 +37,33 @@ def test_against_pandas_keyed(spark):
     ).sort_values("t").reset_index(drop=True)
     for c in ("d1", "d3", "s5", "a4"):
         np.testing.assert_allclose(got[c].astype(float), exp[c].astype(float), rtol=1e-9, atol=1e-12, equal_nan=True)
+
+
+def test_prefix_sums_against_resummed_frames(spark):
+    """Every window of every length, with and without nulls, also after values
+    that are far larger than the rest."""
+    rng = np.random.default_rng(11)
+    n = 240
+    pdf = pd.DataFrame({"k": rng.integers(0, 3, n), "t": np.arange(n), "x": rng.normal(size=n).round(6), "y": rng.normal(size=n) * 100})
+    pdf.loc[[20, 21], "x"] = [4e15, -3e15]
+    pdf.loc[rng.choice(n, 25, replace=False), "y"] = np.nan
+    df = spark.createDataFrame(pdf).withColumn("y", F.when(F.isnan("y"), None).otherwise(F.col("y")))
+    w = series(["t"], "k")
+    wanted = {f"{kind}_{c}_{m}": (kind, c, m) for kind in (SUM, MEAN) for c in ("x", "y") for m in (1, 4, 30)}
+    got = rolling(df, w, wanted, frozenset(["x"]))
+    assert got.columns == [*df.columns, *wanted]
+    got = got.toPandas().sort_values("t").reset_index(drop=True)
+    g = pdf.sort_values(["k", "t"]).groupby("k")
+    for name, (kind, c, m) in wanted.items():
+        # Each frame summed on its own, so large values leave no trace.
+        exp = g[c].rolling(m).apply(lambda v: np.float64(sum(map(float, v))), raw=True).reset_index(level=0, drop=True).sort_index()
+        exp = exp / (m if kind == MEAN else 1)
+        np.testing.assert_allclose(got[name].astype(float), exp.astype(float), rtol=1e-12, atol=1e-9, equal_nan=True)
+
+
+def test_rolling_keeps_one_exchange_and_no_sliding_frame(spark):
+    df = spark.range(100).selectExpr("id % 5 AS k", "id AS t", "CAST(id AS DOUBLE) AS x")
+    w = series(["t"], "k")
+    plan = rolling(df, w, {f"s{m}": (SUM, "x", m) for m in (7, 14, 30)}, frozenset(["x"]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
+    assert "unboundedpreceding" in plan.lower() and "RowFrame, -6" not in plan
