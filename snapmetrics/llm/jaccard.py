@@ -12,7 +12,8 @@ Signatures only propose pairs; links are verified exactly.  In a bucket every
 member is first compared with one leader.  Buckets whose members then are not
 all in one component have their remaining pairs across components examined in
 blocks, where a parity bitmap bounds the difference from below before a pair
-is emitted.  Copies, and near copies that all link, thus never make all
+is emitted; a bitmap has at least as many bits as its set has elements, so
+unlike sets of every size are ruled out.  Copies, and near copies that all link, thus never make all
 pairs, and no link between components is missed.
 """
 
@@ -33,7 +34,8 @@ from snapmetrics.llm.components import components
 
 #: Bits of an element's hash; the rest of a word holds the row of a chunk.
 TOKEN_BITS = 52
-BITMAP = 1024
+#: Bits of the smallest bitmap.
+BITMAP = 256
 #: Members of an open bucket that a task compares at a time.
 BLOCK = 1024
 #: Costs, in signatures, of pairing a member with its bucket's leader, and of
@@ -153,11 +155,25 @@ def signatures(row: np.ndarray, token: np.ndarray, band: np.ndarray, bands: Band
     return np.concatenate([owner, row[near]]), np.concatenate([whole, fewer])
 
 
-def bitmaps(row: np.ndarray, token: np.ndarray, n: int) -> np.ndarray:
-    """Parity of each row's elements over ``BITMAP`` classes, packed: two rows
-    differ in at least as many elements as their bitmaps in bits."""
-    odd = np.bincount(row * BITMAP + (token & np.uint64(BITMAP - 1)).astype(np.int64), minlength=n * BITMAP) & 1
-    return np.packbits(odd.reshape(n, BITMAP).astype(np.uint8), axis=1)
+def bitmaps(row: np.ndarray, token: np.ndarray, n: int) -> list[bytes]:
+    """Parity of each row's elements over classes, packed: two rows differ in
+    at least as many elements as their bitmaps in bits.  A row has the least
+    power of two of classes that is not below its size; a bitmap of twice the
+    width folds to the narrower one (``fold``), so rows of neighbouring sizes
+    can be compared."""
+    size = np.maximum(np.bincount(row, minlength=n), BITMAP)
+    width = np.int64(1) << np.ceil(np.log2(size)).astype(np.int64)
+    base = np.cumsum(width) - width
+    at = base[row] + (token & (width[row] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(at, minlength=int(width.sum())) & 1
+    packed = np.packbits(odd.astype(np.uint8))
+    return [packed[x : x + w].tobytes() for x, w in zip((base // 8).tolist(), (width // 8).tolist(), strict=True)]
+
+
+def fold(words_: np.ndarray) -> np.ndarray:
+    """Bitmaps, as words, over half as many classes."""
+    half = words_.shape[-1] // 2
+    return words_[..., :half] ^ words_[..., half:]
 
 
 #: Kinds of row: a document with its size and bitmap, a sure link, a
@@ -167,11 +183,11 @@ ROWS = "kind int, key long, a long, b long, bitmap binary"
 _SCHEMA = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("bitmap", pa.binary())])
 
 
-def _rows(kind: int, key: np.ndarray, a: np.ndarray, b: np.ndarray | None, bitmap: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+def _rows(kind: int, key: np.ndarray, a: np.ndarray, b: np.ndarray | None, bitmap: list[bytes] | None = None) -> Iterator[pa.RecordBatch]:
     for i in range(0, len(key), 1 << 18):
         part = slice(i, i + (1 << 18))
         n = len(key[part])
-        bits = pa.nulls(n, pa.binary()) if bitmap is None else pa.array([x.tobytes() for x in bitmap[part]], pa.binary())
+        bits = pa.nulls(n, pa.binary()) if bitmap is None else pa.array(bitmap[part], pa.binary())
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(n, kind, np.int32)), pa.array(key[part].view(np.int64)), pa.array(a[part]),
              pa.nulls(n, pa.int64()) if b is None else pa.array(b[part]), bits],
@@ -283,7 +299,11 @@ def plausible(pairs: DataFrame, documents: DataFrame, s: Similarity) -> DataFram
     differ in at most ``most_different`` elements, bitmaps in no more bits."""
     facts = lambda x: documents.select(F.col("a").alias(x), F.col("b").alias(f"n_{x}"), F.col("bitmap").alias(f"bits_{x}"))
     both = pairs.join(facts("a"), "a").join(facts("b"), "b")
-    odd = F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    # Sizes that can link have bitmaps of equal width, or one of twice the other's.
+    width = F.least(F.size("bits_a"), F.size("bits_b"))
+    xor = lambda x, y: x.bitwiseXOR(y)
+    folded = lambda c: F.when(F.size(c) <= width, F.col(c)).otherwise(F.zip_with(F.slice(c, 1, width), F.slice(c, width + 1, width), xor))
+    odd = F.zip_with(folded("bits_a"), folded("bits_b"), lambda x, y: F.bit_count(xor(x, y)))
     apart = F.aggregate(odd, F.lit(0), lambda acc, n: acc + n)
     near = 100 * F.least("n_a", "n_b") >= s.percent * F.greatest("n_a", "n_b")
     return both.where(near & ((100 + s.percent) * apart <= (100 - s.percent) * (F.col("n_a") + F.col("n_b")))).select("a", "b").distinct()
@@ -301,49 +321,56 @@ def verified(pairs: DataFrame, sets: DataFrame, s: Similarity) -> DataFrame:
 
 def _across(s: Similarity):
     """Pairs of different components in each block pair of an open bucket
-    that size and bitmap cannot rule out.  Buckets with one leader come
-    together, and a pair that several of them share is given once."""
-    def pairs(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    that size and bitmap cannot rule out."""
+
+    def pairs(rows: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         left, right = (np.flatnonzero(rows["side"] == x) for x in (0, 1))
         alone = not right.size
         right = left if alone else right
-        bits, n, comp, doc = (rows[c] for c in ("bitmap", "n", "component", "doc"))
+        n, comp, doc, width = (rows[c] for c in ("n", "component", "doc", "width"))
+        # The bitmaps of one width are the rows of a matrix.
+        slot, bits = np.zeros(len(n), np.int64), {}
+        for w in np.unique(width).tolist():
+            which = np.flatnonzero(width == w)
+            slot[which] = np.arange(len(which))
+            bits[w] = rows["words"][rows["base"][which][:, None] + np.arange(w)]
         for i in left.tolist():
             to = right[right > i] if alone else right
-            ok = (comp[to] != comp[i]) & (100 * np.minimum(n[to], n[i]) >= s.percent * np.maximum(n[to], n[i]))
-            to = to[ok]
-            apart = np.bitwise_count(bits[to] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            to = to[apart * (100 + s.percent) <= (100 - s.percent) * (n[to] + n[i])]
-            if to.size:
-                yield np.minimum(doc[to], doc[i]), np.maximum(doc[to], doc[i])
+            to = to[(comp[to] != comp[i]) & (100 * np.minimum(n[to], n[i]) >= s.percent * np.maximum(n[to], n[i]))]
+            own, w = bits[int(width[i])][slot[i]], int(width[i])
+            for other in (w // 2, w, 2 * w):
+                some = to[width[to] == other]
+                if some.size:
+                    theirs = bits[other][slot[some]]
+                    apart = (fold(theirs) if other > w else theirs) ^ (fold(own) if other < w else own)
+                    apart = np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
+                    some = some[apart * (100 + s.percent) <= (100 - s.percent) * (n[some] + n[i])]
+                    if some.size:
+                        yield np.minimum(doc[some], doc[i]), np.maximum(doc[some], doc[i])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        given: set[tuple[int, int]] = set()
         last = None
 
         def flush() -> Iterator[pa.RecordBatch]:
             if held:
                 t = pa.Table.from_batches(held)
                 rows = {c: t.column(c).to_numpy() for c in ("side", "n", "component", "doc")}
-                rows["bitmap"] = t.column("bitmap").combine_chunks().flatten().to_numpy().reshape(-1, BITMAP // 32)
-                new = {p for a, b in pairs(rows) for p in zip(a.tolist(), b.tolist())} - given
-                if new:
-                    given.update(new)
-                    a, b = zip(*sorted(new), strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                words_ = t.column("bitmap").combine_chunks()
+                off = words_.offsets.to_numpy()
+                rows |= {"words": words_.values.to_numpy(), "base": off[:-1].astype(np.int64), "width": np.diff(off)}
+                for a, b in pairs(rows):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
                 held.clear()
 
         for batch in batches:
-            key = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("leader", "i", "j", "key")])
+            key = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "i", "j")])
             cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
             for x, y in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
                 if x < y:
                     this = tuple(key[:, x].tolist())
                     if this != last:
                         yield from flush()
-                        if last is not None and this[0] != last[0]:
-                            given.clear()
                         last = this
                     held.append(batch.slice(x, y - x))
         yield from flush()
@@ -378,16 +405,15 @@ def _open_pairs(pairs: DataFrame, documents: DataFrame, comp: DataFrame, s: Simi
         .distinct(),
         "members",
     )
-    shape = (F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.min("doc").alias("leader"))
-    blocks = stored(members.groupBy("key").agg(*shape), "blocks")
+    blocks = stored(members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks")
     facts = documents.select(F.col("a").alias("doc"), F.col("b").alias("n"), "bitmap").dropDuplicates(["doc"])
     dealt = members.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
     dealt = dealt.join(facts, "doc").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
-        "leader", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"),
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"),
         "doc", "component", "n", "bitmap",
     )
-    dealt = dealt.repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j", "key")
+    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return dealt.mapInArrow(_across(s), "a long, b long").distinct()
 
 
@@ -415,7 +441,7 @@ def similar_sets(docs: DataFrame, s: Similarity = Similarity(), id_col: str = "d
     documents, sure, proposed = (rows.where(F.col("kind") == k) for k in (DOCUMENT, LINK, PAIR))
     proposed = proposed.select("key", "a", "b")
     word = lambda i: F.conv(F.hex(F.substring("bitmap", 4 * i + 1, F.lit(4))), 16, 10).cast("long")
-    words_ = F.transform(F.sequence(F.lit(0), F.lit(BITMAP // 32 - 1)), word)
+    words_ = F.transform(F.sequence(F.lit(0), (F.octet_length("bitmap") / 4 - 1).cast("int")), word)
     documents = stored(documents.select("a", "b", words_.alias("bitmap")), "documents")
     led = proposed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     near = stored(plausible(led, documents, s), "pairs")

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from snapmetrics.llm import jaccard as J
@@ -70,6 +71,48 @@ def test_an_unlike_leader_hides_no_link(spark):
     assert sorted(map(tuple, J.similar_sets(docs, J.Similarity(3, 90)).collect())) == brute(rows, 3, 90)
 
 
+def test_unlike_long_texts_are_ruled_out_by_their_bitmaps(spark, monkeypatch):
+    """300 unlike texts of 3,000 words and a few copies: no pair but links is
+    compared set by set."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randrange(400)}" for _ in range(3000))) for i in range(300)]
+    for i in range(6):
+        w = rows[i][1].split()
+        w[::60] = ["x"] * len(w[::60])
+        rows.append((300 + i, " ".join(w)))
+    counts = {}
+    stored = J.stored
+
+    def counting(df, name):
+        out = stored(df, name)
+        counts[name] = counts.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(J, "stored", counting)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(map(tuple, J.similar_sets(docs, J.Similarity(5, 80)).collect()))
+    want = sorted((i, len(shingles(t, 5)), i - 300 if i >= 300 else i) for i, t in rows)
+    assert got == want
+    assert counts["first-pairs"] + counts["late-pairs"] <= 12
+
+
+def test_bitmaps_bound_the_difference_from_below():
+    rng = np.random.default_rng(3)
+    for a, b in ((100, 110), (250, 300), (900, 1100), (5000, 4100)):
+        one, two = (np.unique(rng.integers(0, 1 << 52, n).astype(np.uint64)) for n in (a, b))
+        two[: a // 2] = one[: a // 2]
+        two = np.unique(two)
+        row = np.repeat([0, 1], [len(one), len(two)])
+        x, y = (np.frombuffer(m, ">u4") for m in J.bitmaps(row, np.concatenate([one, two]), 2))
+        while len(x) > len(y):
+            x = J.fold(x)
+        while len(y) > len(x):
+            y = J.fold(y)
+        apart = len(np.setxor1d(one, two))
+        assert int(np.bitwise_count(x ^ y).sum()) <= apart
+        assert len(x) * 32 * 2 >= min(a, b)
+
+
 def test_empty_table_and_rows_without_id(no_docs, nameless_docs):
     assert J.similar_sets(no_docs).count() == 0
     got = sorted(((r.doc_id, r.component_id) for r in J.similar_sets(nameless_docs).collect()), key=str)
