@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 #: Text bytes that a task turns into numpy arrays at a time (a longer single
 #: text is taken whole).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 _shipped: set[str] = set()
@@ -105,6 +106,17 @@ def text_chunks(
             b = min(max(a + 1, int(np.searchsorted(off, off[a] + limit, "right")) - 1), a + rows)
             yield batch.slice(a, b - a), raw[off[a] : off[b]], off[a : b + 1] - off[a]
             a = b
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: a worker that is used again for
+    another stage would otherwise keep its peak beside the next one's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
 
 
 def input_bytes(df: DataFrame) -> int:
