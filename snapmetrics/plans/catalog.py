@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from snapmetrics.operators import relations as R
 from snapmetrics.operators.shape import explode_child, flatten, rename_map, root_select, union_all
@@ -897,16 +897,19 @@ def _job_allocations_capped(t):
 
 
 RUN_ALL = ["job", "name", "label", "n_rows", "QF"]
+# Sums of whole outputs are taken exactly, in millionths: a sum of doubles
+# depends on the order of its rows.
+EXACT = "CAST(sum(CAST(round({}, 6) AS DECIMAL(38, 6))) AS DOUBLE)"
 
 
 @register(
     "run_all",
     RUN_ALL,
-    f"""SELECT 'allocations' AS job, 'allocations' AS name, CAST(NULL AS VARCHAR) AS label, count(*) AS n_rows, sum(QF_collected) AS QF FROM aframe
+    f"""SELECT 'allocations' AS job, 'allocations' AS name, CAST(NULL AS VARCHAR) AS label, count(*) AS n_rows, {EXACT.format('QF_collected')} AS QF FROM aframe
 UNION ALL
-SELECT 'global', 'global_' || strftime(max(date), '%m_%d_%Y'), '{P.run_label(J.GLOBAL.end)}', least(count(*), {J.GLOBAL.rows}), sum(QF) FROM gframe_s6
+SELECT 'global', 'global_' || strftime(max(date), '%m_%d_%Y'), '{P.run_label(J.GLOBAL.end)}', least(count(*), {J.GLOBAL.rows}), {EXACT.format('QF')} FROM gframe_s6
 UNION ALL
-SELECT 'subgraphs', 'subgraphs_' || strftime(max(date), '%m_%d_%Y'), '{P.run_label(J.SUBGRAPHS.end)}', count(*), sum(QF) FROM sframe_s1""",
+SELECT 'subgraphs', 'subgraphs_' || strftime(max(date), '%m_%d_%Y'), '{P.run_label(J.SUBGRAPHS.end)}', count(*), {EXACT.format('QF')} FROM sframe_s1""",
     ["aframe", "gframe_s6", "sframe_s1"],
 )
 def _run_all(t):
@@ -915,8 +918,8 @@ def _run_all(t):
     out = []
     for job, path in P.run_all(t.spark, t.sf_dir, base).items():
         rows = t.spark.read.option("header", True).option("inferSchema", True).csv(path)
-        qf = F.sum(F.col("QF_collected" if job == "allocations" else "QF").cast("double"))
-        label = F.lit(None).cast("string") if job == "allocations" else t.spark.read.text(f"{base}/{job}_label").select("value").scalar()
+        qf = F.expr(EXACT.format("QF_collected" if job == "allocations" else "QF"))
+        label = F.lit(None).cast("string") if job == "allocations" else F.lit(P.published(t.spark, base, f"{job}_sheet")[1])
         out.append(rows.agg(F.count(F.lit(1)).alias("n_rows"), qf.alias("QF")).select(F.lit(job).alias("job"), F.lit(path.rsplit("/", 1)[1]).alias("name"), label.alias("label"), "n_rows", "QF"))
     return union_all(out)
 
@@ -942,6 +945,53 @@ def _republish_global(t):
     return P.republish_global(t.spark, path)
 
 
+@register("published_sheet_subgraphs", C.SHEET_SUBGRAPHS, SHEET_SUB_SQL, ["sframe_s1"])
+def _published_sheet_subgraphs(t):
+    """Two versions are published, the second is read through its pointer."""
+    base = P.scratch_path(t.spark, "published")
+    view = P.sheet_subgraphs(_subgraph_frame(t), J.latest_date(J.snapshots_for(t, J.SUBGRAPHS)))
+    P.publish(view.limit(1), base, "sheet", P.run_label(J.SUBGRAPHS.end))
+    P.publish(view, base, "sheet", P.run_label(J.SUBGRAPHS.end))
+    return P.published(t.spark, base, "sheet")[0]
+
+
+@register("published_sheet_global", C.SHEET_GLOBAL, select_from("gframe_s6", C.SHEET_GLOBAL), ["gframe_s6"])
+def _published_sheet_global(t):
+    base = P.scratch_path(t.spark, "published")
+    P.publish(P.sheet_global(_global_frame(t)), base, "sheet", P.run_label(J.GLOBAL.end))
+    return P.published(t.spark, base, "sheet")[0]
+
+
+@register("csv_reordered", C.OUT_GLOBAL, JOB_GLOBAL_SQL, ["gframe_s6"])
+def _csv_reordered(t):
+    """A saved file with its columns in another order, and one more, is
+    read by name."""
+    path = P.scratch_path(t.spark, "reordered")
+    P.write_csv(_job_global(t).select(F.lit("x").alias("extra"), *reversed(C.OUT_GLOBAL)), path)
+    return P.read_csv(t.spark, path, P.global_csv_schema())
+
+
+BAD_ROW = "event_id % 11 = 3"
+
+
+@register(
+    "csv_bad_rows",
+    ["ok", "n_rows", "ids", "cents"],
+    f"""SELECT NOT ({BAD_ROW}) AS ok, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS ids,
+CAST(sum(CASE WHEN {BAD_ROW} THEN NULL ELSE round(value * 100) END) AS BIGINT) AS cents FROM events GROUP BY 1""",
+    [],
+    doubles=set(),
+)
+def _csv_bad_rows(t):
+    """Rows whose amount does not parse come by the bad-row channel."""
+    path = P.scratch_path(t.spark, "bad-rows")
+    text = F.when(F.expr(BAD_ROW), F.lit("n/a")).otherwise(fx.money_cents("value").cast("string"))
+    P.write_csv(t.events.select("event_id", text.alias("cents")), path)
+    good, bad = P.read_csv_checked(t.spark, path, StructType([StructField("event_id", LongType()), StructField("cents", LongType())]))
+    rows = good.withColumn("ok", F.lit(True)).unionByName(bad.drop(P.BAD_LINE).withColumn("ok", F.lit(False)))
+    return rows.groupBy("ok").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("ids"), F.sum("cents").alias("cents"))
+
+
 # --- B9 raw dump ------------------------------------------------------------------------------
 
 RAW_SQL = """SELECT v.subgraph_displayName AS displayName, v.subgraph_id, v.id AS version_id,

@@ -121,10 +121,12 @@ def allocations_clean_from(flat: DataFrame) -> DataFrame:
     return out.withColumn("subgraph_id", strip_suffix("version_id"))
 
 
-def allocations_from(payload: DataFrame) -> DataFrame:
+def allocations_from(payload: DataFrame, cap: int | None = None) -> DataFrame:
     """L1 on a caller's payload: ``block`` and the allocation's fields, with
     ``subgraphDeployment.versions`` as a list.  The close-block range is the
-    frame's own (C2)."""
+    frame's own (C2); ``cap`` limits the allocations of a snapshot (A8)."""
+    if cap is not None:
+        payload = cap_per_snapshot(payload, cap, "block", "id")
     rows = explode_child(flatten(payload), "subgraphDeployment_versions")
     return within_own_range(allocations_clean_from(rows), "closed_at_block", "block")
 
@@ -274,9 +276,12 @@ def subgraphs_frame(t: fx.Tables, fs: Column, spec: JobSpec = SUBGRAPHS) -> Data
     return subgraphs_windows(subgraphs_rolled(t, spec)).select("*", *entity_rates(fs))
 
 
-def subgraphs_from(payload: DataFrame, blocktimes: DataFrame, fs: Column, names: str = "latest") -> DataFrame:
+def subgraphs_from(payload: DataFrame, blocktimes: DataFrame, fs: Column, names: str = "latest", cap: int | None = None) -> DataFrame:
     """L3 on a caller's payload: ``block``, ``id`` and the structs
-    ``subgraph`` and ``subgraphDeployment``."""
+    ``subgraph`` and ``subgraphDeployment``; ``cap`` limits the versions of a
+    snapshot (A8)."""
+    if cap is not None:
+        payload = cap_per_snapshot(payload, cap, "block", "id")
     rolled = subgraphs_rollup(versions_clean_from(payload, blocktimes), names)
     return subgraphs_windows(rolled).select("*", *entity_rates(fs))
 
