@@ -63,7 +63,12 @@ BAD_LINE = "_bad_line"
 def _file_schema(spark: SparkSession, path: str, schema: StructType) -> StructType | None:
     """The declared columns in the order of the file's header, others as text;
     None for a folder without any line."""
-    names = spark.read.option("header", True).csv(path).columns
+    try:
+        names = spark.read.option("header", True).csv(path).columns
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # no file in the folder
+            raise
+        names = []
     if not names:
         return None
     missing = [f.name for f in schema.fields if f.name not in names]
