@@ -50,9 +50,8 @@ def main() -> None:
         t0 = time.perf_counter()
         q.build(t).select(*q.cols).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
-    # The three jobs as the production driver runs them (allocations
-    # written first and read back for the fee split; outputs, frames and
-    # sheets written to the shared folder).
+    # The three jobs as the production driver runs them (fee split
+    # computed once; outputs, frames and sheets written to the shared folder).
     t0 = time.perf_counter()
     run_all(spark, sf_dir)
     times["run_all"] = round(time.perf_counter() - t0, 3)
