@@ -1,6 +1,8 @@
 """Personal data by weak supervision, in DataFrame functions only.
 
 Base spans (email, ip, card, phone) follow fixed patterns and always stay.
+Secrets (keys, tokens, passwords: long runs of letters and digits) have no
+base pattern; only the votes decide on them.
 Looser candidates get votes from labelers: the strict pattern, a checksum or
 plausibility rule, a gazetteer, the words before it, and the characters at
 its sides.  Expectation-maximisation over the counts of vote patterns
@@ -25,7 +27,9 @@ from pyspark.sql import functions as F
 
 from snapmetrics.llm.common import keyed_text, stored, table
 
-KINDS = ["email", "ip", "card", "phone"]
+#: Kinds of base spans, and all kinds.
+BASE_KINDS = ["email", "ip", "card", "phone"]
+KINDS = [*BASE_KINDS, "secret"]
 
 # The base patterns, equivalent to the contract's.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -40,6 +44,9 @@ HIDDEN_EMAIL = (
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]++"
     r"(?:(?:\.|\x20?[\[(]dot[\])]\x20?)[A-Za-z0-9-]++)++"
 )
+#: A whole run of at least 20 characters with a letter and a digit; it starts
+#: only where a run starts, so long runs cost linear time.
+SECRET = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{20,}+"
 
 # Gazetteers and context words.
 ENDINGS = "com org net edu gov mil int info biz io de fr es it uk eu us ca at ch nl be".split()
@@ -50,7 +57,10 @@ HINTS = {
     "ip": "ip address addr host server adresse login from client",
     "card": "card visa mastercard amex credit carte karte tarjeta payment paid",
     "phone": "phone tel telephone call mobile cell fax telefon téléphone teléfono appelez",
+    "secret": "token secret password passwd pwd key apikey credential credentials bearer auth authorization passwort contraseña",
 }
+PREFIXES = ["AKIA", "ASIA", "AIza", "ghp_", "gho_", "github_pat_", "glpat-", "xoxb-", "xoxp-", "sk-", "sk_live_", "pk_live_", "eyJ"]
+DIGESTS = "commit sha sha1 sha256 md5 checksum digest hash uuid guid etag build revision"
 DOUBTS = "version ver isbn issn order invoice ref section figure doi id serial sku part"
 LABELERS = 5
 #: Least probability with which a candidate is added.
@@ -115,6 +125,9 @@ def _plausible(kind: str, hit: Column) -> Column:
         return F.when(n.between(14, 19), _luhn(_digits(hit))).otherwise(F.lit(False))
     if kind == "phone":
         return n.between(10, 15)
+    if kind == "secret":
+        # Digits all through, and no long word in plain letters.
+        return (n * 10 >= F.length(hit)) & ~hit.rlike("[A-Z]?[a-z]{9}")
     return F.lit(True)
 
 
@@ -136,6 +149,8 @@ def _gazetteer(kind: str, hit: Column) -> Column:
     if kind == "phone":
         known = hit.rlike("^(?:" + "|".join(x.replace("+", r"\+") for x in CALLING) + ")(?![0-9]{3}[0-9])")
         return _vote(known, F.lit(False))
+    if kind == "secret":
+        return _vote(hit.rlike("^(?:" + "|".join(PREFIXES) + ")"), F.lit(False))
     special = hit.rlike(r"^0*(?:0|22[4-9]|2[3-9][0-9])\.")
     return _vote(~special, special)
 
@@ -143,13 +158,20 @@ def _gazetteer(kind: str, hit: Column) -> Column:
 def _candidate(kind: str, base: Column, x: Column) -> Column:
     """Votes and features of one placed match."""
     hit, n = x["hit"], F.length(_digits(x["hit"]))
-    joined = x["before"].rlike(r"[\p{L}0-9_]$") | x["after"].rlike(r"^[\p{L}0-9_]")
     sound = _plausible(kind, hit)
+    joined = x["before"].rlike(r"[\p{L}0-9_]$") | x["after"].rlike(r"^[\p{L}0-9_]")
+    doubts = DOUBTS
+    if kind == "secret":
+        # Parts of addresses and file names stand beside dots and at signs.
+        joined = joined | x["before"].rlike(r"[.@]$") | x["after"].rlike(r"^[.@]")
+        # Bare hexadecimal may be any digest, unless a word says otherwise.
+        sound = sound & (_any_word(x["before"], HINTS[kind]) | ~hit.rlike("^[0-9a-f]+$"))
+        doubts = DIGESTS
     votes = F.concat(
         _vote(base, F.lit(False)),
         _vote(sound, ~sound),
         _gazetteer(kind, hit),
-        _vote(_any_word(x["before"], HINTS[kind]), _any_word(x["before"], DOUBTS)),
+        _vote(_any_word(x["before"], HINTS[kind]), _any_word(x["before"], doubts)),
         _vote(~joined, joined),
     )
     side = lambda c: F.when(c == "", "none").when(c.rlike(r"\s"), "space").when(c.rlike(r"\p{L}"), "letter").when(c.rlike("[0-9]"), "digit").otherwise("mark")
@@ -176,14 +198,15 @@ def candidates(docs: DataFrame) -> DataFrame:
         "card": t.rlike(r"[0-9](?:[\x20-]?[0-9]){12}"),
         "phone": t.rlike(r"\+[0-9]|[0-9]\)?[\x20.-]?[0-9]{3}[\x20.-][0-9]{4}"),
         "hidden": t.rlike(r"[\[(]at[\])]"),
+        "secret": t.rlike(SECRET),
     }
-    pattern = {"email": EMAIL, "ip": IP, "card": CARD, "phone": f"{PHONE}|{PLAIN_PHONE}", "hidden": HIDDEN_EMAIL}
+    pattern = {"email": EMAIL, "ip": IP, "card": CARD, "phone": f"{PHONE}|{PLAIN_PHONE}", "hidden": HIDDEN_EMAIL, "secret": SECRET}
     out = docs.withColumns({f"__{k}_raw": _hits(t, pattern[k], worth[k]) for k in pattern})
     out = out.withColumns({f"__{k}": _placed(F.col(f"__{k}_raw")) for k in pattern})
 
     def judged(kind: str):
         def one(x: Column) -> Column:
-            base = _plausible(kind, x["hit"])
+            base = _plausible(kind, x["hit"]) if kind in BASE_KINDS else F.lit(False)
             return _candidate(kind, base & x["hit"].startswith("+") if kind == "phone" else base, x)
 
         return one
@@ -194,7 +217,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     all_ = F.array_sort(F.concat(*own))
     # Numbers too short for any card or phone are no candidates.
     digits = lambda x: F.regexp_extract(x["features"], r"^digits([0-9]+)", 1).cast("int")
-    real = F.filter(all_, lambda x: x["base"] | x["kind"].isin(0, 1) | ((x["kind"] == 2) & digits(x).between(13, 19)) | ((x["kind"] == 3) & digits(x).between(10, 15)))
+    real = F.filter(all_, lambda x: x["base"] | x["kind"].isin(0, 1, 4) | ((x["kind"] == 2) & digits(x).between(13, 19)) | ((x["kind"] == 3) & digits(x).between(10, 15)))
     return out.withColumn("found", real).drop(*[f"__{k}{s}" for k in pattern for s in ("", "_raw")])
 
 
@@ -330,8 +353,12 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and digest, all spans, and how many secrets and other
+    spans the classifier added."""
     got = find(table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == KINDS.index(k))).cast("long").alias(f"n_{k}")
     return got.select(
-        "doc_id", *[count(k) for k in KINDS], F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans")
+        "doc_id", *[count(k) for k in BASE_KINDS], F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda x: x["kind"] == KINDS.index("secret"))).cast("long").alias("n_secret"),
+        (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
     )

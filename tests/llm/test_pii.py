@@ -59,6 +59,28 @@ def test_votes_add_spans_and_leave_numbers_alone(spark):
     assert sum(added) > 90
 
 
+def test_secrets_by_votes(spark):
+    rng = random.Random(3)
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    rows = [(i, f'some words and token = "{hexes(40)}" then more') for i in range(120)]
+    rows += [(i, f"see commit {hexes(40)} of the branch") for i in range(200, 260)]
+    rows += [(i, f"read www.example.org/a-long-article-about-birds-{i} or {'word' * 9}") for i in range(300, 360)]
+    rows += [(400, "x1" * 200_000), (401, "a" * 300_000 + " " + "7" * 300_000), (402, "ab1- " * 50_000)]
+    got = {r.doc_id: r.spans for r in _find(pii.find(spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert all(got[i] == "secret:24:64" for i in range(120))
+    assert all(got[i] == "" for i in range(200, 360) if i in got)
+
+
+def test_added_spans_on_the_given_documents(spark):
+    """Every planted secret is found, and nothing else is called one."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").collect()
+    want = {(r.doc_id, m.start(1), m.end(1)) for r in rows for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', r.text or "")}
+    got = pii.op4_pii(spark, "/root/testdata/sf0.1").where("n_added > 0").collect()
+    found = {(r.doc_id, int(a), int(b)) for r in got for kind, a, b in (x.split(":") for x in r.spans.split(",")) if kind == "secret"}
+    assert len(want) > 100 and len(found & want) >= 0.95 * len(want) and len(found - want) <= 0.05 * len(want)
+    assert sum(r.n_secret for r in got) == len(found)
+
+
 def test_maximisation_ranks_labelers():
     # Labeler 2 agrees with the strict pattern, labeler 3 votes at random.
     counts = [(0, "pp0pp"[:5], 90), (0, "pppnp", 60), (0, "0n0pn", 50), (0, "0n0nn", 50)]
