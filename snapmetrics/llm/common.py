@@ -121,4 +121,4 @@ def release_memory() -> None:
 
 def input_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of a frame, to choose partition counts."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

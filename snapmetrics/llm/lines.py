@@ -6,8 +6,13 @@ hash may have been seen twice if either task says so or both have it in their
 first filter (bitwise and), so nothing seen twice is ever missed.  Second
 pass: only lines whose hash is in the merged second filter are shuffled, as
 128-bit digests, for the exact count and the choice of the first document.
-The filter has a fixed size whatever the corpus; past some hundred million
-distinct lines it lets most lines through, which costs shuffle but no result.
+Documents that lose no line are finished in a scan: a filter of the ids that
+do lose one tells them apart, and only the others' texts meet their keys in a
+shuffle.
+
+The filters' size follows the input (about 16 bits for every line of 64
+bytes), between 16 and 128 MB.  Past some hundred million distinct lines
+they let more lines through, which costs shuffle but no result.
 """
 
 from __future__ import annotations
@@ -17,15 +22,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from snapmetrics.llm.arrays import mix
 from snapmetrics.llm.common import stored, table
 
-#: Bits of each filter (16 MB) and of the parts in which it is merged.
+#: Least and most bits of a filter (16 and 128 MB), and bits of the parts in
+#: which it is merged.
 FILTER_BITS = 1 << 27
+MOST_BITS = 1 << 30
 PART_BITS = 1 << 22
 MIN_CHARS = 10
 
@@ -56,6 +65,16 @@ def _pack(positions: np.ndarray) -> bytes:
     return positions.astype("<u4").tobytes()
 
 
+def filter_bits(n: int, least: int = FILTER_BITS) -> int:
+    """At least 16 bits for each of ``n`` entries, a power of two within the bounds."""
+    return min(max(least, 1 << (16 * n).bit_length()), MOST_BITS)
+
+
+def _has(bits_: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each hash whether all its positions are set."""
+    return ((bits_[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0)
+
+
 def _task_filters(min_chars: int, bits: int, part: int):
     """A task's two filters, as sorted bit positions for each part."""
 
@@ -65,7 +84,7 @@ def _task_filters(min_chars: int, bits: int, part: int):
             hashes = [xxhash.xxh3_64_intdigest(k) for t in batch.column("text") for k in keys_of(t.as_py(), min_chars)]
             h, n = np.unique(np.array(hashes, np.uint64), return_counts=True)
             at = _positions(h, bits)
-            known = ((once[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0)
+            known = _has(once, at)
             for target, which in ((twice, at[:, known | (n > 1)]), (once, at)):
                 which = which.ravel()
                 np.bitwise_or.at(target, which >> np.uint64(3), np.left_shift(np.uint8(1), (which & np.uint64(7)).astype(np.uint8)))
@@ -106,10 +125,66 @@ def twice_filter(docs: DataFrame, min_chars: int = MIN_CHARS, bits: int = FILTER
     got = docs.where(F.col("doc_id").isNotNull()).select("text")
     tasks = got.mapInArrow(_task_filters(min_chars, bits, part), "part int, once binary, twice binary")
     merged = tasks.repartition(bits // part, "part").mapInArrow(_merge(part), "part int, twice binary")
+    return _gathered(merged.withColumnRenamed("twice", "set"), bits, part)
+
+
+def _gathered(parts: DataFrame, bits: int, part: int) -> Broadcast:
+    """The parts of a filter (part, set), put together and broadcast."""
     out = np.zeros(bits // 8, np.uint8)
-    for row in merged.toLocalIterator():
-        out[row.part * part // 8 : (row.part + 1) * part // 8] = np.frombuffer(row.twice, np.uint8)
-    return docs.sparkSession.sparkContext.broadcast(out)
+    for row in parts.toLocalIterator():
+        out[row.part * part // 8 : (row.part + 1) * part // 8] = np.frombuffer(row.set, np.uint8)
+    return parts.sparkSession.sparkContext.broadcast(out)
+
+
+def _id_positions(ids: pa.Array, bits: int) -> np.ndarray:
+    """Bit positions of document ids, null as 0."""
+    values = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype(np.uint64)
+    return _positions(mix(values), bits)
+
+
+def _id_bits(bits: int, part: int):
+    """The bits of a task's ids, a row for each part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(bits // 8, np.uint8)
+        for batch in batches:
+            at = _id_positions(batch.column("doc_id"), bits).ravel()
+            np.bitwise_or.at(own, at >> np.uint64(3), np.left_shift(np.uint8(1), (at & np.uint64(7)).astype(np.uint8)))
+        rows = own.reshape(-1, part // 8)
+        used = np.flatnonzero(rows.any(axis=1))
+        packed = [_pack(np.flatnonzero(np.unpackbits(rows[k], bitorder="little"))) for k in used]
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(packed, pa.binary())], names=["part", "at"])
+
+    return run
+
+
+def _merge_ids(part: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(part, bool))
+        for batch in batches:
+            for k, at in zip(batch.column("part").to_pylist(), batch.column("at").to_pylist(), strict=True):
+                parts[k][np.frombuffer(at, "<u4")] = True
+        for k, v in parts.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.packbits(v, bitorder="little").tobytes()])], names=["part", "set"])
+
+    return run
+
+
+def id_filter(ids: DataFrame, bits: int, part: int = PART_BITS) -> Broadcast:
+    """A filter of the ``doc_id`` of a frame, bounded like the lines'."""
+    tasks = ids.select("doc_id").mapInArrow(_id_bits(bits, part), "part int, at binary")
+    return _gathered(tasks.repartition(bits // part, "part").mapInArrow(_merge_ids(part), "part int, set binary"), bits, part)
+
+
+def _with_id_in(ids: Broadcast, bits: int, wanted: bool):
+    """The rows whose id may be in the filter, or those whose id is not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = _has(ids.value, _id_positions(batch.column("doc_id"), bits)) & ~batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(hit == wanted))
+
+    return run
 
 
 def _suspects(min_chars: int, bits: int, filter_: Broadcast):
@@ -121,7 +196,7 @@ def _suspects(min_chars: int, bits: int, filter_: Broadcast):
                 ids += [doc] * len(own)
                 keys += own
             at = _positions(np.array([xxhash.xxh3_64_intdigest(k) for k in keys], np.uint64), bits)
-            hit = ((filter_.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0)
+            hit = _has(filter_.value, at)
             found = np.flatnonzero(hit).tolist()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([ids[i] for i in found], pa.int64()), pa.array([xxhash.xxh3_128_digest(keys[i]) for i in found], pa.binary())],
@@ -153,7 +228,7 @@ def _keep(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total, dropped, kept = [], [], []
-            lost = batch.column("lost").to_pylist()
+            lost = batch.column("lost").to_pylist() if "lost" in batch.schema.names else [None] * batch.num_rows
             for text, gone in zip(batch.column("text").to_pylist(), lost, strict=True):
                 if gone:
                     gone, lines = set(gone), text.encode().split(b"\n")
@@ -172,7 +247,7 @@ def _keep(min_chars: int):
     return run
 
 
-def dedup_lines(docs: DataFrame, carry: dict[str, str] | None = None, min_chars: int = MIN_CHARS, bits: int = FILTER_BITS,
+def dedup_lines(docs: DataFrame, carry: dict[str, str] | None = None, min_chars: int = MIN_CHARS, bits: int | None = None,
                 part: int = PART_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept) of every document, then the columns
     that ``carry`` names, as its values.
@@ -184,10 +259,17 @@ def dedup_lines(docs: DataFrame, carry: dict[str, str] | None = None, min_chars:
     carry = carry or {}
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                       *[F.col(a).alias(b) for a, b in carry.items()])
-    lost = losses(src.select("doc_id", "text"), min_chars, bits, part)
-    joined = src.join(lost, "doc_id", "left")
+    if bits is None:
+        size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        bits = filter_bits(size // 64)
+    lost = stored(losses(src.select("doc_id", "text"), min_chars, bits, part), "lost-lines")
+    id_bits = filter_bits(lost.count(), part)
+    ids = id_filter(lost, id_bits, part)
     kinds = "".join(f", `{b}` {src.schema[b].dataType.simpleString()}" for b in carry.values())
-    return joined.mapInArrow(_keep(min_chars), "doc_id long, n_lines long, n_dropped long, kept string" + kinds)
+    schema = "doc_id long, n_lines long, n_dropped long, kept string" + kinds
+    whole = src.mapInArrow(_with_id_in(ids, id_bits, False), src.schema).mapInArrow(_keep(min_chars), schema)
+    cut = src.mapInArrow(_with_id_in(ids, id_bits, True), src.schema).join(lost, "doc_id", "left")
+    return whole.unionByName(cut.mapInArrow(_keep(min_chars), schema))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from snapmetrics.llm.lines import dedup_lines
+from snapmetrics.llm.lines import FILTER_BITS, MOST_BITS, dedup_lines, filter_bits
 
 SPACE = " \t\n\r\x0b\x0c"
 
@@ -49,3 +49,18 @@ def test_carried_columns_and_empty_table(odd_docs, no_docs):
     assert got.columns == ["doc_id", "n_lines", "n_dropped", "kept", "__key", "__source"]
     assert {r["__key"] for r in got.collect()} == {"clash"}
     assert dedup_lines(no_docs).count() == 0
+
+
+def test_only_documents_that_lose_lines_are_shuffled(spark):
+    shared = "a line that all of them share"
+    rows = [(i, f"the own line of document {i}\n" + (shared if i % 10 == 0 else "")) for i in range(400)] + [(None, shared)]
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and plan.count("Join") == 1
+    assert sorted(r.doc_id for r in got.where("n_dropped > 0").collect()) == list(range(10, 400, 10))
+    assert got.count() == 401
+
+
+def test_filters_grow_with_the_input():
+    assert filter_bits(0) == FILTER_BITS and filter_bits(10**12) == MOST_BITS
+    assert FILTER_BITS < filter_bits(20_000_000) < MOST_BITS
