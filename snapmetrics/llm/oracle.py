@@ -41,10 +41,14 @@ c AS (SELECT d.doc_id, d.source, len(ws) AS n_words, length(array_to_string(ws,
              coalesce(v.n_repeat_words, 0) AS n_repeat_words
       FROM d LEFT JOIN v ON v.doc_id = d.doc_id LEFT JOIN l ON l.doc_id = d.doc_id),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c),
-h AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS f FROM b WHERE source IS NOT NULL GROUP BY source),
-q AS (SELECT least(greatest(avg(f / n), 1e-6), 1 - 1e-6) AS m, var_pop(f / n) AS v FROM h),
-s AS (SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1.0), 1e4) ELSE 1e4 END AS strength FROM q),
-t AS (SELECT source, (f + m * strength) / (n + strength) >= 0.5 AS bad FROM h, s)
+e AS (SELECT source, unnest([n_words < 10, 100 * n_repeat_words > 10 * n_words, 100 * n_symbols > 10 * n_words, n_dup_lines >= 3]) AS failed,
+             unnest(['words', 'repeats', 'symbols', 'lines']) AS rule FROM b WHERE source IS NOT NULL),
+h AS (SELECT source, rule, count(*) AS n, count(*) FILTER (WHERE failed) AS f FROM e GROUP BY source, rule),
+q AS (SELECT rule, sum(n) AS docs, count(*) AS hosts, sum(f) / sum(n) AS m, sum(f * f / n) AS squares FROM h GROUP BY rule),
+a AS (SELECT rule, m, squares / docs - m * m - m * (1 - m) * hosts / docs AS spread FROM q),
+s AS (SELECT rule, m, CASE WHEN spread > 1e-12 THEN greatest(least(m * (1 - m) / spread - 1, 1e4), 1.0) ELSE 1e4 END AS strength FROM a),
+z AS (SELECT source, f, m, n + strength AS total, (f + m * strength) / (n + strength) AS rate FROM h JOIN s ON s.rule = h.rule),
+t AS (SELECT source, bool_or(f > 0 AND (rate - 2 * sqrt(rate * (1 - rate) / (total + 1)) >= 1.5 * m OR rate >= 0.5)) AS bad FROM z GROUP BY source)
 SELECT b.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
        NOT base_failed AND NOT (coalesce(bad, false) AND (100 * n_repeat_words > 10 * n_words OR 100 * n_symbols > 10 * n_words OR n_dup_lines >= 3)) AS kept

@@ -1,11 +1,14 @@
 """Quality rules with host verdicts.
 
-Every document gets counts and base rules from its own words.  Failures are
-summed by host (combined before the shuffle), each host's failure rate is
-shrunk towards all hosts with an empirical beta prior, and the verdict is
-joined back: documents of a host whose shrunk rate reaches
-``host_limit`` must also pass the stricter soft rules.  Clean documents of a
-bad host therefore stay.
+Every document gets counts and base rules from its own words.  The failures
+of each rule are summed by host (combined before the shuffle).  Each rule has
+its own empirical beta prior over the hosts, which shrinks their rates, and
+its own verdict: a host is bad for a rule if its shrunk rate, less
+``host_sigmas`` posterior deviations, is still ``host_factor`` times the
+corpus rate, or if the rate reaches ``host_limit`` outright.  Verdicts are
+joined back: documents of a host that is bad for any rule must also pass the
+stricter soft rules.  Clean documents of a bad host therefore stay, and where
+all hosts fail alike, no host is bad.
 """
 
 from __future__ import annotations
@@ -37,8 +40,15 @@ class Rules:
     soft_repeat_percent: int = 10
     soft_symbol_percent: int = 10
     soft_dup_line_count: int = 3
-    #: A bad host: shrunk failure rate of at least this.
+    #: A bad host: a rule's shrunk failure rate of at least ``host_limit``, or
+    #: surely above ``host_factor`` times the rate of the corpus.
     host_limit: float = 0.5
+    host_factor: float = 1.5
+    host_sigmas: float = 2.0
+
+
+#: The rules whose failures are summed by host.
+RULES = ["words", "repeats", "symbols", "lines"]
 
 
 def text_counts(raw: np.ndarray, off: np.ndarray, window: int = 5) -> dict[str, np.ndarray]:
@@ -66,15 +76,21 @@ def text_counts(raw: np.ndarray, off: np.ndarray, window: int = 5) -> dict[str,
     return out
 
 
+def rule_failures(c: dict, rules: Rules) -> dict:
+    """Whether each rule fails, in its soft form where it has one."""
+    return {
+        "words": c["n_words"] < rules.min_words,
+        "repeats": 100 * c["n_repeat_words"] > rules.soft_repeat_percent * c["n_words"],
+        "symbols": 100 * c["n_symbols"] > rules.soft_symbol_percent * c["n_words"],
+        "lines": c["n_dup_lines"] >= rules.soft_dup_line_count,
+    }
+
+
 def failures(c: dict, rules: Rules):
     """(a base rule fails, a soft rule fails), for columns or for arrays."""
     base = (c["n_words"] < rules.min_words) | (100 * c["n_repeat_words"] > rules.max_repeat_percent * c["n_words"])
-    soft = (
-        (100 * c["n_repeat_words"] > rules.soft_repeat_percent * c["n_words"])
-        | (100 * c["n_symbols"] > rules.soft_symbol_percent * c["n_words"])
-        | (c["n_dup_lines"] >= rules.soft_dup_line_count)
-    )
-    return base, soft
+    each = rule_failures(c, rules)
+    return base, each["repeats"] | each["symbols"] | each["lines"]
 
 
 def _measure(window: int):
@@ -97,23 +113,48 @@ def measure(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", tex
     return got.withColumn("base_failed", base).withColumn("soft_failed", base | soft)
 
 
-def host_verdicts(measured: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """(host, n_docs, n_failed, shrunk, bad) for each host with a name.
+def host_rates(measured: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """(host, n_docs, rule, n_failed, corpus_rate, shrunk, deviation, bad): a
+    row for each host with a name and each rule.
 
-    The beta prior has the mean and variance of the hosts' failure rates
-    (method of moments), from one aggregate over the hosts.
+    A rule's beta prior has the corpus rate as its mean; its strength comes
+    from the hosts' spread about that mean beyond what sampling alone gives
+    (method of moments, hosts weighted by their documents).
     """
+    fails = rule_failures({c: F.col(c) for c in COUNTS}, rules)
     hosts = (
         measured.where(F.col("host").isNotNull())
         .groupBy("host")
-        .agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed"))
+        .agg(F.count(F.lit(1)).alias("n_docs"), *[F.sum(fails[r].cast("long")).alias(r) for r in RULES])
+    )
+    # One row per host and rule; one row per rule for the prior.
+    long = stored(hosts.unpivot(["host", "n_docs"], RULES, "rule", "n_failed"), "host-failures")
+    n, f = F.col("n_docs"), F.col("n_failed")
+    sums = long.groupBy("rule").agg(
+        F.sum(n).alias("docs"), F.count(F.lit(1)).alias("hosts"), (F.sum(f) / F.sum(n)).alias("corpus_rate"), F.sum(f * f / n).alias("squares")
     )
-    rate = F.col("n_failed") / F.col("n_docs")
-    m, v = hosts.agg(F.avg(rate), F.var_pop(rate)).first()
-    m = min(max(m or 0.0, 1e-6), 1 - 1e-6)
-    strength = min(max(m * (1 - m) / v - 1, 1.0), 1e4) if v else 1e4
-    shrunk = (F.col("n_failed") + F.lit(m * strength)) / (F.col("n_docs") + F.lit(strength))
-    return hosts.withColumn("shrunk", shrunk).withColumn("bad", F.col("shrunk") >= rules.host_limit)
+    m = F.col("corpus_rate")
+    noise = m * (1 - m)
+    spread = F.col("squares") / F.col("docs") - m * m - noise * F.col("hosts") / F.col("docs")
+    strength = F.when(spread > 1e-12, F.greatest(F.least(noise / spread - 1, F.lit(1e4)), F.lit(1.0))).otherwise(1e4)
+    priors = sums.select("rule", "corpus_rate", strength.alias("strength"))
+    got = long.join(F.broadcast(priors), "rule")  # one row per rule
+    total = n + F.col("strength")
+    shrunk = (f + m * F.col("strength")) / total
+    deviation = F.sqrt(F.col("shrunk") * (1 - F.col("shrunk")) / (total + 1))
+    surely = F.col("shrunk") - rules.host_sigmas * F.col("deviation") >= rules.host_factor * m
+    got = got.withColumn("shrunk", shrunk).withColumn("deviation", deviation)
+    bad = (f > 0) & (surely | (F.col("shrunk") >= rules.host_limit))
+    return got.withColumn("bad", bad).drop("strength")
+
+
+def host_verdicts(measured: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """(host, n_docs, bad, bad_rules, shrunk) for each host with a name;
+    ``shrunk`` maps rules to rates."""
+    return host_rates(measured, rules).groupBy("host", "n_docs").agg(
+        F.bool_or("bad").alias("bad"), F.array_sort(F.collect_set(F.when(F.col("bad"), F.col("rule")))).alias("bad_rules"),
+        F.map_from_entries(F.collect_list(F.struct("rule", "shrunk"))).alias("shrunk"),
+    )
 
 
 def judge(docs: DataFrame, rules: Rules = Rules(), **columns: str) -> DataFrame:
