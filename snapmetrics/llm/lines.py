@@ -18,7 +18,7 @@ they let more lines through, which costs shuffle but no result.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -176,15 +176,20 @@ def id_filter(ids: DataFrame, bits: int, part: int = PART_BITS) -> Broadcast:
     return _gathered(tasks.repartition(bits // part, "part").mapInArrow(_merge_ids(part), "part int, set binary"), bits, part)
 
 
-def _with_id_in(ids: Broadcast, bits: int, wanted: bool):
-    """The rows whose id may be in the filter, or those whose id is not."""
+def mapped_hits(df: DataFrame, ids: Broadcast, bits: int, id_col: str = "doc_id") -> Callable[[bool], DataFrame]:
+    """The rows whose id may be in the filter (True), or those whose id is
+    surely not, or null (False)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = _has(ids.value, _id_positions(batch.column("doc_id"), bits)) & ~batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(hit == wanted))
+    def split(wanted: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = batch.column(id_col)
+                hit = _has(ids.value, _id_positions(own, bits)) & own.is_valid().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(hit == wanted))
 
-    return run
+        return df.mapInArrow(run, df.schema)
+
+    return split
 
 
 def _suspects(min_chars: int, bits: int, filter_: Broadcast):
@@ -267,8 +272,9 @@ def dedup_lines(docs: DataFrame, carry: dict[str, str] | None = None, min_chars:
     ids = id_filter(lost, id_bits, part)
     kinds = "".join(f", `{b}` {src.schema[b].dataType.simpleString()}" for b in carry.values())
     schema = "doc_id long, n_lines long, n_dropped long, kept string" + kinds
-    whole = src.mapInArrow(_with_id_in(ids, id_bits, False), src.schema).mapInArrow(_keep(min_chars), schema)
-    cut = src.mapInArrow(_with_id_in(ids, id_bits, True), src.schema).join(lost, "doc_id", "left")
+    maybe = mapped_hits(src, ids, id_bits)
+    whole = maybe(False).mapInArrow(_keep(min_chars), schema)
+    cut = maybe(True).join(lost, "doc_id", "left")
     return whole.unionByName(cut.mapInArrow(_keep(min_chars), schema))
 
 

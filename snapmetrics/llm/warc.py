@@ -1,10 +1,14 @@
 """WARC archives with resolved revisits.
 
-Only headers (id, digest, length) are shuffled by payload digest; the
-payloads stay in the scan.  The largest id of each digest group is the
-response, the others become revisit records that refer to it.  Archives are
-written by Spark as gzip-compressed WARC 1.1 files in the shared folder and
-read back by their Content-Length.
+Only headers (id, digest, length) are shuffled by payload digest.  The
+largest id of each digest group is the response, the others become revisit
+records that refer to it.  Every payload that is written stays in the scan:
+responses are those whose (id, digest) is not in the revisit list, and that
+list's filter is broadcast within a bound; payloads whose id may be in it meet
+the exact list in a shuffle.  Archives are written by Spark as gzip-compressed
+WARC 1.1 files in the shared folder, in classes of payload size so that a
+file's bytes are bounded, and read back record by record while they are
+decompressed.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,11 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmetrics.llm.common import scratch_path, stored, table
+from snapmetrics.llm.lines import PART_BITS, filter_bits, id_filter, mapped_hits
 
 #: Payloads below this many bytes are always written whole.
 MIN_REVISIT_BYTES = 1000
-#: Records per archive file, which bounds what a reading task holds.
-RECORDS_PER_FILE = 5000
+#: Classes of payload size (bytes, exclusive) with their records per file: a
+#: file holds at most about 320 MB, or one larger record.
+SIZE_CLASSES = [(1 << 16, 5000), (1 << 24, 20), (1 << 62, 1)]
+#: Bytes of parsed records that a reading task hands on at a time.
+READ_BYTES = 1 << 22
 WARC_DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -108,27 +116,61 @@ def write_archives(recs: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTE
     The revisit list is written first, so Spark knows its size: it is
     broadcast below Spark's own threshold and else joined by a shuffle.
     """
-    found = stored(revisits(recs, min_bytes), "revisits")
-    body = recs.withColumn("digest", F.sha1(F.col("payload").cast("binary")))
-    joined = body.join(found, ["rid", "digest"], "left")
-    joined.select(
-        warc_text(F.col("rid"), F.col("uri"), F.col("payload"), F.col("digest"), F.col("refers_to")).alias("value")
-    ).write.option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
-
-
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], int, int]]:
-    """(header fields, payload start, payload end) of each record of an
-    uncompressed archive."""
-    at = 0
-    while at < len(data):
-        if data[at : at + 5] != b"WARC/":
-            raise ValueError(f"no WARC record at byte {at}")
-        end = data.index(b"\r\n\r\n", at)
-        fields = dict(x.split(": ", 1) for x in data[at:end].decode().split("\r\n")[1:])
+    _write(recs.withColumn("refers_to", F.lit(None).cast("long")), stored(revisits(recs, min_bytes), "revisits"), path)
+
+
+def _write(recs: DataFrame, found: DataFrame, path: str) -> None:
+    """Write ``recs`` (rid, uri, payload, refers_to); those in ``found`` (rid,
+    digest, refers_to) become revisits, as do those that refer already (their
+    ``digest`` is kept, if ``recs`` has one)."""
+    sha = F.sha1(F.col("payload").cast("binary"))
+    body = recs.withColumn("digest", F.coalesce("digest", sha) if "digest" in recs.columns else sha)
+    bits = filter_bits(found.count(), PART_BITS)
+    ids = id_filter(found.select(F.col("rid").alias("doc_id")), bits)
+    maybe = mapped_hits(body, ids, bits, "rid")
+    again = maybe(True).join(found.withColumnRenamed("refers_to", "original"), ["rid", "digest"], "left")
+    again = again.withColumn("refers_to", F.coalesce("refers_to", "original")).drop("original")
+    joined = maybe(False).unionByName(again)
+    size = F.when(F.col("refers_to").isNull(), F.octet_length("payload")).otherwise(F.lit(0))
+    top = body.agg(F.max(F.octet_length("payload"))).first()[0] or 0
+    least = 0
+    for k, (limit, per_file) in enumerate(SIZE_CLASSES):
+        if least <= top or k == 0:
+            joined.where((size >= least) & (size < limit)).select(
+                warc_text(F.col("rid"), F.col("uri"), F.col("payload"), F.col("digest"), F.col("refers_to")).alias("value")
+            ).write.mode("append").option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+        least = limit
+
+
+def parse(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(header fields, payload) of each record of an uncompressed archive that
+    comes in pieces; what is held is one record and one piece."""
+    pieces, held = iter(pieces), bytearray()
+
+    def fill(n: int) -> bool:
+        while len(held) < n:
+            more = next(pieces, None)
+            if more is None:
+                return False
+            held.extend(more)
+        return True
+
+    while fill(1):
+        if not fill(5) or held[:5] != b"WARC/":
+            raise ValueError("no WARC record where one should start")
+        seen = 0
+        while (end := held.find(b"\r\n\r\n", max(seen - 3, 0))) < 0:
+            seen = len(held)
+            if not fill(seen + 1):
+                raise ValueError("a WARC header without an end")
+        fields = dict(x.split(": ", 1) for x in held[:end].decode().split("\r\n")[1:])
         start, size = end + 4, int(fields["Content-Length"])
-        body = data.find(b"\r\n\r\n", start, start + size)
-        yield fields, start + size if body < 0 else body + 4, start + size
-        at = start + size + 4
+        if not fill(start + size):
+            raise ValueError("a WARC record without an end")
+        body = held.find(b"\r\n\r\n", start, start + size)
+        yield fields, bytes(held[start + size if body < 0 else body + 4 : start + size])
+        fill(start + size + 4)
+        del held[: start + size + 4]
 
 
 READ_SCHEMA = T.StructType([
@@ -143,32 +185,50 @@ def _id(urn: str | None) -> int | None:
     return int(m[1]) if m else None
 
 
-def _unzip(data: bytes) -> bytes:
-    """All gzip members of a file; other files as they are."""
-    out = []
-    while data[:2] == b"\x1f\x8b":
-        d = zlib.decompressobj(31)
-        out.append(d.decompress(data))
-        data = d.unused_data
-    return b"".join(out) + data
+def unzipped(data: bytes, piece: int = READ_BYTES) -> Iterator[bytes]:
+    """The contents of all gzip members of a file, in pieces; other files as
+    they are."""
+    view = memoryview(data)
+    if view[:2] != b"\x1f\x8b":
+        yield from (bytes(view[a : a + piece]) for a in range(0, len(view), piece))
+        return
+    d = zlib.decompressobj(31)
+    feed, at = b"", 0
+    while feed or at < len(view) or not d.eof:
+        if not feed:
+            feed, at = bytes(view[at : at + piece]), at + piece
+            if not feed:
+                raise ValueError("a gzip file without an end")
+        yield d.decompress(feed, piece)
+        feed = d.unconsumed_tail
+        if d.eof:
+            feed = d.unused_data
+            if not feed and at >= len(view):
+                return
+            d = zlib.decompressobj(31)
 
 
 def _reader(with_payload: bool):
+    schema = pa.schema([("rid", pa.int64()), ("uri", pa.string()), ("record_type", pa.string()), ("digest", pa.string()), ("bytes", pa.int64()),
+                        ("refers_to", pa.int64())] + [("payload", pa.string())] * with_payload)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column("content"):
-                data, rows = _unzip(content.as_py()), []
-                for f, a, b in parse(data):
+                rows, held = [], 0
+                for f, body in parse(unzipped(content.as_py())):
                     response = f["WARC-Type"] == "response"
                     rows.append({
                         "rid": _id(f["WARC-Record-ID"]), "uri": f.get("WARC-Target-URI"), "record_type": f["WARC-Type"],
                         # A response's digest and length are those of the payload as read.
-                        "digest": hashlib.sha1(memoryview(data)[a:b]).hexdigest() if response else f["WARC-Payload-Digest"].removeprefix("sha1:"),
-                        "bytes": b - a if response else None, "refers_to": _id(f.get("WARC-Refers-To")),
-                    } | ({"payload": data[a:b].decode()} if with_payload else {}))
-                schema = [("rid", pa.int64()), ("uri", pa.string()), ("record_type", pa.string()), ("digest", pa.string()),
-                          ("bytes", pa.int64()), ("refers_to", pa.int64())] + [("payload", pa.string())] * with_payload
-                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(schema))
+                        "digest": hashlib.sha1(body).hexdigest() if response else f["WARC-Payload-Digest"].removeprefix("sha1:"),
+                        "bytes": len(body) if response else None, "refers_to": _id(f.get("WARC-Refers-To")),
+                    } | ({"payload": body.decode()} if with_payload else {}))
+                    held += len(body) if with_payload else 500
+                    if held >= READ_BYTES:
+                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                        rows, held = [], 0
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return read
 
@@ -192,12 +252,24 @@ def resolve(heads: DataFrame) -> DataFrame:
 
 def deduplicate_archives(spark: SparkSession, source: str, target: str, min_bytes: int = MIN_REVISIT_BYTES) -> None:
     """Read archives, resolve the repeats among their responses and write new
-    archives with fresh headers.  Revisits of the source are rebuilt."""
-    recs = read_archives(spark, source, payload=True)
-    full = recs.where(F.col("record_type") == "response").select("rid", "uri", "payload")
-    bodies = full.select(F.col("rid").alias("refers_to"), "payload").dropDuplicates(["refers_to"])
-    again = recs.where(F.col("record_type") == "revisit").select("rid", "uri", "refers_to").join(bodies, "refers_to")
-    write_archives(full.unionByName(again.select("rid", "uri", "payload")), target, min_bytes)
+    archives with fresh headers.
+
+    A revisit is rebuilt from the response with its reference and digest; one
+    whose response is not among the archives stays a revisit with its own
+    digest and reference, so no record is lost.  Only the payloads that
+    revisits ask for are joined.
+    """
+    recs = stored(read_archives(spark, source, payload=True), "archive-records")
+    full = recs.where(F.col("record_type") == "response").select("rid", "uri", "payload", "digest")
+    again = recs.where(F.col("record_type") == "revisit").select("rid", "uri", "digest", "refers_to")
+    asked = again.select(F.col("refers_to").alias("rid"), "digest").distinct()
+    bodies = full.join(asked, ["rid", "digest"], "left_semi").dropDuplicates(["rid", "digest"])
+    bodies = bodies.select(F.col("rid").alias("refers_to"), "digest", "payload")
+    rebuilt = again.join(bodies, ["refers_to", "digest"], "left")
+    whole = full.select("rid", "uri", "payload").unionByName(rebuilt.where(F.col("payload").isNotNull()).select("rid", "uri", "payload"))
+    lone = rebuilt.where(F.col("payload").isNull()).select("rid", "uri", F.lit("").alias("payload"), "refers_to", "digest")
+    named = whole.withColumns({"refers_to": F.lit(None).cast("long"), "digest": F.lit(None).cast("string")})
+    _write(stored(named.unionByName(lone), "rebuilt-records"), stored(revisits(whole, min_bytes), "revisits"), target)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

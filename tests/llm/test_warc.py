@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 
 import pytest
@@ -47,8 +48,8 @@ def test_archives_round_trip(spark, rows, tmp_path):
 def test_record_format(spark, tmp_path):
     pages = spark.createDataFrame([(1, "http://x/", "a" * 1200), (2, "http://y/", "a" * 1200)], "page_id long, url string, html string").coalesce(1)
     W.write_archives(W.records(pages), str(tmp_path / "w"))
-    (raw,) = [W._unzip(bytes(r.content)) for r in spark.read.format("binaryFile").load(str(tmp_path / "w")).collect()]
-    found = {f["WARC-Record-ID"]: (f, raw[a:b]) for f, a, b in W.parse(raw)}
+    files = [bytes(r.content) for r in spark.read.format("binaryFile").load(str(tmp_path / "w")).collect()]
+    found = {f["WARC-Record-ID"]: (f, body) for data in files for f, body in W.parse(W.unzipped(data))}
     head, body = found["<urn:page:1>"]
     assert head["WARC-Type"] == "revisit" and head["WARC-Refers-To"] == "<urn:page:2>" and body == b"" and head["WARC-Profile"] == W.PROFILE
     head, body = found["<urn:page:2>"]
@@ -60,3 +61,44 @@ def test_empty_table(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     W.write_archives(W.records(pages), str(tmp_path / "w"))
     assert W.resolve(W.read_archives(spark, str(tmp_path / "w"))).count() == 0
+
+
+def test_revisits_without_their_response_stay(spark, tmp_path):
+    """The archives hold revisits of records that are elsewhere, and an id
+    with two payloads, of which a revisit names one by its digest."""
+    a, b = "a" * 1500, "b" * 1500
+    sha = lambda t: hashlib.sha1(t.encode()).hexdigest()
+    rows = [(9, "u9", a, None, None), (9, "u9b", b, None, None), (3, "u3", "c" * 1200, None, None),
+            (1, "u1", "", 77, sha("elsewhere")), (2, "u2", "", 9, sha(b)), (4, "u4", "", 9, sha("no such payload"))]
+    recs = spark.createDataFrame(rows, "rid long, uri string, payload string, refers_to long, digest string")
+    none = spark.createDataFrame([], "rid long, digest string, refers_to long")
+    W._write(recs, none, f"{tmp_path}/one")
+    W.deduplicate_archives(spark, f"{tmp_path}/one", f"{tmp_path}/two")
+    got = {(r.rid, r.uri, r.record_type, r.digest, r.refers_to) for r in W.read_archives(spark, f"{tmp_path}/two").collect()}
+    assert got == {
+        (9, "u9", "response", sha(a), None), (9, "u9b", "response", sha(b), None), (3, "u3", "response", sha("c" * 1200), None),
+        (1, "u1", "revisit", sha("elsewhere"), 77), (2, "u2", "revisit", sha(b), 9), (4, "u4", "revisit", sha("no such payload"), 9),
+    }
+
+
+def test_large_records_get_files_of_their_own(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "SIZE_CLASSES", [(100, 50), (1000, 3), (1 << 62, 1)])
+    rows = [(i, "u", chr(97 + i % 26) * (i % 3 * 400 + i)) for i in range(60)]
+    W.write_archives(W.records(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)), str(tmp_path / "w"))
+    sizes = []
+    for r in spark.read.format("binaryFile").load(str(tmp_path / "w")).collect():
+        sizes.append([len(body) for _, body in W.parse(W.unzipped(bytes(r.content), 64))])
+    assert all(len(s) <= (50 if max(s) < 100 else 3 if max(s) < 1000 else 1) for s in sizes if s)
+    assert sorted(n for s in sizes for n in s) == sorted(len(t) for _, _, t in rows)
+
+
+def test_pieces_of_any_size(rows):
+    data = b"".join(b"WARC/1.1\r\nContent-Length: %d\r\n\r\nh\r\n\r\n%s\r\n\r\n" % (len(t) + 5, t) for t in (b"", b"x" * 50, TRAP.encode()))
+    packed = gzip.compress(data[:40]) + gzip.compress(data[40:])
+    for piece in (1, 3, 1000):
+        for whole in (data, packed):
+            assert [body for _, body in W.parse(W.unzipped(whole, piece))] == [b"", b"x" * 50, TRAP.encode()]
+    with pytest.raises(ValueError):
+        list(W.parse(W.unzipped(packed[:-12], 10)))
+    with pytest.raises(ValueError):
+        list(W.parse([data[:-20]]))
