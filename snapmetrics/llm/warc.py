@@ -2,10 +2,10 @@
 
 Only headers (id, digest, length) are shuffled by payload digest.  The
 largest id of each digest group is the response, the others become revisit
-records that refer to it.  Every payload that is written stays in the scan:
-responses are those whose (id, digest) is not in the revisit list, and that
-list's filter is broadcast within a bound; payloads whose id may be in it meet
-the exact list in a shuffle.  Archives are written by Spark as gzip-compressed
+records that refer to it.  Payloads meet the revisit list in the scan: a list
+of at most ``BROADCAST_ROWS`` rows is broadcast; of a longer one a filter of
+its ids is, of bounded size, and only payloads whose id may be in it meet the
+exact list in a shuffle.  Archives are written by Spark as gzip-compressed
 WARC 1.1 files in the shared folder, in classes of payload size so that a
 file's bytes are bounded, and read back record by record while they are
 decompressed.
@@ -31,6 +31,8 @@ MIN_REVISIT_BYTES = 1000
 #: Classes of payload size (bytes, exclusive) with their records per file: a
 #: file holds at most about 320 MB, or one larger record.
 SIZE_CLASSES = [(1 << 16, 5000), (1 << 24, 20), (1 << 62, 1)]
+#: Most rows of a revisit list that is broadcast whole (some 30 MB).
+BROADCAST_ROWS = 200_000
 #: Bytes of parsed records that a reading task hands on at a time.
 READ_BYTES = 1 << 22
 WARC_DATE = "2024-01-01T00:00:00Z"
@@ -125,20 +127,31 @@ def _write(recs: DataFrame, found: DataFrame, path: str) -> None:
     ``digest`` is kept, if ``recs`` has one)."""
     sha = F.sha1(F.col("payload").cast("binary"))
     body = recs.withColumn("digest", F.coalesce("digest", sha) if "digest" in recs.columns else sha)
-    bits = filter_bits(found.count(), PART_BITS)
-    ids = id_filter(found.select(F.col("rid").alias("doc_id")), bits)
-    maybe = mapped_hits(body, ids, bits, "rid")
-    again = maybe(True).join(found.withColumnRenamed("refers_to", "original"), ["rid", "digest"], "left")
-    again = again.withColumn("refers_to", F.coalesce("refers_to", "original")).drop("original")
-    joined = maybe(False).unionByName(again)
-    size = F.when(F.col("refers_to").isNull(), F.octet_length("payload")).otherwise(F.lit(0))
-    top = body.agg(F.max(F.octet_length("payload"))).first()[0] or 0
-    least = 0
-    for k, (limit, per_file) in enumerate(SIZE_CLASSES):
-        if least <= top or k == 0:
-            joined.where((size >= least) & (size < limit)).select(
-                warc_text(F.col("rid"), F.col("uri"), F.col("payload"), F.col("digest"), F.col("refers_to")).alias("value")
-            ).write.mode("append").option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+    found = found.withColumnRenamed("refers_to", "original")
+    n_found = found.count()
+    if n_found > BROADCAST_ROWS:
+        bits = filter_bits(n_found, PART_BITS)
+        ids = id_filter(found.select(F.col("rid").alias("doc_id")), bits)
+
+    def resolved(part: DataFrame) -> DataFrame:
+        if n_found <= BROADCAST_ROWS:
+            joined = part.join(F.broadcast(found), ["rid", "digest"], "left")
+        else:
+            maybe = mapped_hits(part, ids, bits, "rid")
+            joined = maybe(False).withColumn("original", F.lit(None).cast("long"))
+            joined = joined.unionByName(maybe(True).join(found, ["rid", "digest"], "left"))
+        return joined.withColumn("refers_to", F.coalesce("refers_to", "original"))
+
+    own, least = F.octet_length("payload"), 0
+    written = F.when(F.col("refers_to").isNull(), own).otherwise(F.lit(0))
+    top = recs.agg(F.max(own)).first()[0] or 0
+    for limit, per_file in SIZE_CLASSES:
+        if least <= top:
+            # Revisits hold no payload and are all written with the smallest.
+            one = resolved(body.where(own >= least) if least else body).where((written >= least) & (written < limit))
+            one.select(warc_text(F.col("rid"), F.col("uri"), F.col("payload"), F.col("digest"), F.col("refers_to")).alias("value")).write.mode(
+                "append"
+            ).option("lineSep", "\r\n").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
         least = limit
 
 

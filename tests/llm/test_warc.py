@@ -32,7 +32,9 @@ def _read(spark, path):
     return sorted(map(tuple, got.collect()), key=str)
 
 
-def test_archives_round_trip(spark, rows, tmp_path):
+@pytest.mark.parametrize("most", [W.BROADCAST_ROWS, 0])
+def test_archives_round_trip(spark, rows, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(W, "BROADCAST_ROWS", most)
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("clash")).repartition(4)
     W.write_archives(W.records(pages), f"{tmp_path}/one")
     assert _read(spark, f"{tmp_path}/one") == brute(rows)
