@@ -166,11 +166,15 @@ def _measure(s: Settings):
 
 def train(docs: DataFrame, labelled: DataFrame, s: Settings = Settings()) -> Machine:
     """Fit on at most ``s.train_rows`` rows of ``labelled`` (doc_id, label),
-    the bound of what is broadcast and of what the driver holds."""
+    the bound of what is broadcast and of what the driver holds.  Of an id's
+    repeated documents the one with the least statistics counts."""
     chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.train_rows)
     got = keyed_text(docs).join(F.broadcast(chosen), "doc_id").mapInArrow(
         _measure(s), "doc_id long, label double, stats binary, buckets binary, values_ binary"
-    ).orderBy("doc_id", "stats").collect()
+    )
+    # One row for each id, whatever its repeats, reaches the driver.
+    one = got.groupBy("doc_id").agg(F.min(F.struct("stats", "buckets", "values_", "label")).alias("x"))
+    got = one.select("doc_id", "x.*").orderBy("doc_id").collect()
     rows = [(np.frombuffer(r.buckets, np.int32).astype(np.int64), np.frombuffer(r.values_, np.float32).astype(float)) for r in got]
     stats = np.array([np.frombuffer(r.stats, float) for r in got]).reshape(-1, N_STATS)
     return fit(stats, rows, np.array([r.label for r in got]), s)
