@@ -11,7 +11,7 @@ do lose one tells them apart, and only the others' texts meet their keys in a
 shuffle.
 
 The filters' size follows the input (about 16 bits for every line of 64
-bytes), between 16 and 128 MB.  Past some hundred million distinct lines
+bytes), between 16 and 64 MB.  Past some hundred million distinct lines
 they let more lines through, which costs shuffle but no result.
 """
 
@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from snapmetrics.llm.arrays import mix
 from snapmetrics.llm.common import stored, table
 
-#: Least and most bits of a filter (16 and 128 MB), and bits of the parts in
+#: Least and most bits of a filter (16 and 64 MB), and bits of the parts in
 #: which it is merged.
 FILTER_BITS = 1 << 27
-MOST_BITS = 1 << 30
+MOST_BITS = 1 << 29
 PART_BITS = 1 << 22
 MIN_CHARS = 10
 

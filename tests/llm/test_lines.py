@@ -63,4 +63,4 @@ def test_only_documents_that_lose_lines_are_shuffled(spark):
 
 def test_filters_grow_with_the_input():
     assert filter_bits(0) == FILTER_BITS and filter_bits(10**12) == MOST_BITS
-    assert FILTER_BITS < filter_bits(20_000_000) < MOST_BITS
+    assert FILTER_BITS < filter_bits(10_000_000) < MOST_BITS
