@@ -55,6 +55,10 @@ def global_rolling() -> dict[str, tuple[str, str, int]]:
     return out
 
 
+# Rows before its own that a row of F1-F4 depends on: 30 one-row changes.
+GLOBAL_REACH = 30
+
+
 def global_rates(fs: Column) -> list[Column]:
     """M1–M5 (``fs``: the fee split E5)."""
     one = F.lit(1.0)

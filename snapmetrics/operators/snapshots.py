@@ -29,13 +29,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from snapmetrics.sources.grid import Grid, block_range
+from snapmetrics.sources.grid import Grid, block_range, chunk_of
 
 # Aggregation kinds for ``as_of``: how a per-interval partial becomes state.
 SUM, COUNT, MAX, MIN, LATEST = "sum", "count", "max", "min", "latest"
 _RUNNING = {SUM: F.sum, COUNT: F.sum, MAX: F.max, MIN: F.min}
 
 
+def _plus(a: Column, b: Column) -> Column:
+    """The sum of two partials, either of which may be null."""
+    return F.coalesce(a + b, a, b)
+
+
+# Two partials of a kind to one; a null one has no rows.
+_BOTH = {SUM: _plus, COUNT: _plus, MAX: F.greatest, MIN: F.least}
+
+
 # Bins of the block axis per stamp of the grid.
 BINS_PER_STAMP = 4
 
@@ -143,6 +152,8 @@ def carry_forward(
     parent can pick the latest among its children; ``carry`` names columns
     that are constant per key."""
     keys = list(keys)
+    if not keys and grid.long:
+        return spread(_one_series(intervals, kinds, keep_order, carry), grid, snapshots, "idx", "_until")
     w = Window.partitionBy(*keys).orderBy("idx")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     state_cols = []
@@ -158,6 +169,31 @@ def carry_forward(
     return spread(state, grid, snapshots, "idx", "_until")
 
 
+def _one_series(intervals: DataFrame, kinds: Mapping[str, str], keep_order: bool, carry: Sequence[str]) -> DataFrame:
+    """Running state of the one entity of a log without keys over a long
+    grid: its interval rows are windowed in chunks of stamps, which take over
+    the state before them and the next interval from a table of chunk ends."""
+    part = intervals.withColumn("_chunk", chunk_of("idx"))
+    running = {name: kind for name, kind in kinds.items() if kind != LATEST}
+    totals = [_RUNNING[kind](name).alias(f"_sofar_{name}") for name, kind in running.items()]
+    ends = part.groupBy("_chunk").agg(F.min("idx").alias("_first"), *totals)
+    # One row per chunk.
+    line = Window.orderBy("_chunk")
+    before = line.rowsBetween(Window.unboundedPreceding, -1)
+    carried = [_RUNNING[kind](f"_sofar_{name}").over(before).alias(f"_sofar_{name}") for name, kind in running.items()]
+    ends = ends.select("_chunk", F.lead("_first").over(line).alias("_next"), *carried)
+    w = Window.partitionBy("_chunk").orderBy("idx")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    state = []
+    for name, kind in kinds.items():
+        if kind == LATEST:
+            state += [F.col(name), F.col(f"_ord_{name}")] if keep_order else [F.col(name)]
+        else:
+            state.append(_BOTH[kind](F.col(f"_sofar_{name}"), _RUNNING[kind](name).over(upto)).alias(name))
+    until = F.coalesce(F.lead("idx").over(w), "_next") - F.lit(1)
+    return part.join(ends, "_chunk").select(*carry, "idx", until.alias("_until"), *state)
+
+
 def as_of(
     log: DataFrame,
     keys: Sequence[str],

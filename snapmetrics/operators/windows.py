@@ -38,6 +38,24 @@ def series(order: Sequence[str], key: Sequence[str] | str | None = None) -> Wind
     return w.orderBy(*order)
 
 
+def in_chunks(df: DataFrame, place: Column, bits: int, back: int) -> tuple[DataFrame, WindowSpec]:
+    """``df``, one long series, cut for windows that look at most ``back`` rows
+    back, and the window over a chunk.
+
+    ``place`` numbers the rows without gaps; a chunk has 2^``bits`` places and
+    copies of the ``back`` rows before them.  ``own_rows`` drops the copies
+    once the windowed columns are made.  One exchange, on the chunk.
+    """
+    cut = df.withColumn("_place", place)
+    chunks = F.sequence(F.shiftright("_place", bits), F.shiftright(F.col("_place") + F.lit(back), bits))
+    return cut.withColumn("_chunk", F.explode(chunks)), Window.partitionBy("_chunk").orderBy("_place")
+
+
+def own_rows(df: DataFrame, bits: int) -> DataFrame:
+    """Each row of ``in_chunks`` once, in its own chunk."""
+    return df.where(F.col("_chunk") == F.shiftright("_place", bits)).drop("_place", "_chunk")
+
+
 def diff_n(c: str | Column, n: int, w: WindowSpec) -> Column:
     """Change against ``n`` rows back; 0 where it cannot be formed."""
     x = _col(c)

@@ -341,6 +341,14 @@ GRAW_COLS = [
 ]
 
 
+O.network("slatest")
+
+
+@register("network_latest", GRAW_COLS, select_from("graw_slatest", GRAW_COLS), ["graw_slatest"], doubles=set())
+def _network_latest(t):
+    return flatten(root_select(scans.scan_network_latest(t), J.GLOBAL.return_value))
+
+
 @register("scan_global", GRAW_COLS, select_from("graw_s6", GRAW_COLS), ["graw_s6"], doubles=set())
 def _scan_global(t):
     return _network_flat(t)
@@ -364,6 +372,11 @@ def _scan_allocations(t):
     return scans.allocation_rows(t, fx.G5_ORDERS, _snaps(t, fx.G5_ORDERS, True))
 
 
+@register("allocations_latest", ARAW_COLS, select_from("araw_latest", ARAW_COLS), ["araw_latest"], doubles=set())
+def _allocations_latest(t):
+    return scans.allocation_rows_latest(t)
+
+
 @register("explode_versions", ARAW_COLS, select_from("araw", ARAW_COLS), ["araw"], doubles=set())
 def _explode_versions(t):
     nested = scans.scan_allocations(t, fx.G5_ORDERS, _snaps(t, fx.G5_ORDERS, True))
@@ -666,6 +679,17 @@ def _global_diff1(t):
     return J.global_windows(J.global_clean(t))
 
 
+GLONG = ["stamp", "block", "QF", "signal_change", "delegation_change_7d", "stake_change_30d", "QF_7d", "curator_rewards_30d", "signal_30d_mean", "stake_30d_mean"]
+
+
+@register("global_long_grid", GLONG, select_from("groll_s7", GLONG), ["groll_s7"])
+def _global_long_grid(t):
+    """F1-F4 over more stamps than one task orders."""
+    grid = fx.G7_LONG
+    snaps = _snaps(t, grid)
+    return J.global_windows(J.global_clean_from(scans.scan_network(t, grid, snaps), snaps, J.GLOBAL.return_value, grid), grid)
+
+
 GDIFFN = ["date", "stamp", "block"] + [f"{b}_change_{n}d" for b in ("signal", "stake", "allocation", "delegation") for n in (7, 30)]
 
 

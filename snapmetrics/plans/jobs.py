@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from snapmetrics.functions.clean import epoch_to_ts, null_to_zero_int, scale_tokens, strip_suffix, to_double
 from snapmetrics.functions.metrics import (
+    GLOBAL_REACH,
     entity_changes,
     entity_rates,
     entity_rolling,
@@ -37,9 +38,10 @@ from snapmetrics.operators.relations import (
 )
 from snapmetrics.operators.shape import explode_child, flatten, rename_map, root_select
 from snapmetrics.operators.snapshots import cap_per_snapshot
-from snapmetrics.operators.windows import rolling, series
+from snapmetrics.operators.windows import in_chunks, own_rows, rolling, series
 from snapmetrics.plans import columns as C
 from snapmetrics.sources import fixtures as fx
+from snapmetrics.sources import grid as grids
 from snapmetrics.sources import scans
 from snapmetrics.sources.grid import Grid, pinned, resolve_blocks, snapshot_grid
 
@@ -183,15 +185,20 @@ def non_nullable(df: DataFrame) -> frozenset:
     return frozenset(f.name for f in df.schema.fields if not f.nullable)
 
 
-def global_windows(df: DataFrame) -> DataFrame:
+def global_windows(df: DataFrame, grid: Grid | None = None) -> DataFrame:
     """F1-F4 over the network frame, ordered by block then stamp.
 
     The frame has one row per snapshot, bounded by the grid, so an
-    unpartitioned window is acceptable here and only here.
+    unpartitioned window is acceptable here and only here.  The frame of a
+    long ``grid`` is windowed in chunks of its stamps: state carries forward,
+    so from its first stamp on it has a row at every one, and blocks never
+    fall from stamp to stamp.
     """
-    w = series(["block", "stamp"])
+    chunked = grid is not None and grid.long
+    df, w = in_chunks(df, grid.index_of("stamp"), grids.CHUNK_BITS, GLOBAL_REACH) if chunked else (df, series(["block", "stamp"]))
     changed = df.select("*", *global_changes(w))
-    return rolling(changed, w, global_rolling(), non_nullable(changed))
+    out = rolling(changed, w, global_rolling(), non_nullable(changed))
+    return own_rows(out, grids.CHUNK_BITS) if chunked else out
 
 
 def global_from(payload: DataFrame, blocktimes: DataFrame, fs: Column) -> DataFrame:
@@ -202,7 +209,7 @@ def global_from(payload: DataFrame, blocktimes: DataFrame, fs: Column) -> DataFr
 
 def global_frame(t: fx.Tables, fs: Column, spec: JobSpec = GLOBAL) -> DataFrame:
     """L2 before the last-N cut: every column the outputs and sheet use."""
-    return global_windows(global_clean(t, spec)).select("*", *global_rates(fs))
+    return global_windows(global_clean(t, spec), spec.grid).select("*", *global_rates(fs))
 
 
 # --- L3 subgraphs --------------------------------------------------------------

@@ -393,9 +393,12 @@ cte(
     "vids",
     "SELECT DISTINCT l_orderkey, CAST(l_suppkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS version_id FROM lineitem",
 )
-cte(
-    "araw",
-    f"""SELECT p.block, CAST(o.o_orderkey AS VARCHAR) AS id,
+
+
+def allocations(name: str, pb: str) -> None:
+    cte(
+        name,
+        f"""SELECT p.block, CAST(o.o_orderkey AS VARCHAR) AS id,
        {txt('coalesce(l.qf_cents, 0)', 16)} AS queryFeesCollected,
        {txt('coalesce(l.fee_cents, 0)', 16)} AS delegationFees,
        'd' || CAST(o.o_orderkey AS VARCHAR) AS subgraphDeployment_id,
@@ -408,14 +411,19 @@ cte(
                  AND date_diff('day', DATE '{fx.ORDER_EPOCH}', CAST(o.o_orderdate AS DATE)) + {fx.CLOSE_AFTER_DAYS} <= p.block
             THEN date_diff('day', DATE '{fx.ORDER_EPOCH}', CAST(o.o_orderdate AS DATE)) + {fx.CLOSE_AFTER_DAYS} END AS BIGINT)
          AS closedAtBlockNumber
-FROM s5_pb p
+FROM {pb} p
 JOIN orders o ON date_diff('day', DATE '{fx.ORDER_EPOCH}', CAST(o.o_orderdate AS DATE)) <= p.block
 LEFT JOIN lines l ON l.l_orderkey = o.o_orderkey
 LEFT JOIN vids v ON v.l_orderkey = o.o_orderkey""",
-    "s5_pb",
-    "lines",
-    "vids",
-)
+        pb,
+        "lines",
+        "vids",
+    )
+
+
+allocations("araw", "s5_pb")
+cte("alatest_pb", "SELECT max(block) AS block FROM oblocks", "oblocks")
+allocations("araw_latest", "alatest_pb")
 cte(
     "aclean",
     f"""SELECT id, status, block, {scaled('allocatedTokens')} AS allocated_tokens,
@@ -441,3 +449,28 @@ subgraph_frame("s1")
 network("s6")
 network("s2")
 network("s1")
+
+# A long grid: as-of by a join on the running greatest block, state by running
+# sums over the log (a triangular join would be too slow).
+cte("s7_grid", grid_sql(fx.G7_LONG))
+cte(
+    "s7",
+    """SELECT g.idx, g.stamp, CAST(b.block AS BIGINT) AS block FROM s7_grid g
+ASOF JOIN (SELECT block_time, max(max(block)) OVER (ORDER BY block_time) AS block FROM eblocks GROUP BY block_time) b
+ON g.stamp >= b.block_time""",
+    "s7_grid",
+    "eblocks",
+)
+network("s7")
+cte(
+    "gstate_s7",
+    """SELECT DISTINCT event_id AS block, count(event_id) OVER w AS n_events,
+       CAST(sum(k) OVER w AS BIGINT) AS alloc_k, CAST(sum(100 - k) OVER w AS BIGINT) AS deleg_k,
+       CAST(sum(cents) OVER w AS BIGINT) AS qf_cents,
+       CAST(sum(CASE WHEN k % 3 = 0 THEN cents END) OVER w AS BIGINT) AS curator_cents,
+       CAST(sum(CASE WHEN k % 3 = 1 THEN cents END) OVER w AS BIGINT) AS indexer_cents,
+       CAST(sum(CASE WHEN k % 3 = 2 THEN cents END) OVER w AS BIGINT) AS delegator_cents,
+       CAST(sum(signed_k) OVER w AS BIGINT) AS signal_k
+FROM evs WINDOW w AS (ORDER BY event_id)""",
+    "evs",
+)

@@ -39,6 +39,7 @@ G3_TWENTY_MINUTES = Grid.between(_dt.datetime(2024, 1, 1, 5, 59, 59), _dt.dateti
 G4_EARLY_START = snapshot_grid(_dt.date(2024, 1, 5), days=8, step=24)
 G5_ORDERS = snapshot_grid(_dt.date(2001, 8, 2), days=150, step=720)
 G6_GLOBAL_60 = snapshot_grid(_dt.date(2024, 1, 31), days=60, step=24)
+G7_LONG = Grid.between(_dt.datetime(2024, 1, 1, 6, 0, 0), _dt.datetime(2024, 1, 31, 5, 59, 59), 20)
 
 TABLES = ("events", "customer", "orders", "lineitem")
 

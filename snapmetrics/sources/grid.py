@@ -57,10 +57,15 @@ class Grid:
     def last(self) -> _dt.datetime:
         return self.start + _dt.timedelta(seconds=self.step_seconds * max(self.count - 1, 0))
 
+    @property
+    def long(self) -> bool:
+        """More stamps than one task orders or a broadcast holds."""
+        return self.count > BROADCAST_STAMPS
+
     def small(self, df: DataFrame) -> DataFrame:
         """``df``, which has at most a few rows per stamp, hinted as broadcast
         where the grid proves it small."""
-        return F.broadcast(df) if self.count <= BROADCAST_STAMPS else df
+        return df if self.long else F.broadcast(df)
 
     def stamp(self, i: int) -> _dt.datetime:
         return self.start + _dt.timedelta(seconds=self.step_seconds * i)
@@ -119,6 +124,11 @@ def snapshot_grid(
 CHUNK_BITS = 12
 
 
+def chunk_of(idx: str | Column) -> Column:
+    """The chunk of a long grid that stamp ``idx`` lies in."""
+    return F.shiftright(idx, CHUNK_BITS)
+
+
 def _resolved(stamps: DataFrame, chunked: bool) -> DataFrame:
     """``(idx, stamp, last_block)`` per stamp to the snapshot table.
 
@@ -144,7 +154,7 @@ def _resolved(stamps: DataFrame, chunked: bool) -> DataFrame:
         ends = df.groupBy("_chunk").agg(total.alias("_total"))
         return df.join(ends.select("_chunk", take(F.col("_total")).over(before).alias("_carry")), "_chunk")
 
-    part = stamps.withColumn("_chunk", F.shiftright("idx", CHUNK_BITS))
+    part = stamps.withColumn("_chunk", chunk_of("idx"))
     part = carried(part, F.max("last_block"), F.max)
     part = part.withColumn("block", F.greatest("_carry", F.max("last_block").over(upto)))
     part = part.withColumn("prior", F.coalesce(F.lag("block").over(order), "_carry")).drop("_carry").where(F.col("block").isNotNull())
@@ -176,7 +186,7 @@ def resolve_blocks(block_table: DataFrame, grid: Grid, block: str = "block", tim
     )
     # Both sides hold at most grid.count rows.
     stamps = grid.to_df(spark).join(grid.small(per_idx), "idx", "left")
-    out = _resolved(stamps, chunked=grid.count > BROADCAST_STAMPS)
+    out = _resolved(stamps, chunked=grid.long)
     return out.select("idx", "stamp", "block", "first_of_block", "prior", F.col("place").cast("bigint").alias("place"))
 
 
@@ -188,7 +198,7 @@ def pinned(snapshots: DataFrame, grid: Grid) -> DataFrame:
     broadcast anyway, becomes a local relation, so that plans using it do not
     scan the block table again.  A larger one stays as it is.
     """
-    if grid.count > BROADCAST_STAMPS:
+    if grid.long:
         return snapshots
     rows = snapshots.toArrow()
     out = snapshots.sparkSession.createDataFrame(rows, schema=snapshots.schema)

@@ -212,6 +212,13 @@ def scan_network(t: fx.Tables, grid: Grid, snapshots: DataFrame, network_id: str
     return network_records(t, grid, snapshots).where(F.col("graphNetwork.id") == network_id)
 
 
+def scan_network_latest(t: fx.Tables, network_id: str = "1") -> DataFrame:
+    """A10 of the network: its one record at the latest block of the log; an
+    empty log has none."""
+    state = latest_state(fx.event_log(t), [], network_state(), "event_id", order="event_id").where(F.col("block").isNotNull())
+    return _network_record(state, "1", 1).unionByName(_network_record(state, "2", 2)).where(F.col("graphNetwork.id") == network_id)
+
+
 def _versions(t: fx.Tables) -> DataFrame:
     """Line sums of each distinct version of an order.  The lines are dealt
     by their order once; order totals and version ids both come from it
@@ -331,9 +338,21 @@ def allocation_rows(t: fx.Tables, grid: Grid, snapshots: DataFrame, cap: int | N
     comes before the spread over snapshots, so rows are multiplied once, at
     the end.  ``cap`` (A8) limits the allocations of a snapshot.
     """
-    rows = _spread_orders(_allocation_versions(t), grid, snapshots)
+    flat = _flat_allocations(_spread_orders(_allocation_versions(t), grid, snapshots))
+    return flat if cap is None else cap_per_snapshot(flat, cap, "block", "id")
+
+
+def allocation_rows_latest(t: fx.Tables) -> DataFrame:
+    """A10 of the allocations, exploded and flat: every one with a day at the
+    latest of these, which a scalar subquery over one column gives."""
+    day = fx.order_day("o_orderdate")
+    rows = _allocation_versions(t).where(F.col("day").isNotNull())
+    return _flat_allocations(rows.withColumn("block", t.orders.agg(F.max(day)).scalar()))
+
+
+def _flat_allocations(rows: DataFrame) -> DataFrame:
     f = _allocation_fields()
-    flat = rows.select(
+    return rows.select(
         "block",
         f["id"],
         f["queryFeesCollected"],
@@ -344,7 +363,6 @@ def allocation_rows(t: fx.Tables, grid: Grid, snapshots: DataFrame, cap: int | N
         f["status"],
         f["closedAtBlockNumber"],
     )
-    return flat if cap is None else cap_per_snapshot(flat, cap, "block", "id")
 
 
 def allocation_block_bounds(t: fx.Tables, grid: Grid, snapshots: DataFrame) -> Column:

@@ -1,3 +1,6 @@
+import datetime as dt
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -67,3 +70,56 @@ def test_rolling_keeps_one_exchange_and_no_sliding_frame(spark):
     plan = rolling(df, w, {f"s{m}": (SUM, "x", m) for m in (7, 14, 30)}, frozenset(["x"]))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
     assert "unboundedpreceding" in plan.lower() and "RowFrame, -6" not in plan
+
+
+def test_long_series_is_windowed_in_chunks(spark, tables, monkeypatch):
+    """State and windows of the network over a grid in chunks of 2^4 stamps,
+    fewer than the windows reach back, are those of one window."""
+    from snapmetrics.plans import catalog as K
+    from snapmetrics.plans import jobs as J
+    from snapmetrics.sources import fixtures as fx
+    from snapmetrics.sources import grid as G
+    from snapmetrics.sources import scans
+
+    def frame(grid):
+        snaps = G.resolve_blocks(fx.event_blocks(tables), grid)
+        return J.global_windows(J.global_clean_from(scans.scan_network(tables, grid, snaps), snaps, grid=grid), grid)
+
+    grid = G.Grid(dt.datetime(2024, 1, 1, 3), 3 * 3600, 170)
+    one = frame(grid)
+    want = sorted(map(tuple, one.select(*sorted(one.columns)).collect()), key=str)
+    assert len(want) > 160
+    monkeypatch.setattr(G, "BROADCAST_STAMPS", 50)
+    monkeypatch.setattr(G, "CHUNK_BITS", 4)
+    got = frame(grid)
+    assert sorted(map(tuple, got.select(*sorted(got.columns)).collect()), key=str) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # One task sees chunk ends and the snapshots' block range only.
+    at = [m.start() for m in re.finditer("Exchange SinglePartition", plan)]
+    tails = ("HashAggregate(keys=[_chunk#", "partial_min(block", "partial_max(block")
+    assert at and all(any(x in plan[i : i + 600] for x in tails) for i in at)
+    assert K.fx.G7_LONG.count > 100_000
+    # A grid that starts before the first block, and an empty log.
+    early = G.Grid(dt.datetime(2023, 12, 20), 3 * 3600, 170)
+    assert frame(early).count() < 170
+
+
+def test_state_without_keys_in_chunks(spark, monkeypatch):
+    """Every kind of state of a log without keys, with nulls and chunks that
+    have no change, as from one window."""
+    from snapmetrics.operators import snapshots as S
+    from snapmetrics.sources import grid as G
+
+    grid = G.Grid(dt.datetime(2024, 1, 1), 60, 90)
+    log = spark.createDataFrame(
+        [(3, None), (4, 7), (20, None), (21, -5), (60, 2), (61, 9), (88, None)], "block long, x long"
+    )
+    blocks = spark.range(90).selectExpr("id AS block", "timestampadd(MINUTE, id, TIMESTAMP_NTZ'2024-01-01 00:00:00') AS block_time")
+    x = F.col("x")
+    aggs = {"n": (S.COUNT, x), "s": (S.SUM, x), "hi": (S.MAX, x), "lo": (S.MIN, x), "last": (S.LATEST, x)}
+    state = lambda: sorted(map(tuple, S.as_of(log, [], grid, G.resolve_blocks(blocks, grid), aggs, order="block").collect()), key=str)
+    want = state()
+    assert len(want) == 87
+    monkeypatch.setattr(G, "BROADCAST_STAMPS", 50)
+    monkeypatch.setattr(G, "CHUNK_BITS", 3)
+    assert state() == want
