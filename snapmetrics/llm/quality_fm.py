@@ -1,7 +1,8 @@
 """Quality classifier: a factorisation machine.
 
-Features of a text: its hashed words, and structure statistics in quantile
-bins.  The score is
+Features of a text: its hashed words, structure statistics in quantile bins,
+and metadata columns, each hashed into a field of its own (numbers by quarter
+octaves, so that near values share a feature).  The score is
 ``w0 + sum w_i x_i + 1/2 sum_f ((sum v_if x_i)^2 - sum v_if^2 x_i^2)``,
 so all pairwise interactions cost one pass over the features.  The machine is
 fitted on at most ``Settings.train_rows`` labelled rows, chosen by a hash of
@@ -17,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from snapmetrics.llm.arrays import SPACE, counts_by_row, words
 from snapmetrics.llm.common import keyed_text, table, text_chunks
@@ -30,6 +32,9 @@ class Settings:
     #: Word buckets, a power of two.
     buckets: int = 1 << 14
     bins: int = 10
+    #: Columns of the documents that are features, and buckets of each.
+    metadata: tuple[str, ...] = ()
+    meta_buckets: int = 64
     rank: int = 4
     steps: int = 900
     batch: int = 128
@@ -83,11 +88,14 @@ class Machine:
     v: np.ndarray
 
     def features(self, stats: np.ndarray, r: np.ndarray, b: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All features, sorted by row: the words, then one bin of each statistic."""
+        """All features, sorted by row: the words, then one bin of each
+        statistic and one bucket of each metadata column (whose numbers follow
+        the statistics)."""
         s = self.settings
-        bins = np.stack([np.searchsorted(e, col) for e, col in zip(self.edges, stats.T, strict=True)], axis=1)
-        column = s.buckets + np.arange(N_STATS) * (s.bins + 1) + bins
-        rows = np.concatenate([r, np.repeat(np.arange(len(stats)), N_STATS)])
+        bins = np.stack([np.searchsorted(e, col) for e, col in zip(self.edges, stats.T[:N_STATS], strict=True)], axis=1)
+        fields = np.arange(len(s.metadata)) * s.meta_buckets + stats[:, N_STATS:].astype(np.int64)
+        column = s.buckets + np.hstack([np.arange(N_STATS) * (s.bins + 1) + bins, N_STATS * (s.bins + 1) + fields])
+        rows = np.concatenate([r, np.repeat(np.arange(len(stats)), column.shape[1])])
         order = np.argsort(rows, kind="stable")
         value = np.concatenate([x, np.full(column.size, N_STATS**-0.5)])
         return rows[order], np.concatenate([b, column.ravel()])[order], value[order]
@@ -110,9 +118,9 @@ def fit(stats: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], labels: np
     """Adaptive gradient descent on the log loss.  ``rows`` has each row's
     word buckets and values.  Without rows every score is one half."""
     rng = np.random.default_rng(s.seed)
-    n_features = s.buckets + N_STATS * (s.bins + 1)
+    n_features = s.buckets + N_STATS * (s.bins + 1) + len(s.metadata) * s.meta_buckets
     quantiles = np.arange(1, s.bins + 1) / (s.bins + 1)
-    edges = np.quantile(stats, quantiles, axis=0).T if len(stats) else np.zeros((N_STATS, s.bins))
+    edges = np.quantile(stats[:, :N_STATS], quantiles, axis=0).T if len(stats) else np.zeros((N_STATS, s.bins))
     m = Machine(s, edges, 0.0, np.zeros(n_features), rng.normal(0, 0.05, (n_features, s.rank)))
     if not len(labels):
         m.v[:] = 0
@@ -144,13 +152,32 @@ def fit(stats: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]], labels: np
     return m
 
 
+def _with_metadata(docs: DataFrame, s: Settings) -> DataFrame:
+    """(doc_id, text, meta): the bucket of each metadata column; null has a
+    bucket like any other value."""
+
+    def bucket(c: str):
+        x = F.col(f"`{c}`")
+        if isinstance(docs.schema[c].dataType, NumericType):
+            size = x.cast("double")
+            x = F.signum(size) * F.floor(F.log2(F.abs(size) + 1) * 4)
+        return (F.crc32(F.coalesce(F.concat(F.lit("="), x.cast("string")), F.lit("")).cast("binary")) % s.meta_buckets).cast("int")
+
+    return keyed_text(docs, "doc_id", "text", F.array(*map(bucket, s.metadata)).cast("array<int>").alias("meta"))
+
+
+def _numbers(part: pa.RecordBatch, st: np.ndarray) -> np.ndarray:
+    """The statistics of a slice's rows and the buckets of their metadata."""
+    return np.hstack([st, np.array(part.column("meta").flatten(), float).reshape(part.num_rows, -1)])
+
+
 def _measure(s: Settings):
     """(label, statistics, buckets, values) of labelled rows, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, raw, off in text_chunks(batches):
             row, _, h = words(raw, off)
-            st = statistics(raw, off, row, h)
+            st = _numbers(part, statistics(raw, off, row, h))
             r, b, x = word_features(row, h, part.num_rows, s.buckets)
             ends = np.searchsorted(r, np.arange(part.num_rows + 1))
             spans = list(zip(ends, ends[1:]))
@@ -169,14 +196,14 @@ def train(docs: DataFrame, labelled: DataFrame, s: Settings = Settings()) -> Mac
     the bound of what is broadcast and of what the driver holds.  Of an id's
     repeated documents the one with the least statistics counts."""
     chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.train_rows)
-    got = keyed_text(docs).join(F.broadcast(chosen), "doc_id").mapInArrow(
+    got = _with_metadata(docs, s).join(F.broadcast(chosen), "doc_id").mapInArrow(
         _measure(s), "doc_id long, label double, stats binary, buckets binary, values_ binary"
     )
     # One row for each id, whatever its repeats, reaches the driver.
     one = got.groupBy("doc_id").agg(F.min(F.struct("stats", "buckets", "values_", "label")).alias("x"))
     got = one.select("doc_id", "x.*").orderBy("doc_id").collect()
     rows = [(np.frombuffer(r.buckets, np.int32).astype(np.int64), np.frombuffer(r.values_, np.float32).astype(float)) for r in got]
-    stats = np.array([np.frombuffer(r.stats, float) for r in got]).reshape(-1, N_STATS)
+    stats = np.array([np.frombuffer(r.stats, float) for r in got]).reshape(-1, N_STATS + len(s.metadata))
     return fit(stats, rows, np.array([r.label for r in got]), s)
 
 
@@ -185,7 +212,7 @@ def _score(machine):
         m = machine.value
         for part, raw, off in text_chunks(batches):
             row, _, h = words(raw, off)
-            st = statistics(raw, off, row, h)
+            st = _numbers(part, statistics(raw, off, row, h))
             z, _ = m.logits(part.num_rows, *m.features(st, *word_features(row, h, part.num_rows, m.settings.buckets)))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_sigmoid(z))], names=["doc_id", "score"])
 
@@ -197,7 +224,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     their statistics alone.  The broadcast machine's size is set by its
     settings, not by the data."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)
-    return keyed_text(docs).mapInArrow(_score(shared), "doc_id long, score double")
+    return _with_metadata(docs, machine.settings).mapInArrow(_score(shared), "doc_id long, score double")
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +238,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & (fold != 0))
         .groupBy("doc_id").agg(F.avg("label").alias("label"))
     )
-    got = score(docs, train(docs, labelled))
+    got = score(docs, train(docs, labelled, Settings(metadata=("n_chars",))))
     return got.select(
         "doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
