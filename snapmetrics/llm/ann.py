@@ -26,12 +26,12 @@ from snapmetrics.llm.common import stored, table
 @dataclass(frozen=True)
 class Graph:
     #: Rows of a shard, about; this bounds a build task.
-    shard_rows: int = 8192
+    shard_rows: int = 16384
     #: Queries that are searched at a time, about.
     block_rows: int = 1024
     degree: int = 48
     build_beam: int = 96
-    search_beam: int = 200
+    search_beam: int = 96
     #: Relaxation of the pruning: a larger one keeps more edges.
     alpha: float = 1.1
     #: Points, spread over the shard, from which every search starts.
@@ -40,9 +40,9 @@ class Graph:
     expand: int = 4
 
 
-def beam_search(x: np.ndarray, graph: np.ndarray, entry: np.ndarray, q: np.ndarray, beam: int, expand: int) -> tuple[np.ndarray, np.ndarray]:
+def beam_search(x: np.ndarray, graph: np.ndarray, entry: np.ndarray, q: np.ndarray, beam: int, expand: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, squared distances) of each query's beam, nearest first; -1 and
-    infinity where fewer points were reached."""
+    infinity where fewer points were reached; and how many points it visited."""
     m, rows = len(q), np.arange(len(q))[:, None]
     seen = np.zeros((m, len(x)), bool)
     seen[:, entry] = True
@@ -80,7 +80,7 @@ def beam_search(x: np.ndarray, graph: np.ndarray, entry: np.ndarray, q: np.ndarr
         ids, dist, open_ = (np.take_along_axis(a, best, 1) for a in (ids, dist, open_))
         ids[np.isinf(dist)] = -1
         open_ &= ids >= 0
-    return ids, dist
+    return ids, dist, seen.sum(axis=1)
 
 
 def prune(x: np.ndarray, points: np.ndarray, cand: np.ndarray, degree: int, alpha: float) -> np.ndarray:
@@ -130,7 +130,7 @@ def build(x: np.ndarray, g: Graph) -> tuple[np.ndarray, np.ndarray]:
     done = len(entry)
     while done < n:
         new = order[done : done + min(g.batch, max(1, done))]
-        found, _ = beam_search(x, graph, entry, x[new], g.build_beam, g.expand)
+        found, *_ = beam_search(x, graph, entry, x[new], g.build_beam, g.expand)
         graph[new] = prune(x, new, found, g.degree, g.alpha)
         source, target = np.repeat(new, g.degree), graph[new].ravel()
         source, target = source[target >= 0], target[target >= 0]
@@ -160,12 +160,23 @@ def _lifted(v: np.ndarray) -> np.ndarray:
     return np.hstack([v / np.sqrt(most), np.sqrt(np.maximum(1 - length / most, 0))[:, None]]).astype(np.float32)
 
 
+def _one_per_id(rows: pd.DataFrame) -> pd.DataFrame:
+    """Rows by id; of an id's repeated rows the one with the least vector, so
+    that shards and query blocks choose alike whatever order rows arrive in."""
+    repeated = rows["vec_id"].duplicated(keep=False)
+    if repeated.any():
+        rows = rows.assign(least=rows["v"].map(tuple).where(repeated, None))
+        few = rows[repeated].sort_values(["vec_id", "least"]).drop_duplicates("vec_id")
+        rows = pd.concat([rows[~repeated], few]).drop(columns="least")
+    return rows.sort_values("vec_id", kind="stable")
+
+
 def _shard(g: Graph, dim: int, keep: int):
     """Rows of a shard to its packed graph.  Equal vectors are one point with
     its smallest ids, of which no answer needs more than ``keep``."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("vec_id", kind="stable").drop_duplicates("vec_id")
+        rows = _one_per_id(rows)
         v, ids = np.array(rows["v"].tolist()).reshape(-1, dim), rows["vec_id"].to_numpy()
         points, where = np.unique(v, axis=0, return_inverse=True)
         by = np.argsort(where.ravel(), kind="stable")
@@ -182,7 +193,7 @@ def _shard(g: Graph, dim: int, keep: int):
 
 
 def _block(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("vec_id", kind="stable").drop_duplicates("vec_id")
+    rows = _one_per_id(rows)
     return pd.DataFrame({"block": [rows["block"].iloc[0]], "query_ids": [rows["vec_id"].to_numpy().astype(np.int64).tobytes()],
                          "queries": [np.array(rows["v"].tolist()).tobytes()]})
 
@@ -200,7 +211,7 @@ def _search(g: Graph, dim: int, kind: str, k: int):
                 qd = q.astype(np.float64)
                 unit = np.hstack([qd / np.sqrt((qd * qd).sum(axis=1, keepdims=True)), np.zeros((len(q), 1))]).astype(np.float32)
                 for a in range(0, len(q), g.batch):
-                    found, _ = beam_search(x, graph, entry, unit[a : a + g.batch], g.search_beam, g.expand)
+                    found, *_ = beam_search(x, graph, entry, unit[a : a + g.batch], g.search_beam, g.expand)
                     row, col = np.nonzero(found >= 0)
                     point = found[row, col]
                     score = np.einsum("nd,nd->n", points[point].astype(np.float64), qd[a + row])
@@ -233,9 +244,11 @@ def nearest(rows: DataFrame, is_query, k: int = 20, g: Graph = Graph(), **column
     """(query_id, rank, vec_id, score) of the k nearest rows of each row for
     which ``is_query`` (a condition on ``vec_id``) holds.
 
-    Of repeated rows of an id the first read counts; the most common vector
-    length is that of the table, vectors of another length take no part.  An
-    empty table has no answers.
+    An id is one row: of its repeated rows the one with the least vector, by
+    component order, counts.  The most common vector length is that of the
+    table (of equally common ones the greatest); vectors of another length,
+    null ones and rows without an id take no part.  Extra columns are not
+    read.  An empty table has no answers.
     """
     spark = rows.sparkSession
     good = usable(rows, **columns)

@@ -40,6 +40,28 @@ def test_recall_against_brute_force(spark, scaled):
     assert _recall(rows, got) >= 0.9
 
 
+def test_repeated_ids_have_one_vector(spark):
+    """The least vector of an id counts, in the index and as a query."""
+    rows = [(0, [1.0, 5.0]), (0, [1.0, 0.0]), (1, [3.0, 9.0]), (1, [3.0, 1.0]), (1, [3.0, 1.0]), (2, [2.0, 2.0]), (20, [0.0, 1.0])]
+    want = {(0, 1, 1, 3.0), (0, 2, 2, 2.0), (0, 3, 20, 0.0), (20, 1, 2, 2.0), (20, 2, 1, 1.0), (20, 3, 0, 0.0)}
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "vec_id long, embedding array<double>").repartition(3)
+        assert {tuple(r) for r in ann.nearest(df, F.expr(IS_QUERY)).collect()} == want
+
+
+def test_recall_and_points_visited():
+    """The graph reaches nearly all of the nearest by a small part of its points."""
+    rng = np.random.default_rng(3)
+    x = ann._lifted(rng.normal(size=(6000, 16)))
+    g = ann.Graph()
+    graph, entry = ann.build(x, g)
+    q = x[::30]
+    found, _, visited = ann.beam_search(x, graph, entry, q, g.search_beam, g.expand)
+    best = np.argsort(((q[:, None] - x[None]) ** 2).sum(axis=2), axis=1)[:, :20]
+    recall = np.mean([len(set(f[:20]) & set(b)) / 20 for f, b in zip(found, best)])
+    assert recall >= 0.95 and visited.mean() < 0.3 * len(x), (recall, visited.mean())
+
+
 def test_few_rows_ties_and_bad_vectors(spark):
     same = [1.0, 2.0]
     rows = [(i, same, "c") for i in range(45)] + [(45, [0.0, 0.0], "c"), (46, None, "c"), (47, [float("nan"), 1.0], "c"),
