@@ -29,15 +29,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmetrics.llm.arrays import BASE, LOWER, _STEPS, mix, windows, words
-from snapmetrics.llm.common import keyed_text, scratch_path, stored, table, text_chunks
+from snapmetrics.llm.common import keyed_text, release_memory, scratch_path, stored, table, text_chunks
 from snapmetrics.llm.components import components
 
 #: Bits of an element's hash; the rest of a word holds the row of a chunk.
 TOKEN_BITS = 52
 #: Bits of the smallest bitmap.
 BITMAP = 256
-#: Members of an open bucket that a task compares at a time.
+#: Members of an open bucket that a task compares at a time, and about the
+#: elements of those by bitmaps (a byte for four) and by sets (eight bytes each).
 BLOCK = 1024
+BITMAP_ELEMENTS, SET_ELEMENTS = 1 << 24, 1 << 20
+#: How often the pairs that may join an open block's components are verified
+#: before the block's sets themselves meet.
+FOREST_ROUNDS = 2
 #: Costs, in signatures, of pairing a member with its bucket's leader, and of
 #: comparing two members of an open bucket.
 LEADER_COST, COMPARE_COST = 15.0, 0.02
@@ -319,34 +324,132 @@ def verified(pairs: DataFrame, sets: DataFrame, s: Similarity) -> DataFrame:
     ).select("a", "b")
 
 
-def _across(s: Similarity):
-    """Pairs of different components in each block pair of an open bucket
-    that size and bitmap cannot rule out."""
-
-    def pairs(rows: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        left, right = (np.flatnonzero(rows["side"] == x) for x in (0, 1))
+def _plausible_rows(rows: dict, root: np.ndarray, s: Similarity) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, its partners in other components) in a block pair, of those that
+    size and bitmap cannot rule out and that were not refuted.  ``root`` names
+    the components and may be changed by the caller on the way."""
+    left, right = (np.flatnonzero(rows["side"] == x) for x in (0, 1))
+    alone = not right.size
+    right = left if alone else right
+    n, width, refuted = rows["n"], rows["width"], rows["refuted"]
+    # The bitmaps of one width are the rows of a matrix.
+    slot, bits = np.zeros(len(n), np.int64), {}
+    for w in np.unique(width).tolist():
+        which = np.flatnonzero(width == w)
+        slot[which] = np.arange(len(which))
+        bits[w] = rows["words"][rows["base"][which][:, None] + np.arange(w)]
+    for i in left.tolist():
+        to = right[right > i] if alone else right
+        to = to[100 * np.minimum(n[to], n[i]) >= s.percent * np.maximum(n[to], n[i])]
+        own, w = bits[int(width[i])][slot[i]], int(width[i])
+        for other in (w // 2, w, 2 * w):
+            some = to[(width[to] == other) & (root[to] != root[i])]
+            if some.size:
+                theirs = bits[other][slot[some]]
+                apart = (fold(theirs) if other > w else theirs) ^ (fold(own) if other < w else own)
+                apart = np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
+                some = some[apart * (100 + s.percent) <= (100 - s.percent) * (n[some] + n[i])]
+                if i in refuted:
+                    some = some[~np.isin(some, refuted[i])]
+                if some.size:
+                    yield i, some
+
+
+def _joined(root: np.ndarray, i: int, some: np.ndarray) -> np.ndarray:
+    """One of ``some`` for each component among them, all of which become the
+    component of row ``i``."""
+    got, first = np.unique(root[some], return_index=True)
+    root[np.isin(root, got)] = root[i]
+    return some[first]
+
+
+def _bits_of(t: pa.Table) -> dict:
+    """The rows of a block pair with bitmaps, as arrays."""
+    rows = {c: t.column(c).to_numpy() for c in ("side", "n", "component", "doc")}
+    words_ = t.column("bitmap").combine_chunks()
+    off = words_.offsets.to_numpy()
+    rows |= {"words": words_.values.to_numpy(), "base": off[:-1].astype(np.int64), "width": np.diff(off), "refuted": {}}
+    known = t.column("refuted").to_pylist()
+    if any(known):
+        at: dict[int, list[int]] = {}
+        for i, x in enumerate(rows["doc"].tolist()):
+            at.setdefault(x, []).append(i)
+        for i, others in enumerate(known):
+            for j in (j for x in others or () for j in at.get(x, ())):
+                rows["refuted"].setdefault(i, []).append(j)
+                rows["refuted"].setdefault(j, []).append(i)
+    return rows
+
+
+def _forest(s: Similarity):
+    """Of a block pair the least pairs that would join its components as far
+    as bitmaps allow: fewer than it has rows."""
+
+    def solve(key: tuple, t: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = _bits_of(t)
+        root, doc = rows["component"].copy(), rows["doc"]
+        a, b = [], []
+        for i, some in _plausible_rows(rows, root, s):
+            to = doc[_joined(root, i, some)]
+            a.append(np.minimum(to, doc[i]))
+            b.append(np.maximum(to, doc[i]))
+        if a:
+            a, b = np.concatenate(a), np.concatenate(b)
+            yield pa.RecordBatch.from_arrays([*[pa.array(np.full(len(a), k)) for k in key], pa.array(a), pa.array(b)], names=["key", "i", "j", "a", "b"])
+
+    return _by_block(solve)
+
+
+def _involved(s: Similarity):
+    """The members of a block pair that have a plausible partner there."""
+
+    def solve(key: tuple, t: pa.Table) -> Iterator[pa.RecordBatch]:
+        rows = _bits_of(t)
+        has = np.zeros(len(rows["doc"]), bool)
+        for i, some in _plausible_rows(rows, rows["component"], s):
+            has[i] = has[some] = True
+        doc = np.unique(rows["doc"][has])
+        if len(doc):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), key[0])), pa.array(doc)], names=["key", "doc"])
+
+    return _by_block(solve)
+
+
+def _exact(s: Similarity):
+    """Links that join the components of a block pair, from its sets."""
+
+    def solve(key: tuple, t: pa.Table) -> Iterator[pa.RecordBatch]:
+        side, doc, root = (t.column(c).to_numpy() for c in ("side", "doc", "component"))
+        sets = t.column("elements").combine_chunks()
+        off = sets.offsets.to_numpy().astype(np.int64)
+        token = np.unique(sets.values.to_numpy(), return_inverse=True)[1]
+        n, root, mine = np.diff(off), root.copy(), np.zeros(len(token), bool)
+        left, right = (np.flatnonzero(side == x) for x in (0, 1))
         alone = not right.size
         right = left if alone else right
-        n, comp, doc, width = (rows[c] for c in ("n", "component", "doc", "width"))
-        # The bitmaps of one width are the rows of a matrix.
-        slot, bits = np.zeros(len(n), np.int64), {}
-        for w in np.unique(width).tolist():
-            which = np.flatnonzero(width == w)
-            slot[which] = np.arange(len(which))
-            bits[w] = rows["words"][rows["base"][which][:, None] + np.arange(w)]
+        a, b = [], []
         for i in left.tolist():
             to = right[right > i] if alone else right
-            to = to[(comp[to] != comp[i]) & (100 * np.minimum(n[to], n[i]) >= s.percent * np.maximum(n[to], n[i]))]
-            own, w = bits[int(width[i])][slot[i]], int(width[i])
-            for other in (w // 2, w, 2 * w):
-                some = to[width[to] == other]
-                if some.size:
-                    theirs = bits[other][slot[some]]
-                    apart = (fold(theirs) if other > w else theirs) ^ (fold(own) if other < w else own)
-                    apart = np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
-                    some = some[apart * (100 + s.percent) <= (100 - s.percent) * (n[some] + n[i])]
-                    if some.size:
-                        yield np.minimum(doc[some], doc[i]), np.maximum(doc[some], doc[i])
+            to = to[(root[to] != root[i]) & (100 * np.minimum(n[to], n[i]) >= s.percent * np.maximum(n[to], n[i]))]
+            if not to.size:
+                continue
+            own = token[off[i] : off[i + 1]]
+            mine[own] = True
+            common = np.array([np.count_nonzero(mine[token[off[x] : off[x + 1]]]) for x in to.tolist()])
+            mine[own] = False
+            to = to[100 * common >= s.percent * (n[to] + n[i] - common)]
+            if to.size:
+                to = doc[_joined(root, i, to)]
+                a.append(np.minimum(to, doc[i]))
+                b.append(np.maximum(to, doc[i]))
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    return _by_block(solve)
+
+
+def _by_block(solve):
+    """``solve`` of each block pair's rows, which come sorted by it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -354,13 +457,7 @@ def _across(s: Similarity):
 
         def flush() -> Iterator[pa.RecordBatch]:
             if held:
-                t = pa.Table.from_batches(held)
-                rows = {c: t.column(c).to_numpy() for c in ("side", "n", "component", "doc")}
-                words_ = t.column("bitmap").combine_chunks()
-                off = words_.offsets.to_numpy()
-                rows |= {"words": words_.values.to_numpy(), "base": off[:-1].astype(np.int64), "width": np.diff(off)}
-                for a, b in pairs(rows):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                yield from solve(last, pa.Table.from_batches(held))
                 held.clear()
 
         for batch in batches:
@@ -374,6 +471,7 @@ def _across(s: Similarity):
                         last = this
                     held.append(batch.slice(x, y - x))
         yield from flush()
+        release_memory()
 
     return run
 
@@ -385,13 +483,17 @@ def _placed(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     return placed.withColumn("in_a", F.coalesce("in_a", "a")).withColumn("in_b", F.coalesce("in_b", "b"))
 
 
+def _as_links(comp: DataFrame) -> DataFrame:
+    return comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
 def _across_components(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     return _placed(pairs, comp).where("in_a <> in_b")
 
 
-def _open_pairs(pairs: DataFrame, documents: DataFrame, comp: DataFrame, s: Similarity) -> DataFrame | None:
-    """Unverified pairs across components in buckets that are not within one.
-    A bucket of two has no pair but the one with its leader."""
+def _open_members(pairs: DataFrame, comp: DataFrame) -> DataFrame | None:
+    """(key, doc) of the buckets that are not within one component.  A bucket
+    of two has no pair but the one with its leader."""
     busy = stored(pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "busy-buckets")
     pairs = pairs.join(busy, "key", "left_semi")
     placed = stored(_placed(pairs, comp), "placed-pairs")
@@ -399,22 +501,49 @@ def _open_pairs(pairs: DataFrame, documents: DataFrame, comp: DataFrame, s: Simi
     if open_.isEmpty():
         return None
     inside = placed.join(open_, "key", "left_semi")
-    members = stored(
-        inside.select("key", F.col("a").alias("doc"), F.col("in_a").alias("component"))
-        .unionByName(inside.select("key", F.col("b").alias("doc"), F.col("in_b").alias("component")))
-        .distinct(),
-        "members",
-    )
-    blocks = stored(members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks")
-    facts = documents.select(F.col("a").alias("doc"), F.col("b").alias("n"), "bitmap").dropDuplicates(["doc"])
+    sides = inside.select("key", F.col("a").alias("doc")).unionByName(inside.select("key", F.col("b").alias("doc")))
+    return stored(sides.distinct(), "members")
+
+
+def _dealt(members: DataFrame, elements: int) -> DataFrame:
+    """(key, i, j, side, doc): the members (key, doc, n) in pairs of blocks of
+    about ``BLOCK`` members, and about ``elements`` elements, at most."""
+    count = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / elements))
+    blocks = stored(members.groupBy("key").agg(count.cast("int").alias("blocks")), "blocks")
     dealt = members.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("doc"), "blocks").cast("int"))
-    dealt = dealt.join(facts, "doc").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"),
-        "doc", "component", "n", "bitmap",
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "doc",
     )
-    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(_across(s), "a long, b long").distinct()
+
+
+def _in_blocks(dealt: DataFrame, comp: DataFrame) -> DataFrame:
+    """The rows of the blocks with their components, block by block."""
+    placed = dealt.join(comp.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    return placed.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+def _compared(dealt: DataFrame, facts: DataFrame, comp: DataFrame, refuted: DataFrame | None) -> DataFrame:
+    """The blocks with bitmaps and the pairs (key, i, j, a, b) that were
+    refuted in them."""
+    rows = dealt.join(facts, "doc")
+    if refuted is None:
+        rows = rows.withColumn("refuted", F.lit(None).cast("array<long>"))
+    else:
+        lists = refuted.groupBy("key", "i", "j", F.col("b").alias("doc")).agg(F.collect_set("a").alias("refuted"))
+        rows = rows.join(lists, ["key", "i", "j", "doc"], "left")
+    return _in_blocks(rows, comp)
+
+
+def _last_links(dealt: DataFrame, facts: DataFrame, comp: DataFrame, refuted: DataFrame, sets_of, s: Similarity) -> DataFrame:
+    """The links that still join components of open blocks: members with a
+    plausible partner meet again with their sets, compared inside the task."""
+    some = _compared(dealt, facts, comp, refuted).mapInArrow(_involved(s), "key long, doc long")
+    some = stored(some.distinct(), "involved")
+    sizes = facts.groupBy("doc").agg(F.sum("n").alias("n"))
+    blocks = _dealt(some.join(sizes, "doc"), SET_ELEMENTS)
+    rows = blocks.join(sets_of(some.select(F.col("doc").alias("doc_id")).distinct().hint("merge")).withColumnRenamed("doc_id", "doc"), "doc")
+    return _in_blocks(rows, comp).mapInArrow(_exact(s), "a long, b long").distinct()
 
 
 def similar_sets(docs: DataFrame, s: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -448,18 +577,39 @@ def similar_sets(docs: DataFrame, s: Similarity = Similarity(), id_col: str = "d
     # One pair for each member first; most others then lie within a component.
     tried = stored(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
     used = _ids(near)
-    sets = stored(_sets(named.join(used, "doc_id", "left_semi"), s), "sets")
+    sets_of = lambda ids: _sets(named.join(ids, "doc_id", "left_semi"), s)
+    sets = stored(sets_of(used), "sets")
     links = stored(sure.select("a", "b").unionByName(verified(tried, sets, s)), "links")
     comp = stored(components(links), "components")
-    more = _across_components(near, comp).select("a", "b")
-    if (rest := _open_pairs(proposed, documents, comp, s)) is not None:
-        more = more.unionByName(rest).distinct()
-    more = stored(more.join(tried, ["a", "b"], "left_anti"), "late-pairs")
-    # Members of open buckets may be near each other and not near any leader.
-    others = _ids(more).join(used, "doc_id", "left_anti")
-    sets = sets.unionByName(stored(_sets(named.join(others, "doc_id", "left_semi"), s), "more-sets"))
-    late = stored(verified(more, sets, s), "late-links")
-    comp = stored(components(links.unionByName(late)), "components")
+    facts = documents.select(F.col("a").alias("doc"), F.col("b").alias("n"), "bitmap").distinct()
+    more, refuted, blocks = _across_components(near, comp).select("a", "b"), None, None
+    if (members := _open_members(proposed, comp)) is not None:
+        sizes = documents.groupBy(F.col("a").alias("doc")).agg(F.sum("b").alias("n"))
+        blocks = stored(_dealt(members.join(sizes, "doc"), BITMAP_ELEMENTS), "dealt")
+    for _ in range(FOREST_ROUNDS):
+        if blocks is not None:
+            forest = stored(_compared(blocks, facts, comp, refuted).mapInArrow(_forest(s), "key long, i long, j long, a long, b long"), "forest")
+            refuted = forest if refuted is None else refuted.unionByName(forest)
+            more = more.unionByName(forest.select("a", "b"))
+        more = stored(more.distinct().join(tried, ["a", "b"], "left_anti"), "late-pairs")
+        # Members of open buckets may be near each other and not near any leader.
+        others = stored(_ids(more).join(used, "doc_id", "left_anti"), "more-ids")
+        used = used.unionByName(others)
+        sets = sets.unionByName(stored(sets_of(others), "more-sets"))
+        late = stored(verified(more, sets, s), "late-links")
+        comp = stored(components(_as_links(comp).unionByName(late)), "components")
+        if blocks is None:
+            break
+        # A block is done unless a pair that would join two of its components failed.
+        left = stored(_across_components(forest, comp).select("key", "i", "j").distinct(), "open-blocks")
+        if left.isEmpty():
+            blocks = None
+            break
+        blocks = blocks.join(left, ["key", "i", "j"], "left_semi")
+        tried, more = tried.unionByName(more), more.limit(0)
+    if blocks is not None:
+        last = stored(_last_links(blocks, facts, comp, refuted, sets_of, s), "last-links")
+        comp = stored(components(_as_links(comp).unionByName(last)), "components")
     sized = documents.select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"))
     out = sized.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

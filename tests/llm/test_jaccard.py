@@ -96,6 +96,35 @@ def test_unlike_long_texts_are_ruled_out_by_their_bitmaps(spark, monkeypatch):
     assert counts["first-pairs"] + counts["late-pairs"] <= 12
 
 
+@pytest.mark.parametrize("rounds", [1, 2])
+def test_groups_that_link_do_not_make_all_their_pairs(spark, monkeypatch, rounds):
+    """80 texts that all link, in buckets led by 30 texts that are a little too
+    far from them: verified pairs grow with the texts, not with their square,
+    and blocks that the rounds leave open are settled from their sets."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    rows = []
+    for i in range(110):
+        w = list(base)
+        for at in (10, 60, 110) if i < 30 else ():
+            w[at + rng.randrange(30)] = f"edit{rng.randrange(10**6)}"
+        w[-1] = f"end{i}"
+        rows.append((i, " ".join(w)))
+    counts = {}
+    stored = J.stored
+
+    def counting(df, name):
+        out = stored(df, name)
+        counts[name] = counts.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(J, "stored", counting)
+    monkeypatch.setattr(J, "FOREST_ROUNDS", rounds, raising=False)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sorted(map(tuple, J.similar_sets(docs, J.Similarity(3, 90)).collect())) == brute(rows, 3, 90)
+    assert counts["late-pairs"] <= 4 * len(rows)
+
+
 def test_bitmaps_bound_the_difference_from_below():
     rng = np.random.default_rng(3)
     for a, b in ((100, 110), (250, 300), (900, 1100), (5000, 4100)):
