@@ -271,24 +271,31 @@ def _magnitude(df: DataFrame, order: str) -> Column:
     return F.conv(digits, 16, 10).cast("double")
 
 
-def _cut_range(keys: DataFrame, by: str) -> DataFrame:
+def _by_snapshot(df: DataFrame, grid: Grid | None) -> DataFrame:
+    """``df``, which has one row per snapshot, as broadcast, so that rows never
+    meet it by snapshot: a few snapshots would be as few tasks.  (Left to
+    itself Spark keeps the shuffle join, since most partitions are empty.)"""
+    return grid.small(df) if grid is not None else F.broadcast(df)
+
+
+def _cut_range(keys: DataFrame, by: str, grid: Grid | None = None) -> DataFrame:
     """For each snapshot of ``keys`` (by, key, _v, _left) the range of values
     that holds its ``_left``-th smallest key: the keys in it and how many of
     them are kept.  Snapshots with fewer keys are left out."""
     span = keys.groupBy(by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     width = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1e-300))
     part = F.least(F.floor((F.col("_v") - F.col("_lo")) / width * CAP_RANGES), F.lit(CAP_RANGES - 1))
-    parted = keys.join(span, by).withColumn("_part", part).drop("_lo", "_hi")
+    parted = keys.join(_by_snapshot(span, grid), by).withColumn("_part", part).drop("_lo", "_hi")
     counts = parted.groupBy(by, "_part").agg(F.count(F.lit(1)).alias("_n"), F.max("_left").alias("_left"))
     # At most CAP_RANGES rows a snapshot.
     upto = Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = counts.withColumn("_upto", F.sum("_n").over(upto))
     before = F.col("_upto") - F.col("_n")
     cut = running.where((F.col("_upto") >= F.col("_left")) & (before < F.col("_left"))).select(by, "_part", (F.col("_left") - before).alias("_rest"))
-    return parted.join(cut, [by, "_part"]).withColumn("_left", F.col("_rest")).drop("_part", "_rest")
+    return parted.join(_by_snapshot(cut, grid), [by, "_part"]).withColumn("_left", F.col("_rest")).drop("_part", "_rest")
 
 
-def cap_threshold(df: DataFrame, n: int, by: str = "block", order: str = "id") -> DataFrame:
+def cap_threshold(df: DataFrame, n: int, by: str = "block", order: str = "id", grid: Grid | None = None) -> DataFrame:
     """``(by, _most)``: each snapshot's ``n``-th smallest key, for snapshots
     that have so many.
 
@@ -299,23 +306,24 @@ def cap_threshold(df: DataFrame, n: int, by: str = "block", order: str = "id") -
     keys = df.select(by, order).where(F.col(by).isNotNull() & F.col(order).isNotNull()).distinct()
     keys = keys.withColumns({"_v": _magnitude(df, order), "_left": F.lit(n).cast("bigint")})
     for _ in range(CAP_LEVELS):
-        keys = _cut_range(keys, by)
+        keys = _cut_range(keys, by, grid)
     last = Window.partitionBy(by).orderBy(order)
     ranked = keys.withColumn("_rk", F.row_number().over(last)).where(F.col("_rk") == F.col("_left"))
     return ranked.select(by, F.col(order).alias("_most"))
 
 
-def cap_per_snapshot(df: DataFrame, n: int, by: str = "block", order: str = "id") -> DataFrame:
+def cap_per_snapshot(df: DataFrame, n: int, by: str = "block", order: str = "id", grid: Grid | None = None) -> DataFrame:
     """At most ``n`` entities per snapshot, lowest ``order`` first.
 
     The source's ``first: n`` has no stated order; we make it deterministic.
     All rows of one entity stay together.  Rows are kept by comparing their
     key with the snapshot's n-th one (``cap_threshold``), so no snapshot is
     ranked whole; rows without a key or snapshot fall out.  ``order`` is text
-    or a number.
+    or a number.  ``grid``, if known, tells whether one row per snapshot may be
+    broadcast.
     """
     if n <= 0:
         return df.where(F.lit(False))
-    most = cap_threshold(df, n, by, order)
+    most = _by_snapshot(cap_threshold(df, n, by, order, grid), grid)
     kept = df.where(F.col(by).isNotNull() & F.col(order).isNotNull()).join(most, by, "left")
     return kept.where(F.col("_most").isNull() | (F.col(order) <= F.col("_most"))).select(*df.columns)

@@ -225,7 +225,7 @@ def versions_clean(t: fx.Tables, spec: JobSpec = SUBGRAPHS) -> DataFrame:
     snaps = snapshots_for(t, spec)
     raw = scans.scan_versions(t, spec.grid, snaps)
     if spec.cap is not None:
-        raw = cap_per_snapshot(raw, spec.cap, "block", "id")
+        raw = cap_per_snapshot(raw, spec.cap, "block", "id", spec.grid)
     return versions_clean_from(raw, snaps, spec.grid)
 
 

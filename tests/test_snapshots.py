@@ -190,3 +190,32 @@ def test_place_against_bisect(spark, how):
     for table in (snaps, pinned(snaps, grid)):
         got = place(df, grid, table, F.col("v"), how).collect()
         assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_few_snapshots_are_no_few_tasks_of_the_cap(spark):
+    """Rows meet the one row per snapshot by broadcast, also where Spark by
+    itself would shuffle them by snapshot."""
+    key, was = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        df = spark.range(3000).select((F.col("id") % 2).alias("block"), F.col("id").cast("string").alias("id"))
+        got = cap_per_snapshot(df, 5, "block", "id")
+        assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        assert got.count() == 10
+    finally:
+        spark.conf.set(key, was)
+
+
+def test_capped_allocations_drop_lines_before_they_are_dealt(spark, tables):
+    from pyspark.sql import Window
+
+    from snapmetrics.sources import fixtures as fx
+    from snapmetrics.sources import scans
+    from snapmetrics.sources.grid import resolve_blocks
+
+    snaps = resolve_blocks(fx.order_blocks(tables), fx.G5_ORDERS)
+    got = scans.allocation_rows(tables, fx.G5_ORDERS, snaps, cap=30)
+    rank = F.dense_rank().over(Window.partitionBy("block").orderBy("id"))
+    want = scans.allocation_rows(tables, fx.G5_ORDERS, snaps).withColumn("rk", rank).where("rk <= 30").drop("rk")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert "LeftSemi" in got._jdf.queryExecution().optimizedPlan().toString()
