@@ -31,7 +31,7 @@ from snapmetrics.operators.snapshots import (
     spread,
 )
 from snapmetrics.sources import fixtures as fx
-from snapmetrics.sources.grid import Grid
+from snapmetrics.sources.grid import BROADCAST_STAMPS, Grid
 
 
 def _k_mod(r: int):
@@ -219,14 +219,16 @@ def scan_network_latest(t: fx.Tables, network_id: str = "1") -> DataFrame:
     return _network_record(state, "1", 1).unionByName(_network_record(state, "2", 2)).where(F.col("graphNetwork.id") == network_id)
 
 
-def _versions(t: fx.Tables) -> DataFrame:
-    """Line sums of each distinct version of an order.  The lines are dealt
-    by their order once; order totals and version ids both come from it
-    without another exchange."""
+def _versions(t: fx.Tables, orders: DataFrame | None = None) -> DataFrame:
+    """Line sums of each distinct version of an order, or of ``orders``
+    (l_orderkey) alone.  The lines are dealt by their order once; order totals
+    and version ids both come from it without another exchange."""
     lines = t.lineitem.select(
         "l_orderkey", "l_suppkey", "l_linenumber",
         fx.money_cents("l_extendedprice").alias("qf"), fx.money_cents(F.col("l_extendedprice") * F.col("l_discount")).alias("fee"),
     )
+    if orders is not None:
+        lines = lines.join(orders, "l_orderkey", "left_semi")
     return lines.repartition("l_orderkey").groupBy("l_orderkey", "l_suppkey", "l_linenumber").agg(
         F.sum("qf").alias("qf_cents"), F.sum("fee").alias("fee_cents")
     )
@@ -260,12 +262,15 @@ def _allocation_versions(t: fx.Tables) -> DataFrame:
     with the order's line sums: the lines are read and dealt once, and window
     sums over the order give its totals on each of its versions.  An order's
     versions are streamed through one task, sorted with spill."""
+    return _orders(t).join(_version_sums(t), "l_orderkey", "left")
+
+
+def _version_sums(t: fx.Tables, orders: DataFrame | None = None) -> DataFrame:
     whole = Window.partitionBy("l_orderkey")
-    versions = _versions(t).select(
+    return _versions(t, orders).select(
         "l_orderkey", _version_id().alias("version_id"),
         F.sum("qf_cents").over(whole).alias("qf_cents"), F.sum("fee_cents").over(whole).alias("fee_cents"),
     )
-    return _orders(t).join(versions, "l_orderkey", "left")
 
 
 def _allocation_fields() -> dict:
@@ -336,10 +341,18 @@ def allocation_rows(t: fx.Tables, grid: Grid, snapshots: DataFrame, cap: int | N
 
     ``explode_outer`` of a list equals the left join with the versions; it
     comes before the spread over snapshots, so rows are multiplied once, at
-    the end.  ``cap`` (A8) limits the allocations of a snapshot.
+    the end.  ``cap`` (A8) limits the allocations of a snapshot.  Every order
+    has a row at each snapshot from its own on, with versions or without, so
+    the cap is taken on the orders, and only those left meet their versions.
     """
-    flat = _flat_allocations(_spread_orders(_allocation_versions(t), grid, snapshots))
-    return flat if cap is None else cap_per_snapshot(flat, cap, "block", "id")
+    if cap is None:
+        return _flat_allocations(_spread_orders(_allocation_versions(t), grid, snapshots))
+    present = _spread_orders(_orders(t), grid, snapshots).withColumn("id", F.col("l_orderkey").cast("string"))
+    kept = cap_per_snapshot(present, cap, "block", "id", grid).drop("id")
+    ids = kept.select("l_orderkey").distinct()
+    # At most ``cap`` ids a stamp.
+    few = F.broadcast(ids) if cap * grid.count <= BROADCAST_STAMPS else ids
+    return _flat_allocations(kept.join(_version_sums(t, few), "l_orderkey", "left"))
 
 
 def allocation_rows_latest(t: fx.Tables) -> DataFrame:
