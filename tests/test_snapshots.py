@@ -211,9 +211,8 @@ def test_capped_allocations_drop_lines_before_they_are_dealt(spark, tables):
 
     from snapmetrics.sources import fixtures as fx
     from snapmetrics.sources import scans
-    from snapmetrics.sources.grid import resolve_blocks
 
-    snaps = resolve_blocks(fx.order_blocks(tables), fx.G5_ORDERS)
+    snaps = pinned(resolve_blocks(fx.order_blocks(tables), fx.G5_ORDERS), fx.G5_ORDERS)
     got = scans.allocation_rows(tables, fx.G5_ORDERS, snaps, cap=30)
     rank = F.dense_rank().over(Window.partitionBy("block").orderBy("id"))
     want = scans.allocation_rows(tables, fx.G5_ORDERS, snaps).withColumn("rk", rank).where("rk <= 30").drop("rk")
