@@ -219,6 +219,22 @@ def scan_network_latest(t: fx.Tables, network_id: str = "1") -> DataFrame:
     return _network_record(state, "1", 1).unionByName(_network_record(state, "2", 2)).where(F.col("graphNetwork.id") == network_id)
 
 
+# Rows of the orders and their lines in a part, and in one of more than
+# ``FEW_PARTS``: up to so many, Spark's map side writes each part's rows at once
+# and sorts none of them in memory.
+ORDER_ROWS, MOST_ORDER_ROWS, FEW_PARTS = 250_000, 1_500_000, 200
+
+
+def _by_order(t: fx.Tables, lines: DataFrame) -> DataFrame:
+    """``lines`` dealt by their order, in as many parts as the tables' rows ask
+    for (counted from the files' footers), so that a task's sorts and hash
+    tables stay bounded however large the tables are; those that fit in one
+    part are dealt as the session says."""
+    rows = t.memo("order_rows", lambda: t.lineitem.count() + t.orders.count())
+    parts = max(min(-(-rows // ORDER_ROWS), FEW_PARTS), -(-rows // MOST_ORDER_ROWS))
+    return lines.repartition(parts, "l_orderkey") if parts > 1 else lines.repartition("l_orderkey")
+
+
 def _versions(t: fx.Tables, orders: DataFrame | None = None) -> DataFrame:
     """Line sums of each distinct version of an order, or of ``orders``
     (l_orderkey) alone.  The lines are dealt by their order once; order totals
@@ -229,7 +245,7 @@ def _versions(t: fx.Tables, orders: DataFrame | None = None) -> DataFrame:
     )
     if orders is not None:
         lines = lines.join(orders, "l_orderkey", "left_semi")
-    return lines.repartition("l_orderkey").groupBy("l_orderkey", "l_suppkey", "l_linenumber").agg(
+    return _by_order(t, lines).groupBy("l_orderkey", "l_suppkey", "l_linenumber").agg(
         F.sum("qf").alias("qf_cents"), F.sum("fee").alias("fee_cents")
     )
 

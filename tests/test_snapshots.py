@@ -218,3 +218,17 @@ def test_capped_allocations_drop_lines_before_they_are_dealt(spark, tables):
     want = scans.allocation_rows(tables, fx.G5_ORDERS, snaps).withColumn("rk", rank).where("rk <= 30").drop("rk")
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
     assert "LeftSemi" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_lines_of_a_task_do_not_grow_with_the_tables(spark, monkeypatch, sf_dir):
+    """Ten times the lines are ten times the parts, not ten times the rows in
+    each, whatever the session's shuffle partitions are."""
+    from snapmetrics.sources import fixtures as fx
+    from snapmetrics.sources import scans
+
+    monkeypatch.setattr(scans, "ORDER_ROWS", 2000, raising=False)
+    t = fx.Tables(spark, sf_dir)
+    dealt = scans._versions(t).groupBy(F.spark_partition_id().alias("part")).count().collect()
+    assert sum(r["count"] for r in dealt) == t.lineitem.select("l_orderkey", "l_suppkey", "l_linenumber").distinct().count()
+    assert max(r["count"] for r in dealt) <= 2500
