@@ -232,3 +232,34 @@ def test_lines_of_a_task_do_not_grow_with_the_tables(spark, monkeypatch, sf_dir)
     dealt = scans._versions(t).groupBy(F.spark_partition_id().alias("part")).count().collect()
     assert sum(r["count"] for r in dealt) == t.lineitem.select("l_orderkey", "l_suppkey", "l_linenumber").distinct().count()
     assert max(r["count"] for r in dealt) <= 2500
+
+
+def test_nested_allocations_of_a_task_are_bounded_beyond_few_parts(spark, monkeypatch):
+    """Past ``FEW_PARTS`` a part has at most about ``MOST_ORDER_ROWS`` rows, and
+    the records are those of one part."""
+    from snapmetrics.sources import fixtures as fx
+    from snapmetrics.sources import scans
+    from snapmetrics.sources.grid import pinned, resolve_blocks
+
+    def scan():
+        t = fx.Tables(spark, "/root/testdata/sf0.01")
+        snaps = pinned(resolve_blocks(fx.order_blocks(t), fx.G5_ORDERS), fx.G5_ORDERS)
+        df = scans.scan_allocations(t, fx.G5_ORDERS, snaps, page=3)
+        return df.withColumn("subgraphDeployment", F.to_json("subgraphDeployment")).withColumn("part", F.spark_partition_id())
+
+    def digest(df):
+        h = F.xxhash64(*[c for c in df.columns if c != "part"])
+        return df.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(F.pmod(h, F.lit(10**9 + 7)))).first()
+
+    want = digest(scan())
+    for name, value in (("ORDER_ROWS", 100), ("MOST_ORDER_ROWS", 2000), ("FEW_PARTS", 10)):
+        monkeypatch.setattr(scans, name, value, raising=False)
+    key, was = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")  # the lists of large tables are no broadcast
+    try:
+        got = scan()
+        assert digest(got) == want
+        # 15,000 orders and 60,000 lines: 38 parts of some 395 orders.
+        assert got.groupBy("part").agg(F.count_distinct("id").alias("n")).agg(F.max("n")).first()[0] <= 550
+    finally:
+        spark.conf.set(key, was)
